@@ -39,6 +39,9 @@ TOPIC_RETRY = "alpha-bank-transactions-raw-retry"
 TOPIC_COMPLETED = "alpha-bank-transactions-raw-completed"
 # ---------------------------------------------------------------------------
 
+# Processing order of the rows of one account.
+ORDER = ("instant", "seq", "phase")
+
 BANK_TX = T.StructType([
     T.StructField("txId", T.StringType()),
     T.StructField("fromAccount", T.StringType()),

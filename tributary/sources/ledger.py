@@ -8,9 +8,11 @@ Mapping from an event row (a pure row expression, so SQL can state it too):
 * any other event is a transfer from the user to account
   ``user_id + 1 + event_id % 7`` (a neighbour of the user).
 
-Every transfer starts as CREATED with 0 retries.  A ``seq`` column (the
-event_id) is carried next to the BANK_TX fields: the processing order of one
-account is ``(instant, seq)`` everywhere in this library.
+Every transfer starts as CREATED with 0 retries.  Two ordering columns are
+carried next to the BANK_TX fields: ``seq`` (the event_id) and ``phase`` (0
+for a new transfer, higher for later hops of the same transfer).  The
+processing order of one account is ``(instant, seq, phase)`` everywhere in
+this library (``schemas.ORDER``).
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ def ledger_from_events(events: DataFrame) -> DataFrame:
         F.lit(0).cast("int").alias("retriedTimes"),
         F.lit(0).cast("long").alias("maxWaitTime"),
         F.col("event_id").alias("seq"),
+        F.lit(0).alias("phase"),
     )
 
 
@@ -68,6 +71,7 @@ def chain_transfers(ids: DataFrame, id_col: str = "id", amount: float = 1.0) ->
         F.lit(0).cast("int").alias("retriedTimes"),
         F.lit(0).cast("long").alias("maxWaitTime"),
         i.cast("long").alias("seq"),
+        F.lit(0).alias("phase"),
     )
 
 
@@ -91,4 +95,5 @@ def transfers_from_rows(spark: SparkSession, rows) -> DataFrame:
         F.lit(0).cast("int").alias("retriedTimes"),
         F.lit(0).cast("long").alias("maxWaitTime"),
         F.col("pos").alias("seq"),
+        F.lit(0).alias("phase"),
     )
