@@ -21,6 +21,7 @@ T3 (pending entries expire after ``max_wait``).  Money is integer cents.
 from __future__ import annotations
 
 import collections
+import datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,9 +32,7 @@ from tributary import schemas as S
 from tributary.functions.ledger import acting_account, cents, from_cents, is_external
 from tributary.operators.legs import running_balance
 
-# Columns the folds read and write (fixed positions inside the Arrow batches).
-FOLD_COLS = ["account", "txId", "fromAccount", "toAccount", "amount", "instant",
-             "status", "retriedTimes", "maxWaitTime", "seq", "phase", "_c"]
+# Columns the folds read, in this order (positions are used inside the fold).
 _IN_SCHEMA = T.StructType([
     T.StructField("account", T.StringType()),
     T.StructField("txId", T.StringType()),
@@ -46,9 +45,22 @@ _IN_SCHEMA = T.StructType([
     T.StructField("maxWaitTime", T.LongType()),
     T.StructField("seq", T.LongType()),
     T.StructField("phase", T.IntegerType()),
-    T.StructField("_c", T.LongType()),
+    T.StructField("_c", T.LongType()),        # amount in cents
+    T.StructField("_init", T.LongType()),     # balance of the account before this input (null = 0)
+    T.StructField("_kind", T.StringType()),   # 'row'; 'pending' / 'balance' for carried state
+    T.StructField("_prio", T.IntegerType()),  # sort rank inside the account before the ORDER columns
+])
+_PASS = 11  # the first 11 columns pass through to the output
+OUT_SCHEMA = T.StructType(_IN_SCHEMA.fields[:_PASS] + [
+    T.StructField("_kind", T.StringType()),   # 'out' (emitted) or 'pending' (still waiting at end)
+    T.StructField("_bal", T.LongType()),      # acting account's balance after the row, cents
+])
+_ARROW_OUT = pa.schema([
+    ("account", pa.string()), ("txId", pa.string()), ("fromAccount", pa.string()),
+    ("toAccount", pa.string()), ("amount", pa.float64()), ("instant", pa.timestamp("us", tz="UTC")),
+    ("status", pa.string()), ("retriedTimes", pa.int32()), ("maxWaitTime", pa.int64()),
+    ("seq", pa.int64()), ("phase", pa.int32()), ("_kind", pa.string()), ("_bal", pa.int64()),
 ])
-OUT_SCHEMA = T.StructType(_IN_SCHEMA.fields[:-1] + [T.StructField("_bal", T.LongType())])
 
 
 def first_round_feed(tx: DataFrame) -> DataFrame:
@@ -60,143 +72,179 @@ def first_round_feed(tx: DataFrame) -> DataFrame:
                         .otherwise(F.col("status"))))
 
 
-def _keyed(tx: DataFrame) -> DataFrame:
+def keyed_feed(tx: DataFrame) -> DataFrame:
+    """Fold input: acting account, cents, and the optional carried columns."""
+    cols = set(tx.columns)
     return tx.select(
         acting_account(F.col("status"), F.col("fromAccount"), F.col("toAccount")).alias("account"),
         "txId", "fromAccount", "toAccount", "amount", "instant", "status",
         F.col("retriedTimes").cast("int").alias("retriedTimes"),
         F.col("maxWaitTime").cast("long").alias("maxWaitTime"),
         F.col("seq").cast("long").alias("seq"), F.col("phase").cast("int").alias("phase"),
-        cents(F.col("amount")).alias("_c"))
+        cents(F.col("amount")).alias("_c"),
+        (F.col("_init") if "_init" in cols else F.lit(None)).cast("long").alias("_init"),
+        (F.col("_kind") if "_kind" in cols else F.lit("row")).cast("string").alias("_kind"),
+        (F.col("_prio") if "_prio" in cols else F.lit(0)).cast("int").alias("_prio"))
 
 
 def _unconditional(keyed: DataFrame, pending_design: bool) -> DataFrame:
-    """Rows of ``external`` accounts: debits always pass, credits add."""
+    """Rows of ``external`` accounts: debits always pass, credits add, so the
+    balance is a running sum (blocked, parallel) plus the carried balance."""
     st = F.col("status")
     debit = st == S.CREATED if pending_design else st.isin(S.CREATED, S.RETRY_BALANCE_NOT_ENOUGH)
-    rows = keyed.select(
-        *[c for c in FOLD_COLS if c not in ("status", "_c")],
+    init = (keyed.where(F.col("_kind") == "balance")
+            .groupBy("account").agg(F.sum("_c").alias("_carried")))
+    # Only accounts named external take this path: a few case variants at
+    # most, so the carried balances are a provably tiny broadcast.
+    keyed = keyed.join(F.broadcast(init), "account", "left").withColumn(
+        "_init", F.coalesce(F.col("_init"), F.col("_carried"))).drop("_carried")
+    rows = keyed.where(F.col("_kind") == "row").select(
+        *_IN_SCHEMA.fieldNames()[:_PASS],
         F.when(debit, F.lit(S.DEBIT_SUCCESS)).when(st == S.DEBIT_SUCCESS, F.lit(S.FULFILLED))
-         .otherwise(st).alias("status"),
+         .otherwise(st).alias("_new_status"),
         F.when(debit, -F.col("_c")).when(st == S.DEBIT_SUCCESS, F.col("_c"))
          .otherwise(F.lit(0).cast("long")).alias("_d"),
-        debit.alias("_debit"), (st == S.DEBIT_SUCCESS).alias("_credit"))
+        F.coalesce(F.col("_init"), F.lit(0).cast("long")).alias("_init"),
+        (debit | (st == S.DEBIT_SUCCESS)).alias("_handled"))
     if pending_design:
         # v2 drops every status it does not handle.
-        rows = rows.where(F.col("_debit") | F.col("_credit"))
-    out = running_balance(rows, "account", "_d", "balance_after")
-    return out.drop("_d", "_debit", "_credit")
-
-
-def _fold_partition_t2(batches):
-    """Stream the sorted rows of a partition; one balance carried per account."""
-    current, bal = None, 0
-    for batch in batches:
-        acc = batch.column(0).to_pylist()
-        frm = batch.column(2).to_pylist()
-        status = batch.column(6).to_pylist()
-        cts = batch.column(11).to_pylist()
-        new_status, new_bal = [], []
-        for i in range(batch.num_rows):
-            if acc[i] != current:
-                current, bal = acc[i], 0
-            st = status[i]
-            if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
-                if (frm[i] or "").lower() == S.EXTERNAL_ACCOUNT or bal - cts[i] >= 0:
-                    bal -= cts[i]
-                    st = S.DEBIT_SUCCESS
-                else:
-                    st = S.RETRY_BALANCE_NOT_ENOUGH
-            elif st == S.DEBIT_SUCCESS:
-                bal += cts[i]
-                st = S.FULFILLED
-            new_status.append(st)
-            new_bal.append(bal)
-        cols = [batch.column(j) for j in range(batch.num_columns - 1)]
-        cols[6] = pa.array(new_status, pa.string())
-        cols.append(pa.array(new_bal, pa.int64()))
-        yield pa.RecordBatch.from_arrays(cols, names=OUT_SCHEMA.fieldNames())
-
-
-def _fold_partition_t3(max_wait_ms: int):
-    """Pending-list fold: a failed CREATED debit waits (no output) until a credit
-    frees funds (greedy, insertion order) or its deadline passes (cancelled)."""
+        rows = rows.where(F.col("_handled"))
+    out = running_balance(rows, "account", "_d", "_run", as_cents=True)
+    return out.select(
+        *[F.col("_new_status").alias("status") if c == "status" else F.col(c)
+          for c in _IN_SCHEMA.fieldNames()[:_PASS]],
+        F.lit("out").alias("_kind"),
+        (F.col("_run") + F.col("_init")).alias("_bal"))
+
+
+def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT_MS,
+              keep_pending: bool = False):
+    """Build the per-partition fold.
+
+    Rows arrive sorted by (account, _prio, instant, seq, phase).  v1 rules
+    (``pending_design=False``, T2) or pending-list rules (T3).  For T3, a
+    pending debit is cancelled once the account's next row is at or past its
+    deadline (``max_wait_ms`` None = no deadline); at the end of an account's
+    input the rest is cancelled, or, with ``keep_pending``, emitted as
+    ``_kind='pending'`` rows so a later round can carry them on.
+    """
+    names = _ARROW_OUT.names
 
     def fold(batches):
-        names = OUT_SCHEMA.fieldNames()
-        current, bal, pending = None, 0, collections.deque()
         out = {n: [] for n in names}
+        current, bal, pending = None, 0, collections.deque()
 
-        def emit(row, status, balance):
-            for j, n in enumerate(names[:-1]):
-                out[n].append(status if n == "status" else row[j])
-            out["_bal"].append(balance)
-
-        def cancel_due(now_ms):
-            # Deadlines grow with insertion order, so the due ones are at the front.
-            while pending and (now_ms is None or pending[0][8] <= now_ms):
-                emit(pending.popleft(), S.CANCELLED_BALANCE_NOT_ENOUGH, bal)
+        def emit(row, status, kind="out"):
+            for j in range(_PASS):
+                out[names[j]].append(status if j == 6 else row[j])
+            out["_kind"].append(kind)
+            out["_bal"].append(bal)
+
+        def close_account():
+            nonlocal pending
+            while pending:
+                p = pending.popleft()
+                if keep_pending:
+                    emit(p, p[6], "pending")
+                else:
+                    emit(p, S.CANCELLED_BALANCE_NOT_ENOUGH)
 
         def flush():
             nonlocal out
-            batch = pa.RecordBatch.from_pydict(
-                {n: out[n] for n in names},
-                schema=pa.schema([(n, t) for n, t in zip(names, _ARROW_TYPES)]))
+            batch = pa.RecordBatch.from_pydict(out, schema=_ARROW_OUT)
             out = {n: [] for n in names}
             return batch
 
         for batch in batches:
-            rows = zip(*[batch.column(j).to_pylist() for j in range(batch.num_columns)])
-            micros = batch.column(5).cast(pa.int64()).to_pylist()
-            for row, us in zip(rows, micros):
+            cols = [batch.column(j).to_pylist() for j in range(batch.num_columns)]
+            cols[5] = batch.column(5).cast(pa.int64()).to_pylist()  # instant as µs
+            for row in zip(*cols):
                 acc, st, c = row[0], row[6], row[11]
                 if acc != current:
-                    cancel_due(None)           # end of the previous account's input
-                    current, bal = acc, 0
-                now_ms = us // 1000
-                cancel_due(now_ms)
-                if st == S.CREATED:
-                    if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
-                        bal -= c
-                        emit(row, S.DEBIT_SUCCESS, bal)
-                    else:
-                        waiting = list(row)
-                        waiting[6] = S.RETRY_BALANCE_NOT_ENOUGH
-                        waiting[8] = now_ms + max_wait_ms
-                        pending.append(tuple(waiting))
-                elif st == S.DEBIT_SUCCESS:
-                    bal += c
-                    emit(row, S.FULFILLED, bal)
-                    kept = collections.deque()
-                    for p in pending:
-                        if p[11] <= bal:
-                            bal -= p[11]
-                            emit(p, S.DEBIT_SUCCESS, bal)
+                    close_account()
+                    current, bal = acc, (row[12] or 0)
+                if row[13] == "balance":
+                    # carried balance of the account (sorts first): seed and emit nothing
+                    bal = c
+                    continue
+                row = list(row)
+                us = row[5]
+                row[5] = _ts(us)
+                if pending_design:
+                    now_ms = us // 1000
+                    if max_wait_ms is not None:
+                        while pending and pending[0][8] <= now_ms:
+                            emit(pending.popleft(), S.CANCELLED_BALANCE_NOT_ENOUGH)
+                    if row[13] == "pending":
+                        pending.append(row)
+                    elif st == S.CREATED:
+                        if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
+                            bal -= c
+                            emit(row, S.DEBIT_SUCCESS)
+                        else:
+                            row[6] = S.RETRY_BALANCE_NOT_ENOUGH
+                            row[8] = now_ms + (max_wait_ms or 0)
+                            pending.append(row)
+                    elif st == S.DEBIT_SUCCESS:
+                        bal += c
+                        emit(row, S.FULFILLED)
+                        kept = collections.deque()
+                        for p in pending:
+                            if p[11] <= bal:
+                                bal -= p[11]
+                                emit(p, S.DEBIT_SUCCESS)
+                            else:
+                                kept.append(p)
+                        pending = kept
+                    # any other status (an incoming RETRY too) is dropped by this design
+                else:
+                    if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
+                        if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
+                            bal -= c
+                            st = S.DEBIT_SUCCESS
                         else:
-                            kept.append(p)
-                    pending = kept
-                # any other status (RETRY included) is dropped by this design
+                            st = S.RETRY_BALANCE_NOT_ENOUGH
+                    elif st == S.DEBIT_SUCCESS:
+                        bal += c
+                        st = S.FULFILLED
+                    emit(row, st)
             if out["_bal"]:
                 yield flush()
-        cancel_due(None)
+        close_account()
         if out["_bal"]:
             yield flush()
 
     return fold
 
 
-_ARROW_TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.float64(),
-                pa.timestamp("us", tz="UTC"), pa.string(), pa.int32(), pa.int64(), pa.int64(),
-                pa.int32(), pa.int64()]
+_EPOCH = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
 
 
-def _fold(keyed: DataFrame, fold_fn, num_partitions: int | None) -> DataFrame:
-    parts = num_partitions or keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = (keyed.repartition(int(parts), "account")
-               .sortWithinPartitions("account", *S.ORDER))
-    folded = ordered.mapInArrow(fold_fn, OUT_SCHEMA)
+def _ts(us):
+    return None if us is None else _EPOCH + datetime.timedelta(microseconds=us)
+
+
+def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition by account, sort inside partitions, run the fold."""
+    parts = int(num_partitions or keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (keyed.repartition(parts, "account")
+               .sortWithinPartitions("account", "_prio", *S.ORDER))
+    return ordered.mapInArrow(fold_fn, OUT_SCHEMA)
+
+
+def run_fold(tx: DataFrame, pending_design: bool, max_wait_ms: int | None = None,
+             keep_pending: bool = False, num_partitions: int | None = None) -> DataFrame:
+    """Both paths of the plan; output has ``_kind`` and ``_bal`` (cents)."""
+    keyed = keyed_feed(tx)
+    hot = is_external(F.col("account"))
+    fold_fn = make_fold(pending_design, max_wait_ms, keep_pending)
+    plain = fold_accounts(keyed.where(~hot), fold_fn, num_partitions)
+    return plain.unionByName(_unconditional(keyed.where(hot), pending_design))
+
+
+def _public(folded: DataFrame) -> DataFrame:
     return (folded.withColumn("balance_after", from_cents(F.col("_bal")))
-            .drop("_bal", "_c"))
+            .drop("_bal", "_kind"))
 
 
 def checked_debit(tx: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -209,13 +257,10 @@ def checked_debit(tx: DataFrame, num_partitions: int | None = None) -> DataFrame
     RETRY_BALANCE_NOT_ENOUGH; DEBIT_SUCCESS -> FULFILLED and add; any other
     status passes unchanged.
     """
-    keyed = _keyed(tx)
-    hot = is_external(F.col("account"))
-    plain = _fold(keyed.where(~hot), _fold_partition_t2, num_partitions)
-    return plain.unionByName(_unconditional(keyed.where(hot), pending_design=False))
+    return _public(run_fold(tx, pending_design=False, num_partitions=num_partitions))
 
 
-def pending_debit(tx: DataFrame, max_wait_ms: int = S.PENDING_MAX_WAIT_MS,
+def pending_debit(tx: DataFrame, max_wait_ms: int | None = S.PENDING_MAX_WAIT_MS,
                   num_partitions: int | None = None) -> DataFrame:
     """T3 in event time.  CREATED with funds -> DEBIT_SUCCESS; without -> pending
     (no output, deadline ``instant + max_wait``).  DEBIT_SUCCESS -> FULFILLED,
@@ -223,7 +268,5 @@ def pending_debit(tx: DataFrame, max_wait_ms: int = S.PENDING_MAX_WAIT_MS,
     debit whose deadline is reached before the account's next row, or that is
     still pending at the end of input, is emitted CANCELLED_BALANCE_NOT_ENOUGH.
     Other statuses (incoming RETRY included) are dropped."""
-    keyed = _keyed(tx)
-    hot = is_external(F.col("account"))
-    plain = _fold(keyed.where(~hot), _fold_partition_t3(max_wait_ms), num_partitions)
-    return plain.unionByName(_unconditional(keyed.where(hot), pending_design=True))
+    return _public(run_fold(tx, pending_design=True, max_wait_ms=max_wait_ms,
+                            num_partitions=num_partitions))

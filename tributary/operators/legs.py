@@ -50,12 +50,14 @@ def account_balance(legs: DataFrame) -> DataFrame:
 
 
 def running_balance(rows: DataFrame, key: str, delta_cents_col: str, out_col: str,
-                    block_seconds: int = BLOCK_SECONDS) -> DataFrame:
-    """Add ``out_col``: balance of ``key`` after each row, in ``schemas.ORDER``."""
+                    block_seconds: int = BLOCK_SECONDS, as_cents: bool = False) -> DataFrame:
+    """Add ``out_col``: balance of ``key`` after each row, in ``schemas.ORDER``
+    (a double, or integer cents with ``as_cents``)."""
     blocked = rows.withColumn("_block", time_block(F.col("instant"), block_seconds))
     out = blocked_running_sum(blocked, keys=[key], order_cols=list(S.ORDER), block_col="_block",
-                              value_col=delta_cents_col, out_col="_run")
-    return out.withColumn(out_col, from_cents(F.col("_run"))).drop("_run", "_block")
+                              value_col=delta_cents_col, out_col="_rs")
+    value = F.col("_rs").cast("long") if as_cents else from_cents(F.col("_rs"))
+    return out.withColumn(out_col, value).drop("_rs", "_block")
 
 
 def self_connect_balance(tx: DataFrame) -> DataFrame:

@@ -312,3 +312,25 @@ def q_route_topics(spark, sf_dir):
     write with a ``topic`` column sends); values decoded back for comparison."""
     msgs = routed_messages(_checked(spark, sf_dir))
     return decode_frame(msgs, "value", keep=("topic",)).select("topic", "txId", "status")
+
+
+_WORKFLOW_OUT = ["txId", "phase", "status", "retriedTimes", "round"]
+
+
+@register("workflow_retry", None, ("events",),
+          note="rounds to a fixpoint; checked by invariants and a Python model in tests")
+def q_workflow_retry(spark, sf_dir):
+    """The v1 feedback workflow over the whole ledger, run in rounds; the
+    completed topic (one final row per transfer)."""
+    from tributary.operators.workflow import workflow_retry
+    completed, _, _ = workflow_retry(read_ledger(spark, sf_dir))
+    return completed.select(*_WORKFLOW_OUT)
+
+
+@register("workflow_pending", None, ("events",),
+          note="rounds to a fixpoint; checked by invariants and a Python model in tests")
+def q_workflow_pending(spark, sf_dir):
+    """The v2 (pending list) feedback workflow over the whole ledger."""
+    from tributary.operators.workflow import workflow_pending
+    completed, _, _ = workflow_pending(read_ledger(spark, sf_dir))
+    return completed.select(*_WORKFLOW_OUT)
