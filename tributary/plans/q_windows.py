@@ -1 +1,118 @@
-"""Registered queries."""
+"""Registered window, union, join and coGroup queries (operators the modelled
+system describes in prose only; built here as user-level operators)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tributary.operators import joins, windows
+from tributary.plans.registry import register
+from tributary.sources.tables import read_events, read_table
+
+_AGG_SQL = "count(*) AS n, round(sum(value), 2) AS total"
+
+
+@register("tumbling_window", f"""
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+       time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+       event_type, {_AGG_SQL}
+FROM events GROUP BY 1, 2, 3
+""", ("events",))
+def q_tumbling_window(spark, sf_dir):
+    """Daily tumbling windows per event type."""
+    return windows.tumbling(read_events(spark, sf_dir), "ts", "1 day", ["event_type"], "value")
+
+
+@register("sliding_window", f"""
+WITH w AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, value FROM events
+  UNION ALL
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE, event_type, value FROM events)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type, {_AGG_SQL}
+FROM w GROUP BY 1, 2, 3
+""", ("events",))
+def q_sliding_window(spark, sf_dir):
+    """Sliding windows of 10 minutes every 5 minutes per event type."""
+    return windows.sliding(read_events(spark, sf_dir), "ts", "10 minutes", "5 minutes",
+                           ["event_type"], "value")
+
+
+@register("session_window", f"""
+WITH g AS (
+  SELECT user_id, ts, value,
+         CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 1 HOUR
+              THEN 1 ELSE 0 END AS new_session
+  FROM events),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end, {_AGG_SQL}
+FROM s GROUP BY user_id, sid
+""", ("events",))
+def q_session_window(spark, sf_dir):
+    """Per-user sessions that close after one hour without events."""
+    return windows.session(read_events(spark, sf_dir), "ts", "1 hour", ["user_id"], "value")
+
+
+@register("window_all", f"""
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+       time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, {_AGG_SQL}
+FROM events GROUP BY 1, 2
+""", ("events",))
+def q_window_all(spark, sf_dir):
+    """Non-keyed daily windows over all events."""
+    return windows.window_all(read_events(spark, sf_dir), "ts", "1 day", "value")
+
+
+@register("union_streams", """
+SELECT 'orders' AS src, o_orderkey AS orderkey, o_orderdate AS ts, o_totalprice AS amount FROM orders
+UNION ALL
+SELECT 'lineitem', l_orderkey, l_shipdate, l_extendedprice FROM lineitem
+""", ("orders", "lineitem"))
+def q_union_streams(spark, sf_dir):
+    """Union of two inputs with one schema (bag semantics, UNION ALL)."""
+    o = read_table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("src"), F.col("o_orderkey").alias("orderkey"),
+        F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("amount"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.lit("lineitem").alias("src"), F.col("l_orderkey").alias("orderkey"),
+        F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("amount"))
+    return o.unionByName(li)
+
+
+@register("join_streams", """
+SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, o.o_orderdate, l.l_shipdate, l.l_extendedprice
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+""", ("orders", "lineitem"))
+def q_join_streams(spark, sf_dir):
+    """Keyed inner join of two inputs (both large: shuffle join on the key)."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    o = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    return li.join(o, on="l_orderkey", how="inner").select(
+        "l_orderkey", "l_linenumber", "o_custkey", "o_orderdate", "l_shipdate", "l_extendedprice")
+
+
+@register("cogroup_counts", """
+WITH a AS (SELECT o_orderkey AS orderkey, count(*) AS n_orders FROM orders GROUP BY 1),
+b AS (SELECT l_orderkey AS orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
+SELECT coalesce(a.orderkey, b.orderkey) AS orderkey,
+       coalesce(a.n_orders, 0) AS n_orders, coalesce(b.n_lines, 0) AS n_lines
+FROM a FULL OUTER JOIN b ON a.orderkey = b.orderkey
+""", ("orders", "lineitem"))
+def q_cogroup_counts(spark, sf_dir):
+    """coGroup of orders and lineitems by order key, as per-key sizes."""
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"))
+    li = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"))
+    return joins.cogroup_counts(o, li, "orderkey", "n_orders", "n_lines")
+
+
+@register("delayed_echo", """
+SELECT event_id, event_type AS word, ts + INTERVAL 2 SECOND AS echo_at FROM events
+""", ("events",))
+def q_delayed_echo(spark, sf_dir):
+    """T5 (event time, bounded): each word (event type) echoed 2 s after it
+    arrived; the streaming form uses a timer per key (streaming.processors)."""
+    ev = read_events(spark, sf_dir)
+    return ev.select("event_id", F.col("event_type").alias("word"),
+                     (F.col("ts") + F.expr("INTERVAL 2 SECONDS")).alias("echo_at"))
