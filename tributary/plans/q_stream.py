@@ -1 +1,67 @@
-"""Registered queries."""
+"""Registered streaming queries: run as Structured Streaming over the table
+files (``availableNow``), checkpointed in the shared folder, and returned as
+their written result table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tributary.operators import joins
+from tributary.operators.debit import first_round_feed
+from tributary.plans import sql as Q
+from tributary.plans.q_state import LOOKUP_ACCOUNTS
+from tributary.plans.q_text import LOOKUP_WORDS
+from tributary.plans.registry import REGISTRY, register
+from tributary.session import scratch_path
+from tributary.sources.ledger import ledger_from_events
+from tributary.streaming import jobs
+
+
+@register("word_count_stream", REGISTRY["word_count"].sql, ("documents",))
+def q_word_count_stream(spark, sf_dir):
+    """A2 as a stream: running word counts (complete mode) over the documents files."""
+    lines = jobs.read_table_stream(spark, sf_dir, "documents").select("text")
+    return jobs.run_available(jobs.word_count_stream(lines), "complete", "word-count")
+
+
+@register("account_balance_stream", REGISTRY["account_balance"].sql, ("events",))
+def q_account_balance_stream(spark, sf_dir):
+    """A3 as a stream: running balance per account (complete mode)."""
+    ev = jobs.events_stream(spark, sf_dir)
+    return jobs.run_available(jobs.account_balance_stream(ev), "complete", "balance")
+
+
+@register("debit_check_stream", "WITH RECURSIVE " + Q.checked_debit_sql(Q.FIRST_ROUND)
+          + " SELECT txId, phase, account, status, amount FROM checked", ("events",))
+def q_debit_check_stream(spark, sf_dir):
+    """T2 as a stream: ``transformWithState`` keyed by acting account (value
+    state ``balance``); the external account is approved without state."""
+    tx = first_round_feed(ledger_from_events(jobs.events_stream(spark, sf_dir)))
+    out = jobs.run_available(jobs.checked_debit_stream(tx), "append", "debit")
+    return out.select("txId", "phase", "account", "status", "amount")
+
+
+@register("balance_state_lookup", REGISTRY["balance_lookup"].sql, ("events",))
+def q_balance_state_lookup(spark, sf_dir):
+    """Q2/Q3/Q5: run the balance stream, then look accounts up in its
+    checkpointed state (state reader), unknown account -> null."""
+    ckpt = scratch_path(spark, "balance-state")
+    jobs.run_available(jobs.account_balance_stream(jobs.events_stream(spark, sf_dir)),
+                       "complete", "balance-state", checkpoint=ckpt)
+    state = jobs.read_state(spark, ckpt).select(
+        F.col("key.account").alias("account"),
+        (F.col("value.sum").cast("double") / 100.0).alias("balance"))
+    keys = spark.createDataFrame([(a,) for a in LOOKUP_ACCOUNTS], "account string")
+    return joins.lookup(keys, state, "account").select("account", "balance")
+
+
+@register("word_state_lookup", REGISTRY["word_lookup"].sql, ("documents",))
+def q_word_state_lookup(spark, sf_dir):
+    """Q1: count of requested words read from the word-count stream's state."""
+    ckpt = scratch_path(spark, "word-state")
+    lines = jobs.read_table_stream(spark, sf_dir, "documents").select("text")
+    jobs.run_available(jobs.word_count_stream(lines), "complete", "word-state", checkpoint=ckpt)
+    state = jobs.read_state(spark, ckpt).select(F.col("key.word").alias("word"),
+                                                F.col("value.count").alias("cnt"))
+    keys = spark.createDataFrame([(w,) for w in LOOKUP_WORDS], "word string")
+    return joins.lookup(keys, state, "word").select("word", "cnt")

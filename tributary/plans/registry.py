@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.session import prepare
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -53,6 +55,7 @@ def register(name: str, sql: str | None, tables: tuple[str, ...], note: str = ""
             # Time buckets and NTZ<->TIMESTAMP casts are defined in UTC.
             if spark.conf.get("spark.sql.session.timeZone") != "UTC":
                 spark.conf.set("spark.sql.session.timeZone", "UTC")
+            prepare(spark)
             return normalize(fn(spark, sf_dir))
 
         build.__name__ = fn.__name__

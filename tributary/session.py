@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,7 +52,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -70,3 +71,38 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on executors (once per application).
+
+    Python workers unpickle operator functions and stateful processors by
+    module name, so the package is zipped into the shared checkpoint folder
+    and added with ``addPyFile`` (the same as ``--py-files`` at submit time).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(root)
+    target = scratch_path(spark, "pkg") + ".zip"
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder plus the package on executors; safe to call often."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark
