@@ -87,7 +87,7 @@ def keyed_feed(tx: DataFrame) -> DataFrame:
         (F.col("_prio") if "_prio" in cols else F.lit(0)).cast("int").alias("_prio"))
 
 
-def _unconditional(keyed: DataFrame, pending_design: bool) -> DataFrame:
+def _unconditional(keyed: DataFrame, pending_design: bool, emit_balance: bool = False) -> DataFrame:
     """Rows of ``external`` accounts: debits always pass, credits add, so the
     balance is a running sum (blocked, parallel) plus the carried balance."""
     st = F.col("status")
@@ -110,15 +110,24 @@ def _unconditional(keyed: DataFrame, pending_design: bool) -> DataFrame:
         # v2 drops every status it does not handle.
         rows = rows.where(F.col("_handled"))
     out = running_balance(rows, "account", "_d", "_run", as_cents=True)
-    return out.select(
+    result = out.select(
         *[F.col("_new_status").alias("status") if c == "status" else F.col(c)
           for c in _IN_SCHEMA.fieldNames()[:_PASS]],
         F.lit("out").alias("_kind"),
         (F.col("_run") + F.col("_init")).alias("_bal"))
+    if emit_balance:
+        closing = (keyed.select("account", F.when(F.col("_kind") == "balance", F.col("_c"))
+                                .otherwise(F.lit(0).cast("long")).alias("_b"))
+                   .unionByName(rows.select("account", F.col("_d").alias("_b")))
+                   .groupBy("account").agg(F.sum("_b").cast("long").alias("_bal")))
+        result = result.unionByName(closing.select(
+            "account", *[F.lit(None).cast(f.dataType).alias(f.name) for f in _IN_SCHEMA.fields[1:_PASS]],
+            F.lit("balance").alias("_kind"), "_bal"))
+    return result
 
 
 def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT_MS,
-              keep_pending: bool = False):
+              keep_pending: bool = False, emit_balance: bool = False):
     """Build the per-partition fold.
 
     Rows arrive sorted by (account, _prio, instant, seq, phase).  v1 rules
@@ -126,7 +135,9 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
     pending debit is cancelled once the account's next row is at or past its
     deadline (``max_wait_ms`` None = no deadline); at the end of an account's
     input the rest is cancelled, or, with ``keep_pending``, emitted as
-    ``_kind='pending'`` rows so a later round can carry them on.
+    ``_kind='pending'`` rows so a later round can carry them on.  With
+    ``emit_balance`` each account also ends with one ``_kind='balance'`` row
+    holding its closing balance.
     """
     names = _ARROW_OUT.names
 
@@ -148,6 +159,8 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                     emit(p, p[6], "pending")
                 else:
                     emit(p, S.CANCELLED_BALANCE_NOT_ENOUGH)
+            if emit_balance and current is not None:
+                emit((current,) + (None,) * (_PASS - 1), None, "balance")
 
         def flush():
             nonlocal out
@@ -233,13 +246,14 @@ def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None)
 
 
 def run_fold(tx: DataFrame, pending_design: bool, max_wait_ms: int | None = None,
-             keep_pending: bool = False, num_partitions: int | None = None) -> DataFrame:
+             keep_pending: bool = False, emit_balance: bool = False,
+             num_partitions: int | None = None) -> DataFrame:
     """Both paths of the plan; output has ``_kind`` and ``_bal`` (cents)."""
     keyed = keyed_feed(tx)
     hot = is_external(F.col("account"))
-    fold_fn = make_fold(pending_design, max_wait_ms, keep_pending)
+    fold_fn = make_fold(pending_design, max_wait_ms, keep_pending, emit_balance)
     plain = fold_accounts(keyed.where(~hot), fold_fn, num_partitions)
-    return plain.unionByName(_unconditional(keyed.where(hot), pending_design))
+    return plain.unionByName(_unconditional(keyed.where(hot), pending_design, emit_balance))
 
 
 def _public(folded: DataFrame) -> DataFrame:

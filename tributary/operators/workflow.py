@@ -12,9 +12,10 @@ account's pending list (v2).  On a bounded input the loop becomes rounds:
     -> DEBIT_SUCCESS: next round as credits;  FULFILLED / CANCELLED: completed
        v1 RETRY: next round with counter+1, or cancelled after 5 retries.
 
-Each round is materialised with ``DataFrame.checkpoint()`` (reliable, in the
-shared ``spark.checkpoint.dir``) so lineage stays one round long and a lost
-executor recomputes at most one round.  The driver loop only counts rows of
+Each round is written as a parquet table under the shared
+``spark.checkpoint.dir`` and read back (computed once, unlike an eager
+``checkpoint()`` of an uncached plan), so lineage stays one round long and a
+lost executor recomputes at most one round.  The driver loop only counts rows of
 the next round; no data passes through it.  v1 ends after at most seven
 rounds; v2 ends with the first round that credits nobody, and whatever is
 still pending is then cancelled.
@@ -22,21 +23,36 @@ still pending is then cancelled.
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary import schemas as S
 from tributary.operators.debit import run_fold
-from tributary.session import ensure_checkpoint_dir
+from tributary.session import ensure_checkpoint_dir, scratch_path
+
+_log = logging.getLogger(__name__)
 
 _TX_COLS = ["txId", "fromAccount", "toAccount", "amount", "instant", "status",
             "retriedTimes", "maxWaitTime", "seq", "phase"]
 # Inside a round an account applies credits before debits.
-_PRIO = F.when(F.col("status") == S.DEBIT_SUCCESS, F.lit(0)).otherwise(F.lit(1))
+def _prio():
+    return F.when(F.col("status") == S.DEBIT_SUCCESS, F.lit(0)).otherwise(F.lit(1))
+
+
+def _materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a round as a parquet table in the shared checkpoint folder and read
+    it back: computed once, lineage cut, and a lost executor cannot take it."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _balance_rows(balances: DataFrame) -> DataFrame:
-    """Carried balances as fold input rows (sorted first in their account)."""
+    """Closing balances of a round as the next round's input rows (sorted first
+    in their account)."""
     return balances.select(
         F.lit(None).cast("string").alias("txId"),
         F.col("account").alias("fromAccount"), F.col("account").alias("toAccount"),
@@ -48,21 +64,6 @@ def _balance_rows(balances: DataFrame) -> DataFrame:
         F.lit("balance").alias("_kind"), F.lit(-2).alias("_prio"))
 
 
-def _deltas(out: DataFrame) -> DataFrame:
-    """Net balance change per acting account in one round's output."""
-    c = F.round(F.col("amount") * 100).cast("long")
-    d = (F.when(F.col("status") == S.DEBIT_SUCCESS, -c)
-         .when(F.col("status") == S.FULFILLED, c).otherwise(F.lit(0).cast("long")))
-    return (out.where(F.col("_kind") == "out").groupBy("account")
-            .agg(F.sum(d).alias("_d")))
-
-
-def _merge_balances(balances: DataFrame, deltas: DataFrame) -> DataFrame:
-    return (balances.join(deltas, "account", "full_outer")
-            .select("account", (F.coalesce(F.col("_bal"), F.lit(0)) + F.coalesce(F.col("_d"), F.lit(0)))
-                    .cast("long").alias("_bal")))
-
-
 def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     """Run the rounds.  Returns ``(completed, balances, rounds)``.
 
@@ -72,7 +73,7 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     """
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
-    raw = tx.select(*_TX_COLS, F.lit("row").alias("_kind"), _PRIO.alias("_prio"))
+    raw = tx.select(*_TX_COLS, F.lit("row").alias("_kind"), _prio().alias("_prio"))
     balances = spark.createDataFrame([], "account string, _bal long")
     pending = None
     completed = []
@@ -81,11 +82,13 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
         feed = raw.unionByName(_balance_rows(balances))
         if pending is not None:
             feed = feed.unionByName(pending)
-        out = run_fold(feed, pending_design=pending_design, max_wait_ms=None,
-                       keep_pending=pending_design).checkpoint(eager=True)
+        _t0 = time.perf_counter()
+        out = _materialise(run_fold(feed, pending_design=pending_design, max_wait_ms=None,
+                                    keep_pending=pending_design, emit_balance=True), "round")
         rounds += 1
+        _log.debug("round %d materialised in %.2fs", rounds, time.perf_counter() - _t0)
         emitted = out.where(F.col("_kind") == "out")
-        balances = _merge_balances(balances, _deltas(out)).checkpoint(eager=True)
+        balances = out.where(F.col("_kind") == "balance").select("account", "_bal")
 
         credits = (emitted.where(F.col("status") == S.DEBIT_SUCCESS)
                    .withColumn("phase", F.col("phase") + 1))
@@ -103,8 +106,11 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
             done = done.unionByName(cancelled)
             nxt = credits.unionByName(again)
         completed.append(done.select(*_TX_COLS, F.lit(rounds - 1).alias("round")))
-        raw = nxt.select(*_TX_COLS, F.lit("row").alias("_kind"), _PRIO.alias("_prio"))
-        if raw.isEmpty() or rounds >= max_rounds:
+        raw = nxt.select(*_TX_COLS, F.lit("row").alias("_kind"), _prio().alias("_prio"))
+        _t0 = time.perf_counter()
+        finished = raw.isEmpty() or rounds >= max_rounds
+        _log.debug("round %d end check in %.2fs", rounds, time.perf_counter() - _t0)
+        if finished:
             break
     if pending_design and pending is not None:
         # Nothing will credit these any more: cancel what is still waiting.

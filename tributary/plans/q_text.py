@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tributary.functions.text import upper
 from tributary.operators import wordcount as wc
 from tributary.plans.registry import register
-from tributary.sources.tables import read_table
+from tributary.sources.tables import read_table, spread_for_cpu
 
 # Words asked for by the lookup queries (two frequent words and one that never
 # occurs, which must come back with a null count).
@@ -18,8 +18,8 @@ LOOKUP_WORDS = ("the", "and", "zzqxj")
 CONV_BLOCK = 64
 
 
-def _text_of(spark, sf_dir, table="documents"):
-    return read_table(spark, sf_dir, table)
+def _text_of(spark, sf_dir, table="documents", cols=("doc_id", "text")):
+    return spread_for_cpu(read_table(spark, sf_dir, table).select(*cols))
 
 
 @register("word_count", """
@@ -80,6 +80,6 @@ FROM w
 def q_word_count_running(spark, sf_dir):
     """Running word count, one updated row per word occurrence (A2),
     ordered by (conv_id, turn, pos)."""
-    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    conv = _text_of(spark, sf_dir, "conversations", ("conv_id", "turn", "text"))
     return wc.word_count_running(conv, ["conv_id", "turn"],
                                  block=F.floor(F.col("conv_id") / CONV_BLOCK))
