@@ -155,3 +155,18 @@ def test_json_round_trip_with_decimal_and_iso_instants(spark):
     micros_a = spark.createDataFrame([(out["a"].instant,)], "t timestamp").select(F.unix_micros("t")).first()[0]
     assert micros_a == 1622505600123456
     assert out["b"].retriedTimes == 1 and out["b"].maxWaitTime == 7
+
+
+def test_topic_round_trip_through_directory(spark, tmp_path):
+    from tributary.sinks.topics import routed_messages, text_messages, write_topics
+    from tributary.sources.topics import read_topic
+    tx = _tx(spark, [("a", "1", "2", 1, S.DEBIT_SUCCESS), ("b", "1", "2", 2, S.FULFILLED)])
+    base = str(tmp_path / "topics")
+    write_topics(routed_messages(tx, key=F.col("fromAccount")), base)
+    raw = read_topic(spark, S.TOPIC_RAW, base=base, stream=False).collect()
+    done = read_topic(spark, S.TOPIC_COMPLETED, base=base, stream=False).collect()
+    assert [r.txId for r in raw] == ["a"] and [r.txId for r in done] == ["b"]
+    assert raw[0].instant is not None
+    lines = spark.createDataFrame([("hello",)], "text string")
+    msg = text_messages(lines, F.upper(F.col("text"))).first()
+    assert msg.key == msg.value == "HELLO"

@@ -30,6 +30,22 @@ def routed_messages(tx: DataFrame, key: Column | None = None) -> DataFrame:
     return to_messages(framed, key=key, keep=("topic",))
 
 
+def text_messages(df: DataFrame, text: Column, topic: str | None = None) -> DataFrame:
+    """K2: string messages whose key and value are both the text."""
+    out = df.select(text.cast("string").alias("key"), text.cast("string").alias("value"))
+    return out.withColumn("topic", F.lit(topic)) if topic else out
+
+
+def print_rows(df: DataFrame, label: str | None = None, stream: bool | None = None, n: int = 20):
+    """K1: print rows, optionally prefixed with a label (console sink for a
+    stream, ``show`` of the first rows for a bounded frame)."""
+    framed = df.select(F.lit(label).alias("label"), "*") if label else df
+    if stream if stream is not None else df.isStreaming:
+        return framed.writeStream.format("console").option("truncate", "false").start()
+    framed.show(n, truncate=False)
+    return None
+
+
 def write_topics(messages: DataFrame, target: str, kafka_servers: str | None = None,
                  mode: str = "append") -> None:
     """Batch write of a message frame.  With ``kafka_servers`` it goes to Kafka
