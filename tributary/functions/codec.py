@@ -28,13 +28,21 @@ def instant_to_wire(ts: Column) -> Column:
 
 def decode(value: Column, schema: T.StructType = S.BANK_TX, mode: str = "FAILFAST") -> Column:
     """JSON text -> struct.  ``mode`` FAILFAST fails the job on a bad record
-    (the modelled behaviour); PERMISSIVE yields nulls for routing to a dead letter."""
-    if schema == S.BANK_TX:
-        parsed = F.from_json(value, S.BANK_TX_WIRE, {"mode": mode})
-        return F.struct(*[
-            (instant_from_wire(parsed["instant"]) if f.name == "instant" else parsed[f.name]).alias(f.name)
-            for f in S.BANK_TX.fields])
-    return F.from_json(value, schema, {"mode": mode})
+    (the modelled behaviour); PERMISSIVE yields nulls for routing to a dead letter.
+    A timestamp field named ``instant`` is read in its wire form (decimal
+    epoch seconds or ISO text)."""
+    if isinstance(schema, str):
+        return F.from_json(value, schema, {"mode": mode})
+    names = schema.fieldNames()
+    has_instant = "instant" in names and isinstance(schema["instant"].dataType, T.TimestampType)
+    if not has_instant:
+        return F.from_json(value, schema, {"mode": mode})
+    wire = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "instant" else f
+                         for f in schema.fields])
+    parsed = F.from_json(value, wire, {"mode": mode})
+    return F.struct(*[
+        (instant_from_wire(parsed["instant"]) if f.name == "instant" else parsed[f.name]).alias(f.name)
+        for f in schema.fields])
 
 
 def decode_frame(df: DataFrame, value_col: str = "value", schema: T.StructType = S.BANK_TX,

@@ -196,7 +196,7 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                             emit(row, S.DEBIT_SUCCESS)
                         else:
                             row[6] = S.RETRY_BALANCE_NOT_ENOUGH
-                            row[8] = now_ms + (max_wait_ms or 0)
+                            row[8] = 0 if max_wait_ms is None else now_ms + max_wait_ms
                             pending.append(row)
                     elif st == S.DEBIT_SUCCESS:
                         bal += c

@@ -46,11 +46,16 @@ _PENDING_SCHEMA = ("txId string, fromAccount string, toAccount string, amount do
                    "instant_us long, retriedTimes int, seq long, phase int, cents long, deadline_ms long")
 
 
-def _ordered(rows) -> pd.DataFrame:
+def _ordered(rows, credits_first: bool = False) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
     if not frames:
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(list(S.ORDER), kind="stable")
+    pdf = pd.concat(frames, ignore_index=True)
+    if credits_first:
+        # workflow mode: inside one micro-batch (one round) credits go first
+        pdf["_prio"] = (pdf["status"] != S.DEBIT_SUCCESS).astype(int)
+        return pdf.sort_values(["_prio", *S.ORDER], kind="stable").drop(columns="_prio")
+    return pdf.sort_values(list(S.ORDER), kind="stable")
 
 
 def _frame(records: list[dict]) -> pd.DataFrame:
@@ -67,11 +72,14 @@ def _is_external(name) -> bool:
 class CheckedDebitProcessor(StatefulProcessor):
     """T2 keyed by acting account: value state ``balance`` (cents), no timers."""
 
+    def __init__(self, credits_first: bool = False):
+        self.credits_first = credits_first
+
     def init(self, handle) -> None:
         self.balance = handle.getValueState("balance", "cents long")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _ordered(rows)
+        pdf = _ordered(rows, self.credits_first)
         if pdf.empty:
             return
         bal = self.balance.get()[0] if self.balance.exists() else 0
@@ -102,11 +110,13 @@ class PendingDebitProcessor(StatefulProcessor):
     one timer per pending debit at its deadline (event or processing time).
     A timer that fires up to ``slack_ms`` early still cancels."""
 
-    def __init__(self, max_wait_ms: int = S.PENDING_MAX_WAIT_MS,
-                 slack_ms: int = S.PENDING_TIMER_SLACK_MS, event_time: bool = True):
-        self.max_wait_ms = max_wait_ms
+    def __init__(self, max_wait_ms: int | None = S.PENDING_MAX_WAIT_MS,
+                 slack_ms: int = S.PENDING_TIMER_SLACK_MS, event_time: bool = True,
+                 credits_first: bool = False):
+        self.max_wait_ms = max_wait_ms   # None: wait without a deadline (no timers)
         self.slack_ms = slack_ms
         self.event_time = event_time
+        self.credits_first = credits_first
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -116,11 +126,11 @@ class PendingDebitProcessor(StatefulProcessor):
     def _emit(self, key, p, status, bal):
         return {"account": key, "txId": p[0], "fromAccount": p[1], "toAccount": p[2], "amount": p[3],
                 "instant": pd.Timestamp(p[4], unit="us", tz="UTC"), "status": status,
-                "retriedTimes": p[5], "maxWaitTime": p[9], "seq": p[6], "phase": p[7],
+                "retriedTimes": p[5], "maxWaitTime": p[9] if p[9] is not None else 0, "seq": p[6], "phase": p[7],
                 "balance_after": bal / 100.0}
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _ordered(rows)
+        pdf = _ordered(rows, self.credits_first)
         if pdf.empty:
             return
         account = key[0]
@@ -138,10 +148,11 @@ class PendingDebitProcessor(StatefulProcessor):
                     out.append(rec)
                 else:
                     base = us // 1000 if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-                    deadline = base + self.max_wait_ms
+                    deadline = None if self.max_wait_ms is None else base + self.max_wait_ms
                     pending.append((r.txId, r.fromAccount, r.toAccount, float(r.amount), us,
                                     int(r.retriedTimes), int(r.seq), int(r.phase), c, deadline))
-                    self.handle.registerTimer(deadline)
+                    if deadline is not None:
+                        self.handle.registerTimer(deadline)
             elif st == S.DEBIT_SUCCESS:
                 bal += c
                 rec = r._asdict()
@@ -169,7 +180,7 @@ class PendingDebitProcessor(StatefulProcessor):
         pending = list(self.pending.get()) if self.pending.exists() else []
         out, kept = [], []
         for p in pending:
-            if fired + self.slack_ms >= p[9]:
+            if p[9] is not None and fired + self.slack_ms >= p[9]:
                 out.append(self._emit(key[0], p, S.CANCELLED_BALANCE_NOT_ENOUGH, bal))
             else:
                 kept.append(p)
