@@ -21,28 +21,37 @@ from tributary.operators.running import blocked_running_sum, time_block
 BLOCK_SECONDS = 3600
 
 
+LEG_FIELDS = ("txId", "account", "amount", "instant", "status", "retriedTimes", "seq", "phase")
+
+
 def split_legs(tx: DataFrame, debit_status: str | None = None,
-               credit_status: str | None = None) -> DataFrame:
+               credit_status: str | None = None, fields: tuple = LEG_FIELDS) -> DataFrame:
     """Two legs per transfer: payer ``-amount`` (phase 0), payee ``+amount`` (phase 1).
 
     Leg statuses default to the transfer's status; J2 passes DEBIT_SUCCESS /
-    FULFILLED to mark what each side did.
+    FULFILLED to mark what each side did.  ``fields`` limits the leg columns
+    (the scan then reads only what they need; pruning does not see through
+    the generated array).
     """
     d_status = F.lit(debit_status) if debit_status else F.col("status")
     c_status = F.lit(credit_status) if credit_status else F.col("status")
-    legs = F.array(
-        F.struct(F.col("txId").alias("txId"), F.col("fromAccount").alias("account"),
-                 (-F.col("amount")).alias("amount"), F.col("instant").alias("instant"),
-                 d_status.alias("status"), F.col("retriedTimes").alias("retriedTimes"),
-                 F.col("seq").alias("seq"), F.lit(0).alias("phase")),
-        F.struct(F.col("txId").alias("txId"), F.col("toAccount").alias("account"),
-                 F.col("amount").alias("amount"), F.col("instant").alias("instant"),
-                 c_status.alias("status"), F.col("retriedTimes").alias("retriedTimes"),
-                 F.col("seq").alias("seq"), F.lit(1).alias("phase")),
+    sides = (
+        {"txId": F.col("txId"), "account": F.col("fromAccount"), "amount": -F.col("amount"),
+         "instant": F.col("instant"), "status": d_status, "retriedTimes": F.col("retriedTimes"),
+         "seq": F.col("seq"), "phase": F.lit(0)},
+        {"txId": F.col("txId"), "account": F.col("toAccount"), "amount": F.col("amount"),
+         "instant": F.col("instant"), "status": c_status, "retriedTimes": F.col("retriedTimes"),
+         "seq": F.col("seq"), "phase": F.lit(1)},
     )
+    legs = F.array(*[F.struct(*[side[f].alias(f) for f in fields]) for side in sides])
     return tx.select(F.inline(legs))
 
 
+def account_balance_of(tx: DataFrame) -> DataFrame:
+    """Balance per account of a transfer frame, reading only parties and amount."""
+    return account_balance(split_legs(tx, fields=("account", "amount")))
+
+
 def account_balance(legs: DataFrame) -> DataFrame:
     """``(account, balance)``: sum of signed legs (partial aggregation before the shuffle)."""
     return (legs.groupBy("account").agg(F.sum(cents(F.col("amount"))).alias("_c"))

@@ -38,7 +38,7 @@ SELECT account, {Q.from_cents('sum(' + Q.cents('amount') + ')')} AS balance FROM
 """, ("events",))
 def q_account_balance(spark, sf_dir):
     """A3: balance per account = sum of its signed legs."""
-    return legs.account_balance(legs.split_legs(read_ledger(spark, sf_dir)))
+    return legs.account_balance_of(read_ledger(spark, sf_dir))
 
 
 @register("gen_chain_legs", """

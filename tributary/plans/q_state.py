@@ -50,7 +50,7 @@ def q_broadcast_enrich(spark, sf_dir):
     """J3 (re-aimed): every account leg with the latest state of its transfer.
     The state map has one row per txId and so grows with the data: it is
     joined by shuffle unless AQE finds it small at run time."""
-    lg = legs.split_legs(read_ledger(spark, sf_dir)).select("txId", "account", "amount", "phase")
+    lg = legs.split_legs(read_ledger(spark, sf_dir), fields=("txId", "account", "amount", "phase"))
     state = _latest(spark, sf_dir).withColumnRenamed("status", "tx_status")
     return joins.enrich(lg, state, "txId").select("txId", "account", "amount", "phase", "tx_status")
 
@@ -78,7 +78,7 @@ bal AS (SELECT account, {Q.from_cents('sum(' + Q.cents('amount') + ')')} AS bala
 
 
 def _balances(spark, sf_dir):
-    return legs.account_balance(legs.split_legs(read_ledger(spark, sf_dir)))
+    return legs.account_balance_of(read_ledger(spark, sf_dir))
 
 
 @register("balance_lookup", "WITH " + _BAL_SQL + f""",

@@ -74,8 +74,8 @@ def word_count_stream(lines: DataFrame) -> DataFrame:
 
 def account_balance_stream(events: DataFrame) -> DataFrame:
     """A3 as a stream: running balance per account from the legs of each transfer."""
-    from tributary.operators.legs import account_balance, split_legs
-    return account_balance(split_legs(ledger_from_events(events)))
+    from tributary.operators.legs import account_balance_of
+    return account_balance_of(ledger_from_events(events))
 
 
 _TX_IN = ["account", "txId", "fromAccount", "toAccount", "amount", "instant", "status",
