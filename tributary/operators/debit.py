@@ -21,7 +21,6 @@ T3 (pending entries expire after ``max_wait``).  Money is integer cents.
 from __future__ import annotations
 
 import collections
-import datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -87,39 +86,37 @@ def keyed_feed(tx: DataFrame) -> DataFrame:
         (F.col("_prio") if "_prio" in cols else F.lit(0)).cast("int").alias("_prio"))
 
 
-def _unconditional(keyed: DataFrame, pending_design: bool, emit_balance: bool = False) -> DataFrame:
+def _unconditional(keyed: DataFrame, pending_design: bool, emit_balance: bool = False,
+                   running: bool = True) -> DataFrame:
     """Rows of ``external`` accounts: debits always pass, credits add, so the
-    balance is a running sum (blocked, parallel) plus the carried balance."""
-    st = F.col("status")
+    balance is a running sum (blocked, parallel) plus the carried balance.
+    ``running=False`` skips the per-row balance (``_bal`` null)."""
+    st, kind, c = F.col("status"), F.col("_kind"), F.col("_c")
     debit = st == S.CREATED if pending_design else st.isin(S.CREATED, S.RETRY_BALANCE_NOT_ENOUGH)
-    init = (keyed.where(F.col("_kind") == "balance")
-            .groupBy("account").agg(F.sum("_c").alias("_carried")))
-    # Only accounts named external take this path: a few case variants at
-    # most, so the carried balances are a provably tiny broadcast.
-    keyed = keyed.join(F.broadcast(init), "account", "left").withColumn(
-        "_init", F.coalesce(F.col("_init"), F.col("_carried"))).drop("_carried")
-    rows = keyed.where(F.col("_kind") == "row").select(
-        *_IN_SCHEMA.fieldNames()[:_PASS],
-        F.when(debit, F.lit(S.DEBIT_SUCCESS)).when(st == S.DEBIT_SUCCESS, F.lit(S.FULFILLED))
-         .otherwise(st).alias("_new_status"),
-        F.when(debit, -F.col("_c")).when(st == S.DEBIT_SUCCESS, F.col("_c"))
-         .otherwise(F.lit(0).cast("long")).alias("_d"),
-        F.coalesce(F.col("_init"), F.lit(0).cast("long")).alias("_init"),
-        (debit | (st == S.DEBIT_SUCCESS)).alias("_handled"))
-    if pending_design:
-        # v2 drops every status it does not handle.
-        rows = rows.where(F.col("_handled"))
-    out = running_balance(rows, "account", "_d", "_run", as_cents=True)
-    result = out.select(
-        *[F.col("_new_status").alias("status") if c == "status" else F.col(c)
-          for c in _IN_SCHEMA.fieldNames()[:_PASS]],
-        F.lit("out").alias("_kind"),
-        (F.col("_run") + F.col("_init")).alias("_bal"))
+    credit = st == S.DEBIT_SUCCESS
+    delta = F.when(debit, -c).when(credit, c).otherwise(F.lit(0).cast("long"))
+    new_status = (F.when(debit, F.lit(S.DEBIT_SUCCESS)).when(credit, F.lit(S.FULFILLED))
+                  .otherwise(st).alias("status"))
+    keep = (kind == "row") & (debit | credit) if pending_design else (kind == "row")  # v2 drops the rest
+    passing = [new_status if f == "status" else F.col(f) for f in _IN_SCHEMA.fieldNames()[:_PASS]]
+    if running:
+        # Only accounts named external take this path: a few case variants at
+        # most, so their carried balances are a provably tiny broadcast.
+        init = (keyed.where(kind == "balance").groupBy("account")
+                .agg(F.sum("_c").alias("_carried")))
+        rows = (keyed.where(keep).join(F.broadcast(init), "account", "left")
+                .select(*passing, delta.alias("_d"),
+                        F.coalesce(F.col("_init"), F.col("_carried"), F.lit(0).cast("long")).alias("_i")))
+        out = running_balance(rows, "account", "_d", "_run", as_cents=True)
+        result = out.select(*_IN_SCHEMA.fieldNames()[:_PASS], F.lit("out").alias("_kind"),
+                            (F.col("_run") + F.col("_i")).alias("_bal"))
+    else:
+        result = keyed.where(keep).select(*passing, F.lit("out").alias("_kind"),
+                                          F.lit(None).cast("long").alias("_bal"))
     if emit_balance:
-        closing = (keyed.select("account", F.when(F.col("_kind") == "balance", F.col("_c"))
-                                .otherwise(F.lit(0).cast("long")).alias("_b"))
-                   .unionByName(rows.select("account", F.col("_d").alias("_b")))
-                   .groupBy("account").agg(F.sum("_b").cast("long").alias("_bal")))
+        closing = (keyed.groupBy("account")
+                   .agg(F.sum(F.when(kind == "balance", c).when(keep, delta)
+                              .otherwise(F.lit(0).cast("long"))).alias("_bal")))
         result = result.unionByName(closing.select(
             "account", *[F.lit(None).cast(f.dataType).alias(f.name) for f in _IN_SCHEMA.fields[1:_PASS]],
             F.lit("balance").alias("_kind"), "_bal"))
@@ -139,34 +136,30 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
     ``emit_balance`` each account also ends with one ``_kind='balance'`` row
     holding its closing balance.
     """
-    names = _ARROW_OUT.names
+    types = [f.type for f in _ARROW_OUT]
+    instant_type = _ARROW_OUT.field("instant").type
 
     def fold(batches):
-        out = {n: [] for n in names}
+        out = []                       # emitted rows: first 11 fields + kind + balance
         current, bal, pending = None, 0, collections.deque()
 
-        def emit(row, status, kind="out"):
-            for j in range(_PASS):
-                out[names[j]].append(status if j == 6 else row[j])
-            out["_kind"].append(kind)
-            out["_bal"].append(bal)
-
         def close_account():
             nonlocal pending
             while pending:
                 p = pending.popleft()
                 if keep_pending:
-                    emit(p, p[6], "pending")
+                    out.append((*p[:_PASS], "pending", bal))
                 else:
-                    emit(p, S.CANCELLED_BALANCE_NOT_ENOUGH)
+                    out.append((*p[:6], S.CANCELLED_BALANCE_NOT_ENOUGH, *p[7:_PASS], "out", bal))
             if emit_balance and current is not None:
-                emit((current,) + (None,) * (_PASS - 1), None, "balance")
+                out.append((current,) + (None,) * (_PASS - 1) + ("balance", bal))
 
         def flush():
-            nonlocal out
-            batch = pa.RecordBatch.from_pydict(out, schema=_ARROW_OUT)
-            out = {n: [] for n in names}
-            return batch
+            cols = list(zip(*out))
+            arrays = [pa.array(c, type=instant_type if j == 5 else types[j])
+                      for j, c in enumerate(cols)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_OUT)
 
         for batch in batches:
             cols = [batch.column(j).to_pylist() for j in range(batch.num_columns)]
@@ -180,32 +173,30 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                     # carried balance of the account (sorts first): seed and emit nothing
                     bal = c
                     continue
-                row = list(row)
-                us = row[5]
-                row[5] = _ts(us)
                 if pending_design:
-                    now_ms = us // 1000
+                    now_ms = row[5] // 1000
                     if max_wait_ms is not None:
                         while pending and pending[0][8] <= now_ms:
-                            emit(pending.popleft(), S.CANCELLED_BALANCE_NOT_ENOUGH)
+                            p = pending.popleft()
+                            out.append((*p[:6], S.CANCELLED_BALANCE_NOT_ENOUGH, *p[7:_PASS], "out", bal))
                     if row[13] == "pending":
                         pending.append(row)
                     elif st == S.CREATED:
                         if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
                             bal -= c
-                            emit(row, S.DEBIT_SUCCESS)
+                            out.append((*row[:6], S.DEBIT_SUCCESS, *row[7:_PASS], "out", bal))
                         else:
-                            row[6] = S.RETRY_BALANCE_NOT_ENOUGH
-                            row[8] = 0 if max_wait_ms is None else now_ms + max_wait_ms
-                            pending.append(row)
+                            deadline = 0 if max_wait_ms is None else now_ms + max_wait_ms
+                            pending.append((*row[:6], S.RETRY_BALANCE_NOT_ENOUGH, row[7], deadline,
+                                            *row[9:]))
                     elif st == S.DEBIT_SUCCESS:
                         bal += c
-                        emit(row, S.FULFILLED)
+                        out.append((*row[:6], S.FULFILLED, *row[7:_PASS], "out", bal))
                         kept = collections.deque()
                         for p in pending:
                             if p[11] <= bal:
                                 bal -= p[11]
-                                emit(p, S.DEBIT_SUCCESS)
+                                out.append((*p[:6], S.DEBIT_SUCCESS, *p[7:_PASS], "out", bal))
                             else:
                                 kept.append(p)
                         pending = kept
@@ -220,23 +211,16 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                     elif st == S.DEBIT_SUCCESS:
                         bal += c
                         st = S.FULFILLED
-                    emit(row, st)
-            if out["_bal"]:
+                    out.append((*row[:6], st, *row[7:_PASS], "out", bal))
+            if out:
                 yield flush()
         close_account()
-        if out["_bal"]:
+        if out:
             yield flush()
 
     return fold
 
 
-_EPOCH = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
-
-
-def _ts(us):
-    return None if us is None else _EPOCH + datetime.timedelta(microseconds=us)
-
-
 def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None) -> DataFrame:
     """Hash-partition by account, sort inside partitions, run the fold."""
     parts = int(num_partitions or keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -247,13 +231,17 @@ def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None)
 
 def run_fold(tx: DataFrame, pending_design: bool, max_wait_ms: int | None = None,
              keep_pending: bool = False, emit_balance: bool = False,
-             num_partitions: int | None = None) -> DataFrame:
-    """Both paths of the plan; output has ``_kind`` and ``_bal`` (cents)."""
+             num_partitions: int | None = None, external_running: bool = True) -> DataFrame:
+    """Both paths of the plan; output has ``_kind`` and ``_bal`` (cents).
+    With ``external_running=False`` rows of external accounts get no per-row
+    balance (``_bal`` null); their closing balance still comes out with
+    ``emit_balance``."""
     keyed = keyed_feed(tx)
     hot = is_external(F.col("account"))
     fold_fn = make_fold(pending_design, max_wait_ms, keep_pending, emit_balance)
     plain = fold_accounts(keyed.where(~hot), fold_fn, num_partitions)
-    return plain.unionByName(_unconditional(keyed.where(hot), pending_design, emit_balance))
+    return plain.unionByName(_unconditional(keyed.where(hot), pending_design, emit_balance,
+                                            running=external_running))
 
 
 def _public(folded: DataFrame) -> DataFrame:

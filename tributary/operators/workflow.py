@@ -84,7 +84,8 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
             feed = feed.unionByName(pending)
         _t0 = time.perf_counter()
         out = _materialise(run_fold(feed, pending_design=pending_design, max_wait_ms=None,
-                                    keep_pending=pending_design, emit_balance=True), "round")
+                                    keep_pending=pending_design, emit_balance=True,
+                                    external_running=False), "round")
         rounds += 1
         _log.debug("round %d materialised in %.2fs", rounds, time.perf_counter() - _t0)
         emitted = out.where(F.col("_kind") == "out")

@@ -29,9 +29,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Python workers talk to the JVM over a socket file, not a TCP port.
     "spark.python.unix.domain.socket.enabled": "true",
-    # transformWithState needs the RocksDB state store.
+    # transformWithState needs the RocksDB state store; commits write a
+    # changelog instead of a full snapshot per batch.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -47,6 +49,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM
+        conf["spark.driver.memory"] = "12g"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import types as T
@@ -70,7 +71,11 @@ def _is_external(name) -> bool:
 
 
 class CheckedDebitProcessor(StatefulProcessor):
-    """T2 keyed by acting account: value state ``balance`` (cents), no timers."""
+    """T2 keyed by acting account: value state ``balance`` (cents), no timers.
+
+    The key's rows are sorted with numpy and the input frame is passed through
+    with ``status`` and ``balance_after`` replaced (no per-row frame building).
+    """
 
     def __init__(self, credits_first: bool = False):
         self.credits_first = credits_first
@@ -79,15 +84,23 @@ class CheckedDebitProcessor(StatefulProcessor):
         self.balance = handle.getValueState("balance", "cents long")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _ordered(rows, self.credits_first)
-        if pdf.empty:
+        frames = [f for f in rows if len(f)]
+        if not frames:
             return
-        bal = self.balance.get()[0] if self.balance.exists() else 0
-        out = []
-        for r in pdf.itertuples(index=False):
-            st, c = r.status, int(round(r.amount * 100))
-            if st in (S.CREATED, S.RETRY_BALANCE_NOT_ENOUGH):
-                if _is_external(r.fromAccount) or bal - c >= 0:
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        sort_keys = [pdf["phase"].to_numpy(), pdf["seq"].to_numpy(), pdf["instant"].to_numpy()]
+        if self.credits_first:
+            sort_keys.append((pdf["status"].to_numpy() != S.DEBIT_SUCCESS).astype(np.int8))
+        pdf = pdf.iloc[np.lexsort(sort_keys)]
+        state = self.balance.get()
+        bal = state[0] if state else 0
+        statuses = pdf["status"].tolist()
+        cents = np.rint(pdf["amount"].to_numpy() * 100).astype(np.int64).tolist()
+        payers = pdf["fromAccount"].tolist()
+        new_status, balances = [], []
+        for st, c, frm in zip(statuses, cents, payers):
+            if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
+                if _is_external(frm) or bal - c >= 0:
                     bal -= c
                     st = S.DEBIT_SUCCESS
                 else:
@@ -95,11 +108,11 @@ class CheckedDebitProcessor(StatefulProcessor):
             elif st == S.DEBIT_SUCCESS:
                 bal += c
                 st = S.FULFILLED
-            rec = r._asdict()
-            rec.update(status=st, balance_after=bal / 100.0)
-            out.append(rec)
+            new_status.append(st)
+            balances.append(bal)
         self.balance.update((bal,))
-        yield _frame(out)
+        yield pdf.assign(status=new_status,
+                         balance_after=np.asarray(balances, dtype=np.float64) / 100.0)[_TX_FIELDS]
 
     def close(self) -> None:
         pass
