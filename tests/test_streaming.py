@@ -167,3 +167,29 @@ def test_topic_workflows_equal_bounded_rounds(spark):
             assert {g for g in want - got if g[1] != S.CANCELLED_BALANCE_NOT_ENOUGH} == set()
         else:
             assert got == want
+
+
+def test_transfer_state_lookup_by_state_name(spark):
+    """Q3: balances read by state name from the checked-debit stream's checkpoint."""
+    ckpt = scratch_path(spark, "t2-state")
+    tx = debit.first_round_feed(ledger_from_events(jobs.events_stream(spark, SF_SMALL)))
+    jobs.run_available(jobs.checked_debit_stream(tx), "append", "t2-state", checkpoint=ckpt)
+    state = jobs.read_state(spark, ckpt, state_var="balance")
+    got = {r.key.account: r.value.cents for r in state.collect()}
+    batch = debit.checked_debit(debit.first_round_feed(read_ledger(spark, SF_SMALL)))
+    last = (batch.where(F.lower("account") != "external")
+            .groupBy("account").agg(F.max_by("balance_after", F.struct("instant", "seq", "phase")).alias("b")))
+    want = {r.account: int(round(r.b * 100)) for r in last.collect()}
+    assert got == want
+
+
+def test_text_line_stream_word_count(spark):
+    """S2 + A2: a folder of text lines as a stream, running word counts."""
+    from tests.test_fixtures import VERSE
+    from tributary.sources.topics import read_lines
+    src = _dir()
+    with open(os.path.join(src, "lines.txt"), "w") as fh:
+        fh.write("\n".join(VERSE) + "\n")
+    lines = read_lines(spark, path=src).withColumnRenamed("value", "text")
+    counts = {r.word: r.cnt for r in jobs.run_available(jobs.word_count_stream(lines), "complete", "lines").collect()}
+    assert counts["to"] == 4 and len(counts) == 26

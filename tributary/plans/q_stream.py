@@ -65,3 +65,36 @@ def q_word_state_lookup(spark, sf_dir):
                                                 F.col("value.count").alias("cnt"))
     keys = spark.createDataFrame([(w,) for w in LOOKUP_WORDS], "word string")
     return joins.lookup(keys, state, "word").select("word", "cnt")
+
+
+@register("tumbling_window_stream", REGISTRY["tumbling_window"].sql, ("events",))
+def q_tumbling_window_stream(spark, sf_dir):
+    """W1 + W4 as a stream: daily windows per event type with a one-hour
+    watermark (complete mode keeps every window for comparison)."""
+    ev = jobs.events_stream(spark, sf_dir)
+    return jobs.run_available(jobs.windowed_counts_stream(ev, "1 day", ["event_type"], "value", "1 hour"),
+                              "complete", "windows")
+
+
+_WITHIN_DAYS = 90
+
+
+@register("interval_join_stream", f"""
+SELECT o.o_orderkey AS orderkey, l.l_linenumber, o.o_custkey, o.o_orderdate, l.l_shipdate, l.l_extendedprice
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+ AND l.l_shipdate >= o.o_orderdate AND l.l_shipdate <= o.o_orderdate + INTERVAL {_WITHIN_DAYS} DAY
+""", ("orders", "lineitem"))
+def q_interval_join_stream(spark, sf_dir):
+    """U2 as a stream-stream join: each order with its lineitems shipped within
+    90 days of the order date, watermarks on both sides."""
+    o = (jobs.read_table_stream(spark, sf_dir, "orders")
+         .select(F.col("o_orderkey").alias("orderkey"), "o_custkey",
+                 F.col("o_orderdate").cast("timestamp").alias("o_orderdate")))
+    li = (jobs.read_table_stream(spark, sf_dir, "lineitem")
+          .select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"),
+                  "l_extendedprice"))
+    joined = jobs.interval_join_stream(o, li, "orderkey", "l_orderkey", "o_orderdate", "l_shipdate",
+                                       f"{_WITHIN_DAYS} DAYS", "3650 days")
+    out = jobs.run_available(joined.select("orderkey", "l_linenumber", "o_custkey", "o_orderdate",
+                                           "l_shipdate", "l_extendedprice"), "append", "interval-join")
+    return out

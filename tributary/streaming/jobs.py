@@ -142,3 +142,22 @@ def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = Non
     if operator_id is not None:
         reader = reader.option("operatorId", operator_id)
     return reader.load(checkpoint)
+
+
+def windowed_counts_stream(events: DataFrame, size: str, keys: list[str], value_col: str,
+                           watermark: str) -> DataFrame:
+    """W1/W4 on a stream: tumbling windows with a watermark bounding the state."""
+    from tributary.operators.windows import tumbling
+    return tumbling(events.withWatermark("ts", watermark), "ts", size, keys, value_col)
+
+
+def interval_join_stream(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
+                         ts_l: str, ts_r: str, within: str, watermark: str) -> DataFrame:
+    """U2 on two streams: equi-join plus a time bound (right time in
+    [left time, left time + within]); watermarks on both sides let the state
+    of old rows be dropped."""
+    lw = left.withWatermark(ts_l, watermark)
+    rw = right.withWatermark(ts_r, watermark)
+    cond = ((lw[key_l] == rw[key_r]) & (rw[ts_r] >= lw[ts_l])
+            & (rw[ts_r] <= lw[ts_l] + F.expr(f"INTERVAL {within}")))
+    return lw.join(rw, cond, "inner")
