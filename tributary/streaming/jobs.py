@@ -28,6 +28,19 @@ from tributary.sources.tables import read_table, table_path
 from tributary.streaming import processors as P
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """transformWithState keeps several state variables per key, which needs the
+    RocksDB state store.  The provider is recorded per query in its checkpoint,
+    so switching the session default does not affect existing queries."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A driver table as a file stream (schema taken from the file, never inferred per batch)."""
     schema = read_table(spark, sf_dir, name).schema
@@ -91,6 +104,7 @@ def checked_debit_stream(tx: DataFrame) -> DataFrame:
     """T2 on a stream.  ``external`` rows are approved by predicate without
     state (they are the hot key); all other accounts go through
     ``CheckedDebitProcessor`` keyed by the acting account."""
+    use_rocksdb(tx.sparkSession)
     keyed = _keyed(tx)
     hot = is_external(F.col("account"))
     st = F.col("status")
@@ -107,6 +121,7 @@ def checked_debit_stream(tx: DataFrame) -> DataFrame:
 def pending_debit_stream(tx: DataFrame, max_wait_ms: int = S.PENDING_MAX_WAIT_MS,
                          watermark: str = "0 seconds") -> DataFrame:
     """T3 on a stream in event time: timers fire as the watermark passes deadlines."""
+    use_rocksdb(tx.sparkSession)
     keyed = _keyed(tx).withWatermark("instant", watermark)
     return (keyed.groupBy("account")
             .transformWithStateInPandas(P.PendingDebitProcessor(max_wait_ms=max_wait_ms, event_time=True),
@@ -115,6 +130,7 @@ def pending_debit_stream(tx: DataFrame, max_wait_ms: int = S.PENDING_MAX_WAIT_MS
 
 def wait_retry_stream(tx: DataFrame, watermark: str = "0 seconds") -> DataFrame:
     """T4 on a stream in event time, keyed by txId."""
+    use_rocksdb(tx.sparkSession)
     return (tx.withWatermark("instant", watermark).groupBy("txId")
             .transformWithStateInPandas(P.WaitRetryProcessor(event_time=True), P.RETRY_OUT,
                                         "append", "EventTime"))
@@ -122,6 +138,7 @@ def wait_retry_stream(tx: DataFrame, watermark: str = "0 seconds") -> DataFrame:
 
 def delayed_echo_stream(words: DataFrame, ts_col: str = "ts", watermark: str = "0 seconds") -> DataFrame:
     """T5 on a stream in event time, keyed by the word."""
+    use_rocksdb(words.sparkSession)
     return (words.withWatermark(ts_col, watermark).groupBy("word")
             .transformWithStateInPandas(P.DelayedEchoProcessor(event_time=True, ts_col=ts_col),
                                         P.ECHO_OUT, "append", "EventTime"))
@@ -129,6 +146,7 @@ def delayed_echo_stream(words: DataFrame, ts_col: str = "ts", watermark: str = "
 
 def control_block_stream(tagged: DataFrame) -> DataFrame:
     """J1 on a stream: ``tagged`` has (key, tag 'control'|'data', value, seq)."""
+    use_rocksdb(tagged.sparkSession)
     return (tagged.groupBy("key")
             .transformWithStateInPandas(P.ControlBlockProcessor(), P.BLOCK_OUT, "append", "None"))
 

@@ -68,6 +68,7 @@ def seed(tx: DataFrame, base: str) -> None:
 
 
 def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str):
+    jobs.use_rocksdb(spark)
     raw = _read(spark, base, S.TOPIC_RAW)
     if pending_design:
         from tributary.streaming.processors import PendingDebitProcessor
