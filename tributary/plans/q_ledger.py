@@ -125,12 +125,15 @@ def q_debit_pending(spark, sf_dir):
 
 
 @register("double_odds", """
-SELECT event_id, event_id * 2 AS doubled FROM events WHERE event_id % 2 = 1
+WITH v AS (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT event_id, k * 2 AS doubled FROM v WHERE k % 2 = 1
 """, ("events",))
 def q_double_odds(spark, sf_dir):
-    """P5: keep odd values, double them (Java/Spark remainder keeps the sign)."""
-    ev = read_events(spark, sf_dir)
-    return ev.where(F.col("event_id") % 2 == 1).select("event_id", (F.col("event_id") * 2).alias("doubled"))
+    """P5: keep odd values (the integer ``k`` of each event's payload) and double
+    them; like Java, Spark's remainder keeps the sign, so negative odds drop out."""
+    ev = read_events(spark, sf_dir).select("event_id", "props")
+    vals = decode_frame(ev, "props", schema="k long", keep=("event_id",))
+    return vals.where(F.col("k") % 2 == 1).select("event_id", (F.col("k") * 2).alias("doubled"))
 
 
 _INSTANT_TEXT_SQL = """strftime(instant, '%Y-%m-%dT%H:%M:%S') ||
