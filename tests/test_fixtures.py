@@ -28,7 +28,7 @@ def test_x1_word_count(spark):
 
 def test_x1_running_count_matches_final(spark):
     lines = spark.createDataFrame([(i, v) for i, v in enumerate(VERSE)], "line long, text string")
-    running = wordcount.word_count_running(lines, ["line"], block=F.col("line"))
+    running = wordcount.word_count_running(lines, ["line"])
     last = {r.word: r.m for r in running.groupBy("word").agg(F.max("running_count").alias("m")).collect()}
     assert last["to"] == 4
     rows = running.where(F.col("word") == "to").orderBy("line", "pos").collect()

@@ -33,3 +33,15 @@ def test_blocked_running_sum_equals_window(spark):
         want = ev.withColumn("run", F.sum("event_id").over(w))
         assert (sorted((r.event_id, r.run) for r in got.collect())
                 == sorted((r.event_id, r.run) for r in want.collect()))
+
+
+def test_range_blocked_running_sum_equals_window(spark):
+    from tributary.operators.running import ordered_running_sum
+    ev = read_events(spark, SF_SMALL)
+    for blocks in (1, 3, 16):
+        got = ordered_running_sum(ev, ["user_id"], ["ts", "event_id"], "event_id", "run",
+                                  order_value=F.unix_micros("ts"), num_blocks=blocks)
+        w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+        want = ev.withColumn("run", F.sum("event_id").over(w))
+        assert (sorted((r.event_id, r.run) for r in got.collect())
+                == sorted((r.event_id, r.run) for r in want.collect()))

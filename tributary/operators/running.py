@@ -47,3 +47,41 @@ def blocked_running_sum(df: DataFrame, keys: list[str], order_cols: list, block_
     joined = local.join(offsets, on=[*keys, block_col], how="inner")
     return (joined.withColumn(out_col, F.col("_offset") + F.col("_local_sum"))
             .drop("_offset", "_local_sum"))
+
+
+def quantile_blocks(df: DataFrame, order_value: Column, num_blocks: int, out_col: str = "_qblk") -> DataFrame:
+    """Add ``out_col``: the quantile slice of a numeric order value.
+
+    Cut points come from one ``approxQuantile`` pass over the order value, so
+    every slice holds about ``1/num_blocks`` of all rows; ``Bucketizer``
+    assigns slices by binary search in the JVM.  A key's rows inside one
+    slice are therefore at most one slice, however skewed the key.  The cut
+    points are computed once on the driver (``num_blocks - 1`` numbers) and
+    are fixed values in the plan, so every branch that reads them agrees.
+    """
+    from pyspark.ml.feature import Bucketizer
+    tmp = df.withColumn("_ord", order_value.cast("double"))
+    probs = [i / num_blocks for i in range(1, num_blocks)]
+    cuts = sorted(set(tmp.approxQuantile("_ord", probs, 1.0 / (10 * num_blocks)))) if probs else []
+    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    if len(splits) < 3:
+        return df.withColumn(out_col, F.lit(0).cast("long"))
+    bucketed = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bkt", handleInvalid="keep").transform(tmp)
+    return bucketed.withColumn(out_col, F.col("_bkt").cast("long")).drop("_ord", "_bkt")
+
+
+def ordered_running_sum(df: DataFrame, keys: list[str], order_cols: list, value_col: str,
+                        out_col: str, order_value: Column | None = None,
+                        num_blocks: int | None = None) -> DataFrame:
+    """``blocked_running_sum`` with quantile blocks of the order.
+
+    ``order_value`` is a numeric expression that never decreases along
+    ``order_cols`` (default: the first order column); rows it ties on share a
+    block.  Every (key, block) group is at most about ``1/num_blocks`` of all
+    rows, and the per-key prefix level holds at most ``num_blocks`` rows per key.
+    """
+    n = int(num_blocks or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = order_value if order_value is not None else F.col(order_cols[0])
+    blocked = quantile_blocks(df, value, n)
+    out = blocked_running_sum(blocked, keys, order_cols, "_qblk", value_col, out_col)
+    return out.drop("_qblk")

@@ -2,8 +2,8 @@
 
 Word counts aggregate with a partial (map-side) HashAggregate before the
 shuffle, so a very frequent word costs one row per task, not one per
-occurrence.  The running count uses a blocked prefix sum so that a frequent
-word is never ordered inside a single task (see ``operators.running``).
+occurrence.  The running count uses a range-blocked prefix sum so that a
+frequent word is never ordered inside a single task (``operators.running``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.text import word_array
-from tributary.operators.running import blocked_running_sum
+from tributary.operators.running import ordered_running_sum
 
 
 def tokenize(df: DataFrame, text_col: str = "text", keep: tuple = ()) -> DataFrame:
@@ -32,18 +32,22 @@ def word_count(df: DataFrame, text_col: str = "text") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def word_count_running(df: DataFrame, order_cols: list[str], block, text_col: str = "text") -> DataFrame:
+def word_count_running(df: DataFrame, order_cols: list[str], text_col: str = "text") -> DataFrame:
     """One output row per word occurrence with the count of that word so far.
 
     The per-record form of a keyed running sum: occurrences are ordered by
-    ``order_cols`` then word position.  ``block`` (a Column) must be
-    non-decreasing in that order, e.g. a coarsened first order column; it
-    bounds how many rows of one word are ordered together in one task.
+    ``order_cols`` then word position (unique).  The order is cut into
+    quantile slices of records, so a frequent word is counted slice by slice
+    in parallel and then offset by the counts of the slices before it; the
+    words of one record always share a slice.
     """
-    blocked = df.withColumn("_block", block)
-    tokens = tokenize(blocked, text_col, keep=tuple(order_cols) + ("_block",))
-    out = blocked_running_sum(tokens, keys=["word"], order_cols=list(order_cols) + ["pos"],
-                              block_col="_block", value_col="one", out_col="running_count")
+    tokens = tokenize(df, text_col, keep=tuple(order_cols))
+    # numeric order of a record: (first, second order column) packed losslessly
+    # while the second stays below 2^20 and the first below 2^33
+    record = (F.col(order_cols[0]).cast("double") * float(1 << 20)
+              + (F.col(order_cols[1]).cast("double") if len(order_cols) > 1 else F.lit(0.0)))
+    out = ordered_running_sum(tokens, keys=["word"], order_cols=list(order_cols) + ["pos"],
+                              value_col="one", out_col="running_count", order_value=record)
     return out.select(*order_cols, "pos", "word",
                       F.col("running_count").cast("long").alias("running_count"))
 

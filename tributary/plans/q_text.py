@@ -13,10 +13,6 @@ from tributary.sources.tables import read_table, spread_for_cpu
 # occurs, which must come back with a null count).
 LOOKUP_WORDS = ("the", "and", "zzqxj")
 
-# Conversations per block of the running count (the block bounds one task's
-# ordered slice of a frequent word).
-CONV_BLOCK = 64
-
 
 def _text_of(spark, sf_dir, table="documents", cols=("doc_id", "text")):
     return spread_for_cpu(read_table(spark, sf_dir, table).select(*cols))
@@ -81,5 +77,4 @@ def q_word_count_running(spark, sf_dir):
     """Running word count, one updated row per word occurrence (A2),
     ordered by (conv_id, turn, pos)."""
     conv = _text_of(spark, sf_dir, "conversations", ("conv_id", "turn", "text"))
-    return wc.word_count_running(conv, ["conv_id", "turn"],
-                                 block=F.floor(F.col("conv_id") / CONV_BLOCK))
+    return wc.word_count_running(conv, ["conv_id", "turn"])
