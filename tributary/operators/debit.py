@@ -139,6 +139,55 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
     types = [f.type for f in _ARROW_OUT]
     instant_type = _ARROW_OUT.field("instant").type
 
+    def fold_v1(batches):
+        """T2 fast path: one output row per input row, so the input Arrow
+        columns pass through and only status, kind and balance are rebuilt."""
+        current, bal = None, 0
+        closing = []                   # (account, balance) at each account end
+        for batch in batches:
+            acc = batch.column(0).to_pylist()
+            frm = batch.column(2).to_pylist()
+            sts = batch.column(6).to_pylist()
+            cts = batch.column(11).to_pylist()
+            init = batch.column(12).to_pylist()
+            kinds = batch.column(13).to_pylist()
+            keep, new_status, bals = [], [], []
+            for i, (a, st, c) in enumerate(zip(acc, sts, cts)):
+                if a != current:
+                    if emit_balance and current is not None:
+                        closing.append((current, bal))
+                    current, bal = a, (init[i] or 0)
+                if kinds[i] == "balance":
+                    bal = c
+                    continue
+                if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
+                    if (frm[i] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
+                        bal -= c
+                        st = S.DEBIT_SUCCESS
+                    else:
+                        st = S.RETRY_BALANCE_NOT_ENOUGH
+                elif st == S.DEBIT_SUCCESS:
+                    bal += c
+                    st = S.FULFILLED
+                keep.append(i)
+                new_status.append(st)
+                bals.append(bal)
+            if keep:
+                taken = batch.take(pa.array(keep, pa.int64())) if len(keep) < batch.num_rows else batch
+                arrays = [taken.column(j) for j in range(_PASS)]
+                arrays[6] = pa.array(new_status, pa.string())
+                arrays += [pa.array(["out"] * len(keep), pa.string()), pa.array(bals, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW_OUT)
+        if emit_balance and current is not None:
+            closing.append((current, bal))
+        if closing:
+            accounts, balances = zip(*closing)
+            n = len(accounts)
+            arrays = [pa.array(accounts, pa.string())]
+            arrays += [pa.nulls(n, type=f.type) for f in list(_ARROW_OUT)[1:_PASS]]
+            arrays += [pa.array(["balance"] * n, pa.string()), pa.array(balances, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW_OUT)
+
     def fold(batches):
         out = []                       # emitted rows: first 11 fields + kind + balance
         current, bal, pending = None, 0, collections.deque()
@@ -162,8 +211,8 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
             return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_OUT)
 
         for batch in batches:
-            cols = [batch.column(j).to_pylist() for j in range(batch.num_columns)]
-            cols[5] = batch.column(5).cast(pa.int64()).to_pylist()  # instant as µs
+            cols = [batch.column(j).cast(pa.int64()).to_pylist() if j == 5 else batch.column(j).to_pylist()
+                    for j in range(batch.num_columns)]  # instant as µs
             for row in zip(*cols):
                 acc, st, c = row[0], row[6], row[11]
                 if acc != current:
@@ -218,7 +267,7 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
         if out:
             yield flush()
 
-    return fold
+    return fold if pending_design else fold_v1
 
 
 def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None) -> DataFrame:
