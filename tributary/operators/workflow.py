@@ -6,8 +6,8 @@ failed debits either come back after a wait (v1, retry topic) or wait in the
 account's pending list (v2).  On a bounded input the loop becomes rounds:
 
     round r input = raw rows of round r
-                  + each touched account's carried balance     (_kind 'balance')
-                  + v2: the account's carried pending debits   (_kind 'pending')
+                  + carried balance of each account the round touches   (_kind 'balance')
+                  + v2: that account's carried pending debits           (_kind 'pending')
     -> one fold per account (``operators.debit``), credits before debits
     -> DEBIT_SUCCESS: next round as credits;  FULFILLED / CANCELLED: completed
        v1 RETRY: next round with counter+1, or cancelled after 5 retries.
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary import schemas as S
+from tributary.functions.ledger import acting_account
 from tributary.operators.debit import run_fold
 from tributary.session import ensure_checkpoint_dir, scratch_path
 
@@ -42,14 +43,6 @@ def _prio():
     return F.when(F.col("status") == S.DEBIT_SUCCESS, F.lit(0)).otherwise(F.lit(1))
 
 
-def _materialise(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a round as a parquet table in the shared checkpoint folder and read
-    it back: computed once, lineage cut, and a lost executor cannot take it."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _balance_rows(balances: DataFrame) -> DataFrame:
     """Closing balances of a round as the next round's input rows (sorted first
     in their account)."""
@@ -64,40 +57,68 @@ def _balance_rows(balances: DataFrame) -> DataFrame:
         F.lit("balance").alias("_kind"), F.lit(-2).alias("_prio"))
 
 
+def _latest_state(history: DataFrame, accounts: DataFrame | None, pending_design: bool):
+    """Latest closing balance (and, v2, latest pending rows) of the given
+    accounts (all accounts when None), read from the per-round tables.
+
+    Every account a round touches leaves one closing-balance row in that
+    round's table, so an account's state is the balance row of the last round
+    that touched it and the pending rows written in that same round."""
+    state = history.where(F.col("_kind").isin("balance", "pending"))
+    if accounts is not None:
+        state = state.join(accounts, "account", "left_semi")
+    last = (state.where(F.col("_kind") == "balance").groupBy("account")
+            .agg(F.max_by("_bal", "_round").alias("_bal"), F.max("_round").alias("_last")))
+    pending = None
+    if pending_design:
+        pending = (state.where(F.col("_kind") == "pending")
+                   .join(last.select("account", "_last"), "account")
+                   .where(F.col("_round") == F.col("_last")))
+    return last, pending
+
+
 def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     """Run the rounds.  Returns ``(completed, balances, rounds)``.
 
     ``completed``: every transfer once, final status FULFILLED or
     CANCELLED_BALANCE_NOT_ENOUGH, with ``retriedTimes`` and the ``round`` it
     completed in.  ``balances``: ``(account, balance)`` at the end.
+
+    State lives in the append-only round tables: a round reads the balances
+    (and pending lists) of only the accounts it touches (a semi join), so late
+    rounds with few transfers do not move every account's state again.
     """
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
     raw = tx.select(*_TX_COLS, F.lit("row").alias("_kind"), _prio().alias("_prio"))
-    balances = spark.createDataFrame([], "account string, _bal long")
-    pending = None
+    paths: list[str] = []
     completed = []
     rounds = 0
     while True:
-        feed = raw.unionByName(_balance_rows(balances))
-        if pending is not None:
-            feed = feed.unionByName(pending)
+        feed = raw
+        if paths:
+            touched = raw.select(acting_account(F.col("status"), F.col("fromAccount"),
+                                                F.col("toAccount")).alias("account")).distinct()
+            last, pending = _latest_state(spark.read.parquet(*paths), touched, pending_design)
+            feed = feed.unionByName(_balance_rows(last))
+            if pending is not None:
+                feed = feed.unionByName(
+                    pending.select(*_TX_COLS, F.lit("pending").alias("_kind"), F.lit(-1).alias("_prio")))
         _t0 = time.perf_counter()
-        out = _materialise(run_fold(feed, pending_design=pending_design, max_wait_ms=None,
-                                    keep_pending=pending_design, emit_balance=True,
-                                    external_running=False), "round")
+        path = scratch_path(spark, "round")
+        (run_fold(feed, pending_design=pending_design, max_wait_ms=None, keep_pending=pending_design,
+                  emit_balance=True, external_running=False)
+         .withColumn("_round", F.lit(rounds)).write.parquet(path))
+        paths.append(path)
+        out = spark.read.parquet(path)
         rounds += 1
         _log.debug("round %d materialised in %.2fs", rounds, time.perf_counter() - _t0)
         emitted = out.where(F.col("_kind") == "out")
-        balances = out.where(F.col("_kind") == "balance").select("account", "_bal")
-
         credits = (emitted.where(F.col("status") == S.DEBIT_SUCCESS)
                    .withColumn("phase", F.col("phase") + 1))
         done = emitted.where(F.col("status").isin(S.FULFILLED, S.CANCELLED_BALANCE_NOT_ENOUGH))
         if pending_design:
             nxt = credits
-            pending = (out.where(F.col("_kind") == "pending")
-                       .select(*_TX_COLS, F.lit("pending").alias("_kind"), F.lit(-1).alias("_prio")))
         else:
             retry = emitted.where(F.col("status") == S.RETRY_BALANCE_NOT_ENOUGH)
             again = (retry.where(F.col("retriedTimes") < S.MAX_RETRIES)
@@ -108,12 +129,10 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
             nxt = credits.unionByName(again)
         completed.append(done.select(*_TX_COLS, F.lit(rounds - 1).alias("round")))
         raw = nxt.select(*_TX_COLS, F.lit("row").alias("_kind"), _prio().alias("_prio"))
-        _t0 = time.perf_counter()
-        finished = raw.isEmpty() or rounds >= max_rounds
-        _log.debug("round %d end check in %.2fs", rounds, time.perf_counter() - _t0)
-        if finished:
+        if raw.isEmpty() or rounds >= max_rounds:
             break
-    if pending_design and pending is not None:
+    last, pending = _latest_state(spark.read.parquet(*paths), None, pending_design)
+    if pending is not None:
         # Nothing will credit these any more: cancel what is still waiting.
         completed.append(pending.select(
             *[F.lit(S.CANCELLED_BALANCE_NOT_ENOUGH).alias("status") if c == "status" else F.col(c)
@@ -121,7 +140,7 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     result = completed[0]
     for part in completed[1:]:
         result = result.unionByName(part)
-    final_balances = balances.select("account", (F.col("_bal").cast("double") / 100.0).alias("balance"))
+    final_balances = last.select("account", (F.col("_bal").cast("double") / 100.0).alias("balance"))
     return result, final_balances, rounds
 
 
