@@ -67,8 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="tributary-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
+        pass
     return current
 
 
@@ -88,8 +91,11 @@ def ship_package(spark: SparkSession) -> None:
     module name, so the package is zipped into the shared checkpoint folder
     and added with ``addPyFile`` (the same as ``--py-files`` at submit time).
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - remote session: ship with --py-files / addArtifacts instead
+        return
     if app in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))

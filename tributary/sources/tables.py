@@ -40,7 +40,11 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     chunk), so this is a no-op at scale; it only fixes inputs stored as a
     few large row groups, where one task would otherwise do all the work.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    if splits < slots:
         return df.repartition(slots)
     return df
