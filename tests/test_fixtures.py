@@ -37,9 +37,9 @@ def test_x1_running_count_matches_final(spark):
 
 def test_x2_control_block(spark):
     control = spark.createDataFrame([("DROP",), ("IGNORE",)], "key string")
-    data = spark.createDataFrame([("IGNORE",), ("Flink",), ("DROP",), ("Forward",)], "key string")
+    data = spark.createDataFrame([("IGNORE",), ("Spark",), ("DROP",), ("Forward",)], "key string")
     out = sorted(r.key for r in joins.block_by_control(data, control, "key").collect())
-    assert out == ["Flink", "Forward"]
+    assert out == ["Forward", "Spark"]
 
 
 def test_x3_self_connect(spark):

@@ -141,14 +141,14 @@ def test_delayed_echo_stream(spark):
 def test_control_block_stream(spark):
     src = _dir()
     pq.write_table(pa.table({
-        "key": ["DROP", "IGNORE", "IGNORE", "Flink", "DROP", "Forward", "Late"],
+        "key": ["DROP", "IGNORE", "IGNORE", "Spark", "DROP", "Forward", "Late"],
         "tag": ["control", "control", "data", "data", "data", "data", "data"],
-        "value": ["DROP", "IGNORE", "IGNORE", "Flink", "DROP", "Forward", "Late"],
+        "value": ["DROP", "IGNORE", "IGNORE", "Spark", "DROP", "Forward", "Late"],
         "seq": pa.array([0, 1, 2, 3, 4, 5, 6], pa.int64()),
     }), os.path.join(src, "c.parquet"))
     tagged = spark.readStream.schema("key string, tag string, value string, seq long").parquet(src)
     out = jobs.run_available(jobs.control_block_stream(tagged), "append", "j1")
-    assert sorted(r.value for r in out.collect()) == ["Flink", "Forward", "Late"]
+    assert sorted(r.value for r in out.collect()) == ["Forward", "Late", "Spark"]
 
 
 def test_topic_workflows_equal_bounded_rounds(spark):
