@@ -1,10 +1,9 @@
 """Joins that replace the connected/broadcast stream operators and the state lookups.
 
-Broadcasting is only done for a side whose size is proven small: either a
-literal key list, or a side that passes ``broadcast_if_small`` (a bounded
-row count, checked by a job that stops after ``max_rows + 1`` rows).
-Otherwise the join stays a shuffle join, and AQE may still turn it into a
-broadcast at run time once the real sizes are known.
+Broadcasting is only done for a side whose size is proven small: a literal
+request list, a side that passes ``broadcast_if_small`` (a bounded row
+count), or a shuffle stage whose measured output AQE finds under the
+broadcast threshold at run time.  Otherwise the join stays a shuffle join.
 """
 
 from __future__ import annotations
@@ -39,12 +38,15 @@ def block_by_control(data: DataFrame, control: DataFrame, key) -> DataFrame:
     """Data rows whose key never appears on the control side (left anti join).
 
     ``key`` is a column name or a list of them.  The control side is reduced
-    to distinct keys first (partial aggregation), and broadcast only when it
-    is provably small.
+    to distinct keys first (partial aggregation).
     """
     cols = [key] if isinstance(key, str) else list(key)
     keys = control.select(*cols).distinct()
-    return data.join(broadcast_if_small(keys), on=cols, how="left_anti")
+    # No hint: the distinct keys are a shuffle stage, and AQE broadcasts them
+    # only when that stage's measured output is under the broadcast threshold
+    # (a checked size, with the shuffle join beyond it), without computing
+    # the control side twice.
+    return data.join(keys, on=cols, how="left_anti")
 
 
 def enrich(rows: DataFrame, state: DataFrame, key: str) -> DataFrame:
