@@ -193,3 +193,49 @@ def test_text_line_stream_word_count(spark):
     lines = read_lines(spark, path=src).withColumnRenamed("value", "text")
     counts = {r.word: r.cnt for r in jobs.run_available(jobs.word_count_stream(lines), "complete", "lines").collect()}
     assert counts["to"] == 4 and len(counts) == 26
+
+
+def test_live_wait_stage_republishes_after_backoff(spark):
+    """T4 wired into T7 with processing-time timers: a RETRY transfer comes back
+    on the raw topic with counter+1 after its backoff; one retried 5 times is
+    cancelled to the completed topic; a DEBIT_SUCCESS passes to raw."""
+    import glob
+    import json
+    import time as _time
+    from tributary.streaming.workflow import ORDERED_TX, after_debit_job, _FIELDS
+    from tributary.functions.codec import to_messages
+    from tributary.sources.topics import topic_path
+    base = _dir()
+    rows = [("r0", "A", "B", 1.0, S.RETRY_BALANCE_NOT_ENOUGH, 0),
+            ("r5", "A", "B", 1.0, S.RETRY_BALANCE_NOT_ENOUGH, 5),
+            ("d1", "A", "B", 1.0, S.DEBIT_SUCCESS, 0)]
+    tx = spark.createDataFrame(
+        [(t, f, to, a, st, n) for t, f, to, a, st, n in rows],
+        "txId string, fromAccount string, toAccount string, amount double, status string, retriedTimes int")
+    tx = tx.select("txId", "fromAccount", "toAccount", "amount",
+                   F.timestamp_seconds(F.lit(BASE_S)).alias("instant"), "status", "retriedTimes",
+                   F.lit(0).cast("long").alias("maxWaitTime"), F.lit(0).cast("long").alias("seq"),
+                   F.lit(0).alias("phase"))
+    to_messages(tx, fields=_FIELDS).select("key", "value").write.json(
+        os.path.join(topic_path(base, S.TOPIC_RETRY), "seed"))
+
+    def read(topic):
+        out = {}
+        for f in glob.glob(os.path.join(topic_path(base, topic), "*", "*.json")):
+            for line in open(f):
+                v = json.loads(json.loads(line)["value"])
+                out[v["txId"]] = v
+        return out
+
+    q = after_debit_job(spark, base, False, scratch_path(spark, "live-wait"), live_wait=True,
+                        trigger={"processingTime": "500 milliseconds"})
+    try:
+        deadline = _time.time() + 60
+        while _time.time() < deadline and "r0" not in read(S.TOPIC_RAW):
+            _time.sleep(1)
+    finally:
+        q.stop()
+    raw, done = read(S.TOPIC_RAW), read(S.TOPIC_COMPLETED)
+    assert raw["r0"]["retriedTimes"] == 1 and raw["r0"]["status"] == S.RETRY_BALANCE_NOT_ENOUGH
+    assert raw["d1"]["phase"] == 1
+    assert done["r5"]["status"] == S.CANCELLED_BALANCE_NOT_ENOUGH

@@ -268,6 +268,92 @@ class WaitRetryProcessor(StatefulProcessor):
         pass
 
 
+# A transfer with its ordering columns plus the topic it is routed to.
+RECORD_OUT = T.StructType([
+    T.StructField("txId", T.StringType()),
+    T.StructField("fromAccount", T.StringType()),
+    T.StructField("toAccount", T.StringType()),
+    T.StructField("amount", T.DoubleType()),
+    T.StructField("instant", T.TimestampType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("retriedTimes", T.IntegerType()),
+    T.StructField("maxWaitTime", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("phase", T.IntegerType()),
+    T.StructField("topic", T.StringType()),
+])
+_WAITING_SCHEMA = ("txId string, fromAccount string, toAccount string, amount double, instant_us long, "
+                   "retriedTimes int, seq long, phase int, due_ms long")
+
+
+class WaitRetryRecordProcessor(StatefulProcessor):
+    """The wait stage of the topic workflow (T4 wired into T7), keyed by txId.
+
+    Keeps each waiting transfer whole in list state; when its backoff timer
+    fires, republishes it to the raw topic with counter+1 (status still
+    RETRY, ``maxWaitTime`` = the due time).  A transfer already retried 5
+    times goes to the completed topic as CANCELLED at once.  Processing time
+    by default (the live design), event time optionally."""
+
+    def __init__(self, event_time: bool = False, raw_topic: str = S.TOPIC_RAW,
+                 completed_topic: str = S.TOPIC_COMPLETED):
+        self.event_time = event_time
+        self.raw_topic = raw_topic
+        self.completed_topic = completed_topic
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", _WAITING_SCHEMA)
+
+    def _record(self, w, status, retried, due, topic):
+        return {"txId": w[0], "fromAccount": w[1], "toAccount": w[2], "amount": w[3],
+                "instant": pd.Timestamp(w[4], unit="us", tz="UTC"), "status": status,
+                "retriedTimes": retried, "maxWaitTime": due, "seq": w[6], "phase": w[7], "topic": topic}
+
+    def _frame(self, records):
+        pdf = pd.DataFrame.from_records(records, columns=RECORD_OUT.fieldNames())
+        pdf["instant"] = pd.to_datetime(pdf["instant"], utc=True)
+        return pdf
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _ordered(rows)
+        if pdf.empty:
+            return
+        out = []
+        for r in pdf.itertuples(index=False):
+            n = int(r.retriedTimes)
+            us = int(pd.Timestamp(r.instant).value // 1000)
+            w = (r.txId, r.fromAccount, r.toAccount, float(r.amount), us, n, int(r.seq), int(r.phase), 0)
+            if n < S.MAX_RETRIES:
+                base = us // 1000 if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+                due = base + min(S.RETRY_BASE_MS * S.RETRY_FACTOR ** n, S.RETRY_MAX_WAIT_MS)
+                self.waiting.appendValue(w[:8] + (due,))
+                self.handle.registerTimer(due)
+            else:
+                out.append(self._record(w, S.CANCELLED_BALANCE_NOT_ENOUGH, n, int(r.maxWaitTime or 0),
+                                        self.completed_topic))
+        if out:
+            yield self._frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        items = list(self.waiting.get()) if self.waiting.exists() else []
+        out, kept = [], []
+        for w in items:
+            if w[8] <= fired:
+                out.append(self._record(w, S.RETRY_BALANCE_NOT_ENOUGH, w[5] + 1, w[8], self.raw_topic))
+            else:
+                kept.append(w)
+        self.waiting.clear()
+        if kept:
+            self.waiting.put(kept)
+        if out:
+            yield self._frame(out)
+
+    def close(self) -> None:
+        pass
+
+
 ECHO_OUT = T.StructType([
     T.StructField("word", T.StringType()),
     T.StructField("echo_ms", T.LongType()),

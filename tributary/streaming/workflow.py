@@ -85,10 +85,30 @@ def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str):
+def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str,
+                    live_wait: bool = False, trigger: dict | None = None):
+    """The after-debit split.  ``live_wait`` (v1) routes RETRY transfers through
+    the wait stage with processing-time backoff timers (the live design; run it
+    with a processing-time ``trigger``); otherwise they are re-emitted at once
+    with their due time recorded (offline replay)."""
     tx = _read(spark, base, S.TOPIC_RETRY)
     st = F.col("status")
     n = F.col("retriedTimes")
+    if live_wait and not pending_design:
+        from tributary.streaming.processors import RECORD_OUT, WaitRetryRecordProcessor
+        jobs.use_rocksdb(spark)
+        passing = (tx.where(st.isin(S.DEBIT_SUCCESS, S.FULFILLED))
+                   .withColumn("topic", F.when(st == S.DEBIT_SUCCESS, F.lit(S.TOPIC_RAW))
+                               .otherwise(F.lit(S.TOPIC_COMPLETED)))
+                   .withColumn("phase", F.when(st == S.DEBIT_SUCCESS, F.col("phase") + 1)
+                               .otherwise(F.col("phase"))))
+        waited = (tx.where(st == S.RETRY_BALANCE_NOT_ENOUGH).groupBy("txId")
+                  .transformWithStateInPandas(WaitRetryRecordProcessor(event_time=False), RECORD_OUT,
+                                              "append", "ProcessingTime"))
+        msgs = to_messages(passing.unionByName(waited), fields=_FIELDS, keep=("topic",))
+        return (msgs.writeStream.foreachBatch(_writer(base, "after"))
+                .option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": "1 second"})).start())
     if pending_design:
         topic = F.when(st == S.DEBIT_SUCCESS, F.lit(S.TOPIC_RAW)).otherwise(F.lit(S.TOPIC_COMPLETED))
         routed = tx.withColumn("topic", topic)
