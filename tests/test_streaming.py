@@ -239,3 +239,37 @@ def test_live_wait_stage_republishes_after_backoff(spark):
     assert raw["r0"]["retriedTimes"] == 1 and raw["r0"]["status"] == S.RETRY_BALANCE_NOT_ENOUGH
     assert raw["d1"]["phase"] == 1
     assert done["r5"]["status"] == S.CANCELLED_BALANCE_NOT_ENOUGH
+
+
+def test_live_pending_deadline_cancels(spark):
+    """T3 wired into T8 with processing-time deadlines: an unfunded debit waits
+    in the pending list and is cancelled once its max wait has passed."""
+    import glob
+    import json
+    import time as _time
+    from tributary.streaming.workflow import balance_job, seed
+    from tributary.sources.ledger import transfers_from_rows
+    from tributary.sources.topics import topic_path
+    base = _dir()
+    seed(transfers_from_rows(spark, [("p1", "A", "B", 5), ("ok", "external", "C", 1)]), base)
+
+    def read():
+        out = {}
+        for f in glob.glob(os.path.join(topic_path(base, S.TOPIC_RETRY), "*", "*.json")):
+            for line in open(f):
+                v = json.loads(json.loads(line)["value"])
+                out[(v["txId"], v["status"])] = v
+        return out
+
+    q = balance_job(spark, base, True, scratch_path(spark, "live-pending"), live_max_wait_ms=1500,
+                    trigger={"processingTime": "500 milliseconds"})
+    try:
+        deadline = _time.time() + 60
+        while _time.time() < deadline and ("p1", S.CANCELLED_BALANCE_NOT_ENOUGH) not in read():
+            _time.sleep(1)
+    finally:
+        q.stop()
+    got = read()
+    assert ("p1", S.CANCELLED_BALANCE_NOT_ENOUGH) in got
+    assert ("ok", S.DEBIT_SUCCESS) in got
+    assert ("p1", S.DEBIT_SUCCESS) not in got

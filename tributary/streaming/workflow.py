@@ -67,14 +67,21 @@ def seed(tx: DataFrame, base: str) -> None:
     msgs.select("key", "value").write.mode("overwrite").json(os.path.join(topic_path(base, S.TOPIC_RAW), "seed"))
 
 
-def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str):
+def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str,
+                live_max_wait_ms: int | None = None, trigger: dict | None = None):
+    """The balance stage.  With ``live_max_wait_ms`` (v2) pending debits get a
+    processing-time deadline and are cancelled when it passes (the live
+    design; run with a processing-time ``trigger``)."""
     jobs.use_rocksdb(spark)
     raw = _read(spark, base, S.TOPIC_RAW)
     if pending_design:
         from tributary.streaming.processors import PendingDebitProcessor
         keyed = jobs._keyed(raw)
+        live = live_max_wait_ms is not None
+        processor = PendingDebitProcessor(max_wait_ms=live_max_wait_ms, event_time=False,
+                                          credits_first=not live)
         out = (keyed.groupBy("account").transformWithStateInPandas(
-            PendingDebitProcessor(max_wait_ms=None, credits_first=True), jobs.P.TX_OUT, "append", "None"))
+            processor, jobs.P.TX_OUT, "append", "ProcessingTime" if live else "None"))
     else:
         from tributary.streaming.processors import CheckedDebitProcessor
         keyed = jobs._keyed(raw)
@@ -82,7 +89,7 @@ def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint
             CheckedDebitProcessor(credits_first=True), jobs.P.TX_OUT, "append", "None"))
     msgs = to_messages(out, fields=_FIELDS).withColumn("topic", F.lit(S.TOPIC_RETRY))
     return (msgs.writeStream.foreachBatch(_writer(base, "balance"))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str,
