@@ -273,3 +273,30 @@ def test_live_pending_deadline_cancels(spark):
     assert ("p1", S.CANCELLED_BALANCE_NOT_ENOUGH) in got
     assert ("ok", S.DEBIT_SUCCESS) in got
     assert ("p1", S.DEBIT_SUCCESS) not in got
+
+
+def test_enrich_stream_equals_batch(spark):
+    """J3 stream form: latest tx state kept by a streaming aggregation, legs
+    enriched per micro-batch, equal to the bounded broadcast_enrich."""
+    from tributary.operators.joins import enrich, latest_per_key
+    from tributary.operators.legs import split_legs
+    feed = debit.first_round_feed(ledger_from_events(jobs.events_stream(spark, SF_SMALL)))
+    checked = jobs.checked_debit_stream(feed).select("txId", "status", "instant", "seq", "phase")
+    states_path = scratch_path(spark, "j3-states")                       # the state topic
+    states = jobs.run_available(checked, "append", "j3-states", target=states_path)
+    state_table = scratch_path(spark, "j3-latest")
+    latest = jobs.latest_state_stream(spark.readStream.schema(states.schema).parquet(states_path),
+                                      "txId", ["status"], ["instant", "seq", "phase"])
+    jobs.run_available(latest.withColumnRenamed("status", "tx_status"), "complete", "j3-latest",
+                       target=state_table)
+    legs_stream = split_legs(ledger_from_events(jobs.events_stream(spark, SF_SMALL)),
+                             fields=("txId", "account", "amount", "phase"))
+    target = scratch_path(spark, "j3-out")
+    q = jobs.enrich_stream(legs_stream, state_table, "txId", target, scratch_path(spark, "j3-ck"))
+    q.awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(target).select("txId", "account", "phase", "tx_status").collect()))
+    bl = split_legs(read_ledger(spark, SF_SMALL), fields=("txId", "account", "amount", "phase"))
+    state = latest_per_key(debit.checked_debit(debit.first_round_feed(read_ledger(spark, SF_SMALL))),
+                           "txId", ["status"], ["instant", "seq", "phase"]).withColumnRenamed("status", "tx_status")
+    want = sorted(map(tuple, enrich(bl, state, "txId").select("txId", "account", "phase", "tx_status").collect()))
+    assert got == want

@@ -179,3 +179,26 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key_l: str, key_r: s
     cond = ((lw[key_l] == rw[key_r]) & (rw[ts_r] >= lw[ts_l])
             & (rw[ts_r] <= lw[ts_l] + F.expr(f"INTERVAL {within}")))
     return lw.join(rw, cond, "inner")
+
+
+def latest_state_stream(state_events: DataFrame, key: str, value_cols: list[str],
+                        order_cols: list[str]) -> DataFrame:
+    """A6/T6 on a stream: latest value per key (an upsert map) as a streaming
+    aggregation; run it in update or complete mode into a table."""
+    from tributary.operators.joins import latest_per_key
+    return latest_per_key(state_events, key, value_cols, order_cols)
+
+
+def enrich_stream(rows: DataFrame, state_path: str, key: str, target: str, checkpoint: str,
+                  trigger: dict | None = None):
+    """J3 on a stream: each micro-batch of rows joins the current state table
+    (re-read per batch, so state updates are seen) and is appended to
+    ``target`` in a per-batch folder (idempotent on replay)."""
+    spark = rows.sparkSession
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        state = spark.read.parquet(state_path)
+        batch.join(state, on=key, how="left").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return (rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
