@@ -97,8 +97,9 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     while True:
         feed = raw
         if paths:
+            # a semi join needs no distinct on its right side
             touched = raw.select(acting_account(F.col("status"), F.col("fromAccount"),
-                                                F.col("toAccount")).alias("account")).distinct()
+                                                F.col("toAccount")).alias("account"))
             last, pending = _latest_state(spark.read.parquet(*paths), touched, pending_design)
             feed = feed.unionByName(_balance_rows(last))
             if pending is not None:
