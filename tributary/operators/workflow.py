@@ -94,24 +94,27 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     paths: list[str] = []
     completed = []
     rounds = 0
+    schema = None  # round-table schema, known after the first write (no inference jobs)
     while True:
         feed = raw
         if paths:
             # a semi join needs no distinct on its right side
             touched = raw.select(acting_account(F.col("status"), F.col("fromAccount"),
                                                 F.col("toAccount")).alias("account"))
-            last, pending = _latest_state(spark.read.parquet(*paths), touched, pending_design)
+            last, pending = _latest_state(spark.read.schema(schema).parquet(*paths), touched, pending_design)
             feed = feed.unionByName(_balance_rows(last))
             if pending is not None:
                 feed = feed.unionByName(
                     pending.select(*_TX_COLS, F.lit("pending").alias("_kind"), F.lit(-1).alias("_prio")))
         _t0 = time.perf_counter()
         path = scratch_path(spark, "round")
-        (run_fold(feed, pending_design=pending_design, max_wait_ms=None, keep_pending=pending_design,
-                  emit_balance=True, external_running=False)
-         .withColumn("_round", F.lit(rounds)).write.parquet(path))
+        result = (run_fold(feed, pending_design=pending_design, max_wait_ms=None,
+                           keep_pending=pending_design, emit_balance=True, external_running=False)
+                  .withColumn("_round", F.lit(rounds)))
+        schema = schema or result.schema
+        result.write.parquet(path)
         paths.append(path)
-        out = spark.read.parquet(path)
+        out = spark.read.schema(schema).parquet(path)
         rounds += 1
         _log.debug("round %d materialised in %.2fs", rounds, time.perf_counter() - _t0)
         emitted = out.where(F.col("_kind") == "out")
@@ -132,7 +135,7 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
         raw = nxt.select(*_TX_COLS, F.lit("row").alias("_kind"), _prio().alias("_prio"))
         if raw.isEmpty() or rounds >= max_rounds:
             break
-    last, pending = _latest_state(spark.read.parquet(*paths), None, pending_design)
+    last, pending = _latest_state(spark.read.schema(schema).parquet(*paths), None, pending_design)
     if pending is not None:
         # Nothing will credit these any more: cancel what is still waiting.
         completed.append(pending.select(
