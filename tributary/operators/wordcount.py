@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.text import word_array
-from tributary.operators.running import ordered_running_sum
+from tributary.operators.running import blocked_running_sum, quantile_blocks
 
 
 def tokenize(df: DataFrame, text_col: str = "text", keep: tuple = ()) -> DataFrame:
@@ -41,13 +41,16 @@ def word_count_running(df: DataFrame, order_cols: list[str], text_col: str = "te
     in parallel and then offset by the counts of the slices before it; the
     words of one record always share a slice.
     """
-    tokens = tokenize(df, text_col, keep=tuple(order_cols))
     # numeric order of a record: (first, second order column) packed losslessly
-    # while the second stays below 2^20 and the first below 2^33
+    # while the second stays below 2^20 and the first below 2^33; slices are
+    # cut on records (before tokenizing, so the text is split only once)
     record = (F.col(order_cols[0]).cast("double") * float(1 << 20)
               + (F.col(order_cols[1]).cast("double") if len(order_cols) > 1 else F.lit(0.0)))
-    out = ordered_running_sum(tokens, keys=["word"], order_cols=list(order_cols) + ["pos"],
-                              value_col="one", out_col="running_count", order_value=record)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocked = quantile_blocks(df, record, n)
+    tokens = tokenize(blocked, text_col, keep=tuple(order_cols) + ("_qblk",))
+    out = blocked_running_sum(tokens, keys=["word"], order_cols=list(order_cols) + ["pos"],
+                              block_col="_qblk", value_col="one", out_col="running_count")
     return out.select(*order_cols, "pos", "word",
                       F.col("running_count").cast("long").alias("running_count"))
 
