@@ -202,7 +202,7 @@ def test_live_wait_stage_republishes_after_backoff(spark):
     import glob
     import json
     import time as _time
-    from tributary.streaming.workflow import ORDERED_TX, after_debit_job, _FIELDS
+    from tributary.streaming.workflow import _FIELDS, after_debit_job
     from tributary.functions.codec import to_messages
     from tributary.sources.topics import topic_path
     base = _dir()

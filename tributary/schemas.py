@@ -78,16 +78,3 @@ BALANCE = T.StructType([
     T.StructField("account", T.StringType()),
     T.StructField("balance", T.DoubleType()),
 ])
-
-# JSON wire form: ``instant`` may arrive as decimal epoch seconds or as an ISO
-# string, so it is read as text first and converted by the codec.
-BANK_TX_WIRE = T.StructType([
-    T.StructField("txId", T.StringType()),
-    T.StructField("fromAccount", T.StringType()),
-    T.StructField("toAccount", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("instant", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("retriedTimes", T.IntegerType()),
-    T.StructField("maxWaitTime", T.LongType()),
-])
