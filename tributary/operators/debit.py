@@ -272,6 +272,8 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
 
 def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None) -> DataFrame:
     """Hash-partition by account, sort inside partitions, run the fold."""
+    # An explicit count on purpose: AQE would coalesce a small shuffle into a
+    # few partitions and serialise the CPU-bound fold.
     parts = int(num_partitions or keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (keyed.repartition(parts, "account")
                .sortWithinPartitions("account", "_prio", *S.ORDER))
