@@ -45,3 +45,23 @@ def test_range_blocked_running_sum_equals_window(spark):
         want = ev.withColumn("run", F.sum("event_id").over(w))
         assert (sorted((r.event_id, r.run) for r in got.collect())
                 == sorted((r.event_id, r.run) for r in want.collect()))
+
+
+def test_quantile_blocks_bound_a_hot_key(spark):
+    """One key holds ~70% of all rows: no (key, block) group exceeds ~2N/P rows,
+    and the blocked running sum still equals the plain window."""
+    from tributary.operators.running import ordered_running_sum, quantile_blocks
+    ev = read_events(spark, SF_MID).withColumn(
+        "user_id", F.when(F.col("event_id") % 10 < 7, F.lit(0)).otherwise(F.col("user_id")))
+    n, p = ev.count(), 16
+    blocked = quantile_blocks(ev, F.unix_micros("ts"), p)
+    biggest = blocked.groupBy("user_id", "_qblk").count().agg(F.max("count")).first()[0]
+    hot = ev.where("user_id = 0").count()
+    assert hot > 0.6 * n
+    assert biggest <= 2 * n / p
+    got = ordered_running_sum(ev, ["user_id"], ["ts", "event_id"], "event_id", "run",
+                              order_value=F.unix_micros("ts"), num_blocks=p)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    want = ev.withColumn("run", F.sum("event_id").over(w))
+    assert (sorted((r.event_id, r.run) for r in got.collect())
+            == sorted((r.event_id, r.run) for r in want.collect()))
