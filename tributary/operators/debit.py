@@ -191,9 +191,13 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
     def fold(batches):
         out = []                       # emitted rows: first 11 fields + kind + balance
         current, bal, pending = None, 0, collections.deque()
+        # Smallest pending amount (None = recompute): a credit that leaves the
+        # balance below it cannot release anything, so the scan is skipped.
+        min_pending = None
 
         def close_account():
-            nonlocal pending
+            nonlocal pending, min_pending
+            min_pending = None
             while pending:
                 p = pending.popleft()
                 if keep_pending:
@@ -227,9 +231,14 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                     if max_wait_ms is not None:
                         while pending and pending[0][8] <= now_ms:
                             p = pending.popleft()
+                            min_pending = None
                             out.append((*p[:6], S.CANCELLED_BALANCE_NOT_ENOUGH, *p[7:_PASS], "out", bal))
                     if row[13] == "pending":
                         pending.append(row)
+                        if len(pending) == 1:
+                            min_pending = c
+                        elif min_pending is not None:
+                            min_pending = min(min_pending, c)
                     elif st == S.CREATED:
                         if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
                             bal -= c
@@ -238,17 +247,25 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                             deadline = 0 if max_wait_ms is None else now_ms + max_wait_ms
                             pending.append((*row[:6], S.RETRY_BALANCE_NOT_ENOUGH, row[7], deadline,
                                             *row[9:]))
+                            if len(pending) == 1:
+                                min_pending = c
+                            elif min_pending is not None:
+                                min_pending = min(min_pending, c)
                     elif st == S.DEBIT_SUCCESS:
                         bal += c
                         out.append((*row[:6], S.FULFILLED, *row[7:_PASS], "out", bal))
-                        kept = collections.deque()
-                        for p in pending:
-                            if p[11] <= bal:
-                                bal -= p[11]
-                                out.append((*p[:6], S.DEBIT_SUCCESS, *p[7:_PASS], "out", bal))
-                            else:
-                                kept.append(p)
-                        pending = kept
+                        if pending and min_pending is None:
+                            min_pending = min(p[11] for p in pending)
+                        if pending and bal >= min_pending:
+                            kept = collections.deque()
+                            for p in pending:
+                                if p[11] <= bal:
+                                    bal -= p[11]
+                                    out.append((*p[:6], S.DEBIT_SUCCESS, *p[7:_PASS], "out", bal))
+                                else:
+                                    kept.append(p)
+                            pending = kept
+                            min_pending = None
                     # any other status (an incoming RETRY too) is dropped by this design
                 else:
                     if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
