@@ -40,10 +40,13 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     reg = load_all()
-    warm, cold = {}, {}
+    warm, cold, failed = {}, {}, {}
     for name in names:
-        cold[name] = round(run(spark, reg[name], sf_dir), 3)
-        warm[name] = round(run(spark, reg[name], sf_dir), 3)
+        try:
+            cold[name] = round(run(spark, reg[name], sf_dir), 3)
+            warm[name] = round(run(spark, reg[name], sf_dir), 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep benchmarking the rest
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
@@ -52,6 +55,7 @@ def main() -> None:
         "unit": "sec",
         "queries": warm,
         "cold": cold,
+        "failed": failed,
         "sf": sf,
         "cpus": cpus,
         "machine": platform.machine(),
