@@ -170,3 +170,17 @@ def test_topic_round_trip_through_directory(spark, tmp_path):
     lines = spark.createDataFrame([("hello",)], "text string")
     msg = text_messages(lines, F.upper(F.col("text"))).first()
     assert msg.key == msg.value == "HELLO"
+
+
+def test_k1_print_rows_batch_and_stream(spark, tmp_path, capsys):
+    from tributary.sinks.topics import print_rows
+    from tributary.sources.topics import read_lines
+    lines = spark.createDataFrame([(v,) for v in VERSE], "text string")
+    assert print_rows(lines, label="myOutput", n=2) is None
+    assert "myOutput" in capsys.readouterr().out
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "l.txt").write_text("\n".join(VERSE) + "\n")
+    q = print_rows(read_lines(spark, path=str(tmp_path / "in")), label="myOutput")
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None

@@ -41,7 +41,9 @@ def print_rows(df: DataFrame, label: str | None = None, stream: bool | None = No
     stream, ``show`` of the first rows for a bounded frame)."""
     framed = df.select(F.lit(label).alias("label"), "*") if label else df
     if stream if stream is not None else df.isStreaming:
-        return framed.writeStream.format("console").option("truncate", "false").start()
+        from tributary.session import scratch_path
+        return (framed.writeStream.format("console").option("truncate", "false")
+                .option("checkpointLocation", scratch_path(df.sparkSession, "console")).start())
     framed.show(n, truncate=False)
     return None
 
