@@ -9,6 +9,7 @@ tests) do we pick a fresh scratch folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -62,9 +63,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder (a path or a URI).
+
+    On a cluster ``spark.checkpoint.dir`` must name a folder all executors
+    share.  Only a local master, where driver and tasks are one process, gets
+    a folder of our own when the setting is absent.
+    """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        master = spark.conf.get("spark.master", "") or ""
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="tributary-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     try:
@@ -77,8 +86,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{purpose}-{uuid.uuid4().hex}"
 
 
 _SHIPPED: set[str] = set()
@@ -88,8 +97,9 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable on executors (once per application).
 
     Python workers unpickle operator functions and stateful processors by
-    module name, so the package is zipped into the shared checkpoint folder
-    and added with ``addPyFile`` (the same as ``--py-files`` at submit time).
+    module name, so the package is zipped on the driver and added with
+    ``addPyFile``: Spark itself serves it to the executors, as it does for
+    ``--py-files``.  Nothing is written to the shared folder for this.
     """
     try:
         sc = spark.sparkContext
@@ -100,8 +110,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     parent = os.path.dirname(root)
-    target = scratch_path(spark, "pkg") + ".zip"
-    os.makedirs(os.path.dirname(target), exist_ok=True)
+    target = os.path.join(tempfile.mkdtemp(prefix="tributary-pkg-"), "tributary.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, files in os.walk(root):
             for name in files:
