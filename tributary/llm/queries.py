@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe
+from tributary.llm import bpe, gam
+from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
 
@@ -37,3 +38,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by the additive model; labels of every fifth id (by crc32) are held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gam.train(docs, read_table(spark, sf_dir, "labels"), "quality", crc_mod(F.col("doc_id"), 5) != 0)
+    return (docs.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+                        gam.score_column(model, F.col("text")).alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
