@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, gam
+from tributary.llm import bpe, gam, rules
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -48,3 +48,59 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (docs.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
                         gam.score_column(model, F.col("text")).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
+@query
+def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, the base rules, and the verdict of thresholds per language and source."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return rules.judge(docs, keep_text=False).select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+ORACLE_SQL["op2_rules"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, lang, source FROM documents),
+w AS (
+  SELECT r, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+win AS (
+  SELECT r, i, array_to_string(w[i + 1:i + 8], ' ') AS win
+  FROM (SELECT r, w, unnest(range(len(w) - 7)) AS i FROM w WHERE len(w) >= 8)),
+dup AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM win) WHERE n > 1),
+rep AS (
+  SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM dup) GROUP BY r),
+ln AS (
+  SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+c AS (
+  SELECT d.r, d.doc_id, d.lang, d.source, len(w.w) AS n_words,
+         length(regexp_replace(d.text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(d.text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         len(ln.l) - len(list_distinct(ln.l)) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d JOIN w USING (r) JOIN ln USING (r) LEFT JOIN rep USING (r)),
+s AS (
+  SELECT r, lang, source, unnest(['symbols', 'dup_lines', 'chars']) AS signal,
+         unnest([n_symbols * 1000 // n_words, n_dup_lines * 1000 // n_words, word_chars * 1000 // n_words]) AS v
+  FROM c WHERE n_words > 0),
+b AS (
+  SELECT lang, source, signal, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket,
+         count(*) AS n
+  FROM s GROUP BY ALL),
+q AS (
+  SELECT lang, source, signal, min(bucket) FILTER (upto * 4 >= total) AS q1,
+         min(bucket) FILTER (upto * 4 >= total * 3) AS q3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, signal) AS total,
+               sum(n) OVER (PARTITION BY lang, source, signal ORDER BY bucket) AS upto FROM b) GROUP BY ALL),
+f AS (
+  SELECT lang, source, signal, q1 - 3 * greatest(q3 - q1, fl) AS low, q3 + 3 * greatest(q3 - q1, fl) AS high
+  FROM q JOIN (VALUES ('symbols', 50), ('dup_lines', 30), ('chars', 700)) AS t(signal, fl) USING (signal)),
+o AS (
+  SELECT DISTINCT s.r FROM s JOIN f ON s.signal = f.signal AND s.lang IS NOT DISTINCT FROM f.lang
+    AND s.source IS NOT DISTINCT FROM f.source
+  WHERE s.v > f.high OR (s.signal = 'chars' AND s.v < f.low))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND o.r IS NULL AS kept
+FROM c LEFT JOIN o USING (r)
+"""
