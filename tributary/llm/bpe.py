@@ -7,9 +7,9 @@ the first may begin inside a pre-token, so its first pieces can be wrong; but
 what the pattern matches at a position depends only on the text from there
 on, so from the first position where the pieces of two neighbouring chunks
 begin together (the chunks "resynchronise") both agree.  Stitching takes a
-chunk's pieces up to that position and its neighbour's from there.  Where two
-chunks never meet within the overlap (one pre-token longer than it), the text
-is matched on from the last sure boundary until they do.
+chunk's pieces up to that position and its neighbour's from there.  Only the
+pieces inside the overlaps travel with a chunk's ids.  A text in which two
+chunks never meet (one pre-token longer than the overlap) is encoded whole.
 
 Texts of at most one chunk need no stitching and no shuffle.
 
@@ -26,7 +26,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,9 @@ from tributary.llm.common import fresh, quoted
 CHUNK = 16_384
 OVERLAP = 1_024
 MAX_CHUNKS = 64          # longer texts get longer chunks, not more of them
-CACHED_PIECES = 150_000  # per worker; a full cache starts anew
+CACHED_PIECES = 60_000   # per worker; a full cache starts anew
+ROWS = 64                # rows worked on at once in a worker
+DECODED = 1 << 18        # ids turned into bytes at once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,15 +69,19 @@ class PieceIds(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
-        import tiktoken
-        self._ranks = ranks
-        self._long = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._ranks, self._pattern, self._compiled = ranks, pattern, None
+
+    def _long(self, raw: bytes) -> list[int]:
+        """The joining is quadratic: long pieces go to the compiled merge."""
+        if self._compiled is None:
+            import tiktoken
+            self._compiled = tiktoken.Encoding("own", pat_str=self._pattern, mergeable_ranks=self._ranks,
+                                               special_tokens={})
+        return self._compiled._core_bpe.encode_single_piece(raw)
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
-        # the joining above is quadratic: long pieces go to the compiled merge
-        ids = merge_piece(raw, self._ranks) if len(raw) <= 48 else \
-            self._long._core_bpe.encode_single_piece(raw)
+        ids = merge_piece(raw, self._ranks) if len(raw) <= 48 else self._long(raw)
         out = np.asarray(ids, dtype=np.int32).tobytes()
         if len(piece) <= 64:
             if len(self) >= CACHED_PIECES:
@@ -93,19 +98,8 @@ def codec(path: str, pattern: str):
 
 
 @lru_cache(maxsize=2)
-def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens' bytes in one array, with each id's start and length (-1: no such id)."""
-    ranks = read_ranks(path)
-    size = max(ranks.values(), default=-1) + 1
-    lens = np.full(size, -1, dtype=np.int64)
-    for token, rank in ranks.items():
-        lens[rank] = len(token)
-    starts = np.zeros(size, dtype=np.int64)
-    np.cumsum(np.maximum(lens, 0)[:-1], out=starts[1:])
-    flat = np.zeros(int(np.maximum(lens, 0).sum()), dtype=np.uint8)
-    for token, rank in ranks.items():
-        flat[starts[rank]:starts[rank] + len(token)] = np.frombuffer(token, dtype=np.uint8)
-    return flat, starts, lens
+def token_bytes(path: str) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(path).items()}
 
 
 def _lists(blobs: list[bytes]) -> pa.Array:
@@ -120,72 +114,73 @@ def _encode_batches(at: int, path: str, pattern: str):
         compiled, pieces = codec(path, pattern)
         find, get = compiled.findall, pieces.__getitem__
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            ids = _lists([b"".join(map(get, find(t))) if t else b"" for t in texts])
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "__ids"])
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                ids = _lists([b"".join(map(get, find(t))) if t else b"" for t in part.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*batch.schema.names, "__ids"])
     return run
 
 
-def _encode_chunks(path: str, pattern: str):
-    """(uid, cno, start, last, text) -> the chunk's pieces: starts (code points in the text), ids, ids per piece."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _encode_chunks(path: str, pattern: str, overlap: int):
+    """(uid, cno, step, last, text) -> the chunk's ids, and by piece of the head (its first ``overlap`` code points)
+    and of the tail (what the next chunk begins with): its place, counted from the later chunk's start, and how many
+    ids stand before it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled, pieces = codec(path, pattern)
-        for pdf in batches:
-            out = []
-            for uid, cno, start, last, text in pdf.itertuples(index=False):
-                found = [(m.start(), m.group()) for m in compiled.finditer(text)]
-                ids = [pieces[p] for _, p in found]
-                out.append((uid, cno, start, last, text,
-                            (np.array([a for a, _ in found], dtype=np.int64) + start).tobytes(),
-                            np.array([len(b) // 4 for b in ids], dtype=np.int32).tobytes(), b"".join(ids)))
-            yield pd.DataFrame(out, columns=["uid", "cno", "start", "last", "text", "starts", "counts", "ids"])
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                step, last, text = (row.column(j)[0].as_py() for j in (2, 3, 4))
+                found = [(m.start(), pieces[m.group()]) for m in compiled.finditer(text)]
+                at = np.array([a for a, _ in found], dtype=np.int32)
+                before = np.cumsum([0] + [len(b) // 4 for _, b in found], dtype=np.int32)[:-1]
+                head = at <= overlap
+                # the last two pieces may change with what follows the chunk's end
+                tail = (at >= step) & (np.arange(len(at)) < len(at) - 2) & (not last)
+                made = [at[head], before[head], at[tail] - step, before[tail]]
+                ids = np.frombuffer(b"".join([b for _, b in found]), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [row.column(0), row.column(1), pa.array([text if last else text[:step]]),
+                     *[pa.array([x.tobytes()], type=pa.binary()) for x in made],
+                     pa.array([_packed(ids)], type=pa.binary())],
+                    names=["uid", "cno", "own", "head", "head_ids", "tail", "tail_ids", "ids"])
     return run
 
 
-def stitch(chunks: list[tuple], compiled, pieces) -> bytes:
-    """Ids of a whole text from its chunks in order: (start, last, text, piece starts, ids per piece, ids)."""
-    out: list[bytes] = []
-    i = at = 0      # everything before code point ``at`` is encoded; chunk i has a sure piece there
-    while True:
-        start, last, text, starts, counts, ids = chunks[i]
-        offsets = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-        first = int(np.searchsorted(starts, at))
-        if last:
-            out.append(ids[4 * int(offsets[first]):])
-            return b"".join(out)
-        # the last two pieces may change with what follows the chunk's end
-        sure = starts[first:max(first, len(starts) - 2)]
-        met = sure[np.isin(sure, chunks[i + 1][3])]
-        at = int(met[0]) if len(met) else int(sure[-1]) if len(sure) else at
-        out.append(ids[4 * int(offsets[first]):4 * int(offsets[np.searchsorted(starts, at)])])
-        i += 1
-        if len(met):
-            continue
-        # never met: match on in the text itself until a later chunk has a sure piece there
-        joined, known = text, {}
-        for j in range(i, len(chunks)):
-            later = chunks[j]
-            joined += later[2][start + len(joined) - later[0]:]
-            own = later[3] if later[1] else later[3][:-2]
-            known |= dict.fromkeys(own.tolist(), j)
-        while at not in known:
-            if at >= start + len(joined):
-                return b"".join(out)
-            m = compiled.match(joined, at - start)
-            out.append(pieces[m.group()])
-            at = start + m.end()
-        i = known[at]
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each where all fit, else in four; the first byte says which."""
+    small = not len(ids) or ids.max() < 1 << 16
+    return (b"2" + ids.astype("<u2").tobytes()) if small else (b"4" + ids.astype("<i4").tobytes())
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, dtype="<u2" if blob[:1] == b"2" else "<i4", offset=1)
+
+
+def stitch(chunks: list[tuple]) -> np.ndarray | None:
+    """Ids of a whole text from its chunks in order: (head, head_ids, tail, tail_ids, ids); None if two never meet."""
+    out, begin = [], 0
+    for this, later in zip(chunks[:-1], chunks[1:], strict=True):
+        met, i, j = np.intersect1d(this[2], later[0], assume_unique=True, return_indices=True)
+        if not len(met):
+            return None
+        out.append(this[4][begin:this[3][i[0]]])
+        begin = later[1][j[0]]
+    return np.concatenate([*out, chunks[-1][4][begin:]]).astype(np.int32)
 
 
 def _stitch_group(path: str, pattern: str):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        compiled, pieces = codec(path, pattern)
-        pdf = pdf.sort_values("cno")
-        chunks = [(int(s), bool(e), t, np.frombuffer(a, dtype=np.int64), np.frombuffer(c, dtype=np.int32), i)
-                  for s, e, t, a, c, i in zip(pdf["start"], pdf["last"], pdf["text"], pdf["starts"],
-                                              pdf["counts"], pdf["ids"], strict=True)]
-        ids = np.frombuffer(stitch(chunks, compiled, pieces), dtype=np.int32)
-        return pd.DataFrame({"__uid": [pdf["uid"].iloc[0]], "__ids": [ids]})
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("cno")
+        rows = table.select(["head", "head_ids", "tail", "tail_ids", "ids"]).to_pydict()
+        ids = stitch([(*[np.frombuffer(x, dtype=np.int32) for x in r[:-1]], _unpacked(r[-1]))
+                      for r in zip(*rows.values(), strict=True)])
+        if ids is None:
+            compiled, pieces = codec(path, pattern)
+            text = "".join(table.column("own").to_pylist())
+            ids = np.frombuffer(b"".join([pieces[m.group()] for m in compiled.finditer(text)]), dtype=np.int32)
+        return pa.table({"__uid": table.column("uid").slice(0, 1),
+                         "__ids": pa.array([ids], type=pa.list_(pa.int32()))})
     return run
 
 
@@ -202,55 +197,49 @@ def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str
     if text_col not in names:
         raise ValueError(f"no column {text_col!r}")
     text = quoted(text_col)
-    short = df.where(text.isNull() | (F.length(text) <= chunk + overlap))
+    if chunk <= overlap:
+        raise ValueError("a chunk must be longer than the overlap")
     fields = T.StructType([*df.schema.fields, T.StructField("__ids", T.ArrayType(T.IntegerType()))])
-    done = short.mapInArrow(_encode_batches(names.index(text_col), vocab, pattern), fields)
-    done = done.withColumnRenamed("__ids", out_col)
 
+    short = df.where(text.isNull() | (F.length(text) <= chunk + overlap))
+    done = short.mapInArrow(_encode_batches(names.index(text_col), vocab, pattern), fields)
     # ids by partition and row: the same whenever a lost task runs again over its split
     numbered = df.withColumn(uid, F.monotonically_increasing_id())
     long_rows = numbered.where(F.length(text) > chunk + overlap)
     step = F.greatest(F.lit(chunk), F.ceil(F.length(text) / MAX_CHUNKS)).cast("int")
     parts = (long_rows.select(quoted(uid).alias("uid"), text.alias("text"), step.alias("step"),
-                              F.length(text).alias("size"))
-             .select("uid", "text", "step", "size",
-                     F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / F.col("step")).cast("int")))
-                     .alias("cno"))
-             .select("uid", "cno", (F.col("cno") * F.col("step")).cast("long").alias("start"),
-                     ((F.col("cno") + 1) * F.col("step") >= F.col("size")).alias("last"),
+                              F.ceil((F.length(text) - overlap) / step).cast("int").alias("n"))
+             .select("uid", "text", "step", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("cno"))
+             .select("uid", "cno", "step", (F.col("cno") == F.col("n") - 1).alias("last"),
                      F.substring("text", F.col("cno") * F.col("step") + 1,
                                  F.col("step") + F.lit(overlap)).alias("text"))
              .repartition(F.col("uid"), F.col("cno"))
-             .mapInPandas(_encode_chunks(vocab, pattern),
-                          "uid long, cno int, start long, last boolean, text string,"
-                          " starts binary, counts binary, ids binary"))
-    whole = parts.groupBy("uid").applyInPandas(_stitch_group(vocab, pattern), "__uid long, __ids array<int>")
-    whole = whole.select(F.col("__uid").alias(uid + "_r"), F.col("__ids").alias(out_col))
+             .mapInArrow(_encode_chunks(vocab, pattern, overlap),
+                         "uid long, cno int, own string, head binary, head_ids binary, tail binary, tail_ids binary, ids binary"))
+    whole = parts.groupBy("uid").applyInArrow(_stitch_group(vocab, pattern), "__uid long, __ids array<int>")
+    whole = whole.select(F.col("__uid").alias(uid + "_r"), F.col("__ids"))
     joined = long_rows.join(whole, quoted(uid) == quoted(uid + "_r")).drop(uid, uid + "_r")
-    return done.unionByName(joined)
+    return done.unionByName(joined).withColumnRenamed("__ids", out_col)
 
 
 def _decode_batches(at: int, vocab: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, lens = token_bytes(vocab)
+        get = token_bytes(vocab).__getitem__
+
+        def raw(ids: pa.Array | None) -> bytes:
+            if ids is None:
+                return b""
+            try:
+                return b"".join([b"".join(map(get, ids.slice(k, DECODED).to_numpy(zero_copy_only=False).tolist()))
+                                 for k in range(0, len(ids), DECODED)])
+            except KeyError as exc:
+                raise ValueError(f"id {exc.args[0]} is not in the vocabulary") from exc
+
         for batch in batches:
-            column = batch.column(at)
-            if pa.types.is_list(column.type):
-                column = column.cast(pa.large_list(pa.int32()))
-            column = pa.LargeListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(
-                    zero_copy_only=False), dtype=np.int64)))), column.flatten())
-            ids = column.values.to_numpy(zero_copy_only=False)
-            bounds = column.offsets.to_numpy()
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(lens) or (lens[ids] < 0).any()):
-                raise ValueError("an id is not in the vocabulary")
-            size = lens[ids]
-            ends = np.concatenate(([0], np.cumsum(size)))
-            raw = flat[np.repeat(starts[ids] - ends[:-1], size) + np.arange(ends[-1])] if len(ids) else flat[:0]
-            cuts = ends[bounds]
-            data = raw.tobytes()
-            out = pa.array([data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "__raw"])
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                out = pa.array([raw(x.values) for x in part.column(at)], type=pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*batch.schema.names, "__raw"])
     return run
 
 
