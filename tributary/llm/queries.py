@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, gam, rules
+from tributary.llm import bpe, gam, rules, topk, urls
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -104,3 +104,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND o.r IS NULL AS kept
 FROM c LEFT JOIN o USING (r)
 """
+
+
+# The rules of the contract (host, path, verdict).
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, "url", URL_RULES).drop("url")
+
+
+ORACLE_SQL["op7_urls"] = r"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, page_id,
+         CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT r, page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+rules(host, path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+         ('org', '/fr/', 'allow')),
+fit AS (
+  SELECT p.r, x.host || x.path AS rule, x.verdict,
+         row_number() OVER (PARTITION BY p.r ORDER BY length(x.host || x.path) DESC, length(x.host) DESC) AS k
+  FROM p JOIN rules x ON (p.host = x.host OR ends_with(p.host, '.' || x.host)) AND starts_with(p.path, x.path))
+SELECT p.page_id, p.host, p.path, fit.rule, coalesce(fit.verdict, 'allow') AS verdict
+FROM p LEFT JOIN fit ON p.r = fit.r AND fit.k = 1
+"""
+
+
+@query
+def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of highest whole-number inner product for each row whose id is divisible by 50."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+ORACLE_SQL["op10_maxscore"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
