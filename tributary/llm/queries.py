@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, gam, rules, topk, urls
+from tributary.llm import bpe, gam, mixing, rules, topk, urls
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -160,3 +160,11 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document so that each source comes to its target."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.taken(docs).select("doc_id", "size", "source_size", "target",
+                                     (F.col("size") * F.col("copies")).alias("taken"))
