@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, gam, mixing, rules, topk, urls
+from tributary.llm import bpe, gam, mixing, neardup, rules, topk, urls
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -168,3 +168,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.taken(docs).select("doc_id", "size", "source_size", "target",
                                      (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op3_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return neardup.assign(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
