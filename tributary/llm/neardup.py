@@ -11,10 +11,13 @@ No bucket is expanded into pairs or collected:
 1. every node meets the least node of each of its buckets (a star), the pair
    with most bands in common first; nodes linked so form trees;
 2. the other star pairs are compared only between different trees;
-3. buckets whose nodes still lie in different classes repeat the star among
-   the nodes that are not yet in the class of its centre, class by class, so
-   that every pair of nodes that share a bucket and are linked ends in one class.
-   Each turn works only on the buckets and nodes still open.
+3. buckets whose nodes still lie in different classes are settled in blocks of
+   about ``BLOCK`` nodes: a group holds two blocks, compares the signatures of
+   nodes of different classes by array arithmetic, and gives out only the pairs
+   whose estimate is within five standard deviations of the threshold or above.
+   Those are compared exactly, too.
+
+So no two nodes that share a bucket and are linked stay apart.
 
 Classes are found by alternating large-star and small-star steps, every one
 written to the shared checkpoint folder.
@@ -39,6 +42,8 @@ from tributary.llm import dart
 from tributary.llm.common import SPACES, fresh, quoted, write_out
 
 THRESHOLD = 0.8
+BLOCK = 256
+SIGMAS = 5
 
 
 def node_of(text: Column) -> Column:
@@ -50,20 +55,23 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, 256):
             part = batch.slice(k, 256)
-            size, bands = [], []
+            size, bands, lanes = [], [], []
             for text in part.column(1).to_pylist():
                 found = dart.shingles(text)
+                darts = dart.signature(found)
                 size.append(len(found))
-                bands.append(dart.bands(dart.signature(found)))
+                bands.append(dart.bands(darts))
+                lanes.append((darts >> np.uint64(40)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(size, type=pa.int64()), pa.array(bands, type=pa.list_(pa.int64()))],
-                names=["node", "size", "bands"])
+                [part.column(0), pa.array(size, type=pa.int64()), pa.array(bands, type=pa.list_(pa.int64())),
+                 pa.array(lanes, type=pa.binary())], names=["node", "size", "bands", "lanes"])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(node, size, bands), one row per different text of (node, text)."""
-    made = docs.where(F.col("node").isNotNull()).mapInArrow(_sketch, "node binary, size long, bands array<long>")
-    return made.groupBy("node").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
+    """(node, size, bands, lanes), one row per different text of (node, text); lanes: two bytes of each dart."""
+    made = docs.where(F.col("node").isNotNull()).mapInArrow(
+        _sketch, "node binary, size long, bands array<long>, lanes binary")
+    return made.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes")])
 
 
 @lru_cache(maxsize=64)
@@ -126,9 +134,43 @@ def _rooted(nodes: DataFrame, column: str, roots: DataFrame, out: str) -> DataFr
             .withColumn(out, F.coalesce("__r", column)).drop("__n", "__r"))
 
 
-def _sizes_fit(threshold: float) -> Column:
-    """Texts whose shingle counts differ by more cannot be similar enough."""
-    return F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold
+def _block_pairs(threshold: float):
+    """Two blocks of a bucket -> pairs of different classes that may be similar enough, by their signatures."""
+    cut = threshold - SIGMAS * (threshold * (1 - threshold) / (dart.ROWS * dart.BANDS)) ** 0.5
+
+    def run(table: pa.Table) -> pa.Table:
+        block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
+        node, root = (table.column(c).to_pylist() for c in ("node", "root"))
+        size = table.column("size").to_numpy()
+        lanes = np.frombuffer(b"".join(table.column("lanes").to_pylist()), dtype="<u2").reshape(len(node), -1)
+        number = {r: i for i, r in enumerate(set(root))}
+        tree = np.array([number[r] for r in root])
+        out_a, out_b = [], []
+        for i in np.flatnonzero(block == low):
+            others = np.flatnonzero((block == high) & (tree != tree[i])
+                                    & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
+            others = others[others > i] if low[0] == high[0] else others
+            near = others[(lanes[others] == lanes[i]).mean(axis=1) >= cut] if len(others) else others
+            for j in near.tolist():
+                out_a.append(max(node[i], node[j]))
+                out_b.append(min(node[i], node[j]))
+        return pa.table({"a": pa.array(out_a, type=pa.binary()), "b": pa.array(out_b, type=pa.binary())})
+    return run
+
+
+def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Candidate pairs (a, b) of different classes in the buckets whose nodes lie in several classes."""
+    now = _rooted(members, "node", roots, "root")
+    open_buckets = (now.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
+                                              F.count(F.lit(1)).alias("n"))
+                    .where("r1 <> r2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    left = (now.join(open_buckets, "bucket").join(nodes.select("node", "lanes"), "node")
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    paired = left.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                         "block", "node", "root", "size", "lanes")
+    return (paired.groupBy("bucket", "low", "high").applyInArrow(_block_pairs(threshold), "a binary, b binary")
+            .distinct())
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -136,48 +178,31 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = docs.sparkSession
     nodes = write_out(spark, sketch(docs), "near-nodes")
     members = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    # (bucket, node, size) of all buckets with more than one node
-    members = write_out(spark, members.join(shared, "bucket"), "near-members")
-    compared = None
-    links = None
-    open_members = members.withColumn("root", F.col("node"))
-    turn = 0
-    while True:
-        # the star: each bucket's least node is met by the nodes of other classes
-        centre = open_members.groupBy("bucket").agg(F.min(F.struct("node", "root", "size")).alias("c"))
-        star = (open_members.join(centre, "bucket").where("root <> c.root")
-                .select(F.col("node").alias("a"), F.col("c.node").alias("b"), F.col("size").alias("size_a"),
-                        F.col("c.size").alias("size_b"))
-                .where(_sizes_fit(threshold))
-                .groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands")))
-        if compared is not None:
-            star = star.join(compared, ["a", "b"], "left_anti")
-        star = write_out(spark, star, "near-star")
-        if turn == 0:
-            best = star.groupBy("a").agg(F.max(F.struct("bands", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-            first = write_out(spark, best, "near-first")
-            links = write_out(spark, verified(first, docs, threshold), "near-links")
-            roots = components(links)
-            rest = star.join(first, ["a", "b"], "left_anti").select("a", "b")
-            rest = _rooted(_rooted(rest, "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b")
-            found = write_out(spark, verified(write_out(spark, rest, "near-rest"), docs, threshold), "near-links")
-        else:
-            found = write_out(spark, verified(star.select("a", "b"), docs, threshold), "near-links")
-        if turn == 0 or not found.isEmpty():
-            links = links.unionAll(found)
-            roots = components(links)
-        compared = star.select("a", "b") if compared is None else compared.unionAll(star.select("a", "b"))
-        # what is left of a bucket: nodes outside its centre's class, if they lie in more than one class
-        now = _rooted(open_members.drop("root"), "node", roots, "root")
-        now_centre = _rooted(centre.select("bucket", F.col("c.node").alias("cn")), "cn", roots, "cr")
-        left = now.join(now_centre.select("bucket", "cr"), "bucket").where("root <> cr").drop("cr")
-        several = (left.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-                   .where("r1 <> r2").select("bucket"))
-        open_members = write_out(spark, left.join(several, "bucket", "left_semi"), "near-open")
-        turn += 1
-        if open_members.isEmpty():
-            return roots
+    # each bucket's least node is met by the others
+    centre = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("c"))
+              .where("n > 1").select("bucket", "c"))
+    members = write_out(spark, members.join(centre, "bucket"), "near-members")
+    star = write_out(spark, (
+        members.where("node <> c.node")
+        .select(F.col("node").alias("a"), F.col("c.node").alias("b"), F.col("size").alias("size_a"),
+                F.col("c.size").alias("size_b"))
+        .where(F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold)
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands"))), "near-star")
+    best = star.groupBy("a").agg(F.max(F.struct("bands", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    first = write_out(spark, best, "near-first")
+    links = write_out(spark, verified(first, docs, threshold), "near-links")
+    roots = components(links)
+    rest = star.join(first, ["a", "b"], "left_anti").select("a", "b")
+    rest = _rooted(_rooted(rest, "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b")
+    rest = write_out(spark, rest, "near-rest")
+    more = write_out(spark, verified(rest, docs, threshold), "near-links")
+    if not more.isEmpty():
+        links = links.unionAll(more)
+        roots = components(links)
+    pairs = _settle(members.select("bucket", "node", "size"), nodes, roots, threshold)
+    pairs = write_out(spark, pairs.join(star, ["a", "b"], "left_anti"), "near-pairs")
+    last = write_out(spark, verified(pairs, docs, threshold), "near-links")
+    return roots if last.isEmpty() else components(links.unionAll(last))
 
 
 def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
