@@ -46,16 +46,6 @@ def shingles(text: str | None) -> np.ndarray:
     return np.sort(mix(total))
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two sorted shingle arrays."""
-    if not len(a) or not len(b):
-        return 0.0
-    (ua, ca), (ub, cb) = (np.unique(x, return_counts=True) for x in (a, b))
-    _, i, j = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
-    common = int(np.minimum(ca[i], cb[j]).sum())
-    return common / (len(a) + len(b) - common)
-
-
 def regions(sorted_shingles: np.ndarray) -> np.ndarray:
     """One id for each unit of weight: the shingle's hash and which occurrence it is."""
     n = len(sorted_shingles)
@@ -64,6 +54,22 @@ def regions(sorted_shingles: np.ndarray) -> np.ndarray:
     return mix(sorted_shingles ^ (unit.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+def units(text: str | None) -> np.ndarray:
+    """The regions of a text in sorted order."""
+    found = shingles(text)
+    return np.sort(regions(found)) if len(found) else found
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two texts from their sorted regions: the least weight of each element is the
+    number of its units that both have."""
+    if not len(a) or not len(b):
+        return 0.0
+    both = np.sort(np.concatenate((a, b)))
+    common = int((both[1:] == both[:-1]).sum())
+    return common / (len(a) + len(b) - common)
+
+
 def signature(sorted_shingles: np.ndarray, k: int = ROWS * BANDS) -> np.ndarray:
     """The ids of the earliest darts of ``k`` coordinates."""
     units = regions(sorted_shingles)
@@ -103,5 +109,5 @@ def _throw(units: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
 def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One number per band of ``rows`` coordinates; different bands never mean the same."""
     parts = sig.reshape(-1, rows)
-    weights = mix(np.arange(rows, dtype=np.uint64))  | np.uint64(1)
+    weights = mix(np.arange(rows, dtype=np.uint64)) | np.uint64(1)
     return mix((parts * weights).sum(axis=1, dtype=np.uint64) + np.arange(len(parts), dtype=np.uint64)).view(np.int64)
