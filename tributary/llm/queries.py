@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, gam, mixing, neardup, rules, topk, urls
+from tributary.llm import bpe, gam, mixing, neardup, rules, topk, toxicity, urls
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -174,3 +174,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return neardup.assign(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by the recurrent network; labels of every third id (by crc32) are held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.train(docs, read_table(spark, sf_dir, "labels"), "toxic", crc_mod(F.col("doc_id"), 3) != 1)
+    shared = spark.sparkContext.broadcast(net)
+    return (docs.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"),
+                        toxicity.score_column(shared, F.col("text")).alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
