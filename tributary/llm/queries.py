@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, gam, mixing, neardup, rules, topk, toxicity, urls
+from tributary.llm import bloomlm, bpe, gam, mixing, neardup, rules, topk, toxicity, urls
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -185,3 +185,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (docs.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"),
                         toxicity.score_column(shared, F.col("text")).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
+
+
+@query
+def op6_bloomlm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact add-one score and log-frequency Bloom filter score of every text; every seventh id (by crc32) is held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    model = bloomlm.train(docs, "text", ~held_out)
+    return (bloomlm.score(docs, "text", model)
+            .select("doc_id", held_out.alias("held_out"), *bloomlm.ADDED))
