@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bloomlm, bpe, gam, mixing, neardup, rules, topk, toxicity, urls
+from tributary.llm import bloomlm, bpe, gam, mixing, neardup, pagetext, rules, topk, toxicity, urls
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -195,3 +195,11 @@ def op6_bloomlm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = bloomlm.train(docs, "text", ~held_out)
     return (bloomlm.score(docs, "text", model)
             .select("doc_id", held_out.alias("held_out"), *bloomlm.ADDED))
+
+
+@query
+def op5_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return (pagetext.extract(pages, "html", "text").drop("html")
+            .withColumn("n_chars", F.length("text").cast("long")))
