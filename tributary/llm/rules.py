@@ -62,30 +62,34 @@ def base_counts(text: Column) -> dict[str, Column]:
     }
 
 
-def _repeat_words(words: str) -> Column:
-    """Words in ``WINDOW``-word windows found twice or more, of the array column ``words``."""
-    n = F.size(words)
-    windows = F.transform(F.sequence(F.lit(0), n - WINDOW),
-                          lambda i: F.xxhash64(F.slice(words, i + 1, WINDOW)))
-    # only texts that have equal hashes pay for the exact step: windows as texts, sorted, equal neighbours
-    placed = F.sort_array(F.transform(
-        F.sequence(F.lit(0), n - WINDOW),
-        lambda i: F.struct(F.array_join(F.slice(words, i + 1, WINDOW), " ").alias("w"), i.alias("i"))))
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def repeat_words(words: Column) -> Column:
+    """Words in ``WINDOW``-word windows found twice or more, of an array of words."""
+    starts = lambda w: F.sequence(F.lit(0), F.size(w) - WINDOW)
 
     def covered(pairs: Column) -> Column:
         same = F.filter(pairs, lambda x, j: F.coalesce(F.get(pairs, j - 1)["w"] == x["w"], F.lit(False))
                         | F.coalesce(F.get(pairs, j + 1)["w"] == x["w"], F.lit(False)))
-        starts = F.sort_array(F.transform(same, lambda x: x["i"]))
         return F.aggregate(
-            starts, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
+            F.sort_array(F.transform(same, lambda x: x["i"])),
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
             lambda s, i: F.struct((s["n"] + i + WINDOW - F.greatest(i, s["end"])).cast("long").alias("n"),
                                   (i + WINDOW).alias("end")),
             lambda s: s["n"])
 
-    # a one-element array binds the sorted windows once
-    exact = F.get(F.transform(F.array(placed), covered), F.lit(0))
-    twice = F.get(F.transform(F.array(windows), lambda h: F.size(F.array_distinct(h)) < F.size(h)), F.lit(0))
-    return F.when((n >= WINDOW) & twice, exact).otherwise(F.lit(0).cast("long"))
+    def count(w: Column) -> Column:
+        hashes = F.transform(starts(w), lambda i: F.xxhash64(F.slice(w, i + 1, WINDOW)))
+        # only texts that have equal hashes pay for the exact step: windows as texts, sorted, equal neighbours
+        placed = F.sort_array(F.transform(
+            starts(w), lambda i: F.struct(F.array_join(F.slice(w, i + 1, WINDOW), " ").alias("w"), i.alias("i"))))
+        twice = _once(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
+        return F.when((F.size(w) >= WINDOW) & twice, _once(placed, covered)).otherwise(F.lit(0).cast("long"))
+
+    return _once(words, count)
 
 
 def bucket(value: Column) -> Column:
@@ -148,7 +152,7 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     temp = fresh(df.columns, "__words")
     counted = df.withColumn(temp, words_of(quoted(text_col)))
     counts = {"n_words": F.size(quoted(temp)).cast("long"), **base_counts(quoted(text_col)),
-              "n_repeat_words": _repeat_words(temp)}
+              "n_repeat_words": repeat_words(quoted(temp))}
     stay = [c for c in names if keep_text or c != text_col]
     rows = counted.select(*[quoted(c) for c in stay], *[c.alias(k) for k, c in counts.items()])
     made = {k: F.col(k) for k in COUNTS}
@@ -163,5 +167,6 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
         outside = outside | F.coalesce(rate > F.col(f"{k}_high"), F.lit(False))
         if k not in UPPER_ONLY:
             outside = outside | F.coalesce(rate < F.col(f"{k}_low"), F.lit(False))
+    # one condition over both sides of the join: a filter on it stays above the join, and the counts are made once
     return joined.select(*[quoted(c) for c in stay], *COUNTS, failed.alias("base_failed"),
-                         (~failed & ~outside).alias("kept"))
+                         (~F.greatest(failed, outside)).alias("kept"))
