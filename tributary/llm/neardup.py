@@ -13,15 +13,19 @@ No bucket is expanded into pairs or collected:
 2. the other star pairs are compared only between different trees;
 3. buckets whose nodes still lie in different classes are settled in blocks of
    about ``BLOCK`` nodes: a group holds two blocks, compares the signatures of
-   nodes of different classes by array arithmetic, and gives out only the pairs
+   nodes of different classes by array arithmetic, and gives out only pairs
    whose estimate is above the threshold less ``SIGMAS`` standard deviations.
-   Those are compared exactly, too: first the best of every two classes, then
-   what still lies between different ones.
+   Those are compared exactly, too.  A first turn gives out the best pair of
+   every two classes, a second all pairs that are still between classes.
 
 So two linked nodes that share a bucket end in one class, save for the 0.1 % of
 links near the threshold that the signatures' estimate misses (sharing no
 bucket misses 0.3 % of those).
 
+Texts are fetched for exact comparison only for the nodes concerned: a bitmap
+of ``MARKS`` bits (a fixed size) is broadcast to drop most other rows where
+they are read, an exact join follows.
+
 Classes are found by alternating large-star and small-star steps, every one
 written to the shared checkpoint folder.
 
@@ -47,11 +51,12 @@ from tributary.llm.common import SPACES, fresh, quoted, write_out
 THRESHOLD = 0.8
 BLOCK = 256
 SIGMAS = 3
+MARKS = 1 << 26
 
 
 def node_of(text: Column) -> Column:
     """The node of a text; null for a text without words."""
-    return F.when(F.translate(text, SPACES, "") != "", F.unhex(F.md5(text.cast("binary"))))
+    return F.when(F.btrim(text, F.lit(SPACES)) != "", F.unhex(F.md5(text.cast("binary"))))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,10 +99,36 @@ def _compare(threshold: float):
     return run
 
 
+def _marks(nodes: DataFrame) -> bytes:
+    """A bitmap of ``MARKS`` bits with one set for each node."""
+    bit = (F.conv(F.hex(F.substring("node", 1, 4)), 16, 10).cast("long") % MARKS + 1).alias("bit")
+    found = (nodes.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("k"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m")).collect())
+    width = 4096        # bytes of one of Spark's bitmaps; they are numbered from 1 and begin with the value 1
+    out = bytearray(MARKS // 8)
+    for k, m in found:
+        out[(k - 1) * width:k * width] = m
+    return bytes(out)
+
+
+def _marked(shared):
+    """Rows (node, text) whose node may be marked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(shared.value, dtype=np.uint8)
+        for batch in batches:
+            heads = [x.as_py() for x in batch.column(0)]
+            bit = np.frombuffer(b"".join([h[:4] for h in heads]), dtype=">u4").astype(np.int64) % MARKS
+            hit = (marks[bit // 8] >> (bit % 8).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(hit == 1))
+    return run
+
+
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts are similar enough, by exact comparison of their shingles."""
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(ends))
+    some = docs.where(F.col("node").isNotNull()).mapInArrow(_marked(shared), "node binary, text string")
+    texts = some.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     full = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
@@ -137,7 +168,7 @@ def _rooted(nodes: DataFrame, column: str, roots: DataFrame, out: str) -> DataFr
             .withColumn(out, F.coalesce("__r", column)).drop("__n", "__r"))
 
 
-def _block_pairs(threshold: float):
+def _block_pairs(threshold: float, best_only: bool):
     """Two blocks of a bucket -> pairs of different classes that may be similar enough, by their signatures."""
     cut = threshold - SIGMAS * (threshold * (1 - threshold) / (dart.ROWS * dart.BANDS)) ** 0.5
 
@@ -146,27 +177,28 @@ def _block_pairs(threshold: float):
         node, root = (table.column(c).to_pylist() for c in ("node", "root"))
         size = table.column("size").to_numpy()
         lanes = np.frombuffer(b"".join(table.column("lanes").to_pylist()), dtype="<u2").reshape(len(node), -1)
-        number = {r: i for i, r in enumerate(set(root))}
+        number = {r: i for i, r in enumerate(sorted(set(root)))}
         tree = np.array([number[r] for r in root])
-        out = {"a": [], "b": [], "ra": [], "rb": [], "estimate": []}
-        for i in np.flatnonzero(block == low):
+        found: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for i in np.flatnonzero(block == low).tolist():
             others = np.flatnonzero((block == high) & (tree != tree[i])
                                     & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
             others = others[others > i] if low[0] == high[0] else others
-            if not len(others):
-                continue
             estimate = (lanes[others] == lanes[i]).mean(axis=1)
             for j, e in zip(others[estimate >= cut].tolist(), estimate[estimate >= cut].tolist(), strict=True):
                 x, y = (i, j) if node[i] > node[j] else (j, i)
-                for c, v in (("a", node[x]), ("b", node[y]), ("ra", root[x]), ("rb", root[y]), ("estimate", e)):
-                    out[c].append(v)
-        kinds = {"estimate": pa.float64()}
-        return pa.table({c: pa.array(v, type=kinds.get(c, pa.binary())) for c, v in out.items()})
+                key = (min(tree[i], tree[j]), max(tree[i], tree[j])) if best_only else (x, y)
+                if key not in found or e > found[key][0]:
+                    found[key] = e, x, y
+        out = {"a": [node[x] for _, x, _ in found.values()], "b": [node[y] for _, _, y in found.values()],
+               "ra": [root[x] for _, x, _ in found.values()], "rb": [root[y] for _, _, y in found.values()]}
+        return pa.table({**{c: pa.array(v, type=pa.binary()) for c, v in out.items()},
+                         "estimate": pa.array([e for e, _, _ in found.values()], type=pa.float64())})
     return run
 
 
-def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs (a, b, ra, rb, estimate) in the buckets whose nodes lie in several classes."""
+def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: float, best_only: bool) -> DataFrame:
+    """Candidate pairs (a, b) of different classes in the buckets whose nodes lie in several classes."""
     now = _rooted(members, "node", roots, "root")
     open_buckets = (now.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
                                               F.count(F.lit(1)).alias("n"))
@@ -176,9 +208,13 @@ def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     paired = left.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                          "block", "node", "root", "size", "lanes")
-    return (paired.groupBy("bucket", "low", "high")
-            .applyInArrow(_block_pairs(threshold), "a binary, b binary, ra binary, rb binary, estimate double")
-            .distinct())
+    pairs = (paired.groupBy("bucket", "low", "high")
+             .applyInArrow(_block_pairs(threshold, best_only),
+                           "a binary, b binary, ra binary, rb binary, estimate double"))
+    if not best_only:
+        return pairs.select("a", "b").distinct()
+    return (pairs.groupBy(F.least("ra", "rb").alias("r1"), F.greatest("ra", "rb").alias("r2"))
+            .agg(F.max(F.struct("estimate", "a", "b")).alias("x")).select("x.a", "x.b"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -206,18 +242,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def compare(pairs: DataFrame) -> None:
         nonlocal links, roots
-        found = write_out(spark, verified(write_out(spark, pairs, "near-rest"), docs, threshold), "near-links")
+        found = write_out(spark, verified(pairs, docs, threshold), "near-links")
         if not found.isEmpty():
             links = links.unionAll(found)
             roots = components(links)
 
-    compare(between(star.join(first, ["a", "b"], "left_anti")))
-    pairs = _settle(members.select("bucket", "node", "size"), nodes, roots, threshold)
-    pairs = write_out(spark, pairs.join(star, ["a", "b"], "left_anti"), "near-pairs")
-    best = (pairs.groupBy(F.least("ra", "rb").alias("r1"), F.greatest("ra", "rb").alias("r2"))
-            .agg(F.max(F.struct("estimate", "a", "b")).alias("x")).select("x.a", "x.b"))
-    compare(best)
-    compare(between(pairs.join(best, ["a", "b"], "left_anti")))
+    compare(write_out(spark, between(star.join(first, ["a", "b"], "left_anti")), "near-rest"))
+    members = members.select("bucket", "node", "size")
+    compared = star.select("a", "b")
+    for best_only in (True, False):
+        pairs = write_out(spark, _settle(members, nodes, roots, threshold, best_only)
+                          .join(compared, ["a", "b"], "left_anti"), "near-pairs")
+        compare(pairs)
+        compared = compared.unionAll(pairs)
     return roots
 
 
