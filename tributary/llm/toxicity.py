@@ -61,13 +61,6 @@ class Tokens:
     char_ends: np.ndarray    # where each token's character rows end
     counts: np.ndarray       # tokens by text
 
-    @staticmethod
-    def joined(parts: list[Tokens]) -> Tokens:
-        before = np.cumsum([0] + [len(p.chars) for p in parts])
-        return Tokens(*[np.concatenate(x) for x in (
-            [p.word for p in parts], [p.chars for p in parts],
-            [p.char_ends + b for p, b in zip(parts, before, strict=False)], [p.counts for p in parts])])
-
 
 def tokenize(texts: list[str | None]) -> Tokens:
     raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
@@ -193,8 +186,8 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(best, -30, 30)))
 
     def gradients(self, x: np.ndarray, at: np.ndarray, mask: np.ndarray, bag: np.ndarray,
-                  y: np.ndarray) -> tuple[dict, np.ndarray]:
-        """Gradients of the bags' log loss by weight, and by input row."""
+                  y: np.ndarray) -> dict:
+        """Gradients of the bags' log loss by weight."""
         kept: dict[str, list] = {"f": [], "b": []}
         states = np.concatenate([self.read(x[at] @ self.w[f"wx_{s}"] + self.w[f"b_{s}"], s, kept[s])
                                  for s in "fb"], axis=2)
@@ -215,7 +208,6 @@ class Network:
         grad["att"] = np.einsum("tns,tna->sa", states, d_a)
         grad["att_b"] = d_a.sum(axis=(0, 1))
         d_states = alpha[:, :, None] * d_pooled + d_a @ self.w["att"].T
-        d_x = np.zeros((len(x), x.shape[1]), np.float32)
         for k, s in enumerate("fb"):
             d_in = np.empty((*at.shape, 3 * STATE), np.float32)
             d_h = np.zeros((at.shape[1], STATE), np.float32)
@@ -232,17 +224,21 @@ class Network:
             flat = d_in.reshape(-1, 3 * STATE)
             grad[f"wx_{s}"] = x[at].reshape(-1, x.shape[1]).T @ flat
             grad[f"b_{s}"] = flat.sum(axis=0)
-            np.add.at(d_x, at.ravel(), flat @ self.w[f"wx_{s}"].T)
-        return grad, d_x
+        return grad
+
 
+def _seen(rows: np.ndarray, text: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    """For each row of a table, how many negative and how many positive texts have it."""
+    found = np.unique(text.astype(np.int64) * size + rows)
+    label = y[found // size]
+    return np.stack([np.bincount(found % size, w, size) for w in (1 - label, label)]).astype(np.float32)
 
-def _log_odds(rows: np.ndarray, text: np.ndarray, y: np.ndarray, used: np.ndarray, size: int) -> np.ndarray:
+
+def _log_odds(seen: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Log odds of a table row's texts being positive, shrunk towards 0 where few texts have it."""
-    seen = np.unique(text.astype(np.int64) * size + rows)
-    row, positive = seen % size, y[seen // size]
-    pos, neg = np.bincount(row, positive, size), np.bincount(row, 1 - positive, size)
-    odds = np.log((pos + 0.5) / (y[used].sum() + 1)) - np.log((neg + 0.5) / ((1 - y[used]).sum() + 1))
-    return (odds * (pos + neg) / (pos + neg + 4)).astype(np.float32)
+    share = (seen + 0.5) / (texts[:, None] + 1)
+    n = seen.sum(axis=0)
+    return ((np.log(share[1]) - np.log(share[0])) * n / (n + 4)).astype(np.float32)
 
 
 def fit(texts: list[str], labels: np.ndarray, steps: int = 300, batch: int = 40, rate: float = 0.02,
@@ -253,25 +249,33 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 300, batch: int = 40,
         net.prior = float((y.sum() + 0.5) / (len(y) + 1))
         return net
     rng = np.random.default_rng(seed)
-    tokens = Tokens.joined([tokenize(texts[k:k + ROWS]) for k in range(0, len(texts), ROWS)])
-    owner = np.repeat(np.arange(len(texts)), tokens.counts)
-    lens = np.diff(np.concatenate(([0], tokens.char_ends)))
-    char_owner = np.repeat(owner, lens)
-
-    def set_odds(texts_used: np.ndarray) -> None:
-        w, c = texts_used[owner], texts_used[char_owner]
-        net.w["word"][:, 0] = _log_odds(tokens.word[w], owner[w], y, texts_used, WORD_ROWS) / 3
-        net.w["char"][:, 0] = _log_odds(tokens.chars[c], char_owner[c], y, texts_used, CHAR_ROWS) / 3
+    # texts in parts, so that no array is much larger than the token vectors; part i belongs to fold i % FOLDS
+    width = min(ROWS, -(-len(texts) // (2 * FOLDS)))
+    parts, seen = [], []
+    for k in range(0, len(texts), width):
+        t, own_y = tokenize(texts[k:k + width]), y[k:k + width]
+        owner = np.repeat(np.arange(len(own_y)), t.counts)
+        lens = np.diff(np.concatenate(([0], t.char_ends)))
+        parts.append(t)
+        seen.append((_seen(t.word, owner, own_y, WORD_ROWS), _seen(t.chars, np.repeat(owner, lens), own_y, CHAR_ROWS),
+                     np.array([(1 - own_y).sum(), own_y.sum()])))
+
+    def set_odds(used: list) -> None:
+        word, char, count = (sum(x) for x in zip(*used, strict=True))
+        net.w["word"][:, 0] = _log_odds(word, count) / 3
+        net.w["char"][:, 0] = _log_odds(char, count) / 3
 
     # the tables stay; what reads them is trained
-    fold = rng.integers(0, FOLDS, len(texts))
-    x = np.zeros((len(tokens.word) + 1, WORD_DIM + CHAR_DIM), np.float32)
+    made: list = [None] * len(parts)
     for k in range(FOLDS):
-        set_odds(fold != k)
-        mine = np.concatenate((fold[owner] == k, [False]))
-        x[mine] = net.inputs(tokens)[mine]
-    set_odds(np.ones(len(texts), dtype=bool))
-    text, first, size = windows(tokens.counts)
+        set_odds([s for i, s in enumerate(seen) if i % FOLDS != k])
+        for i in range(k, len(parts), FOLDS):
+            made[i] = net.inputs(parts[i])[:-1]
+    set_odds(seen)
+    x = np.concatenate([*made, np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)])
+    counts = np.concatenate([t.counts for t in parts])
+    del parts, seen, made
+    text, first, size = windows(counts)
     bounds = np.searchsorted(text, np.arange(len(texts) + 1))
     classes = [np.flatnonzero(y == 0), np.flatnonzero(y == 1)]
     moments = {k: (np.zeros_like(net.w[k]), np.zeros_like(net.w[k])) for k in PARTS}
@@ -281,7 +285,7 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 300, batch: int = 40,
         bag = np.repeat(np.arange(len(chosen)), [len(o) for o in own])
         use = np.concatenate(own)
         at, mask = net.places(first[use], size[use], len(x) - 1)
-        grad, _ = net.gradients(x, at, mask, bag, y[chosen])
+        grad = net.gradients(x, at, mask, bag, y[chosen])
         speed = rate * (1 - step / (steps + 1))
         for k in PARTS:
             m, v = moments[k]
