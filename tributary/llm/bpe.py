@@ -30,9 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tributary.llm.common import fresh, quoted
+from tributary.llm.common import fresh, map_arrow, quoted
 
 CHUNK = 16_384
 OVERLAP = 1_024
@@ -175,10 +174,8 @@ def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str
     text = quoted(text_col)
     if chunk <= overlap:
         raise ValueError("a chunk must be longer than the overlap")
-    fields = T.StructType([*df.schema.fields, T.StructField("__ids", T.ArrayType(T.IntegerType()))])
-
     short = df.where(text.isNull() | (F.length(text) <= chunk + overlap))
-    done = short.mapInArrow(_encode_batches(names.index(text_col), vocab, pattern), fields)
+    done = map_arrow(short, _encode_batches(names.index(text_col), vocab, pattern), "__ids array<int>")
     # ids by partition and row: the same whenever a lost task runs again over its split
     numbered = df.withColumn(uid, F.monotonically_increasing_id())
     long_rows = numbered.where(F.length(text) > chunk + overlap)
@@ -191,7 +188,8 @@ def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str
                                  F.col("step") + F.lit(overlap)).alias("text"))
              .repartition(F.col("uid"), F.col("cno"))
              .mapInArrow(_encode_chunks(vocab, pattern, overlap),
-                         "uid long, cno int, own string, head binary, head_ids binary, tail binary, tail_ids binary, ids binary"))
+                         "uid long, cno int, own string, head binary, head_ids binary, tail binary, tail_ids binary,"
+                         " ids binary"))
     whole = parts.groupBy("uid").applyInArrow(_stitch_group(vocab, pattern), "__uid long, __ids array<int>")
     whole = whole.select(F.col("__uid").alias(uid + "_r"), F.col("__ids"))
     joined = long_rows.join(whole, quoted(uid) == quoted(uid + "_r")).drop(uid, uid + "_r")
@@ -220,8 +218,7 @@ def _decode_batches(at: int, vocab: str):
 
 
 def decode(df: DataFrame, ids_col: str, vocab: str, out_col: str = "decoded") -> DataFrame:
-    """``df`` with the bytes of each id list added as ``out_col`` (binary): the tokens' raw bytes, one after another."""
+    """``df`` with the bytes of each id list added as ``out_col``: the tokens' raw bytes, one after another."""
     df = df.select(*[quoted(c) for c in df.columns if c.lower() != out_col.lower()])
-    fields = T.StructType([*df.schema.fields, T.StructField("__raw", T.BinaryType())])
-    out = df.mapInArrow(_decode_batches(df.columns.index(ids_col), vocab), fields)
+    out = map_arrow(df, _decode_batches(df.columns.index(ids_col), vocab), "__raw binary")
     return out.withColumnRenamed("__raw", out_col)

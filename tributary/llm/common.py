@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.session import scratch_path
 
@@ -36,6 +37,17 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(text.cast("binary")) % n
 
 
+def map_arrow(df: DataFrame, batches, added: str) -> DataFrame:
+    """``df`` with the columns that ``batches`` (a mapInArrow function) adds after the others; ``added``: their DDL.
+
+    Input columns may have any names, dots and repeats included: the function sees them by place only.
+    """
+    more = T.StructType.fromDDL(added)
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    out = plain.mapInArrow(batches, T.StructType([*plain.schema.fields, *more.fields]))
+    return out.toDF(*df.columns, *more.names)
+
+
 def write_out(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` below spark.checkpoint.dir and read it back: the lineage is
     cut, and a lost executor costs only the tasks that it was running."""

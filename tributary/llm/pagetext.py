@@ -35,9 +35,8 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from tributary.llm.common import quoted
+from tributary.llm.common import map_arrow, quoted
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)
     |<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))""", re.S | re.X)
@@ -356,6 +355,5 @@ def _extract(at: int, out_col: str, field: Field):
 def extract(df: DataFrame, html_col: str = "html", out_col: str = "text", field: Field | None = None) -> DataFrame:
     """``df`` with the main text of each page added as ``out_col``."""
     df = df.select(*[quoted(c) for c in df.columns if c.lower() != out_col.lower()])
-    fields = T.StructType([*df.schema.fields, T.StructField("text__", T.StringType())])
-    out = df.mapInArrow(_extract(df.columns.index(html_col), "text__", field or trained()), fields)
+    out = map_arrow(df, _extract(df.columns.index(html_col), "text__", field or trained()), "text__ string")
     return out.withColumnRenamed("text__", out_col)

@@ -35,9 +35,8 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tributary.llm.common import quoted
+from tributary.llm.common import map_arrow, quoted
 
 ALLOW, BLOCK = "allow", "block"
 ROWS = 1024          # urls probed at once
@@ -165,8 +164,8 @@ def judge(df: DataFrame, url_col: str, rules: Iterable[Rule]) -> DataFrame:
     path = os.path.join(tempfile.mkdtemp(prefix="url-rules-"), name)
     write_list(rules, path)
     df.sparkSession.sparkContext.addFile(path)
-    fields = T.StructType([*df.schema.fields, *[T.StructField(c, T.StringType()) for c in added]])
-    return df.mapInArrow(_judge_batches(df.columns.index(url_col), name), fields)
+    return map_arrow(df, _judge_batches(df.columns.index(url_col), name),
+                     ", ".join(f"{c} string" for c in added))
 
 
 def blocked(judged: DataFrame) -> DataFrame:
