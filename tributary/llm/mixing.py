@@ -81,7 +81,10 @@ def _fold(items: Column) -> Column:
         to_r = _uniform(r["h"], x["h"]) * (gain + loss) < loss
         r_done = F.when(to_r, r["a"] - r["u"] <= x["u"]).otherwise(r["u"] <= x["a"] - x["u"])
         extra = F.when(to_r == r_done, F.lit(1)).otherwise(F.lit(0))
-        carried = lambda y, u: F.struct(y["h"].alias("h"), y["a"].alias("a"), u.alias("u"), y["d"].alias("d"))
+
+        def carried(y: Column, u: Column) -> Column:
+            return F.struct(y["h"].alias("h"), y["a"].alias("a"), u.alias("u"), y["d"].alias("d"))
+
         left_x = F.when(to_r, x["u"] - gain).otherwise(x["u"] + loss)
         left_r = F.when(to_r, r["u"] + gain).otherwise(r["u"] - loss)
         decided = F.struct(F.when(r_done, r["d"]).otherwise(x["d"]).alias("d"), extra.alias("e"))

@@ -14,8 +14,8 @@ No bucket is expanded into pairs or collected:
 3. buckets whose nodes still lie in different classes are settled in blocks of
    about ``BLOCK`` nodes: a group holds two blocks, compares the signatures of
    nodes of different classes by array arithmetic, and gives out only pairs
-   whose estimate is above the threshold less ``SIGMAS`` standard deviations.
-   Those are compared exactly, too.  A first turn gives out the best pair of
+   whose estimate is above the threshold less ``SIGMAS`` standard deviations,
+   each in the first bucket that its nodes share.  Those are compared exactly, too.  A first turn gives out the best pair of
    every two classes, a second all pairs that are still between classes.
 
 So two linked nodes that share a bucket end in one class, save for the 0.1 % of
@@ -26,8 +26,8 @@ Texts are fetched for exact comparison only for the nodes concerned: a bitmap
 of ``MARKS`` bits (a fixed size) is broadcast to drop most other rows where
 they are read, an exact join follows.
 
-Classes are found by alternating large-star and small-star steps, every one
-written to the shared checkpoint folder.
+Classes are found by alternating large-star and small-star steps, every pair
+of them written to the shared checkpoint folder.
 
 Defined results: null and blank texts are alone in their class; a text of
 fewer than five words is one shingle; repeated rows and repeated or null ids
@@ -138,27 +138,24 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the least node of its component."""
     spark = edges.sparkSession
-    current = write_out(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
-                                                            F.least("a", "b").alias("b")).distinct(), "near-edges")
-    before = None
+    current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
         # large star: a node's larger neighbours join its least neighbour
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node and its smaller neighbours join the least of them
-        large = write_out(spark, large.where("a <> b").distinct(), "near-large")
+        large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionAll(least.select("a", F.col("m").alias("b"))).distinct())
-        current = write_out(spark, small, "near-small")
-        # all edges lead to roots when no node is both a member and a root, each with one root
-        state = current.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("a").alias("members"),
-                            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")).first()
-        if before == state:
+        current = write_out(spark, small, "near-stars")
+        # done when every node points to one other, which points to none
+        sides = (current.select(F.col("a").alias("node"), F.lit(1).alias("side"))
+                 .unionAll(current.select(F.col("b").alias("node"), F.lit(1000).alias("side")).distinct()))
+        if sides.groupBy("node").agg(F.sum("side").alias("s")).where("s NOT IN (1, 1000)").isEmpty():
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
                 current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = state
 
 
 def _rooted(nodes: DataFrame, column: str, roots: DataFrame, out: str) -> DataFrame:
@@ -175,7 +172,7 @@ def _block_pairs(threshold: float, best_only: bool):
     def run(table: pa.Table) -> pa.Table:
         block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
         node, root = (table.column(c).to_pylist() for c in ("node", "root"))
-        size = table.column("size").to_numpy()
+        size, band = table.column("size").to_numpy(), table.column("band")[0].as_py()
         lanes = np.frombuffer(b"".join(table.column("lanes").to_pylist()), dtype="<u2").reshape(len(node), -1)
         number = {r: i for i, r in enumerate(sorted(set(root)))}
         tree = np.array([number[r] for r in root])
@@ -184,7 +181,10 @@ def _block_pairs(threshold: float, best_only: bool):
             others = np.flatnonzero((block == high) & (tree != tree[i])
                                     & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
             others = others[others > i] if low[0] == high[0] else others
-            estimate = (lanes[others] == lanes[i]).mean(axis=1)
+            same = lanes[others] == lanes[i]
+            # a pair counts in its first band only
+            first = same.reshape(len(others), dart.BANDS, dart.ROWS).all(axis=2).argmax(axis=1) == band
+            others, estimate = others[first], same[first].mean(axis=1)
             for j, e in zip(others[estimate >= cut].tolist(), estimate[estimate >= cut].tolist(), strict=True):
                 x, y = (i, j) if node[i] > node[j] else (j, i)
                 key = (min(tree[i], tree[j]), max(tree[i], tree[j])) if best_only else (x, y)
@@ -207,7 +207,7 @@ def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     paired = left.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                         "block", "node", "root", "size", "lanes")
+                         "block", "band", "node", "root", "size", "lanes")
     pairs = (paired.groupBy("bucket", "low", "high")
              .applyInArrow(_block_pairs(threshold, best_only),
                            "a binary, b binary, ra binary, rb binary, estimate double"))
@@ -221,7 +221,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, root) for the nodes of (node, text) that have a near duplicate of a different text."""
     spark = docs.sparkSession
     nodes = write_out(spark, sketch(docs), "near-nodes")
-    members = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    members = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
     # each bucket's least node is met by the others
     centre = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("c"))
               .where("n > 1").select("bucket", "c"))
@@ -248,7 +248,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             roots = components(links)
 
     compare(write_out(spark, between(star.join(first, ["a", "b"], "left_anti")), "near-rest"))
-    members = members.select("bucket", "node", "size")
+    members = members.select("bucket", "band", "node", "size")
     compared = star.select("a", "b")
     for best_only in (True, False):
         pairs = write_out(spark, _settle(members, nodes, roots, threshold, best_only)
@@ -269,7 +269,7 @@ def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _grouped(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """All rows as (doc_id, node), and (node, class_id, class_rows, first_node) of the nodes in classes of several rows."""
+    """All rows as (doc_id, node), and the nodes in classes of several rows with their class."""
     text = quoted(text_col).cast("string")
     docs = df.select(node_of(text).alias("node"), text.alias("text"))
     rows = df.select(quoted(id_col).alias("doc_id"), node_of(text).alias("node"))

@@ -134,8 +134,6 @@ def blocks(html: str | None) -> list[Block]:
         if tag == "br":
             pieces.append(" ")
         if tag in SKIPPED:
-            if tag not in INLINE:
-                flush()
             if not m.group(3).endswith("/>"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
                 at = end.end() if end else size
@@ -293,7 +291,8 @@ def labelled_page(rng: random.Random) -> str:
         if container in LINKS:
             inner = link_list()
         elif container in FORMS:
-            inner = f'<label>{_words(rng, 1, 3)}</label><input name="q">' + rng.choice(("", f"<p>{_words(rng, 2, 20)}</p>"))
+            inner = f'<label>{_words(rng, 1, 3)}</label><input name="q">'
+            inner += rng.choice(("", f"<p>{_words(rng, 2, 20)}</p>"))
         elif container in FEET:
             inner = rng.choice(("&copy; ", "© 2020 ", "")) + _words(rng, 1, 25) + rng.choice(("", link_list()))
         elif container in COMMENTS:
@@ -306,7 +305,7 @@ def labelled_page(rng: random.Random) -> str:
         return _within(container, inner, rng)
 
     title = f"<h1>\x01{_words(rng, 1, 12)}</h1>"
-    main = prose("\x01", 1, 9)
+    main = prose("\x01", 1, rng.choice((1, 3, 9, 9)))
     if rng.random() < 0.15:
         main += rest(rng.choice(ADS + SIDE + LINKS)) + prose("\x01", 1, 4)
     main = rng.choice((title, f"<header>{title}</header>" if rng.random() < 0.3 else title, "")) + main
@@ -314,8 +313,10 @@ def labelled_page(rng: random.Random) -> str:
     odd = "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=12))
     plain = rng.choice(("", "div", f'div class="{odd}"', f'section id="{odd}"', "section"))
     body = _within(rng.choice(OUTER), _within(rng.choice(MAIN) if rng.random() < 0.6 else plain, main, rng), rng)
-    before = [rest(rng.choice(kind)) for kind in (HEADS, LINKS, ADS, NOTICES, SIDE, FORMS) if rng.random() < 0.35]
-    after = [rest(rng.choice(kind)) for kind in (COMMENTS, SIDE, LINKS, ADS, NOTICES, FORMS, FEET)
+    bare = rng.random() < 0.2        # nothing but main text
+    before = [] if bare else [rest(rng.choice(kind)) for kind in (HEADS, LINKS, ADS, NOTICES, SIDE, FORMS)
+                              if rng.random() < 0.35]
+    after = [] if bare else [rest(rng.choice(kind)) for kind in (COMMENTS, SIDE, LINKS, ADS, NOTICES, FORMS, FEET)
              if rng.random() < 0.35]
     rng.shuffle(before)
     tail = rng.choice(("</body></html>", "</body></html>", ""))

@@ -125,7 +125,8 @@ WITH u AS (
   FROM pages),
 p AS (
   SELECT r, page_id,
-         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM u),
 rules(host, path, verdict) AS (
@@ -189,7 +190,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_bloomlm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact add-one score and log-frequency Bloom filter score of every text; every seventh id (by crc32) is held out."""
+    """Exact add-one score and Bloom filter score of every text; every seventh id (by crc32) is held out."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod(F.col("doc_id"), 7) == 2
     model = bloomlm.train(docs, "text", ~held_out)

@@ -81,11 +81,12 @@ def tokenize(texts: list[str | None]) -> Tokens:
     first = np.concatenate(([0], np.cumsum(lens)[:-1]))
     word = np.add.reduceat(byte * byte * _POWERS[place & 63], first)
     word = ((word * _MIX) >> np.uint64(64 - 15)).astype(np.int32)
-    # four characters from the one before each place on; other bytes count as a blank
+    # four characters from the one before each place on; what follows a token's end counts as blank
     shown = np.where(inside, data, 32).astype(np.uint64)
     shown = np.concatenate(([np.uint64(32)], shown))
-    gram = (shown[held] | shown[held + 1] << np.uint64(8) | shown[held + 2] << np.uint64(16)
-            | shown[np.minimum(held + 3, len(shown) - 1)] << np.uint64(24))
+    second = shown[held + 2]
+    third = np.where(second == 32, np.uint64(32), shown[np.minimum(held + 3, len(shown) - 1)])
+    gram = shown[held] | shown[held + 1] << np.uint64(8) | second << np.uint64(16) | third << np.uint64(24)
     chars = ((gram * _MIX) >> np.uint64(64 - 16)).astype(np.int32)
     return Tokens(word, chars, np.cumsum(lens), counts)
 
