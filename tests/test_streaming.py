@@ -141,14 +141,15 @@ def test_delayed_echo_stream(spark):
 def test_control_block_stream(spark):
     src = _dir()
     pq.write_table(pa.table({
-        "key": ["DROP", "IGNORE", "IGNORE", "Spark", "DROP", "Forward", "Late"],
-        "tag": ["control", "control", "data", "data", "data", "data", "data"],
-        "value": ["DROP", "IGNORE", "IGNORE", "Spark", "DROP", "Forward", "Late"],
+        "key": ["harbour", "pebble", "pebble", "lantern", "harbour", "harbour", "orchard"],
+        "tag": ["data", "control", "data", "data", "control", "data", "data"],
+        "value": ["before", "", "blocked", "free", "", "after", "free too"],
         "seq": pa.array([0, 1, 2, 3, 4, 5, 6], pa.int64()),
     }), os.path.join(src, "c.parquet"))
     tagged = spark.readStream.schema("key string, tag string, value string, seq long").parquet(src)
     out = jobs.run_available(jobs.control_block_stream(tagged), "append", "j1")
-    assert sorted(r.value for r in out.collect()) == ["Forward", "Late", "Spark"]
+    # a data row that comes before its control row passes
+    assert sorted(r.value for r in out.collect()) == ["before", "free", "free too"]
 
 
 def test_topic_workflows_equal_bounded_rounds(spark):
@@ -300,3 +301,14 @@ def test_enrich_stream_equals_batch(spark):
                            "txId", ["status"], ["instant", "seq", "phase"]).withColumnRenamed("status", "tx_status")
     want = sorted(map(tuple, enrich(bl, state, "txId").select("txId", "account", "phase", "tx_status").collect()))
     assert got == want
+
+
+def test_streams_over_a_table_of_several_files(spark):
+    """A table that is a folder of files streams like one that is a file."""
+    src = _dir()
+    whole = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    whole.repartition(3).write.parquet(os.path.join(src, "events.parquet"))
+    for max_files in (None, 1):
+        stream = jobs.read_table_stream(spark, src, "events", max_files)
+        got = jobs.run_available(stream, "append", "folder")
+        assert got.exceptAll(whole).count() == 0 and got.count() == whole.count()

@@ -29,19 +29,9 @@ def acting_account(status: Column, from_account: Column, to_account: Column) ->
     return F.when(status == S.DEBIT_SUCCESS, to_account).otherwise(from_account)
 
 
-def shall_debit(status: Column, pending_design: bool = False) -> Column:
-    """v1 debits CREATED and RETRY; the pending-list design debits CREATED only."""
-    if pending_design:
-        return status == S.CREATED
-    return status.isin(S.CREATED, S.RETRY_BALANCE_NOT_ENOUGH)
-
-
-def shall_credit(status: Column) -> Column:
-    return status == S.DEBIT_SUCCESS
-
-
 def cents(amount: Column) -> Column:
-    """Money inside folds and sums is exact integer cents."""
+    """Money inside folds and sums is exact integer cents; half a cent rounds
+    away from zero, in batches as in streams (``processors.whole_cents``)."""
     return F.round(amount * 100).cast("long")
 
 
@@ -113,7 +103,10 @@ def with_defaults(df, id_default: Column | None = None, instant_default: Column
 
 
 def expand_range(range_text: Column) -> Column:
-    """``"100001-100010"`` -> array of account names 100001 .. 100010 (inclusive)."""
+    """``"100001-100010"`` -> array of account names 100001 .. 100010 (inclusive);
+    a descending range gives no accounts."""
     parts = F.split(range_text, "-")
-    return F.transform(F.sequence(parts[0].cast("int"), parts[1].cast("int")),
-                       lambda n: n.cast("string"))
+    first, last = parts[0].cast("int"), parts[1].cast("int")
+    ascending = F.sequence(F.least(first, last), last)
+    return F.when(first <= last, F.transform(ascending, lambda n: n.cast("string"))).otherwise(
+        F.array().cast("array<string>"))

@@ -1,8 +1,7 @@
 """Joins that replace the connected/broadcast stream operators and the state lookups.
 
 Broadcasting is only done for a side whose size is proven small: a literal
-request list, a side that passes ``broadcast_if_small`` (a bounded row
-count), or a shuffle stage whose measured output AQE finds under the
+request list, or a shuffle stage whose measured output AQE finds under the
 broadcast threshold at run time.  Otherwise the join stays a shuffle join.
 """
 
@@ -11,17 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast after a row-count check.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def latest_per_key(events: DataFrame, key: str, value_cols: list[str], order_cols: list[str]) -> DataFrame:
     """Last value per key by ``order_cols`` (an upsert into a map, replayed).
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tributary import schemas as S
 from tributary.functions.ledger import acting_account, cents, from_cents
-from tributary.operators.running import blocked_running_sum, ordered_running_sum, time_block
+from tributary.operators.running import ordered_running_sum
 
 
 
@@ -56,22 +56,15 @@ def account_balance(legs: DataFrame) -> DataFrame:
 
 
 def running_balance(rows: DataFrame, key: str, delta_cents_col: str, out_col: str,
-                    block_seconds: int | None = None, as_cents: bool = False) -> DataFrame:
+                    as_cents: bool = False) -> DataFrame:
     """Add ``out_col``: balance of ``key`` after each row, in ``schemas.ORDER``
     (a double, or integer cents with ``as_cents``).
 
     Blocks are quantile slices of the instant (skew-proof: a block holds about
-    1/P of all rows); with ``block_seconds`` they are fixed time buckets
-    instead (no quantile pass, but a key dense inside one bucket is ordered
-    in one task)."""
+    1/P of all rows)."""
     order = list(S.ORDER)
-    if block_seconds:
-        blocked = rows.withColumn("_block", time_block(F.col("instant"), block_seconds))
-        out = blocked_running_sum(blocked, keys=[key], order_cols=order, block_col="_block",
-                                  value_col=delta_cents_col, out_col="_rs").drop("_block")
-    else:
-        out = ordered_running_sum(rows, [key], order, delta_cents_col, "_rs",
-                                  order_value=F.unix_micros(F.col("instant")))
+    out = ordered_running_sum(rows, [key], order, delta_cents_col, "_rs",
+                              order_value=F.unix_micros(F.col("instant")))
     value = F.col("_rs").cast("long") if as_cents else from_cents(F.col("_rs"))
     return out.withColumn(out_col, value).drop("_rs")
 

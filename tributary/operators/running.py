@@ -21,11 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def time_block(ts: Column, seconds: int) -> Column:
-    """Bucket number of a timestamp: non-decreasing in time."""
-    return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
-
-
 def blocked_running_sum(df: DataFrame, keys: list[str], order_cols: list, block_col: str,
                         value_col: str, out_col: str) -> DataFrame:
     """Add ``out_col`` = inclusive running sum of ``value_col`` per ``keys``.

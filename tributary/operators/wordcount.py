@@ -41,11 +41,17 @@ def word_count_running(df: DataFrame, order_cols: list[str], text_col: str = "te
     in parallel and then offset by the counts of the slices before it; the
     words of one record always share a slice.
     """
-    # numeric order of a record: (first, second order column) packed losslessly
-    # while the second stays below 2^20 and the first below 2^33; slices are
-    # cut on records (before tokenizing, so the text is split only once)
-    record = (F.col(order_cols[0]).cast("double") * float(1 << 20)
-              + (F.col(order_cols[1]).cast("double") if len(order_cols) > 1 else F.lit(0.0)))
+    # a number that never falls along (first, second): the first counts in steps
+    # wider than the range of the second, as it is in the data.  Rounding to a
+    # double keeps the order (it can only tie records, which then share a slice).
+    # Slices are cut on records, before tokenizing.
+    record = F.col(order_cols[0]).cast("decimal(38,0)")
+    if len(order_cols) > 1:
+        second = F.col(order_cols[1])
+        low, high = df.agg(F.min(second), F.max(second)).first()
+        step = (high - low + 1) if low is not None else 1
+        record = (F.col(order_cols[0]).cast("decimal(19,0)") * F.lit(step).cast("decimal(18,0)")
+                  + (second - F.lit(low if low is not None else 0)).cast("decimal(18,0)"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocked = quantile_blocks(df, record, n)
     tokens = tokenize(blocked, text_col, keep=tuple(order_cols) + ("_qblk",))

@@ -57,6 +57,10 @@ def _balance_rows(balances: DataFrame) -> DataFrame:
         F.lit("balance").alias("_kind"), F.lit(-2).alias("_prio"))
 
 
+# rounds after which their tables are replaced by one of current state
+COMPACT_ROUNDS = 8
+
+
 def _latest_state(history: DataFrame, accounts: DataFrame | None, pending_design: bool):
     """Latest closing balance (and, v2, latest pending rows) of the given
     accounts (all accounts when None), read from the per-round tables.
@@ -77,8 +81,22 @@ def _latest_state(history: DataFrame, accounts: DataFrame | None, pending_design
     return last, pending
 
 
-def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
-    """Run the rounds.  Returns ``(completed, balances, rounds)``.
+def _compact(spark, paths: list[str], schema, pending_design: bool) -> str:
+    """One table with the current state of all accounts, in place of the rounds' tables."""
+    history = spark.read.schema(schema).parquet(*paths)
+    last, _ = _latest_state(history, None, pending_design)
+    state = (history.where(F.col("_kind").isin("balance", "pending"))
+             .join(last.select("account", "_last"), "account").where(F.col("_round") == F.col("_last")))
+    path = scratch_path(spark, "state")
+    state.select(*schema.fieldNames()).write.parquet(path)
+    return path
+
+
+def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int | None = None):
+    """Run the rounds until no transfer is in flight.  Returns ``(completed, balances, rounds)``.
+
+    ``max_rounds`` is a limit of the caller's own: reaching it with transfers
+    still in flight raises, nothing is cut off silently.
 
     ``completed``: every transfer once, final status FULFILLED or
     CANCELLED_BALANCE_NOT_ENOUGH, with ``retriedTimes`` and the ``round`` it
@@ -86,7 +104,8 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
 
     State lives in the append-only round tables: a round reads the balances
     (and pending lists) of only the accounts it touches (a semi join), so late
-    rounds with few transfers do not move every account's state again.
+    rounds with few transfers do not move every account's state again.  Every
+    ``COMPACT_ROUNDS`` rounds one table of current state replaces the others.
     """
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
@@ -133,8 +152,12 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
             nxt = credits.unionByName(again)
         completed.append(done.select(*_TX_COLS, F.lit(rounds - 1).alias("round")))
         raw = nxt.select(*_TX_COLS, F.lit("row").alias("_kind"), _prio().alias("_prio"))
-        if raw.isEmpty() or rounds >= max_rounds:
+        if raw.isEmpty():
             break
+        if max_rounds is not None and rounds >= max_rounds:
+            raise RuntimeError(f"transfers still in flight after {max_rounds} rounds")
+        if len(paths) >= COMPACT_ROUNDS:
+            paths = [_compact(spark, paths, schema, pending_design)]
     last, pending = _latest_state(spark.read.schema(schema).parquet(*paths), None, pending_design)
     if pending is not None:
         # Nothing will credit these any more: cancel what is still waiting.
@@ -148,11 +171,11 @@ def run_workflow(tx: DataFrame, pending_design: bool, max_rounds: int = 64):
     return result, final_balances, rounds
 
 
-def workflow_retry(tx: DataFrame, max_rounds: int = 64):
+def workflow_retry(tx: DataFrame, max_rounds: int | None = None):
     """Retry through a topic (v1 rules, 5 retries, then cancel)."""
     return run_workflow(tx, pending_design=False, max_rounds=max_rounds)
 
 
-def workflow_pending(tx: DataFrame, max_rounds: int = 64):
+def workflow_pending(tx: DataFrame, max_rounds: int | None = None):
     """Pending list in keyed state (v2 rules)."""
     return run_workflow(tx, pending_design=True, max_rounds=max_rounds)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tributary.functions.text import upper
 from tributary.operators import wordcount as wc
 from tributary.plans.registry import register
-from tributary.sources.tables import read_table, spread_for_cpu
+from tributary.sources.tables import read_table
 
 # Words asked for by the lookup queries (two frequent words and one that never
 # occurs, which must come back with a null count).
@@ -15,7 +15,7 @@ LOOKUP_WORDS = ("the", "and", "zzqxj")
 
 
 def _text_of(spark, sf_dir, table="documents", cols=("doc_id", "text")):
-    return spread_for_cpu(read_table(spark, sf_dir, table).select(*cols))
+    return read_table(spark, sf_dir, table).select(*cols)
 
 
 @register("word_count", """

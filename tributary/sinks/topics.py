@@ -36,15 +36,21 @@ def text_messages(df: DataFrame, text: Column, topic: str | None = None) -> Data
     return out.withColumn("topic", F.lit(topic)) if topic else out
 
 
-def print_rows(df: DataFrame, label: str | None = None, stream: bool | None = None, n: int = 20):
-    """K1: print rows, optionally prefixed with a label (console sink for a
-    stream, ``show`` of the first rows for a bounded frame)."""
+def _print_all(df: DataFrame) -> None:
+    """Print every row, fetched one partition at a time."""
+    for row in df.toLocalIterator():
+        print(*row, sep=" | ")
+
+
+def print_rows(df: DataFrame, label: str | None = None, stream: bool | None = None):
+    """K1: print every row on the driver, optionally prefixed with a label; a
+    stream prints each micro-batch."""
     framed = df.select(F.lit(label).alias("label"), "*") if label else df
     if stream if stream is not None else df.isStreaming:
         from tributary.session import scratch_path
-        return (framed.writeStream.format("console").option("truncate", "false")
+        return (framed.writeStream.foreachBatch(lambda batch, _: _print_all(batch))
                 .option("checkpointLocation", scratch_path(df.sparkSession, "console")).start())
-    framed.show(n, truncate=False)
+    _print_all(framed)
     return None
 
 

@@ -30,21 +30,3 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams need TIMESTAMP, so it is cast once here (session zone is UTC).
     """
     return read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-
-
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Rebalance rows before CPU-heavy per-row work (regex tokenizing) when
-    the scan yields fewer splits than the cluster has task slots.
-
-    Large inputs already scan in many splits (one per row group / file
-    chunk), so this is a no-op at scale; it only fixes inputs stored as a
-    few large row groups, where one task would otherwise do all the work.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    if splits < slots:
-        return df.repartition(slots)
-    return df

@@ -24,7 +24,7 @@ from tributary.functions.ledger import acting_account, is_external
 from tributary.operators.wordcount import tokenize
 from tributary.session import scratch_path
 from tributary.sources.ledger import ledger_from_events
-from tributary.sources.tables import read_table
+from tributary.sources.tables import read_table, table_path
 from tributary.streaming import processors as P
 
 
@@ -44,11 +44,20 @@ def use_rocksdb(spark: SparkSession) -> None:
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A driver table as a file stream (schema taken from the file, never inferred per batch)."""
     schema = read_table(spark, sf_dir, name).schema
-    reader = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", f"{name}.parquet"))
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(sf_dir)
+    path = table_path(sf_dir, name)
+    if _is_folder(spark, path):
+        return reader.parquet(path)
+    # a file source watches folders: of this one only the table's file
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark reads is a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,6 +47,12 @@ _PENDING_SCHEMA = ("txId string, fromAccount string, toAccount string, amount do
                    "instant_us long, retriedTimes int, seq long, phase int, cents long, deadline_ms long")
 
 
+def whole_cents(amount):
+    """Integer cents of amounts; half a cent rounds away from zero, as Spark's ``round`` does."""
+    hundredfold = np.asarray(amount, dtype=np.float64) * 100
+    return (np.sign(hundredfold) * np.floor(np.abs(hundredfold) + 0.5)).astype(np.int64)
+
+
 def _ordered(rows, credits_first: bool = False) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
     if not frames:
@@ -95,7 +101,7 @@ class CheckedDebitProcessor(StatefulProcessor):
         state = self.balance.get()
         bal = state[0] if state else 0
         statuses = pdf["status"].tolist()
-        cents = np.rint(pdf["amount"].to_numpy() * 100).astype(np.int64).tolist()
+        cents = whole_cents(pdf["amount"].to_numpy()).tolist()
         payers = pdf["fromAccount"].tolist()
         new_status, balances = [], []
         for st, c, frm in zip(statuses, cents, payers):
@@ -151,7 +157,7 @@ class PendingDebitProcessor(StatefulProcessor):
         pending = list(self.pending.get()) if self.pending.exists() else []
         out = []
         for r in pdf.itertuples(index=False):
-            st, c = r.status, int(round(r.amount * 100))
+            st, c = r.status, int(whole_cents(r.amount))
             us = int(pd.Timestamp(r.instant).value // 1000)
             if st == S.CREATED:
                 if _is_external(r.fromAccount) or bal - c >= 0:

@@ -140,9 +140,11 @@ def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkp
 
 
 def run_until_quiet(tx: DataFrame, pending_design: bool, base: str | None = None,
-                    max_loops: int = 64) -> tuple[DataFrame, int]:
+                    max_loops: int | None = None) -> tuple[DataFrame, int]:
     """Seed ``tx`` and alternate the two jobs until no new raw message arrives.
 
+    ``max_loops`` is a limit of the caller's own; reaching it raises.
+
     Returns the completed topic (decoded) and the number of loops.
     """
     spark = tx.sparkSession
@@ -151,7 +153,9 @@ def run_until_quiet(tx: DataFrame, pending_design: bool, base: str | None = None
     ck_after = scratch_path(spark, "after-debit-job")
     seed(tx, base)
     loops = 0
-    while loops < max_loops:
+    while True:
+        if max_loops is not None and loops >= max_loops:
+            raise RuntimeError(f"messages still in flight after {max_loops} loops")
         q = balance_job(spark, base, pending_design, ck_balance)
         q.awaitTermination()
         read = sum(p["numInputRows"] for p in q.recentProgress)
