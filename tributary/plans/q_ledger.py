@@ -115,8 +115,8 @@ def q_debit_check(spark, sf_dir):
     return debit.checked_debit(feed).select(*DEBIT_OUT)
 
 
-@register("debit_pending", None, ("events",),
-          note="ordered fold with a pending list; checked against a Python model in tests")
+@register("debit_pending", "WITH RECURSIVE " + Q.pending_debit_sql(Q.FIRST_ROUND, BOUNDED_MAX_WAIT_MS)
+          + " SELECT " + ", ".join(DEBIT_OUT) + ", maxWaitTime FROM settled", ("events",))
 def q_debit_pending(spark, sf_dir):
     """Checked debit with a pending list (event time, max wait one day)."""
     feed = debit.first_round_feed(read_ledger(spark, sf_dir))

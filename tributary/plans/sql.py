@@ -87,3 +87,76 @@ checked AS (
               WHEN status = 'DEBIT_SUCCESS' THEN 'FULFILLED' ELSE status END,
          {from_cents(running('d', 'account'))}
   FROM hot)"""
+
+
+def pending_debit_sql(feed_cte: str, max_wait_ms: int) -> str:
+    """T3 as a recursive CTE with the pending debits of an account as a list.
+
+    A step either takes the account's next row (first dropping, as cancelled,
+    the pending debits whose deadline has come) or, after a credit, looks at
+    one pending debit (``i``) and releases it if the balance covers it.
+    Result CTE: ``settled`` (account, txId, phase, amount, status, balance, maxWaitTime).
+    """
+    def struct(src: str, status: str, bal: str, wait: str) -> str:
+        return (f"{{'txId': {src}.txId, 'phase': {src}.phase, 'amount': {src}.amount, 'status': {status}, "
+                f"'bal': {bal}, 'w': {wait}}}")
+
+    def cancelled(items: str) -> str:
+        return f"list_transform({items}, lambda x: {struct('x', repr('CANCELLED_BALANCE_NOT_ENOUGH'), 'b', 'x.due')})"
+
+    expired = cancelled("list_filter(pend, lambda y: y.due <= now)")
+    live = "list_filter(pend, lambda y: y.due > now)"
+    ok = "(lower(fromAccount) = 'external' OR b - c >= 0)"
+    taken = "(pend[i].c <= b)"
+    return feed_cte + f""",
+keyed AS (
+  SELECT txId, phase, CAST(amount AS DOUBLE) AS amount, status, fromAccount, seq, instant,
+         CASE WHEN status = 'DEBIT_SUCCESS' THEN toAccount ELSE fromAccount END AS account,
+         {cents('amount')} AS c, epoch_us(instant) // 1000 AS now, CAST(maxWaitTime AS BIGINT) AS w
+  FROM feed),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY account ORDER BY instant, seq, phase) AS rn
+  FROM keyed WHERE lower(account) <> 'external'),
+fold AS (
+  SELECT DISTINCT account, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS i,
+         CAST(0 AS BIGINT) AS b,
+         CAST([] AS STRUCT(txId VARCHAR, phase INTEGER, amount DOUBLE, c BIGINT, due BIGINT)[]) AS pend,
+         CAST([] AS STRUCT(txId VARCHAR, phase INTEGER, amount DOUBLE, status VARCHAR, bal BIGINT, w BIGINT)[]) AS outs
+  FROM ordered
+  UNION ALL
+  SELECT account, n + 1, CASE WHEN i > 0 THEN rn ELSE rn + 1 END,
+         CASE WHEN i > 0 THEN CASE WHEN {taken} THEN CASE WHEN i < len(pend) THEN i ELSE 0 END
+                                   WHEN i < len(pend) THEN i + 1 ELSE 0 END
+              WHEN status = 'DEBIT_SUCCESS' AND len({live}) > 0 THEN 1 ELSE 0 END,
+         CASE WHEN i > 0 THEN CASE WHEN {taken} THEN b - pend[i].c ELSE b END
+              WHEN status = 'CREATED' AND {ok} THEN b - c WHEN status = 'DEBIT_SUCCESS' THEN b + c ELSE b END,
+         CASE WHEN i > 0 THEN CASE WHEN {taken} THEN list_concat(pend[1:i - 1], pend[i + 1:]) ELSE pend END
+              WHEN status = 'CREATED' AND NOT {ok}
+                THEN list_append({live}, {{'txId': txId, 'phase': phase, 'amount': amount, 'c': c,
+                                           'due': now + {max_wait_ms}}})
+              ELSE {live} END,
+         CASE WHEN i > 0 THEN CASE WHEN {taken} THEN [{struct('pend[i]', "'DEBIT_SUCCESS'", 'b - pend[i].c', 'pend[i].due')}]
+                                   ELSE [] END
+              WHEN status = 'CREATED' AND {ok}
+                THEN list_append({expired}, {struct('s', "'DEBIT_SUCCESS'", 'b - c', 'w')})
+              WHEN status = 'DEBIT_SUCCESS' THEN list_append({expired}, {struct('s', "'FULFILLED'", 'b + c', 'w')})
+              ELSE {expired} END
+  FROM (SELECT f.account, f.n, f.rn, f.i, f.b, f.pend, o.txId, o.phase, o.amount, o.status, o.fromAccount, o.c, o.now,
+               o.w, o.rn AS orn
+        FROM fold f LEFT JOIN ordered o ON f.i = 0 AND o.account = f.account AND o.rn = f.rn + 1) s
+  WHERE i > 0 OR orn IS NOT NULL),
+ended AS (
+  SELECT account, arg_max(b, n) AS b, arg_max(pend, n) AS pend FROM fold GROUP BY account),
+emitted AS (
+  SELECT account, unnest(outs) AS x FROM fold
+  UNION ALL
+  SELECT account, unnest({cancelled('pend')}) FROM ended),
+hot AS (
+  SELECT *, CASE WHEN status = 'CREATED' THEN -c ELSE c END AS d
+  FROM keyed WHERE lower(account) = 'external' AND status IN ('CREATED', 'DEBIT_SUCCESS')),
+settled AS (
+  SELECT account, x.txId AS txId, x.phase AS phase, x.amount AS amount, x.status AS status,
+         {from_cents('x.bal')} AS balance_after, x.w AS maxWaitTime FROM emitted
+  UNION ALL
+  SELECT account, txId, phase, amount, CASE WHEN status = 'CREATED' THEN 'DEBIT_SUCCESS' ELSE 'FULFILLED' END,
+         {from_cents(running('d', 'account'))}, w FROM hot)"""
