@@ -320,8 +320,8 @@ def q_route_topics(spark, sf_dir):
 _WORKFLOW_OUT = ["txId", "phase", "status", "retriedTimes", "round"]
 
 
-@register("workflow_retry", None, ("events",),
-          note="rounds to a fixpoint; checked by invariants and a Python model in tests")
+@register("workflow_retry", "WITH RECURSIVE " + Q.workflow_retry_sql(S.MAX_RETRIES)
+          + " SELECT " + ", ".join(_WORKFLOW_OUT) + " FROM completed", ("events",))
 def q_workflow_retry(spark, sf_dir):
     """The v1 feedback workflow over the whole ledger, run in rounds; the
     completed topic (one final row per transfer)."""

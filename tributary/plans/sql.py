@@ -160,3 +160,60 @@ settled AS (
   UNION ALL
   SELECT account, txId, phase, amount, CASE WHEN status = 'CREATED' THEN 'DEBIT_SUCCESS' ELSE 'FULFILLED' END,
          {from_cents(running('d', 'account'))}, w FROM hot)"""
+
+
+def workflow_retry_sql(max_retries: int) -> str:
+    """T7 written out round by round: a transfer is decided in round ``max_retries``
+    at the latest and credited in the next.  Result CTE: ``completed`` (txId, phase,
+    status, retriedTimes, round)."""
+    cols = "txId, fromAccount, toAccount, c, instant, seq"
+    out = LEDGER + f""",
+r0 AS MATERIALIZED (
+  SELECT txId, fromAccount, toAccount, {cents('amount')} AS c, instant, seq, status, retriedTimes AS k, phase
+  FROM ledger),
+b0 AS MATERIALIZED (SELECT CAST(NULL AS VARCHAR) AS account, CAST(0 AS BIGINT) AS b WHERE false)"""
+    debit = "status IN ('CREATED', 'RETRY_BALANCE_NOT_ENOUGH')"
+    ocols = ", ".join(f"o.{x}" for x in cols.split(", "))
+    any_cols = ", ".join(f"any_value({x}) AS {x}" for x in cols.split(", "))
+    last = max_retries + 1
+    for r in range(last + 1):
+        out += f""",
+a{r} AS MATERIALIZED (
+  SELECT *, CASE WHEN status = 'DEBIT_SUCCESS' THEN toAccount ELSE fromAccount END AS account FROM r{r}),
+o{r} AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY account ORDER BY status <> 'DEBIT_SUCCESS', instant, seq, phase) AS rn
+  FROM a{r} WHERE lower(account) <> 'external'),
+f{r} AS (
+  SELECT account, CAST(0 AS BIGINT) AS rn, coalesce(any_value(b{r}.b), 0) AS bal, {any_cols},
+         CAST(NULL AS VARCHAR) AS status, any_value(k) AS k, any_value(phase) AS phase
+  FROM o{r} LEFT JOIN b{r} USING (account) GROUP BY account
+  UNION ALL
+  SELECT o.account, o.rn,
+         CASE WHEN o.status = 'DEBIT_SUCCESS' THEN f.bal + o.c
+              WHEN lower(o.fromAccount) = 'external' OR f.bal - o.c >= 0 THEN f.bal - o.c ELSE f.bal END,
+         {ocols},
+         CASE WHEN o.status = 'DEBIT_SUCCESS' THEN 'FULFILLED'
+              WHEN lower(o.fromAccount) = 'external' OR f.bal - o.c >= 0 THEN 'DEBIT_SUCCESS'
+              ELSE 'RETRY_BALANCE_NOT_ENOUGH' END, o.k, o.phase
+  FROM f{r} f JOIN o{r} o ON o.account = f.account AND o.rn = f.rn + 1),
+e{r} AS MATERIALIZED (
+  SELECT {cols}, status, k, phase FROM f{r} WHERE rn > 0
+  UNION ALL
+  SELECT {cols}, CASE WHEN {debit} THEN 'DEBIT_SUCCESS' ELSE 'FULFILLED' END, k, phase
+  FROM a{r} WHERE lower(account) = 'external'),
+b{r + 1} AS MATERIALIZED (
+  SELECT account, arg_max(bal, rn) AS b FROM f{r} GROUP BY account
+  UNION ALL
+  SELECT account, b FROM b{r} WHERE account NOT IN (SELECT account FROM f{r})),
+r{r + 1} AS MATERIALIZED (
+  SELECT {cols}, status, CASE WHEN status = 'DEBIT_SUCCESS' THEN k ELSE k + 1 END AS k,
+         CASE WHEN status = 'DEBIT_SUCCESS' THEN phase + 1 ELSE phase END AS phase
+  FROM e{r} WHERE status = 'DEBIT_SUCCESS' OR (status = 'RETRY_BALANCE_NOT_ENOUGH' AND k < {max_retries}))"""
+    done = "\n  UNION ALL\n  ".join(
+        f"SELECT txId, phase, CASE WHEN status = 'FULFILLED' THEN status "
+        f"ELSE 'CANCELLED_BALANCE_NOT_ENOUGH' END AS status, k AS retriedTimes, {r} AS round FROM e{r} "
+        f"WHERE status = 'FULFILLED' OR (status = 'RETRY_BALANCE_NOT_ENOUGH' AND k >= {max_retries})"
+        for r in range(last + 1))
+    return out + f""",
+completed AS (
+  {done})"""
