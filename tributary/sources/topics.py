@@ -26,6 +26,12 @@ def topic_path(base: str, topic: str) -> str:
     return os.path.join(base, f"topic={topic}")
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder in whatever file system its path names (a stream cannot watch a missing one)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def read_messages(spark: SparkSession, topic: str, base: str | None = None,
                   kafka_servers: str | None = None, stream: bool = True,
                   starting_offsets: str = "earliest") -> DataFrame:
@@ -36,7 +42,7 @@ def read_messages(spark: SparkSession, topic: str, base: str | None = None,
               .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
         return df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     path = topic_path(base, topic)
-    os.makedirs(path, exist_ok=True) if "://" not in path else None
+    ensure_folder(spark, path)
     if stream:
         return spark.readStream.schema(MESSAGE).json(path)
     return spark.read.schema(MESSAGE).json(path)

@@ -9,10 +9,13 @@ Two queries exchange messages through topics, like the live system:
   FULFILLED to completed, RETRY to the wait stage (retry with counter+1, or
   cancel after 5 retries); v2: DEBIT_SUCCESS to raw, all else completed.
 
-Topics are Kafka topics or folders (``sources.topics``); each job writes all
-its routes in one pass with a computed topic column.  Folder writes go
-through ``foreachBatch`` into a per-batch folder with overwrite, so a
-replayed batch rewrites the same files (idempotent).
+Topics are Kafka topics (``kafka_servers``) or folders (``sources.topics``);
+each job writes all its routes with a computed topic column.  Both sinks are
+at least once: a replayed batch can publish its messages again (a folder's
+batch is rewritten under new file names, which the other job's file source
+takes for new).  So both jobs drop messages whose (txId, status, retriedTimes,
+phase) they have read before, and a replay moves no money twice.  What was
+read is kept in the job's state.
 
 ``run_until_quiet`` drives the loop offline: alternate ``availableNow`` runs
 of the two jobs until the balance job reads nothing new.  With
@@ -25,8 +28,6 @@ records the due time, since replay has no wall clock to wait for.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ from tributary import schemas as S
 from tributary.functions.codec import decode_frame, to_messages
 from tributary.functions.ledger import retry_delay_ms
 from tributary.session import scratch_path
-from tributary.sources.topics import MESSAGE, topic_path
+from tributary.sources.topics import MESSAGE, ensure_folder, read_messages, topic_path
 from tributary.streaming import jobs
 
 # BANK_TX plus the ordering columns, as carried inside the messages.
@@ -44,11 +45,29 @@ ORDERED_TX = T.StructType(S.BANK_TX.fields + [T.StructField("seq", T.LongType())
 _FIELDS = ORDERED_TX.fieldNames()
 
 
-def _read(spark: SparkSession, base: str, topic: str) -> DataFrame:
-    path = topic_path(base, topic)
-    os.makedirs(path, exist_ok=True)
-    msgs = spark.readStream.schema(MESSAGE).json(os.path.join(path, "*"))
-    return decode_frame(msgs, "value", schema=ORDERED_TX).select(*_FIELDS)
+# What a message is known by.
+_MESSAGE_ID = ["txId", "status", "retriedTimes", "phase"]
+
+
+def _read(spark: SparkSession, base: str, topic: str, kafka_servers: str | None = None) -> DataFrame:
+    """Transfers of a topic, each message once."""
+    if kafka_servers:
+        msgs = read_messages(spark, topic, kafka_servers=kafka_servers)
+    else:
+        path = topic_path(base, topic)
+        ensure_folder(spark, path)
+        msgs = spark.readStream.schema(MESSAGE).json(f"{path}/*")
+    return decode_frame(msgs, "value", schema=ORDERED_TX).select(*_FIELDS).dropDuplicates(_MESSAGE_ID)
+
+
+def _start(msgs: DataFrame, base: str, name: str, checkpoint: str, trigger: dict, kafka_servers: str | None):
+    """Start writing a stream of (topic, key, value) to Kafka or to topic folders."""
+    if kafka_servers:
+        writer = (msgs.selectExpr("topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+                  .writeStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers))
+    else:
+        writer = msgs.writeStream.foreachBatch(_writer(base, name))
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def _writer(base: str, name: str):
@@ -56,7 +75,7 @@ def _writer(base: str, name: str):
         batch = batch.persist()
         for (topic,) in batch.select("topic").distinct().collect():
             (batch.where(F.col("topic") == topic).select("key", "value")
-             .write.mode("overwrite").json(os.path.join(topic_path(base, topic), f"{name}-{batch_id}")))
+             .write.mode("overwrite").json(f"{topic_path(base, topic)}/{name}-{batch_id}"))
         batch.unpersist()
     return write
 
@@ -64,16 +83,17 @@ def _writer(base: str, name: str):
 def seed(tx: DataFrame, base: str) -> None:
     """Publish new transfers on the raw topic."""
     msgs = to_messages(tx, fields=_FIELDS)
-    msgs.select("key", "value").write.mode("overwrite").json(os.path.join(topic_path(base, S.TOPIC_RAW), "seed"))
+    msgs.select("key", "value").write.mode("overwrite").json(f"{topic_path(base, S.TOPIC_RAW)}/seed")
 
 
 def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str,
-                live_max_wait_ms: int | None = None, trigger: dict | None = None):
+                live_max_wait_ms: int | None = None, trigger: dict | None = None,
+                kafka_servers: str | None = None):
     """The balance stage.  With ``live_max_wait_ms`` (v2) pending debits get a
     processing-time deadline and are cancelled when it passes (the live
     design; run with a processing-time ``trigger``)."""
     jobs.use_rocksdb(spark)
-    raw = _read(spark, base, S.TOPIC_RAW)
+    raw = _read(spark, base, S.TOPIC_RAW, kafka_servers)
     if pending_design:
         from tributary.streaming.processors import PendingDebitProcessor
         keyed = jobs._keyed(raw)
@@ -88,17 +108,16 @@ def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint
         out = (keyed.groupBy("account").transformWithStateInPandas(
             CheckedDebitProcessor(credits_first=True), jobs.P.TX_OUT, "append", "None"))
     msgs = to_messages(out, fields=_FIELDS).withColumn("topic", F.lit(S.TOPIC_RETRY))
-    return (msgs.writeStream.foreachBatch(_writer(base, "balance"))
-            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+    return _start(msgs, base, "balance", checkpoint, trigger or {"availableNow": True}, kafka_servers)
 
 
 def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkpoint: str,
-                    live_wait: bool = False, trigger: dict | None = None):
+                    live_wait: bool = False, trigger: dict | None = None, kafka_servers: str | None = None):
     """The after-debit split.  ``live_wait`` (v1) routes RETRY transfers through
     the wait stage with processing-time backoff timers (the live design; run it
     with a processing-time ``trigger``); otherwise they are re-emitted at once
     with their due time recorded (offline replay)."""
-    tx = _read(spark, base, S.TOPIC_RETRY)
+    tx = _read(spark, base, S.TOPIC_RETRY, kafka_servers)
     st = F.col("status")
     n = F.col("retriedTimes")
     if live_wait and not pending_design:
@@ -113,9 +132,7 @@ def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkp
                   .transformWithStateInPandas(WaitRetryRecordProcessor(event_time=False), RECORD_OUT,
                                               "append", "ProcessingTime"))
         msgs = to_messages(passing.unionByName(waited), fields=_FIELDS, keep=("topic",))
-        return (msgs.writeStream.foreachBatch(_writer(base, "after"))
-                .option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"processingTime": "1 second"})).start())
+        return _start(msgs, base, "after", checkpoint, trigger or {"processingTime": "1 second"}, kafka_servers)
     if pending_design:
         topic = F.when(st == S.DEBIT_SUCCESS, F.lit(S.TOPIC_RAW)).otherwise(F.lit(S.TOPIC_COMPLETED))
         routed = tx.withColumn("topic", topic)
@@ -135,8 +152,7 @@ def after_debit_job(spark: SparkSession, base: str, pending_design: bool, checkp
     routed = routed.withColumn("phase", F.when(F.col("status") == S.DEBIT_SUCCESS, F.col("phase") + 1)
                                .otherwise(F.col("phase")))
     msgs = to_messages(routed, fields=_FIELDS, keep=("topic",))
-    return (msgs.writeStream.foreachBatch(_writer(base, "after"))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return _start(msgs, base, "after", checkpoint, {"availableNow": True}, kafka_servers)
 
 
 def run_until_quiet(tx: DataFrame, pending_design: bool, base: str | None = None,
@@ -164,6 +180,6 @@ def run_until_quiet(tx: DataFrame, pending_design: bool, base: str | None = None
         loops += 1
         q = after_debit_job(spark, base, pending_design, ck_after)
         q.awaitTermination()
-    completed = decode_frame(spark.read.schema(MESSAGE).json(os.path.join(topic_path(base, S.TOPIC_COMPLETED), "*")),
+    completed = decode_frame(spark.read.schema(MESSAGE).json(f"{topic_path(base, S.TOPIC_COMPLETED)}/*"),
                              "value", schema=ORDERED_TX)
     return completed.select(*_FIELDS), loops
