@@ -317,7 +317,7 @@ def _public(folded: DataFrame) -> DataFrame:
             .drop("_bal", "_kind"))
 
 
-def checked_debit(tx: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def checked_debit(tx: DataFrame, num_partitions: int | None = None, external_running: bool = True) -> DataFrame:
     """T2 over a feed of transfers; every input row is emitted once with its new
     status and the acting account's balance after it (``balance_after``).
 
@@ -325,9 +325,11 @@ def checked_debit(tx: DataFrame, num_partitions: int | None = None) -> DataFrame
     CREATED or RETRY -> DEBIT_SUCCESS and subtract if the payer is external or
     the balance covers the amount (equality is enough), else
     RETRY_BALANCE_NOT_ENOUGH; DEBIT_SUCCESS -> FULFILLED and add; any other
-    status passes unchanged.
+    status passes unchanged.  ``external_running=False`` leaves ``balance_after``
+    of external accounts null and spares their running sum.
     """
-    return _public(run_fold(tx, pending_design=False, num_partitions=num_partitions))
+    return _public(run_fold(tx, pending_design=False, num_partitions=num_partitions,
+                            external_running=external_running))
 
 
 def pending_debit(tx: DataFrame, max_wait_ms: int | None = S.PENDING_MAX_WAIT_MS,

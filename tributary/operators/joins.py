@@ -45,8 +45,11 @@ def enrich(rows: DataFrame, state: DataFrame, key: str) -> DataFrame:
 def lookup(keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Point lookups: one output row per requested key, nulls when unknown.
 
-    ``keys`` is a small request list, broadcast as such."""
-    return F.broadcast(keys).join(table, on=key, how="left")
+    ``keys`` is a request list of the caller's, broadcast as such.  The semi
+    join comes first: Catalyst moves it below an aggregation by ``key``, so
+    only the requested keys' rows are aggregated."""
+    wanted = table.join(F.broadcast(keys.select(key).distinct()), on=key, how="left_semi")
+    return keys.join(wanted, on=key, how="left")
 
 
 def range_keys(spark, range_text: str, key: str = "account") -> DataFrame:

@@ -62,5 +62,7 @@ def word_count_running(df: DataFrame, order_cols: list[str], text_col: str = "te
 
 
 def lookup_words(counts: DataFrame, keys: DataFrame) -> DataFrame:
-    """Counts of the requested words; a word never seen gets a null count."""
-    return keys.join(counts, on="word", how="left").select("word", "cnt")
+    """Counts of the requested words (a request list, broadcast as such); a word
+    never seen gets a null count.  Only requested words are aggregated."""
+    wanted = counts.join(F.broadcast(keys.select("word").distinct()), on="word", how="left_semi")
+    return keys.join(wanted, on="word", how="left").select("word", "cnt")

@@ -270,7 +270,8 @@ _CHECKED = "WITH RECURSIVE " + Q.checked_debit_sql(Q.FIRST_ROUND)
 
 
 def _checked(spark, sf_dir):
-    return debit.checked_debit(debit.first_round_feed(read_ledger(spark, sf_dir)))
+    # these queries use the statuses, not the external balance
+    return debit.checked_debit(debit.first_round_feed(read_ledger(spark, sf_dir)), external_running=False)
 
 
 @register("filter_status", "WITH " + _ROUND_TRIP_SQL + """

@@ -61,7 +61,7 @@ def q_word_lookup(spark, sf_dir):
     """Point lookups of word counts (Q1); unknown words give null."""
     counts = wc.word_count(_text_of(spark, sf_dir).select("text"))
     keys = spark.createDataFrame([(w,) for w in LOOKUP_WORDS], "word string")
-    return wc.lookup_words(counts, F.broadcast(keys))
+    return wc.lookup_words(counts, keys)
 
 
 @register("word_count_running", f"""
