@@ -49,6 +49,34 @@ def test_single_pages(page, text):
     assert pagetext.main_text(page, FIELD) == text
 
 
+STORY = "<article><h1>A story</h1><p>It has a sentence or two. Here is one more.</p></article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<html><head><title>t</title><body>", "<html><head><title>t</title><meta charset=utf-8><script>x</script>",
+    "<html><head><title>t</title></header><body><header></header>", "<html><head><noscript><img src=x></noscript><body>",
+    *(f"<body><div><{t}></div>" for t in ("option", "object", "iframe", "video", "button", "select", "canvas", "noscript")),
+    *(f"<body><{t}>" for t in ("option", "object", "iframe", "video", "button", "select", "audio", "template", "svg")),
+    "<body><select><option>a<option>b", "<body><video><source src=x>", "<head><title>t", "<body><textarea>",
+    "<body><div><button>a</div>", "<body><button>a",
+])
+def test_a_hidden_element_without_its_end_tag_does_not_hide_the_article(before):
+    after = "<div><button>b</button><video>c</video><select><option>d</select></div>"
+    for page in (before + STORY, before + STORY + after):
+        assert pagetext.main_text(page, FIELD) == "A story\nIt has a sentence or two. Here is one more."
+
+
+@pytest.mark.parametrize("inside, text", [
+    ("where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "where x=2 holds"),
+    ("one <button><div>two</div></button> three", "one three"), ("a<svg><title>b</title><g><text>c</text></g></svg>d", "ad"),
+    ("a <select><option>b<option>c</select> d", "a d"), ("a <object><p>b</p><object>c</object></object> d", "a d"),
+    ("a<template><ul><li>b</ul></template> c", "a c"), ("a <iframe>b<br>c</iframe>d", "a d"),
+])
+def test_hidden_elements_and_formulas_within_a_paragraph(inside, text):
+    assert pagetext.blocks(f"<article><p>{inside}</p></article>")[0][1] == text
+    assert len(pagetext.blocks(f"<article><p>{inside}</p></article>")) == 1
+
+
 def test_odd_markup_does_not_stop_the_reading():
     for page in ("<div>" * 20_000 + "deep", "<a " * 5_000, '<p title="' + "x" * 10_000, "<!--", "<", "</", "<article><p>" * 3_000,
                  "<article><p>" + "word " * 300_000):

@@ -16,7 +16,11 @@ size, with words of no language.  The model is small and travels with the task.
 
 Texts are taken whole: character references are decoded, white space inside a
 block becomes one space, blocks of main text are joined by a line feed.
-Scripts, styles, templates, titles and the like never become blocks.
+Scripts, styles, templates, titles and the like never become blocks.  An
+element whose text is hidden (``HIDDEN``) hides it up to its own end tag or that
+of an element around it; one without an end tag of its own, up to the next block
+element; the head ends with the first text or element that cannot stand in it.
+Only a script or style without an end tag reaches to the end of the page.
 
 Defined results: a null or empty page has an empty text; a page without tags
 is one block; unclosed and stray tags, comments and quotes do not stop the
@@ -42,12 +46,19 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)
     |<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))""", re.S | re.X)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# elements that hold no markup; their text is not part of the page's text
+RAW = frozenset("script style title textarea".split())
 # elements whose text is not part of the page's text
-SKIPPED = frozenset("script style template noscript title textarea select option button svg math iframe object "
-                    "canvas audio video head".split())
+HIDDEN = frozenset("template noscript select option button svg iframe object canvas audio video head".split())
+# elements that may stand in the head
+IN_HEAD = frozenset("meta link base noscript template head html".split()) | RAW
 # elements that stand within a line
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr br input".split())
+                   "small span strike strong sub sup time tt u var wbr br input "
+                   # formulas
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose "
+                   "msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics "
+                   "annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # a start tag of the value's elements ends an open element of the key
 CLOSED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -74,12 +85,49 @@ def _look(text: str, linked: int, own: str) -> list[str]:
             "end=" + str(text.endswith(_END)), "copyright=" + str("©" in text)]
 
 
+Tag = tuple[int, int, bool, str, str]
+
+
+def _tags(html: str) -> list[Tag]:
+    """(begin, end, is an end tag, name, attributes) of every tag; begin and end of raw text are those of its element."""
+    out: list[Tag] = []
+    endless: set[str] = set()
+    at, size = 0, len(html)
+    while m := _TAG.search(html, at):
+        at = m.end()
+        tag = (m.group(2) or "").lower()
+        if tag in RAW and not m.group(1) and not m.group(3).endswith("/>"):
+            end = None if tag in endless else re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
+            if end or tag in ("script", "style"):
+                at = end.end() if end else size
+                tag = ""
+            else:
+                endless.add(tag)
+        out.append((m.start(), at, bool(m.group(1)), tag, m.group(3) or ""))
+    return out
+
+
+def _ended(tags: list[Tag]) -> set[int]:
+    """The places of start tags of hidden elements that have an end tag of their own."""
+    out: set[int] = set()
+    begun: dict[str, list[int]] = {}
+    for k, (_, _, is_end, tag, attributes) in enumerate(tags):
+        if tag in HIDDEN and (is_end or not attributes.endswith("/>")):
+            if not is_end:
+                begun.setdefault(tag, []).append(k)
+            elif begun.get(tag):
+                out.add(begun[tag].pop())
+    return out
+
+
 def blocks(html: str | None) -> list[Block]:
     """(features, text) of every leaf block in page order."""
     out: list[Block] = []
     html = html or ""
     stack: list[tuple[str, list[str]]] = []
     active: dict[str, int] = {}
+    veils: list[int] = []       # places of hidden elements in the stack
+    loose = False               # in a hidden element without an end tag
     pieces: list[str] = []
     linked = 0
     links = 0
@@ -89,6 +137,8 @@ def blocks(html: str | None) -> list[Block]:
     def pop() -> None:
         nonlocal links
         tag, words = stack.pop()
+        if veils and veils[-1] == len(stack):
+            veils.pop()
         links -= tag == "a"
         for w in words:
             active[w] -= 1
@@ -105,49 +155,61 @@ def blocks(html: str | None) -> list[Block]:
         pieces.clear()
         linked = 0
 
-    at, size = 0, len(html)
-    while at < size:
-        m = _TAG.search(html, at)
-        raw = html[at:m.start() if m else size]
-        if raw:
+    tags = _tags(html)
+    ended = _ended(tags)
+    at = 0
+    for k, (begin, end, is_end, tag, attributes) in enumerate([*tags, (len(html), len(html), False, "", "")]):
+        raw, at = html[at:begin], end
+        if raw and stack and stack[-1][0] == "head" and len(veils) == 1 and raw.strip():
+            pop()
+        if raw and not veils and not loose:
             raw = unescape(raw) if "&" in raw else raw
             pieces.append(raw)
             if links:
                 linked += len(raw.strip())
-        if not m:
-            break
-        at = m.end()
-        tag = m.group(2)
         if not tag:
             continue
-        tag = tag.lower()
-        if m.group(1):
+        if is_end:
             depth = next((i for i in range(len(stack) - 1, max(-1, len(stack) - 256), -1) if stack[i][0] == tag), None)
-            if tag not in INLINE:
+            # a tag within a hidden element, or its own, does not part the text around it
+            apart = tag not in INLINE and tag not in HIDDEN and not (veils and (depth is None or depth > veils[0]))
+            if apart:
+                loose = False
                 flush()
             if depth is not None and (tag not in INLINE or all(t in INLINE for t, _ in stack[depth:])):
                 while len(stack) > depth:
                     pop()
-                if tag not in INLINE:
+                if apart:
                     known, own = None, next((t for t, _ in reversed(stack) if t not in INLINE), "none")
             continue
-        if tag == "br":
-            pieces.append(" ")
-        if tag in SKIPPED:
-            if not m.group(3).endswith("/>"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else size
+        if tag in RAW:
+            loose = loose or (not veils or stack[-1][0] == "head") and not attributes.endswith("/>")
             continue
-        if tag not in INLINE:
-            flush()
-            ends = CLOSED_BY
-            while stack and (stack[-1][0] in INLINE and tag in ("p", "li")
-                             or stack[-1][0] in ends and (ends[stack[-1][0]] is None or tag in ends[stack[-1][0]])):
-                pop()
-            known, own = None, tag
-        if tag in VOID or m.group(3).endswith("/>"):
+        if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop()
+        if tag in HIDDEN:
+            if not attributes.endswith("/>"):
+                if k in ended or tag == "head":
+                    veils.append(len(stack))
+                    stack.append((tag, []))
+                elif not veils:
+                    loose = True
+            continue
+        if tag == "br" and not veils and not loose:
+            pieces.append(" ")
+        if tag not in INLINE and not veils:
+            # what stands in a hidden element without an end tag: sources and parameters
+            loose = loose and tag in VOID and tag != "hr"
+            if not loose:
+                flush()
+                ends = CLOSED_BY
+                while stack and (stack[-1][0] in INLINE and tag in ("p", "li")
+                                 or stack[-1][0] in ends and (ends[stack[-1][0]] is None or tag in ends[stack[-1][0]])):
+                    pop()
+                known, own = None, tag
+        if tag in VOID or attributes.endswith("/>"):
             continue
-        words = _tokens(tag, m.group(3))
+        words = [] if veils else _tokens(tag, attributes)
         stack.append((tag, words))
         links += tag == "a"
         for w in words:
