@@ -77,6 +77,19 @@ def test_hidden_elements_and_formulas_within_a_paragraph(inside, text):
     assert len(pagetext.blocks(f"<article><p>{inside}</p></article>")) == 1
 
 
+@pytest.mark.parametrize("left_open", ["<div>", "<span>", "<div><i>"])
+def test_an_end_tag_finds_its_start_below_any_number_of_open_elements(left_open):
+    page = "<nav><a href=x>menu</a>" + left_open * 20_000 + "</nav>" + STORY
+    assert pagetext.main_text(page, FIELD) == "A story\nIt has a sentence or two. Here is one more."
+    features = dict((t, f) for f, t in pagetext.blocks(page))
+    assert "<nav" in features["menu"] and "<nav" not in features["A story"]
+
+
+def test_stray_end_tags_take_no_time():
+    page = "<b>" + "<div><i>" * 20_000 + "</b></u>" * 20_000 + "deep"
+    assert [t for _, t in pagetext.blocks(page)] == ["deep"]
+
+
 def test_odd_markup_does_not_stop_the_reading():
     for page in ("<div>" * 20_000 + "deep", "<a " * 5_000, '<p title="' + "x" * 10_000, "<!--", "<", "</", "<article><p>" * 3_000,
                  "<article><p>" + "word " * 300_000):

@@ -125,6 +125,8 @@ def blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     html = html or ""
     stack: list[tuple[str, list[str]]] = []
+    places: dict[str, list[int]] = {}      # where in the stack elements of a name are
+    solid: list[int] = []       # places of elements that do not stand within a line
     active: dict[str, int] = {}
     veils: list[int] = []       # places of hidden elements in the stack
     loose = False               # in a hidden element without an end tag
@@ -134,9 +136,22 @@ def blocks(html: str | None) -> list[Block]:
     known: tuple[str, ...] | None = None
     own = "none"
 
+    def push(tag: str, words: list[str]) -> None:
+        nonlocal links
+        places.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            solid.append(len(stack))
+        stack.append((tag, words))
+        links += tag == "a"
+        for w in words:
+            active[w] = active.get(w, 0) + 1
+
     def pop() -> None:
         nonlocal links
         tag, words = stack.pop()
+        places[tag].pop()
+        if tag not in INLINE:
+            solid.pop()
         if veils and veils[-1] == len(stack):
             veils.pop()
         links -= tag == "a"
@@ -170,17 +185,17 @@ def blocks(html: str | None) -> list[Block]:
         if not tag:
             continue
         if is_end:
-            depth = next((i for i in range(len(stack) - 1, max(-1, len(stack) - 256), -1) if stack[i][0] == tag), None)
+            depth = places[tag][-1] if places.get(tag) else None
             # a tag within a hidden element, or its own, does not part the text around it
             apart = tag not in INLINE and tag not in HIDDEN and not (veils and (depth is None or depth > veils[0]))
             if apart:
                 loose = False
                 flush()
-            if depth is not None and (tag not in INLINE or all(t in INLINE for t, _ in stack[depth:])):
+            if depth is not None and (tag not in INLINE or not solid or solid[-1] < depth):
                 while len(stack) > depth:
                     pop()
                 if apart:
-                    known, own = None, next((t for t, _ in reversed(stack) if t not in INLINE), "none")
+                    known, own = None, stack[solid[-1]][0] if solid else "none"
             continue
         if tag in RAW:
             loose = loose or (not veils or stack[-1][0] == "head") and not attributes.endswith("/>")
@@ -191,7 +206,7 @@ def blocks(html: str | None) -> list[Block]:
             if not attributes.endswith("/>"):
                 if k in ended or tag == "head":
                     veils.append(len(stack))
-                    stack.append((tag, []))
+                    push(tag, [])
                 elif not veils:
                     loose = True
             continue
@@ -209,11 +224,7 @@ def blocks(html: str | None) -> list[Block]:
                 known, own = None, tag
         if tag in VOID or attributes.endswith("/>"):
             continue
-        words = [] if veils else _tokens(tag, attributes)
-        stack.append((tag, words))
-        links += tag == "a"
-        for w in words:
-            active[w] = active.get(w, 0) + 1
+        push(tag, [] if veils else _tokens(tag, attributes))
     flush()
     return out
 
