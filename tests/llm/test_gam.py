@@ -54,3 +54,19 @@ def test_held_out_labels_do_not_change_scores(spark, tmp_path):
     a, b = (gam.train(docs, x, "quality", crc_mod(F.col("doc_id"), 5) != 0) for x in (labels, other))
     x = np.random.default_rng(1).random((50, 11))
     assert np.array_equal(a.score(x), b.score(x))
+
+
+def test_scores_equal_a_plain_sum_of_looked_up_numbers(spark):
+    rng = np.random.default_rng(3)
+    model = gam.fit(rng.random((300, len(gam.FEATURES))) * 5, rng.integers(0, 2, 300).astype(float))
+    texts = [None, "", "A b!", "# # # 12", "word " * 900, "One line.\nOne line.\n"] + [f"text {i} of many" for i in range(700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+
+    def plain(text):
+        x = gam.features(text)
+        at = [sum(v >= e for e in edges) for v, edges in zip(x, model.edges)]
+        z = model.base + sum(t[b] for t, b in zip(model.tables, at)) + sum(t[at[i], at[j]] for i, j, t in model.pairs)
+        return 1 / (1 + np.exp(-z))
+
+    got = {r.doc_id: r.s for r in docs.select("doc_id", gam.score_column(model, F.col("text")).alias("s")).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], [plain(t) for t in texts], atol=1e-12)

@@ -53,10 +53,10 @@ def test_thresholds_follow_their_group(spark):
 
 
 def test_sketches_merge(spark):
-    docs = frame(spark, [(i, f"w{i} " * (i % 30 + 1), "en", f"s{i % 3}", 0, 0) for i in range(300)])
-    whole = rules.sketches(docs, "text", "lang", "source")
-    halves = rules.sketches(docs.where("doc_id % 2 = 0"), "text", "lang", "source").unionAll(
-        rules.sketches(docs.where("doc_id % 2 = 1"), "text", "lang", "source"))
+    docs = rules.counted_rows(frame(spark, [(i, f"w{i} " * (i % 30 + 1), "en", f"s{i % 3}", 0, 0) for i in range(300)]))
+    whole = rules.sketches(docs, "lang", "source")
+    halves = rules.sketches(docs.where("doc_id % 2 = 0"), "lang", "source").unionAll(
+        rules.sketches(docs.where("doc_id % 2 = 1"), "lang", "source"))
     merged = halves.groupBy("lang", "source", "signal", "bucket").agg(F.sum("n").alias("n"))
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, merged.collect()))
 
@@ -64,3 +64,24 @@ def test_sketches_merge(spark):
 def test_bucket_error_bound(spark):
     values = spark.range(0, 100_000, 37).select("id", rules.bucket(F.col("id")).alias("b"))
     assert values.where("b > id OR id - b > id / 64").count() == 0
+
+
+def test_helper_names_may_be_columns(spark):
+    names = ["symbols_high", "chars_low", "__lang", "__source", "__symbols_high", "__words", "signal", "n", "s"]
+    docs = frame(spark, [(1, "some plain words " * 3, "en", "a", 0, 0)]).select(
+        "doc_id", "text", "lang", "source", *[F.lit(7).alias(c) for c in names])
+    out = rules.judge(docs)
+    assert out.columns == [*docs.columns, *rules.COUNTS, "base_failed", "kept"]
+    assert [out.collect()[0][c] for c in names] == [7] * len(names)
+
+
+def test_no_text_is_shuffled(spark):
+    """Thresholds are known to be small when they join, whatever the size of the input."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+        plan = rules.judge(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

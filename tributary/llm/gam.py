@@ -11,25 +11,28 @@ The model is fitted on the driver from at most ``MAX_TRAIN_ROWS`` labelled
 rows (their feature vectors only, never texts); scoring covers every row.
 
 Defined results: a null text counts as empty; an empty text has the features 0
-and is scored like any other.  With no training rows, or only one class, all
-texts get the same score.  Repeated rows are scored alike; extra columns stay.
+and is scored like any other; a text of any length is read whole.  With no
+training rows, or only one class, all texts get the same score; an empty table
+gives an empty table.  Repeated rows are scored alike, repeated labels of an id
+count once; equal gains are cut at the first bin.  Extra columns stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 from operator import eq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import labelled_ids, quoted
 
 MAX_TRAIN_ROWS = 20_000
+PART = 256           # texts copied out of an Arrow batch at a time
 FEATURES = ("log_words", "word_len", "symbols", "exclaims", "upper", "digits", "punctuation",
             "distinct", "adjacent_same", "dup_lines", "log_line_words")
 
@@ -176,15 +179,20 @@ def fit(x: np.ndarray, y: np.ndarray, max_bins: int = 32, rounds: int = 150, rat
     return model
 
 
-def _rows(texts: pd.Series) -> np.ndarray:
+def _rows(texts: Iterable[str | None]) -> np.ndarray:
     return np.array([features(t) for t in texts], dtype=np.float64).reshape(-1, len(FEATURES))
 
 
+def _parts(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Feature rows of ``PART`` texts at a time: of an Arrow batch, whose bytes Spark bounds, only a part is copied."""
+    for k in range(0, len(texts), PART):
+        yield _rows(texts.slice(k, PART).to_pylist())
+
+
 def feature_column(text: Column) -> Column:
-    @F.pandas_udf("array<double>")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(list(_rows(batch)))
+    @F.arrow_udf("array<double>")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([r for x in _parts(texts) for r in x.tolist()], type=pa.list_(pa.float64()))
     return of(text)
 
 
@@ -204,8 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, keep: Column,
 
 def score_column(model: Gam, text: Column) -> Column:
     """Probability of label 1 of each text."""
-    @F.pandas_udf("double")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(model.score(_rows(batch)))
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0), *[model.score(x) for x in _parts(texts)]]))
     return of(text)

@@ -16,14 +16,19 @@ the quartiles; the fence is ``FENCE`` spreads outside them, where the spread is
 the larger of the quartile distance and a floor per signal.  The floor keeps a
 uniform source from rejecting documents that differ by next to nothing.
 
-The thresholds then join the documents' signals on (language, source); a
-document is kept if no signal is outside its fences and the base rules, which
-have no threshold to adapt, pass.
+The counts are made once and written; sketches and verdicts read them.  The
+thresholds, one narrow row per (language, source), are written, too, so Spark
+knows their size when they join the counted rows: under its broadcast threshold
+no counted row and no text moves, beyond it the join shuffles (and Spark may
+split a hot group).  A document is kept if no signal is outside its fences and
+the base rules, which have no threshold to adapt, pass.
 
 Defined results: a null text has no words and fails the base rules, as an
-empty one does; null languages or sources form a group of their own; a
-document is never compared with others by id, so repeated rows, null and
-repeated ids are judged one by one.  Extra columns stay.
+empty one does; a text of any length is counted whole; null languages or
+sources form a group of their own; a document is never compared with others by
+id, so repeated rows, null and repeated ids are judged one by one; a value equal
+to a fence is inside; an empty table gives an empty table.  Extra columns stay,
+whatever their names, but for those named as the added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE_CLASS, SPACES, fresh, quoted
+from tributary.llm.common import SPACE_CLASS, SPACES, fresh, quoted, write_out
 
 SCALE = 1000
 BITS = 7
@@ -98,6 +103,9 @@ def bucket(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def signals(counts: dict[str, Column], n_words: Column) -> dict[str, Column]:
     """Whole-number rates per ``SCALE`` words; null where there are no words."""
     of = lambda c: F.floor(c * SCALE / n_words).cast("long")
@@ -105,16 +113,11 @@ def signals(counts: dict[str, Column], n_words: Column) -> dict[str, Column]:
     return {k: F.when(n_words > 0, of(c)) for k, c in rates.items()}
 
 
-def sketches(df: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+def sketches(counted: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     """(lang, source, signal, bucket, n): the mergeable quantile sketches of all documents with words."""
-    text = quoted(text_col)
-    narrow = df.select(quoted(lang_col).alias("lang"), quoted(source_col).alias("source"),
-                       F.size(words_of(text)).cast("long").alias("n_words"),
-                       *[c.alias(k) for k, c in base_counts(text).items()])
-    counts = {k: F.col(k) for k in ("word_chars", "n_symbols", "n_dup_lines")}
-    rates = signals(counts, F.col("n_words"))
-    stacked = narrow.where(F.col("n_words") > 0).select(
-        "lang", "source", F.explode(F.array(*[
+    rates = signals({k: quoted(k) for k in COUNTS}, quoted("n_words"))
+    stacked = counted.where(quoted("n_words") > 0).select(
+        quoted(lang_col).alias("lang"), quoted(source_col).alias("source"), F.explode(F.array(*[
             F.struct(F.lit(k).alias("signal"), bucket(v).alias("bucket")) for k, v in rates.items()])).alias("s"))
     return (stacked.groupBy("lang", "source", F.col("s.signal").alias("signal"), F.col("s.bucket").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")))
@@ -137,36 +140,36 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         *[pick(k, "high") for k in FLOORS], *[pick(k, "low") for k in FLOORS if k not in UPPER_ONLY])
 
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+def counted_rows(df: DataFrame, text_col: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` without ``drop`` with ``COUNTS`` added; input columns of those names, base_failed and kept go."""
+    stay = [c for c in df.columns if c.lower() not in (*COUNTS, "base_failed", "kept") and c not in drop]
+    temp = fresh(df.columns, "__words")
+    split = df.withColumn(temp, words_of(quoted(text_col)))
+    counts = {"n_words": F.size(quoted(temp)).cast("long"), **base_counts(quoted(text_col)),
+              "n_repeat_words": repeat_words(quoted(temp))}
+    return split.select(*[quoted(c) for c in stay], *[c.alias(k) for k, c in counts.items()])
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
           keep_text: bool = True) -> DataFrame:
     """``df`` with ``COUNTS``, base_failed and kept added; input columns of those names are replaced.
 
-    ``keep_text=False`` leaves the text out before the join with the thresholds.
+    ``keep_text=False`` leaves the text out.
     """
-    limits = thresholds(sketches(df, text_col, lang_col, source_col))
-    added = [*COUNTS, "base_failed", "kept"]
-    names = [c for c in df.columns if c.lower() not in added]
-    temp = fresh(df.columns, "__words")
-    counted = df.withColumn(temp, words_of(quoted(text_col)))
-    counts = {"n_words": F.size(quoted(temp)).cast("long"), **base_counts(quoted(text_col)),
-              "n_repeat_words": repeat_words(quoted(temp))}
-    stay = [c for c in names if keep_text or c != text_col]
-    rows = counted.select(*[quoted(c) for c in stay], *[c.alias(k) for k, c in counts.items()])
-    made = {k: F.col(k) for k in COUNTS}
-    n = F.col("n_words")
-    failed = (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT)
-    lang, source = fresh(rows.columns, "__lang"), fresh(rows.columns, "__source")
-    limits = limits.withColumnRenamed("lang", lang).withColumnRenamed("source", source)
-    joined = rows.join(limits, quoted(lang_col).eqNullSafe(quoted(lang))
-                       & quoted(source_col).eqNullSafe(quoted(source)), "left")
+    spark = df.sparkSession
+    rows = write_out(spark, counted_rows(df, text_col, () if keep_text else (text_col,)), "rule-counts")
+    limits = write_out(spark, thresholds(sketches(rows, lang_col, source_col)), "rule-limits")
+    # names that no row has, so that every column below is found by its name alone
+    named = {c: fresh([*rows.columns, *limits.columns], f"__{c}") for c in limits.columns}
+    limits = limits.select(*[F.col(c).alias(t) for c, t in named.items()])
+    n = quoted("n_words")
+    failed = (n < MIN_WORDS) | (quoted("n_repeat_words") * 100 > n * MAX_REPEAT_PERCENT)
+    joined = rows.join(limits, quoted(lang_col).eqNullSafe(quoted(named["lang"]))
+                       & quoted(source_col).eqNullSafe(quoted(named["source"])), "left")
     outside = F.lit(False)
-    for k, rate in signals(made, n).items():
-        outside = outside | F.coalesce(rate > F.col(f"{k}_high"), F.lit(False))
+    for k, rate in signals({k: quoted(k) for k in COUNTS}, n).items():
+        outside = outside | F.coalesce(rate > quoted(named[f"{k}_high"]), F.lit(False))
         if k not in UPPER_ONLY:
-            outside = outside | F.coalesce(rate < F.col(f"{k}_low"), F.lit(False))
-    # one condition over both sides of the join: a filter on it stays above the join, and the counts are made once
-    return joined.select(*[quoted(c) for c in stay], *COUNTS, failed.alias("base_failed"),
+            outside = outside | F.coalesce(rate < quoted(named[f"{k}_low"]), F.lit(False))
+    return joined.select(*[quoted(c) for c in rows.columns], failed.alias("base_failed"),
                          (~F.greatest(failed, outside)).alias("kept"))
