@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bloomlm, bpe, gam, mixing, neardup, pagetext, rules, topk, toxicity, urls
+from tributary.llm import (bloomlm, bpe, centroids, codes, gam, mixing, neardup, ngramjoin, pagetext, rules, topk,
+                           toxicity, urls)
 from tributary.llm.common import crc_mod
 from tributary.session import prepare
 from tributary.sources.tables import read_table
@@ -204,3 +205,129 @@ def op5_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return (pagetext.extract(pages, "html", "text").drop("html")
             .withColumn("n_chars", F.length("text").cast("long")))
+
+
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by four codebooks of at most 256 entries, their errors, and the codebooks' digest."""
+    coded, books = codes.encode(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return (coded.withColumnRenamed("id", "vec_id").drop("label")
+            .withColumn("codebooks_sha256", F.lit(codes.codebooks_digest(books))))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Lloyd rounds written out; all sums are of whole numbers within a double."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, p, CAST(least % {entries} AS INT) AS e, least // {entries} AS d FROM (
+    SELECT q.r, q.p, min(CAST(q.xx - 2 * list_dot_product(q.x, b.x) + list_dot_product(b.x, b.x) AS BIGINT) * {entries} + b.e)
+           AS least
+    FROM q JOIN b{k} b ON q.p = b.p GROUP BY q.r, q.p)),""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS MATERIALIZED (
+  SELECT p, e, list(floor(s / n) ORDER BY i) AS x FROM (
+    SELECT p, e, i, sum(v) AS s, count(*) AS n FROM (
+      SELECT a.p, a.e, unnest(q.x) AS v, generate_subscripts(q.x, 1) AS i FROM a{k} a JOIN q ON a.r = q.r AND a.p = q.p)
+    GROUP BY p, e, i) GROUP BY p, e),
+b{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN m{k} m ON b.p = m.p AND b.e = m.e),""")
+    code = " || ".join(f"printf('%02x', max(e) FILTER (p = {p}))" for p in range(parts))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS MATERIALIZED (
+  SELECT *, list_dot_product(x, x) AS xx FROM (
+    SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x
+    FROM kept, (SELECT unnest(range({parts})) AS p))),
+b0 AS MATERIALIZED (SELECT p, CAST(r - 1 AS INT) AS e, x FROM q WHERE r <= {entries}),{"".join(steps)}
+c AS (SELECT r, {code} AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+h AS (
+  SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS h FROM (
+    SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM b{rounds}))
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       h.h AS codebooks_sha256
+FROM kept k JOIN c USING (r), h
+"""
+
+
+ORACLE_SQL["op11_codes"] = _codes_sql()
+
+
+@query
+def op12_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of all vectors of 64 components, by subvector dictionaries."""
+    found, points = centroids.cluster(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return centroids.report(found, points).withColumnRenamed("id", "vec_id")
+
+
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, CAST(least % {k} AS INT) AS c, least // {k} AS d FROM (
+    SELECT v.r, min(CAST(v.xx - 2 * list_dot_product(v.x, b.x) + list_dot_product(b.x, b.x) AS BIGINT) * {k} + b.c) AS least
+    FROM v, b{i} b GROUP BY v.r)),""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS MATERIALIZED (
+  SELECT c, list(floor(s / n) ORDER BY i) AS x FROM (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+      SELECT a.c, unnest(v.x) AS x, generate_subscripts(v.x, 1) AS i FROM a{i} a JOIN v USING (r)) GROUP BY c, i)
+  GROUP BY c),
+b{i + 1} AS MATERIALIZED (SELECT b.c, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m USING (c)),""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT *, list_dot_product(x, x) AS xx FROM (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) AS r, vec_id,
+           list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x
+    FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+b0 AS MATERIALIZED (SELECT CAST(r - 1 AS INT) AS c, x FROM v WHERE r <= {k}),{"".join(steps)}
+h AS (
+  SELECT c, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY i)) AS h FROM (
+    SELECT c, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM b{rounds}) GROUP BY c)
+SELECT v.vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM v JOIN a{rounds} a USING (r) JOIN h ON h.c = a.c
+"""
+
+
+ORACLE_SQL["op12_dictionaries"] = _clusters_sql()
+
+
+@query
+def op13_ngramjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document; links are a Jaccard similarity of 0.9 of three-word shingles."""
+    return ngramjoin.assign(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE_SQL["op13_ngramjoin"] = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+  FROM w),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+common AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+link AS MATERIALIZED (
+  SELECT a, b FROM common c JOIN n x ON x.r = c.a JOIN n y ON y.r = c.b WHERE 100 * c.c >= 90 * (x.n + y.n - c.c)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (
+  SELECT r, r FROM w
+  UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM w LEFT JOIN n USING (r)
+JOIN (SELECT reach.a AS r, min(o.doc_id) AS component_id FROM reach JOIN w o ON o.r = reach.b GROUP BY reach.a) c USING (r)
+"""
