@@ -1,35 +1,44 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A text is a row of tokens (runs of letters and digits, lower-cased).  A token
-enters as a word vector (a hashed table) beside a character vector (the mean of
-hashed four-character vectors, so that word forms never seen before count by
-their parts).  All windows of ``WINDOW`` tokens, ``STRIDE`` apart, are read by
-gated recurrent units from both ends; attention weighs their states, and a
-logistic unit scores the window.  A text scores as its highest window.
-
-Training takes the windows of a labelled text as a bag whose score is the soft
-maximum of its windows, since a label does not say where a text is toxic.  It
-uses at most ``MAX_TRAIN_ROWS`` labelled texts of at most ``MAX_TRAIN_CHARS``
-code points each (whole texts, of which a step draws ``TRAIN_WINDOWS`` windows)
-and a fixed number of steps, on the driver.  One coordinate of the word and
-character tables is the log odds of what the training texts show; while the
-network is trained, a text is read with odds from the other ``FOLDS - 1`` parts
-of the sample, so that it learns how far to trust them.
-Scoring reads every window of every whole text.
+A text is a row of tokens: runs of letters and digits of any script, in lower
+case, cut after ``LONGEST`` characters so that scripts without spaces give many
+tokens, too.  A token enters as a word vector (a row of a hashed table) beside a
+character vector (the mean of the rows of its four-character pieces in another,
+so that word forms never seen before count by their parts).  All windows of
+``WINDOW`` tokens, ``STRIDE`` apart, are read by gated recurrent units from both
+ends; attention weighs their states, and a logistic unit scores the window.  A
+text scores as its highest window.
+
+All weights are trained together by gradients, both tables included: a step
+moves the rows that its windows hold.  Table rows begin at zero, and those that
+fewer than ``SEEN`` training texts hold stay there.  Every step also shortens
+each row by a little, by less the more texts there are, so rows whose gradients
+do not agree from step to step stay at zero or return there: with few texts the
+network would else learn their rare words by heart.  Training takes the windows of a labelled text as a
+bag whose score is the soft maximum of its windows, since a label does not say
+where a text is toxic.  It uses at most ``MAX_TRAIN_ROWS`` labelled texts of at
+most ``MAX_TRAIN_CHARS`` code points each (whole texts, of which a step draws
+``TRAIN_WINDOWS`` windows) and a fixed number of steps, on the driver.
+
+Scoring reads every window of every whole text.  Texts are worked on in batches
+of about ``CHARS`` code points; a longer one is read piece by piece, each from
+the first token of the next window on, so a text of any length takes bounded
+memory and gets the windows of the whole.
 
 Defined results: a null text counts as empty; a text without tokens is one
 empty window and scores as such; with no training rows, or only one class, all
-texts score the prior (0.5 without any label).  Repeated rows score alike;
-extra columns stay.
+texts score the prior (0.5 without any label).  Of a text that is labelled more
+than once the larger label counts, of an id with several texts the least text.
+An empty table gives an empty table; repeated rows score alike; equal scores
+are left as they are.  Extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,17 +49,21 @@ MAX_TRAIN_ROWS = 4_000
 MAX_TRAIN_CHARS = 20_000
 TRAIN_WINDOWS = 20
 WINDOW, STRIDE = 32, 16
-FOLDS = 5
+LONGEST = 24             # characters of a token
+SHRINK = 7.0             # how fast table rows shorten; by less the more training texts there are
+SCALE_ROWS = 30          # table rows that a step's gradients are taken to lie on, for the tables' step sizes
+SEEN = 3                 # training texts that must hold a table row for it to be trained
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 16
 WORD_DIM, CHAR_DIM, STATE, ATTEND = 4, 6, 8, 8
-ROWS = 256               # texts worked on at once
+CHARS = 1 << 18          # code points worked on at once
 WINDOWS_AT_ONCE = 4_096
+PART = 256               # texts copied out of an Arrow batch at a time
 
-_TOKEN = np.zeros(256, dtype=bool)
-_TOKEN[[c for c in range(128) if chr(c).isalnum()]] = True
-_TOKEN[128:] = True      # bytes of letters beyond ASCII
+# By code point, whether it is part of a token; those beyond the table are.
+_TOKEN = np.array([chr(c).isalnum() for c in range(1 << 16)] + [True])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.array([pow(0x100000001B3, i, 1 << 64) for i in range(64)], dtype=np.uint64)
+_POWERS = np.array([pow(0x100000001B3, i, 1 << 64) for i in range(LONGEST)], dtype=np.uint64)
+_PLACES = _POWERS[:4] * _MIX | np.uint64(1)
 
 
 @dataclass
@@ -60,35 +73,38 @@ class Tokens:
     chars: np.ndarray        # rows in the character table
     char_ends: np.ndarray    # where each token's character rows end
     counts: np.ndarray       # tokens by text
+    starts: np.ndarray       # where each token starts, in code points of the batch
 
 
-def tokenize(texts: list[str | None]) -> Tokens:
-    raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
-    sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
-    data = np.frombuffer(b" ".join(raw) + b"  ", dtype=np.uint8)
-    inside = _TOKEN[data]
+def tokenize(lowered: list[str]) -> Tokens:
+    """Tokens of texts in lower case."""
+    raw = [np.frombuffer(t.encode("utf-32-le", "replace"), dtype=np.uint32) for t in lowered]
+    gap = np.full(1, 32, dtype=np.uint32)
+    data = np.concatenate([x for r in raw for x in (r, gap)] + [gap])
+    inside = _TOKEN[np.minimum(data, 1 << 16)]
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    where = np.searchsorted(starts, np.concatenate(([0], np.cumsum(sizes))))
-    counts = np.diff(where)
+    held = np.flatnonzero(inside)
+    place = (held - np.repeat(starts, ends - starts)) % LONGEST       # long runs are cut
+    first = np.flatnonzero(place == 0)
+    starts = held[first]
+    counts = np.diff(np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))))
     if not len(starts):
         empty = np.zeros(0, dtype=np.int32)
-        return Tokens(empty, empty, empty, counts)
-    lens = ends - starts
-    held = np.flatnonzero(inside)
-    place = held - np.repeat(starts, lens)
-    byte = data[held].astype(np.uint64) + np.uint64(1)
-    first = np.concatenate(([0], np.cumsum(lens)[:-1]))
-    word = np.add.reduceat(byte * byte * _POWERS[place & 63], first)
+        return Tokens(empty, empty, empty, counts, empty)
+    lens = np.diff(np.concatenate((first, [len(held)])))
+    code = data[held].astype(np.uint64) + np.uint64(1)
+    word = np.add.reduceat(code * code * _POWERS[place], first)
     word = ((word * _MIX) >> np.uint64(64 - 15)).astype(np.int32)
-    # four characters from the one before each place on; what follows a token's end counts as blank
-    shown = np.where(inside, data, 32).astype(np.uint64)
-    shown = np.concatenate(([np.uint64(32)], shown))
-    second = shown[held + 2]
-    third = np.where(second == 32, np.uint64(32), shown[np.minimum(held + 3, len(shown) - 1)])
-    gram = shown[held] | shown[held + 1] << np.uint64(8) | second << np.uint64(16) | third << np.uint64(24)
-    chars = ((gram * _MIX) >> np.uint64(64 - 16)).astype(np.int32)
-    return Tokens(word, chars, np.cumsum(lens), counts)
+    # four characters from the one before each place on; beyond the token's ends all count as blank
+    left = np.repeat(lens, lens) - place
+    blank = np.uint64(0)
+    before = np.where(place > 0, np.concatenate((code[:1], code[:-1])), blank)
+    after = np.where(left > 1, np.concatenate((code[1:], code[-1:])), blank)
+    third = np.where(left > 2, np.concatenate((code[2:], code[-2:]))[:len(code)], blank)
+    piece = before * _PLACES[0] + code * _PLACES[1] + after * _PLACES[2] + third * _PLACES[3]
+    chars = ((piece ^ (piece >> np.uint64(29))) * _MIX >> np.uint64(64 - 16)).astype(np.int32)
+    return Tokens(word, chars, np.cumsum(lens), counts, starts)
 
 
 def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,6 +120,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+# What a step's gradients hold, but for the tables, whose rows follow from those of the token vectors.
 PARTS = ("wx_f", "wh_f", "b_f", "wx_b", "wh_b", "b_b", "att", "att_b", "att_v", "out", "out_b")
 
 
@@ -114,8 +131,7 @@ class Network:
         rng = np.random.default_rng(seed)
         d = WORD_DIM + CHAR_DIM
         draw = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-        self.w = {"word": 0.1 * rng.standard_normal((WORD_ROWS, WORD_DIM)).astype(np.float32),
-                  "char": 0.1 * rng.standard_normal((CHAR_ROWS, CHAR_DIM)).astype(np.float32),
+        self.w = {"word": np.zeros((WORD_ROWS, WORD_DIM), np.float32), "char": np.zeros((CHAR_ROWS, CHAR_DIM), np.float32),
                   "att": draw(2 * STATE, ATTEND), "att_b": np.zeros(ATTEND, np.float32), "att_v": draw(ATTEND),
                   "out": draw(2 * STATE), "out_b": np.zeros(1, np.float32)}
         for side in "fb":
@@ -165,9 +181,9 @@ class Network:
         mask = step < size[None, :]
         return np.where(mask, first[None, :] + step, last), mask
 
-    def window_logits(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """(text, logit) of every window of a batch."""
-        text, first, size = windows(t.counts)
+    def window_logits(self, t: Tokens, only: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(text, logit) of every window of a batch, or of the first ``only``."""
+        text, first, size = (v[:only] for v in windows(t.counts))
         x = self.inputs(t)
         projected = {s: x @ self.w[f"wx_{s}"] + self.w[f"b_{s}"] for s in "fb"}
         out = np.empty(len(text), np.float32)
@@ -181,11 +197,39 @@ class Network:
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.prior is not None:
             return np.full(len(texts), self.prior)
-        text, logit = self.window_logits(tokenize(texts))
-        best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, text, logit)
+        lowered = [(t or "").lower() for t in texts]
+        best, k = np.full(len(texts), -np.inf), 0
+        while k < len(texts):
+            if len(lowered[k]) > CHARS:
+                best[k] = self._best_of_long(lowered[k])
+                k += 1
+                continue
+            end, chars = k, 0
+            while end < len(texts) and chars + len(lowered[end]) <= CHARS:
+                chars += len(lowered[end]) + 1
+                end += 1
+            end = max(end, k + 1)
+            text, logit = self.window_logits(tokenize(lowered[k:end]))
+            np.maximum.at(best[k:end], text, logit)
+            k = end
         return 1 / (1 + np.exp(-np.clip(best, -30, 30)))
 
+    def _best_of_long(self, lowered: str) -> float:
+        """The highest window of a long text, read in pieces that begin where a window does."""
+        best, at, size = -np.inf, 0, CHARS
+        while True:
+            piece = lowered[at:at + size]
+            t = tokenize([piece])
+            if at + size >= len(lowered):
+                return max(best, float(self.window_logits(t)[1].max()))
+            # whole windows without the last token, which may go on
+            n = (int(t.counts[0]) - 1 - WINDOW) // STRIDE + 1
+            if n < 1:
+                size *= 2
+                continue
+            best = max(best, float(self.window_logits(t, n)[1].max()))
+            at, size = at + int(t.starts[n * STRIDE]), CHARS
+
     def gradients(self, x: np.ndarray, at: np.ndarray, mask: np.ndarray, bag: np.ndarray,
                   y: np.ndarray) -> dict:
         """Gradients of the bags' log loss by weight."""
@@ -225,24 +269,35 @@ class Network:
             flat = d_in.reshape(-1, 3 * STATE)
             grad[f"wx_{s}"] = x[at].reshape(-1, x.shape[1]).T @ flat
             grad[f"b_{s}"] = flat.sum(axis=0)
+            d_x = flat @ self.w[f"wx_{s}"].T
+            grad["x"] = grad["x"] + d_x if "x" in grad else d_x      # by place, in the order of ``at``
         return grad
 
 
-def _seen(rows: np.ndarray, text: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """For each row of a table, how many negative and how many positive texts have it."""
-    found = np.unique(text.astype(np.int64) * size + rows)
-    label = y[found // size]
-    return np.stack([np.bincount(found % size, w, size) for w in (1 - label, label)]).astype(np.float32)
+def _taken(t: Tokens, which: np.ndarray) -> Tokens:
+    """The chosen tokens as one text."""
+    starts = np.concatenate(([0], t.char_ends[:-1]))[which]
+    lens = t.char_ends[which] - starts
+    ends = np.cumsum(lens)
+    rows = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lens), lens)
+    return Tokens(t.word[which], t.chars[rows], ends, np.array([len(which)]), t.starts[which])
+
+
+def _table_gradients(t: Tokens, d_x: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradients of both tables from those of the token vectors."""
+    lens = np.diff(np.concatenate(([0], t.char_ends)))
+    per_char = np.repeat(d_x[:, WORD_DIM:] / lens[:, None], lens, axis=0)
+    add = lambda rows, d, n: np.stack([np.bincount(rows, d[:, j], n) for j in range(d.shape[1])], axis=1)
+    return {"word": add(t.word, d_x[:, :WORD_DIM], WORD_ROWS), "char": add(t.chars, per_char, CHAR_ROWS)}
 
 
-def _log_odds(seen: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Log odds of a table row's texts being positive, shrunk towards 0 where few texts have it."""
-    share = (seen + 0.5) / (texts[:, None] + 1)
-    n = seen.sum(axis=0)
-    return ((np.log(share[1]) - np.log(share[0])) * n / (n + 4)).astype(np.float32)
+def _shown(rows: np.ndarray, text: np.ndarray, size: int) -> np.ndarray:
+    """Which rows of a table at least ``SEEN`` texts hold."""
+    found = np.unique(text.astype(np.int64) * size + rows) % size
+    return np.bincount(found, minlength=size) >= SEEN
 
 
-def fit(texts: list[str], labels: np.ndarray, steps: int = 300, batch: int = 40, rate: float = 0.02,
+def fit(texts: list[str], labels: np.ndarray, steps: int = 300, batch: int = 40, rate: float = 0.05,
         seed: int = 7) -> Network:
     """Train on texts and their labels (0 or 1) with Adam, as many positive as negative texts a step."""
     net, y = Network(seed), np.asarray(labels, dtype=np.float64)
@@ -250,49 +305,48 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 300, batch: int = 40,
         net.prior = float((y.sum() + 0.5) / (len(y) + 1))
         return net
     rng = np.random.default_rng(seed)
-    # texts in parts, so that no array is much larger than the token vectors; part i belongs to fold i % FOLDS
-    width = min(ROWS, -(-len(texts) // (2 * FOLDS)))
-    parts, seen = [], []
-    for k in range(0, len(texts), width):
-        t, own_y = tokenize(texts[k:k + width]), y[k:k + width]
-        owner = np.repeat(np.arange(len(own_y)), t.counts)
-        lens = np.diff(np.concatenate(([0], t.char_ends)))
-        parts.append(t)
-        seen.append((_seen(t.word, owner, own_y, WORD_ROWS), _seen(t.chars, np.repeat(owner, lens), own_y, CHAR_ROWS),
-                     np.array([(1 - own_y).sum(), own_y.sum()])))
-
-    def set_odds(used: list) -> None:
-        word, char, count = (sum(x) for x in zip(*used, strict=True))
-        net.w["word"][:, 0] = _log_odds(word, count) / 3
-        net.w["char"][:, 0] = _log_odds(char, count) / 3
-
-    # the tables stay; what reads them is trained
-    made: list = [None] * len(parts)
-    for k in range(FOLDS):
-        set_odds([s for i, s in enumerate(seen) if i % FOLDS != k])
-        for i in range(k, len(parts), FOLDS):
-            made[i] = net.inputs(parts[i])[:-1]
-    set_odds(seen)
-    x = np.concatenate([*made, np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)])
-    counts = np.concatenate([t.counts for t in parts])
-    del parts, seen, made
-    text, first, size = windows(counts)
+    parts = [tokenize([(t or "").lower() for t in texts[k:k + 64]]) for k in range(0, len(texts), 64)]
+    held = np.cumsum([0] + [len(t.chars) for t in parts])
+    t = Tokens(*[np.concatenate([getattr(p, c) for p in parts]) for c in ("word", "chars")],
+               np.concatenate([p.char_ends + held[i] for i, p in enumerate(parts)]),
+               np.concatenate([p.counts for p in parts]), np.concatenate([p.starts for p in parts]))
+    del parts
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), t.counts)
+    trained = {"word": _shown(t.word, owner, WORD_ROWS),
+               "char": _shown(t.chars, np.repeat(owner, np.diff(np.concatenate(([0], t.char_ends)))), CHAR_ROWS)}
+    del owner
+    text, first, size = windows(t.counts)
     bounds = np.searchsorted(text, np.arange(len(texts) + 1))
     classes = [np.flatnonzero(y == 0), np.flatnonzero(y == 1)]
-    moments = {k: (np.zeros_like(net.w[k]), np.zeros_like(net.w[k])) for k in PARTS}
+    moments = {k: (np.zeros_like(w), np.zeros_like(w) if k not in trained else np.zeros(1)) for k, w in net.w.items()}
     for step in range(1, steps + 1):
         chosen = np.concatenate([rng.choice(c, batch // 2) for c in classes])
         own = [rng.permutation(np.arange(bounds[i], bounds[i + 1]))[:TRAIN_WINDOWS] for i in chosen]
         bag = np.repeat(np.arange(len(chosen)), [len(o) for o in own])
         use = np.concatenate(own)
-        at, mask = net.places(first[use], size[use], len(x) - 1)
-        grad = net.gradients(x, at, mask, bag, y[chosen])
+        at, mask = net.places(first[use], size[use], len(t.word))
+        which, back = np.unique(at, return_inverse=True)
+        some = _taken(t, which[which < len(t.word)])
+        at = back.reshape(at.shape)
+        grad = net.gradients(net.inputs(some), np.where(mask, at, len(some.word)), mask, bag, y[chosen])
+        d_x = grad.pop("x")
+        places = np.where(mask, at, len(some.word)).reshape(-1)
+        d_token = np.stack([np.bincount(places, d_x[:, j], len(some.word) + 1) for j in range(d_x.shape[1])], axis=1)
+        if len(some.word):
+            grad |= {k: g * trained[k][:, None] for k, g in _table_gradients(some, d_token[:-1]).items()}
         speed = rate * (1 - step / (steps + 1))
-        for k in PARTS:
+        for k, g in grad.items():
             m, v = moments[k]
-            m += 0.1 * (grad[k] - m)
-            v += 0.01 * (grad[k] ** 2 - v)
+            m += 0.1 * (g - m)
+            if k in trained:
+                # one scale for a whole table: a row moves as its gradients are large and agree, rare rows hardly
+                v += 0.01 * ((g ** 2).sum() / SCALE_ROWS - v)
+            else:
+                v += 0.01 * (g ** 2 - v)
             net.w[k] -= (speed * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+            if k in trained:
+                norm = np.sqrt((net.w[k] ** 2).sum(axis=1, keepdims=True))
+                net.w[k] *= np.maximum(0, 1 - speed * SHRINK * len(y) ** -0.75 / np.maximum(norm, 1e-12))
     # steps saw both classes alike: half way back to their shares in the sample, as a miss weighs more than an alarm
     net.w["out_b"] += np.float32(0.5 * np.log(y.sum() / (1 - y).sum()))
     return net
@@ -313,9 +367,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, keep: Column,
 
 def score_column(net: Broadcast, text: Column) -> Column:
     """Probability of label 1 of each text; ``net`` is a broadcast network (its size is fixed)."""
-    @F.pandas_udf("double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            parts = [net.value.score(batch.iloc[k:k + ROWS].tolist()) for k in range(0, len(batch), ROWS)]
-            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
+        parts = [net.value.score(texts.slice(k, PART).to_pylist()) for k in range(0, len(texts), PART)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]))
     return of(text)
