@@ -1,18 +1,25 @@
 """Main text of HTML pages by a linear-chain conditional random field over leaf blocks.
 
 A page is read once into its leaf blocks: runs of text between the begin and
-end of block elements, with the tags and the class and id words of all open
-ancestors.  A block's features are those ancestors, its own element, and what
-its text looks like (length, share inside links, sentence end, copyright
-sign).  The field gives every block a score for being main text and one for
-following a block of the same or the other kind; Viterbi decoding keeps the
-best sequence.
+end of block elements, with the tags and the class and id names of all open
+ancestors but ``html`` and ``body``, whose names describe the site and not a
+block.  A name counts in each of its forms (``ad-free`` is not ``ad``), by how
+far above the block its element stands and by how much of the page's text that
+element holds, so a word on a wrapper is another feature than the same word on
+a small box.  Further features are the block's own element, the share of the
+page's text in its parents, what its text looks like (length, share inside
+links, sentence end, copyright sign) and how long its neighbours are.  The
+field gives every block a score for being main text and one for following a
+block of the same or the other kind; Viterbi decoding keeps the best sequence.
 
 The model is trained once per session on labelled pages.  There is no table of
 page labels, so the labelled pages are drawn from layouts (``labelled_page``):
-every page is put together from zones whose label is known, with the element
-and class names that such zones have on the web, in random order, nesting and
-size, with words of no language.  The model is small and travels with the task.
+every page is put together from zones whose label is known, in random order,
+nesting and size, with words of no language.  Zones have the element and class
+names that such zones have on the web, or names that say nothing; containers of
+any kind, main text included, also bear names of other zones in compounds
+(``has-sidebar``, ``ad-free``), as pages do to describe their layout.  The model
+is small and travels with the task.
 
 Texts are taken whole: character references are decoded, white space inside a
 block becomes one space, blocks of main text are joined by a line feed.
@@ -23,9 +30,11 @@ element; the head ends with the first text or element that cannot stand in it.
 Only a script or style without an end tag reaches to the end of the page.
 
 Defined results: a null or empty page has an empty text; a page without tags
-is one block; unclosed and stray tags, comments and quotes do not stop the
-reading; repeated rows are read alike; extra columns stay (an input column of
-the output's name is replaced).
+is one block; a page of any length is read whole; unclosed and stray tags,
+comments and quotes do not stop the reading, and a quote within an unquoted
+value opens nothing; labels of equal score go to main text; an empty table
+gives an empty table; repeated rows are read alike; extra columns stay,
+whatever their names (an input column of the output's name is replaced).
 """
 
 from __future__ import annotations
@@ -33,6 +42,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
 
@@ -40,11 +50,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tributary.llm.common import map_arrow, quoted
+from tributary.llm.common import fresh, map_arrow, quoted
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)
-    |<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))""", re.S | re.X)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+    |<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))?+)*+>
+    |[^>]*+(?:>|\Z))""", re.S | re.X)
+_NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # elements that hold no markup; their text is not part of the page's text
 RAW = frozenset("script style title textarea".split())
@@ -59,6 +70,8 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img in
                    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose "
                    "msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics "
                    "annotation annotation-xml".split())
+# elements whose names describe the page as a whole
+PAGE = frozenset("html body".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # a start tag of the value's elements ends an open element of the key
 CLOSED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -69,22 +82,63 @@ Block = tuple[tuple[str, ...], str]
 
 
 def _tokens(tag: str, attributes: str) -> list[str]:
-    """Feature words of an element: its tag and the words of its class, id and role."""
+    """Feature words of an element: its tag and its class, id and role names, whole and, if compound, by their words."""
     out = [f"<{tag}"]
     if "=" in attributes:
         for _, value in _NAMES.findall(attributes):
-            out += [f".{w.lower()}" for w in _NAME_WORD.findall(value)]
+            for name in value.strip("\"'").split():
+                words = [w.lower() for w in _NAME_WORD.findall(name)]
+                if len(words) == 1:
+                    out.append(f".{words[0]}")
+                elif words:
+                    out += [f".{'-'.join(words)}", *[f"~{w}" for w in words]]
     return out
 
 
-def _look(text: str, linked: int, own: str) -> list[str]:
+def _length(text: str) -> int:
     n = text.count(" ") + 1
+    return next((k for k, m in enumerate((2, 5, 10, 20, 50)) if n <= m), 5)
+
+
+def _look(text: str, linked: int, own: str) -> list[str]:
     share = linked / len(text)
-    return ["any", f"own={own}", "words=" + str(next((k for k, m in enumerate((2, 5, 10, 20, 50)) if n <= m), 5)),
+    return ["any", f"own={own}", f"words={_length(text)}",
             "link=" + ("none" if not linked else "all" if share > 0.9 else "some"),
             "end=" + str(text.endswith(_END)), "copyright=" + str("©" in text)]
 
 
+def _held(share: float) -> str:
+    """How much of the page's text an element holds."""
+    return "all" if share > 0.95 else "most" if share > 0.5 else "some" if share > 0.1 else "few"
+
+
+@dataclass
+class _Leaf:
+    text: str
+    look: list[str]
+    names: tuple[tuple[str, int, int], ...]    # feature word, its innermost element, that element's solid depth
+    parents: list[int]                         # the nearest solid elements, from the inside
+    depth: int                                 # solid elements that are open
+
+
+def _described(leaves: list[_Leaf], held: list[int]) -> list[Block]:
+    """The features of all leaves, once it is known how much text every element holds."""
+    total = max(1, sum(len(x.text) for x in leaves))
+    lengths = [_length(x.text) for x in leaves]
+    part = [_held(n / total) for n in held]
+    out, known, words = [], None, []
+    for k, x in enumerate(leaves):
+        if x.names is not known:
+            known, words = x.names, []
+            for w, element, depth in x.names:
+                away = x.depth - depth
+                words += [w, f"{w}|{part[element]}", f"{w}|{'near' if away < 2 else 'mid' if away < 4 else 'far'}"]
+        near = [f"in{i}={part[e]}" for i, e in enumerate(x.parents)]
+        sides = [f"prev={lengths[k - 1] if k else 'none'}", f"next={lengths[k + 1] if k + 1 < len(leaves) else 'none'}"]
+        out.append(((*words, *x.look, *near, *sides), x.text))
+    return out
+
+
 Tag = tuple[int, int, bool, str, str]
 
 
@@ -122,18 +176,19 @@ def _ended(tags: list[Tag]) -> set[int]:
 
 def blocks(html: str | None) -> list[Block]:
     """(features, text) of every leaf block in page order."""
-    out: list[Block] = []
+    out: list[_Leaf] = []
     html = html or ""
-    stack: list[tuple[str, list[str]]] = []
+    stack: list[tuple[str, list[str], int]] = []      # name, feature words, number of the element
+    held: list[int] = []        # characters in every element so far, by its number
     places: dict[str, list[int]] = {}      # where in the stack elements of a name are
     solid: list[int] = []       # places of elements that do not stand within a line
-    active: dict[str, int] = {}
+    active: dict[str, list[tuple[int, int]]] = {}     # by feature word, the open elements that bear it
     veils: list[int] = []       # places of hidden elements in the stack
     loose = False               # in a hidden element without an end tag
     pieces: list[str] = []
     linked = 0
     links = 0
-    known: tuple[str, ...] | None = None
+    known: tuple[tuple[str, int, int], ...] | None = None
     own = "none"
 
     def push(tag: str, words: list[str]) -> None:
@@ -141,14 +196,17 @@ def blocks(html: str | None) -> list[Block]:
         places.setdefault(tag, []).append(len(stack))
         if tag not in INLINE:
             solid.append(len(stack))
-        stack.append((tag, words))
+        stack.append((tag, words, len(held)))
         links += tag == "a"
         for w in words:
-            active[w] = active.get(w, 0) + 1
+            active.setdefault(w, []).append((len(held), len(solid)))
+        held.append(0)
 
     def pop() -> None:
         nonlocal links
-        tag, words = stack.pop()
+        tag, words, number = stack.pop()
+        if stack:
+            held[stack[-1][2]] += held[number]
         places[tag].pop()
         if tag not in INLINE:
             solid.pop()
@@ -156,7 +214,7 @@ def blocks(html: str | None) -> list[Block]:
             veils.pop()
         links -= tag == "a"
         for w in words:
-            active[w] -= 1
+            active[w].pop()
             if not active[w]:
                 del active[w]
 
@@ -165,8 +223,11 @@ def blocks(html: str | None) -> list[Block]:
         text = " ".join("".join(pieces).split())
         if text:
             if known is None:
-                known = tuple(active)
-            out.append(((*known, *_look(text, min(linked, len(text)), own)), text))
+                known = tuple((w, *of[-1]) for w, of in active.items())
+            if stack:
+                held[stack[-1][2]] += len(text)
+            out.append(_Leaf(text, _look(text, min(linked, len(text)), own), known,
+                             [stack[i][2] for i in solid[:-3:-1]], len(solid)))
         pieces.clear()
         linked = 0
 
@@ -224,9 +285,11 @@ def blocks(html: str | None) -> list[Block]:
                 known, own = None, tag
         if tag in VOID or attributes.endswith("/>"):
             continue
-        push(tag, [] if veils else _tokens(tag, attributes))
+        push(tag, [] if veils or tag in PAGE else _tokens(tag, attributes))
     flush()
-    return out
+    while stack:
+        pop()
+    return _described(out, held)
 
 
 class Field:
@@ -326,6 +389,41 @@ COMMENTS = ('div class="comments"', 'section id="comments"', 'div class="comment
             'div class="discussion replies"', 'section class="reader-comments responses"')
 
 
+# Words that containers of any kind bear in compounds, to say what a page has or lacks.
+TOPICS = ("sidebar", "menu", "nav", "cookie", "consent", "ad", "ads", "banner", "comments", "comment", "widget", "footer",
+          "header", "search", "form", "social", "share", "related", "promo", "popup", "newsletter", "login", "notice")
+COMPOUNDS = ("has-{}", "no-{}", "with-{}", "{}-free", "{}-open", "{}-closed", "{}-enabled", "{}-left", "{}-right",
+             "without-{}", "single-{}", "{}-area", "{}-visible", "hide-{}", "is-{}", "{}-below", "page-{}")
+
+
+def _odd(rng: random.Random) -> str:
+    """A name that says nothing."""
+    return "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(2, 10)))
+
+
+def _described_layout(container: str, rng: random.Random, share: float = 0.3) -> str:
+    """A container that sometimes bears names of other zones in compounds, or alone, besides its own."""
+    if not container or rng.random() > share:
+        return container
+    names = [rng.choice(COMPOUNDS).format(rng.choice(TOPICS)) for _ in range(rng.randint(1, 3))]
+    if rng.random() < 0.15:
+        names.append(rng.choice(TOPICS))
+    if rng.random() < 0.3:
+        names.append(_odd(rng))
+    rng.shuffle(names)
+    if ' class="' in container:
+        return container.replace(' class="', f' class="{" ".join(names)} ' if rng.random() < 0.5 else ' class="', 1) \
+            if rng.random() < 0.7 else re.sub(r' class="([^"]*)"', lambda m: f' class="{m.group(1)} {" ".join(names)}"', container)
+    return f'{container} class="{" ".join(names)}"'
+
+
+def _nameless(container: str, rng: random.Random) -> str:
+    """Now and then the container with a name that says nothing, in place of its own."""
+    if rng.random() < 0.2:
+        return f'{rng.choice(("div", "div", "section"))} class="{_odd(rng)}"'
+    return container
+
+
 def _words(rng: random.Random, low: int, high: int) -> str:
     syllables = ("ka", "lo", "mi", "ter", "en", "su", "ra", "vo", "nil", "ö", "dá", "pe", "shi", "qu")
     out = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(rng.randint(low, high))]
@@ -375,7 +473,7 @@ def labelled_page(rng: random.Random) -> str:
             inner = rng.choice((f"<h1>{_words(rng, 1, 4)}</h1>", f"<p>{_words(rng, 1, 8)}</p>", "")) + link_list()
         else:
             inner = rng.choice((_words(rng, 1, 40), prose("", 1, 3), f"<h3>{_words(rng, 1, 4)}</h3>" + link_list()))
-        return _within(container, inner, rng)
+        return _within(_nameless(container, rng), inner, rng)
 
     title = f"<h1>\x01{_words(rng, 1, 12)}</h1>"
     main = prose("\x01", 1, rng.choice((1, 3, 9, 9)))
@@ -383,9 +481,10 @@ def labelled_page(rng: random.Random) -> str:
         main += rest(rng.choice(ADS + SIDE + LINKS)) + prose("\x01", 1, 4)
     main = rng.choice((title, f"<header>{title}</header>" if rng.random() < 0.3 else title, "")) + main
     # some pages have no container, or one whose name says nothing
-    odd = "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=12))
+    odd = _odd(rng)
     plain = rng.choice(("", "div", f'div class="{odd}"', f'section id="{odd}"', "section"))
-    body = _within(rng.choice(OUTER), _within(rng.choice(MAIN) if rng.random() < 0.6 else plain, main, rng), rng)
+    own = _described_layout(rng.choice(MAIN) if rng.random() < 0.6 else plain, rng)
+    body = _within(rng.choice(OUTER), _within(own, main, rng), rng)
     bare = rng.random() < 0.2        # nothing but main text
     before = [] if bare else [rest(rng.choice(kind)) for kind in (HEADS, LINKS, ADS, NOTICES, SIDE, FORMS)
                               if rng.random() < 0.35]
@@ -395,7 +494,10 @@ def labelled_page(rng: random.Random) -> str:
     tail = rng.choice(("</body></html>", "</body></html>", ""))
     if rng.random() < 0.05:
         return "\x01" + _words(rng, 1, 60)      # no markup at all
-    return ("<!DOCTYPE html><html><head><title>t</title></head><body>" + "".join(before) + body + "".join(after) + tail)
+    whole = "".join(before) + body + "".join(after)
+    if rng.random() < 0.4:
+        whole = _within(_described_layout(rng.choice(OUTER[1:]), rng, 0.8), whole, rng)
+    return "<!DOCTYPE html><html><head><title>t</title></head><body>" + whole + tail
 
 
 def labelled_blocks(page: str) -> tuple[list[Block], list[int]]:
@@ -429,5 +531,6 @@ def _extract(at: int, out_col: str, field: Field):
 def extract(df: DataFrame, html_col: str = "html", out_col: str = "text", field: Field | None = None) -> DataFrame:
     """``df`` with the main text of each page added as ``out_col``."""
     df = df.select(*[quoted(c) for c in df.columns if c.lower() != out_col.lower()])
-    out = map_arrow(df, _extract(df.columns.index(html_col), "text__", field or trained()), "text__ string")
-    return out.withColumnRenamed("text__", out_col)
+    made = fresh(df.columns, "main_text")
+    out = map_arrow(df, _extract(df.columns.index(html_col), made, field or trained()), f"`{made}` string")
+    return out.toDF(*df.columns, out_col)
