@@ -102,3 +102,35 @@ def test_weights_count():
     a, b = dart.units("x y " * 200), dart.units("x y " * 230)
     assert dart.similarity(a, b) == 396 / 456 and dart.similarity(a, a) == 1
     assert dart.similarity(dart.units(""), a) == 0 and len(dart.shingles("one two")) == 1
+
+
+def test_helper_names_may_be_columns(spark):
+    from pyspark.sql import functions as F
+    names = ["node__r", "least__r", "is_first__r", "copies__r", "__node", "__key", "__first", "__least", "__copies", "a.b"]
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(4).alias(c) for c in names])
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 3]
+    assert sorted(map(tuple, neardup.assign(docs).collect())) == [(1, 1, 2), (2, 1, 2), (3, 3, 1), (3, 3, 1)]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    long = " ".join(words(rng, 300_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, " ".join(words(rng, 300_000)))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.class_id) for r in neardup.assign(docs).collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
+def test_recall_on_the_given_documents(spark):
+    """Classes of all documents against all links of 0.8, found by comparing every two texts that share a shingle."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    units = {t: dart.units(t) for _, t in rows if (t or "").split()}
+    by = {}
+    for t, u in units.items():
+        for x in u.tolist():
+            by.setdefault(x, []).append(t)
+    pairs = {(a, b) for ts in by.values() if len(ts) < 200 for i, a in enumerate(ts) for b in ts[:i]}
+    links = [(a, b) for a, b in pairs if dart.similarity(units[a], units[b]) >= 0.8]
+    got = neardup.assign(spark.createDataFrame(rows, "doc_id long, text string"))
+    of_text = {t: c for (_, t), c in zip(sorted(rows), [r.class_id for r in got.orderBy("doc_id").collect()])}
+    assert links and all(of_text[a] == of_text[b] for a, b in links)

@@ -15,30 +15,35 @@ No bucket is expanded into pairs or collected:
    about ``BLOCK`` nodes: a group holds two blocks, compares the signatures of
    nodes of different classes by array arithmetic, and gives out only pairs
    whose estimate is above the threshold less ``SIGMAS`` standard deviations,
-   each in the first bucket that its nodes share.  Those are compared exactly, too.  A first turn gives out the best pair of
-   every two classes, a second all pairs that are still between classes.
+   each in the first bucket that its nodes share (told by the bucket numbers
+   themselves).  Those are compared exactly, too.  A first turn gives out the
+   best pair of every two classes, a second all pairs that are still between
+   classes.
 
-So two linked nodes that share a bucket end in one class, save for the 0.1 % of
-links near the threshold that the signatures' estimate misses (sharing no
-bucket misses 0.3 % of those).
+So two linked nodes that share a bucket end in one class: the estimate of a link
+lies below six standard deviations with a probability of 1e-9.  Two nodes of a
+similarity of exactly 0.8 share no bucket with a probability of 0.003, of 0.85
+with 0.00004.
 
 Texts are fetched for exact comparison only for the nodes concerned: a bitmap
 of ``MARKS`` bits (a fixed size) is broadcast to drop most other rows where
-they are read, an exact join follows.
+they are read, an exact join follows.  A text travels once per cell of a grid of
+pairs (``pairs``), not once per pair.
 
 Classes are found by alternating large-star and small-star steps, every pair
 of them written to the shared checkpoint folder.
 
 Defined results: null and blank texts are alone in their class; a text of
-fewer than five words is one shingle; repeated rows and repeated or null ids
-are rows like others (the class id is the least id of the class's rows, null
-only if all are null); extra columns stay (``keep_one``).
+fewer than five words is one shingle, one of any length is read whole; repeated
+rows and repeated or null ids are rows like others (the class id is the least id
+of the class's rows, null only if all are null); of several rows of the least id
+``keep_one`` keeps one; an empty table gives an empty table; extra columns stay,
+whatever their names (``keep_one``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +52,11 @@ from pyspark.sql import functions as F
 
 from tributary.llm import dart
 from tributary.llm.common import SPACES, fresh, quoted, write_out
+from tributary.llm.pairs import matching
 
 THRESHOLD = 0.8
-BLOCK = 256
-SIGMAS = 3
+BLOCK = 2_048
+SIGMAS = 6
 MARKS = 1 << 26
 
 
@@ -82,23 +88,6 @@ def sketch(docs: DataFrame) -> DataFrame:
     return made.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes")])
 
 
-@lru_cache(maxsize=256)
-def _units(text: str) -> np.ndarray:
-    return dart.units(text)
-
-
-def _compare(threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                near = [dart.similarity(_units(a), _units(b)) >= threshold
-                        for a, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)],
-                                                 names=["a", "b"]).filter(pa.array(near))
-    return run
-
-
 def _marks(nodes: DataFrame) -> bytes:
     """A bitmap of ``MARKS`` bits with one set for each node."""
     bit = (F.conv(F.hex(F.substring("node", 1, 4)), 16, 10).cast("long") % MARKS + 1).alias("bit")
@@ -123,16 +112,17 @@ def _marked(shared):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are similar enough, by exact comparison of their shingles."""
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The written (a, b) of ``pairs`` whose texts are similar enough, by exact comparison of their shingles."""
+    spark = docs.sparkSession
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(_marks(ends))
+    shared = spark.sparkContext.broadcast(_marks(ends))
     some = docs.where(F.col("node").isNotNull()).mapInArrow(_marked(shared), "node binary, text string")
     texts = some.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    full = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b"))
-    return full.mapInArrow(_compare(threshold), "a binary, b binary")
+    size = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"))
+    weighed = write_out(spark, pairs.join(size("a"), "a").join(size("b"), "b").select(
+        "a", "b", (F.col("size_a") + F.col("size_b")).alias("weight")), "near-weighed")
+    return matching(weighed, texts, dart.units, lambda x, y: dart.similarity(x, y) >= threshold)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -173,6 +163,7 @@ def _block_pairs(threshold: float, best_only: bool):
         block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
         node, root = (table.column(c).to_pylist() for c in ("node", "root"))
         size, band = table.column("size").to_numpy(), table.column("band")[0].as_py()
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         lanes = np.frombuffer(b"".join(table.column("lanes").to_pylist()), dtype="<u2").reshape(len(node), -1)
         number = {r: i for i, r in enumerate(sorted(set(root)))}
         tree = np.array([number[r] for r in root])
@@ -181,10 +172,9 @@ def _block_pairs(threshold: float, best_only: bool):
             others = np.flatnonzero((block == high) & (tree != tree[i])
                                     & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
             others = others[others > i] if low[0] == high[0] else others
-            same = lanes[others] == lanes[i]
-            # a pair counts in its first band only
-            first = same.reshape(len(others), dart.BANDS, dart.ROWS).all(axis=2).argmax(axis=1) == band
-            others, estimate = others[first], same[first].mean(axis=1)
+            # a pair counts in the first of its common buckets only
+            others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
+            estimate = (lanes[others] == lanes[i]).mean(axis=1)
             for j, e in zip(others[estimate >= cut].tolist(), estimate[estimate >= cut].tolist(), strict=True):
                 x, y = (i, j) if node[i] > node[j] else (j, i)
                 key = (min(tree[i], tree[j]), max(tree[i], tree[j])) if best_only else (x, y)
@@ -203,11 +193,11 @@ def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
     open_buckets = (now.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
                                               F.count(F.lit(1)).alias("n"))
                     .where("r1 <> r2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    left = (now.join(open_buckets, "bucket").join(nodes.select("node", "lanes"), "node")
+    left = (now.join(open_buckets, "bucket").join(nodes.select("node", "lanes", "bands"), "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     paired = left.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                         "block", "band", "node", "root", "size", "lanes")
+                         "block", "band", "node", "root", "size", "lanes", "bands")
     pairs = (paired.groupBy("bucket", "low", "high")
              .applyInArrow(_block_pairs(threshold, best_only),
                            "a binary, b binary, ra binary, rb binary, estimate double"))
@@ -234,7 +224,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands"))), "near-star")
     best = star.groupBy("a").agg(F.max(F.struct("bands", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     first = write_out(spark, best, "near-first")
-    links = write_out(spark, verified(first, docs, threshold), "near-links")
+    links = write_out(spark, verified(first, docs, nodes, threshold), "near-links")
     roots = components(links)
 
     def between(pairs: DataFrame) -> DataFrame:
@@ -242,7 +232,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def compare(pairs: DataFrame) -> None:
         nonlocal links, roots
-        found = write_out(spark, verified(pairs, docs, threshold), "near-links")
+        found = write_out(spark, verified(pairs, docs, nodes, threshold), "near-links")
         if not found.isEmpty():
             links = links.unionAll(found)
             roots = components(links)
@@ -288,13 +278,14 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
     """``df`` with one row of each class: the least id's (one of them if the row repeats)."""
     _, groups = _grouped(df, id_col, text_col, threshold)
-    node = fresh(df.columns, "__node")
+    taken = list(df.columns)
+    node, key, first, least, copies = (fresh(taken, c) for c in ("__node", "__key", "__first", "__least", "__copies"))
     rows = df.withColumn(node, node_of(quoted(text_col).cast("string")))
     mine = [quoted(c) for c in df.columns]
-    held = groups.select(F.col("node").alias("node__r"), (F.col("node") == F.col("first_node")).alias("is_first__r"),
-                         F.col("least").alias("least__r"), (F.col("n") > 1).alias("copies__r"))
-    joined = rows.join(held, quoted(node) == quoted("node__r"), "left")
-    single = joined.where(quoted("node__r").isNull() | (quoted("is_first__r") & ~quoted("copies__r")))
+    held = groups.select(F.col("node").alias(key), (F.col("node") == F.col("first_node")).alias(first),
+                         F.col("least").alias(least), (F.col("n") > 1).alias(copies))
+    joined = rows.join(held, quoted(node) == quoted(key), "left")
+    single = joined.where(quoted(key).isNull() | (quoted(first) & ~quoted(copies)))
     # of a text's copies those with the least id: more than one row only if rows repeat
-    least = joined.where(quoted("is_first__r") & quoted("copies__r") & quoted(id_col).eqNullSafe(quoted("least__r")))
-    return single.select(*mine).unionAll(least.dropDuplicates([node]).select(*mine))
+    repeated = joined.where(quoted(first) & quoted(copies) & quoted(id_col).eqNullSafe(quoted(least)))
+    return single.select(*mine).unionAll(repeated.dropDuplicates([node]).select(*mine))
