@@ -15,13 +15,14 @@ in order.  Plan:
         balance plus the account's pending list (T3) across batches.
 
 One shuffle for the fold; memory is O(1) per task for T2 and O(pending) for
-T3 (pending entries expire after ``max_wait``).  Money is integer cents.
+T3 (pending entries expire after ``max_wait``).  Accounts too busy for one task
+are folded in blocks (T2, ``operators.hotfold``); a credit finds the pending
+debits it can pay in a logarithm of their number (T3, ``operators.pending``).
+Money is integer cents.
 """
 
 from __future__ import annotations
 
-import collections
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,9 @@ from pyspark.sql import types as T
 
 from tributary import schemas as S
 from tributary.functions.ledger import acting_account, cents, from_cents, is_external
+from tributary.operators import hotfold
 from tributary.operators.legs import running_balance
+from tributary.operators.pending import PendingList
 
 # Columns the folds read, in this order (positions are used inside the fold).
 _IN_SCHEMA = T.StructType([
@@ -190,20 +193,16 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
 
     def fold(batches):
         out = []                       # emitted rows: first 11 fields + kind + balance
-        current, bal, pending = None, 0, collections.deque()
-        # Smallest pending amount (None = recompute): a credit that leaves the
-        # balance below it cannot release anything, so the scan is skipped.
-        min_pending = None
+        current, bal, pending = None, 0, PendingList()
 
         def close_account():
-            nonlocal pending, min_pending
-            min_pending = None
-            while pending:
-                p = pending.popleft()
+            nonlocal pending
+            for p in pending.drain():
                 if keep_pending:
                     out.append((*p[:_PASS], "pending", bal))
                 else:
                     out.append((*p[:6], S.CANCELLED_BALANCE_NOT_ENOUGH, *p[7:_PASS], "out", bal))
+            pending = PendingList()
             if emit_balance and current is not None:
                 out.append((current,) + (None,) * (_PASS - 1) + ("balance", bal))
 
@@ -226,58 +225,26 @@ def make_fold(pending_design: bool, max_wait_ms: int | None = S.PENDING_MAX_WAIT
                     # carried balance of the account (sorts first): seed and emit nothing
                     bal = c
                     continue
-                if pending_design:
-                    now_ms = row[5] // 1000
-                    if max_wait_ms is not None:
-                        while pending and pending[0][8] <= now_ms:
-                            p = pending.popleft()
-                            min_pending = None
-                            out.append((*p[:6], S.CANCELLED_BALANCE_NOT_ENOUGH, *p[7:_PASS], "out", bal))
-                    if row[13] == "pending":
-                        pending.append(row)
-                        if len(pending) == 1:
-                            min_pending = c
-                        elif min_pending is not None:
-                            min_pending = min(min_pending, c)
-                    elif st == S.CREATED:
-                        if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
-                            bal -= c
-                            out.append((*row[:6], S.DEBIT_SUCCESS, *row[7:_PASS], "out", bal))
-                        else:
-                            deadline = 0 if max_wait_ms is None else now_ms + max_wait_ms
-                            pending.append((*row[:6], S.RETRY_BALANCE_NOT_ENOUGH, row[7], deadline,
-                                            *row[9:]))
-                            if len(pending) == 1:
-                                min_pending = c
-                            elif min_pending is not None:
-                                min_pending = min(min_pending, c)
-                    elif st == S.DEBIT_SUCCESS:
-                        bal += c
-                        out.append((*row[:6], S.FULFILLED, *row[7:_PASS], "out", bal))
-                        if pending and min_pending is None:
-                            min_pending = min(p[11] for p in pending)
-                        if pending and bal >= min_pending:
-                            kept = collections.deque()
-                            for p in pending:
-                                if p[11] <= bal:
-                                    bal -= p[11]
-                                    out.append((*p[:6], S.DEBIT_SUCCESS, *p[7:_PASS], "out", bal))
-                                else:
-                                    kept.append(p)
-                            pending = kept
-                            min_pending = None
-                    # any other status (an incoming RETRY too) is dropped by this design
-                else:
-                    if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
-                        if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
-                            bal -= c
-                            st = S.DEBIT_SUCCESS
-                        else:
-                            st = S.RETRY_BALANCE_NOT_ENOUGH
-                    elif st == S.DEBIT_SUCCESS:
-                        bal += c
-                        st = S.FULFILLED
-                    out.append((*row[:6], st, *row[7:_PASS], "out", bal))
+                now_ms = row[5] // 1000
+                if max_wait_ms is not None:
+                    while pending and pending.front()[8] <= now_ms:
+                        p = pending.pop_front()
+                        out.append((*p[:6], S.CANCELLED_BALANCE_NOT_ENOUGH, *p[7:_PASS], "out", bal))
+                if row[13] == "pending":
+                    pending.append(row, c)
+                elif st == S.CREATED:
+                    if (row[2] or "").lower() == S.EXTERNAL_ACCOUNT or bal - c >= 0:
+                        bal -= c
+                        out.append((*row[:6], S.DEBIT_SUCCESS, *row[7:_PASS], "out", bal))
+                    else:
+                        deadline = 0 if max_wait_ms is None else now_ms + max_wait_ms
+                        pending.append((*row[:6], S.RETRY_BALANCE_NOT_ENOUGH, row[7], deadline, *row[9:]), c)
+                elif st == S.DEBIT_SUCCESS:
+                    bal += c
+                    out.append((*row[:6], S.FULFILLED, *row[7:_PASS], "out", bal))
+                    for p, bal in pending.release(bal):
+                        out.append((*p[:6], S.DEBIT_SUCCESS, *p[7:_PASS], "out", bal))
+                # any other status (an incoming RETRY too) is dropped by this design
             if out:
                 yield flush()
         close_account()
@@ -299,17 +266,38 @@ def fold_accounts(keyed: DataFrame, fold_fn, num_partitions: int | None = None)
 
 def run_fold(tx: DataFrame, pending_design: bool, max_wait_ms: int | None = None,
              keep_pending: bool = False, emit_balance: bool = False,
-             num_partitions: int | None = None, external_running: bool = True) -> DataFrame:
-    """Both paths of the plan; output has ``_kind`` and ``_bal`` (cents).
+             num_partitions: int | None = None, external_running: bool = True,
+             busy_rows: int = hotfold.BUSY_ROWS) -> DataFrame:
+    """All paths of the plan; output has ``_kind`` and ``_bal`` (cents).
     With ``external_running=False`` rows of external accounts get no per-row
     balance (``_bal`` null); their closing balance still comes out with
-    ``emit_balance``."""
+    ``emit_balance``.  T2 accounts of more than ``busy_rows`` rows are folded in
+    blocks by many tasks."""
     keyed = keyed_feed(tx)
     hot = is_external(F.col("account"))
     fold_fn = make_fold(pending_design, max_wait_ms, keep_pending, emit_balance)
-    plain = fold_accounts(keyed.where(~hot), fold_fn, num_partitions)
-    return plain.unionByName(_unconditional(keyed.where(hot), pending_design, emit_balance,
-                                            running=external_running))
+    ordinary = keyed.where(~hot)
+    unconditional = _unconditional(keyed.where(hot), pending_design, emit_balance, running=external_running)
+    if not pending_design:
+        parts = int(num_partitions or tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        busy = hotfold.busy_accounts(ordinary, parts, busy_rows)
+        if busy:
+            is_busy = F.col("account").isin(list(busy))
+            unconditional = unconditional.unionByName(_in_blocks(ordinary.where(is_busy), busy, parts, emit_balance))
+            ordinary = ordinary.where(~is_busy)
+    return fold_accounts(ordinary, fold_fn, num_partitions).unionByName(unconditional)
+
+
+def _in_blocks(rows: DataFrame, busy: dict[str, int], parts: int, emit_balance: bool) -> DataFrame:
+    """T2 over the busy accounts; ``busy``: their rows (at most as many accounts as ``parts``)."""
+    carried = {r.account: r["_c"] for r in rows.where(F.col("_kind") == "balance").select("account", "_c").collect()}
+    rows = rows.where(F.col("_kind") == "row")
+    cuts = hotfold.cut_places(rows, sum(busy.values()), hotfold.BLOCKS * parts)
+    blocked = hotfold.with_block(rows, cuts, sorted(busy))
+    starts, last = hotfold.block_starts(blocked, parts, carried)
+    fold = hotfold.block_fold(starts, last if emit_balance else {}, _PASS, _ARROW_OUT)
+    return (blocked.repartition(parts, "_block").sortWithinPartitions("_block", *hotfold.ORDER)
+            .mapInArrow(fold, OUT_SCHEMA))
 
 
 def _public(folded: DataFrame) -> DataFrame:
@@ -317,7 +305,8 @@ def _public(folded: DataFrame) -> DataFrame:
             .drop("_bal", "_kind"))
 
 
-def checked_debit(tx: DataFrame, num_partitions: int | None = None, external_running: bool = True) -> DataFrame:
+def checked_debit(tx: DataFrame, num_partitions: int | None = None, external_running: bool = True,
+                  busy_rows: int = hotfold.BUSY_ROWS) -> DataFrame:
     """T2 over a feed of transfers; every input row is emitted once with its new
     status and the acting account's balance after it (``balance_after``).
 
@@ -329,7 +318,7 @@ def checked_debit(tx: DataFrame, num_partitions: int | None = None, external_run
     of external accounts null and spares their running sum.
     """
     return _public(run_fold(tx, pending_design=False, num_partitions=num_partitions,
-                            external_running=external_running))
+                            external_running=external_running, busy_rows=busy_rows))
 
 
 def pending_debit(tx: DataFrame, max_wait_ms: int | None = S.PENDING_MAX_WAIT_MS,
