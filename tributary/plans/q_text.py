@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tributary.functions.text import upper
+from tributary.functions.user import flat_map
 from tributary.operators import wordcount as wc
-from tributary.plans.registry import register
+from tributary.plans.registry import REGISTRY, register
 from tributary.sources.tables import read_table
 
 # Words asked for by the lookup queries (two frequent words and one that never
@@ -78,3 +82,16 @@ def q_word_count_running(spark, sf_dir):
     ordered by (conv_id, turn, pos)."""
     conv = _text_of(spark, sf_dir, "conversations", ("conv_id", "turn", "text"))
     return wc.word_count_running(conv, ["conv_id", "turn"])
+
+
+def _words(batch: pa.RecordBatch):
+    """A user's flat map: the words of a batch of texts, each with a one."""
+    words = [w for text in batch.column(0).to_pylist() for w in re.split(r"\W+", (text or "").lower(), flags=re.ASCII) if w]
+    yield pa.table({"word": pa.array(words, pa.string()), "one": pa.array([1] * len(words), pa.int32())})
+
+
+@register("word_count_user", REGISTRY["word_count"].sql, ("documents",))
+def q_word_count_user(spark, sf_dir):
+    """A1 with the tokenizer as a user's table function over Arrow batches."""
+    words = flat_map(_text_of(spark, sf_dir).select("text"), _words, "word string, one int")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))

@@ -3,9 +3,12 @@ system describes in prose only; built here as user-level operators)."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tributary.operators import joins, windows
+from tributary.operators.cogroup import cogroup
 from tributary.plans.registry import register
 from tributary.sources.tables import read_events, read_table
 
@@ -107,6 +110,33 @@ def q_cogroup_counts(spark, sf_dir):
     return joins.cogroup_counts(o, li, "orderkey", "n_orders", "n_lines")
 
 
+# Orders and lines of every third order key meet under one key: a third of all rows.
+_HOT_KEY = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} END"
+
+
+def _lines_above(orders: pa.Table, lines: pa.Table) -> pa.Table:
+    """A user's function: for each order, how many lines of its group cost more than a tenth of it."""
+    price = np.sort(lines.column("l_extendedprice").to_numpy())
+    tenth = orders.column("o_totalprice").to_numpy() / 10
+    above = len(price) - np.searchsorted(price, tenth, side="right")
+    return orders.select(["o_orderkey"]).append_column("n_above", pa.array(above.astype(np.int64)))
+
+
+@register("cogroup_user", f"""
+WITH o AS (SELECT {_HOT_KEY.format("o_orderkey")} AS k, o_orderkey, o_totalprice FROM orders),
+l AS (SELECT {_HOT_KEY.format("l_orderkey")} AS k, l_extendedprice FROM lineitem)
+SELECT o_orderkey, CAST(count(*) FILTER (l_extendedprice > o_totalprice / 10) AS BIGINT) AS n_above
+FROM o LEFT JOIN l ON o.k = l.k GROUP BY o_orderkey
+""", ("orders", "lineitem"))
+def q_cogroup_user(spark, sf_dir):
+    """U3 with a user's function over orders and lines of a key, one of which holds a third of all rows."""
+    o = read_table(spark, sf_dir, "orders").select(
+        F.expr(_HOT_KEY.format("o_orderkey")).alias("k"), "o_orderkey", "o_totalprice")
+    li = read_table(spark, sf_dir, "lineitem").select(F.expr(_HOT_KEY.format("l_orderkey")).alias("k"), "l_extendedprice")
+    return cogroup(o, li, "k", _lines_above, "o_orderkey long, n_above long",
+                   merge=lambda out: out.groupBy("o_orderkey").agg(F.sum("n_above").alias("n_above")), block_rows=4_000)
+
+
 @register("delayed_echo", """
 SELECT event_id, event_type AS word, ts + INTERVAL 2 SECOND AS echo_at FROM events
 """, ("events",))
