@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary import schemas as S
 from tributary.functions import ledger as L
 from tributary.functions.codec import decode_frame, to_messages
+from tributary.functions.user import keyed_process
 from tributary.operators import debit, legs
 from tributary.plans import sql as Q
-from tributary.plans.registry import register
+from tributary.plans.registry import REGISTRY, register
 from tributary.sinks.topics import routed_messages
 from tributary.sources.ledger import chain_transfers, read_ledger
 from tributary.sources.tables import read_events
@@ -296,6 +298,21 @@ def q_route_after_debit(spark, sf_dir):
     return out.where(F.col("route").isNotNull()).select("txId", "phase", "status", "route")
 
 
+def _split(key, rows, state):
+    """A user's process function: a named output for each status that goes on, none for the others."""
+    for status, name in ((S.DEBIT_SUCCESS, "raw"), (S.FULFILLED, "completed"), (S.RETRY_BALANCE_NOT_ENOUGH, "wait")):
+        yield name, rows[rows["status"] == status]
+
+
+@register("route_after_debit_user", REGISTRY["route_after_debit"].sql, ("events",))
+def q_route_after_debit_user(spark, sf_dir):
+    """F2 as a user's keyed process function with side outputs."""
+    schema = T.StructType([T.StructField("txId", T.StringType()), T.StructField("phase", T.IntegerType()),
+                           T.StructField("status", T.StringType())])
+    out = keyed_process(_checked(spark, sf_dir).select("account", "txId", "phase", "status"), ["account"], _split, schema)
+    return out.withColumnRenamed("output", "route")
+
+
 @register("route_after_debit2", _CHECKED + """
 SELECT txId, phase, status, CASE WHEN status = 'DEBIT_SUCCESS' THEN 'raw' ELSE 'completed' END AS route
 FROM checked

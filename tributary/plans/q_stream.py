@@ -5,9 +5,11 @@ their written result table."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.operators import joins
 from tributary.operators.debit import first_round_feed
+from tributary.operators.legs import split_legs
 from tributary.plans import sql as Q
 from tributary.plans.q_state import LOOKUP_ACCOUNTS
 from tributary.plans.q_text import LOOKUP_WORDS
@@ -15,20 +17,21 @@ from tributary.plans.registry import REGISTRY, register
 from tributary.session import scratch_path
 from tributary.sources.ledger import ledger_from_events
 from tributary.streaming import jobs
+from tributary.streaming.published import PublishedTable, publish_state
 
 
 @register("word_count_stream", REGISTRY["word_count"].sql, ("documents",))
 def q_word_count_stream(spark, sf_dir):
-    """A2 as a stream: running word counts (complete mode) over the documents files."""
+    """A2 as a stream: running word counts over the documents files; changed words are merged into a published table."""
     lines = jobs.read_table_stream(spark, sf_dir, "documents").select("text")
-    return jobs.run_available(jobs.word_count_stream(lines), "complete", "word-count")
+    return jobs.run_merged(jobs.word_count_stream(lines), ["word"], "word-count")
 
 
 @register("account_balance_stream", REGISTRY["account_balance"].sql, ("events",))
 def q_account_balance_stream(spark, sf_dir):
-    """A3 as a stream: running balance per account (complete mode)."""
+    """A3 as a stream: running balance per account; changed accounts are merged into a published table."""
     ev = jobs.events_stream(spark, sf_dir)
-    return jobs.run_available(jobs.account_balance_stream(ev), "complete", "balance")
+    return jobs.run_merged(jobs.account_balance_stream(ev), ["account"], "balance")
 
 
 @register("debit_check_stream", "WITH RECURSIVE " + Q.checked_debit_sql(Q.FIRST_ROUND)
@@ -98,3 +101,49 @@ def q_interval_join_stream(spark, sf_dir):
     out = jobs.run_available(joined.select("orderkey", "l_linenumber", "o_custkey", "o_orderdate",
                                            "l_shipdate", "l_extendedprice"), "append", "interval-join")
     return out
+
+
+@register("self_connect_stream", REGISTRY["self_connect_balance"].sql, ("events",))
+def q_self_connect_stream(spark, sf_dir):
+    """J2 as connected streams: legs of both keyings share one balance per account; ``external`` on its own path."""
+    return jobs.run_self_connect(ledger_from_events(jobs.events_stream(spark, sf_dir)))
+
+
+@register("two_stage_transfer_stream", REGISTRY["two_stage_transfer"].sql, ("events",))
+def q_two_stage_transfer_stream(spark, sf_dir):
+    """A5 as one stream of two stateful operators, keyed anew in between."""
+    tx = ledger_from_events(jobs.events_stream(spark, sf_dir)).withColumn("phase", F.lit(0))
+    out = jobs.run_available(jobs.two_stage_stream(tx), "append", "two-stage")
+    return out.select("txId", "fromAccount", "toAccount", "amount", "status",
+                      "debit_balance_after", "credit_balance_after")
+
+
+@register("broadcast_enrich_stream", REGISTRY["broadcast_enrich"].sql, ("events",))
+def q_broadcast_enrich_stream(spark, sf_dir):
+    """J3/T6 as a stream: the checked debit's states are kept in map state, the legs meet it as they come."""
+    tx = ledger_from_events(jobs.events_stream(spark, sf_dir))
+    states = jobs.checked_debit_stream(first_round_feed(tx)).select("txId", "status", "instant", "seq", "phase")
+    legs = split_legs(tx).select("txId", "account", "amount", "instant", "seq", "phase")
+    return jobs.run_available(jobs.map_enrich_stream(legs, states), "append", "map-enrich")
+
+
+@register("final_windows_stream", f"""
+WITH w AS ({REGISTRY["tumbling_window"].sql}), mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS m FROM events)
+SELECT w.* FROM w, mark WHERE w.window_end <= mark.m
+""", ("events",))
+def q_final_windows_stream(spark, sf_dir):
+    """The daily windows that a watermark of one hour has closed, given out once (append mode)."""
+    ev = jobs.events_stream(spark, sf_dir)
+    return jobs.run_final_windows(ev, "1 day", ["event_type"], "value", "1 hour")[0]
+
+
+@register("balance_feed_lookup", REGISTRY["balance_lookup"].sql, ("events",))
+def q_balance_feed_lookup(spark, sf_dir):
+    """Q5: what changed in a balance stream's state is merged into a published table; a lookup reads its keys' buckets."""
+    ckpt = scratch_path(spark, "balance-feed")
+    jobs.run_available(jobs.account_balance_stream(jobs.events_stream(spark, sf_dir)), "update", "balance-feed",
+                       checkpoint=ckpt)
+    schema = T.StructType([T.StructField("account", T.StringType()), T.StructField("balance", T.DoubleType())])
+    table = PublishedTable(spark, scratch_path(spark, "balance-published"), ["account"], schema)
+    publish_state(table, ckpt, {"account": F.col("key.account"), "balance": F.col("value.sum").cast("double") / 100.0})
+    return table.lookup(spark.createDataFrame([(a,) for a in LOOKUP_ACCOUNTS], "account string"))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary import schemas as S
 from tributary.functions.ledger import acting_account, is_external
@@ -26,6 +27,7 @@ from tributary.session import scratch_path
 from tributary.sources.ledger import ledger_from_events
 from tributary.sources.tables import read_table, table_path
 from tributary.streaming import processors as P
+from tributary.streaming.published import PublishedTable
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -89,8 +91,23 @@ def run_available(df: DataFrame, output_mode: str = "append", name: str = "strea
     return spark.read.parquet(target)
 
 
+def run_merged(df: DataFrame, key: list[str], name: str = "stream", checkpoint: str | None = None,
+               target: str | None = None, buckets: int = 32) -> DataFrame:
+    """Run a keyed aggregation over all available input in update mode: every
+    batch merges the keys that changed into a ``PublishedTable``, which readers
+    can use meanwhile; returns the table."""
+    table = PublishedTable(df.sparkSession, target or scratch_path(df.sparkSession, f"{name}-out"), key, df.schema, buckets)
+    query = (df.writeStream.foreachBatch(lambda batch, batch_id: table.merge(batch, batch_id))
+             .option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, f"{name}-ckpt"))
+             .outputMode("update").trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return table.read()
+
+
 def word_count_stream(lines: DataFrame) -> DataFrame:
-    """A2 as a stream: running counts per word (complete mode keeps the totals)."""
+    """A2 as a stream: running counts per word; in update mode a batch gives the words it changed."""
     return tokenize(lines).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -115,16 +132,107 @@ def checked_debit_stream(tx: DataFrame) -> DataFrame:
     ``CheckedDebitProcessor`` keyed by the acting account."""
     use_rocksdb(tx.sparkSession)
     keyed = _keyed(tx)
-    hot = is_external(F.col("account"))
-    st = F.col("status")
-    approved = keyed.where(hot).select(
-        *[(F.when(st.isin(S.CREATED, S.RETRY_BALANCE_NOT_ENOUGH), F.lit(S.DEBIT_SUCCESS))
-           .when(st == S.DEBIT_SUCCESS, F.lit(S.FULFILLED)).otherwise(st)).alias("status")
-          if c == "status" else F.col(c) for c in _TX_IN],
-        F.lit(None).cast("double").alias("balance_after"))
-    folded = (keyed.where(~hot).groupBy("account")
+    folded = (keyed.where(~is_external(F.col("account"))).groupBy("account")
               .transformWithStateInPandas(P.CheckedDebitProcessor(), P.TX_OUT, "append", "None"))
-    return folded.unionByName(approved)
+    return folded.unionByName(approved_external(keyed, pending_design=False))
+
+
+def approved_external(keyed: DataFrame, pending_design: bool) -> DataFrame:
+    """Rows of ``external`` accounts, approved by predicate and without state:
+    they pay every deposit, so their key is a hot one, and their balance is
+    never asked.  ``balance_after`` is null.  The pending-list design drops what
+    is neither new nor a credit."""
+    st = F.col("status")
+    debit = st == S.CREATED if pending_design else st.isin(S.CREATED, S.RETRY_BALANCE_NOT_ENOUGH)
+    credit = st == S.DEBIT_SUCCESS
+    rows = keyed.where(is_external(F.col("account")))
+    if pending_design:
+        rows = rows.where(debit | credit)
+    status = F.when(debit, F.lit(S.DEBIT_SUCCESS)).when(credit, F.lit(S.FULFILLED)).otherwise(st)
+    return rows.select(*[status.alias("status") if c == "status" else F.col(c) for c in _TX_IN],
+                       F.lit(None).cast("double").alias("balance_after"))
+
+
+def self_connect_legs(tx: DataFrame) -> DataFrame:
+    """J2's two keyings of a stream of transfers: a DEBIT_SUCCESS leg for the payer, a FULFILLED leg for the payee."""
+    from tributary.operators.legs import split_legs
+    return split_legs(tx, S.DEBIT_SUCCESS, S.FULFILLED)
+
+
+def self_connect_stream(legs: DataFrame) -> DataFrame:
+    """J2 for all accounts but ``external``: both keyings share one balance per account."""
+    use_rocksdb(legs.sparkSession)
+    return (legs.where(~is_external(F.col("account"))).groupBy("account")
+            .transformWithStateInPandas(P.SelfConnectProcessor(), P.CONNECT_OUT, "append", "None"))
+
+
+def external_legs_writer(spark: SparkSession, target: str):
+    """J2 for ``external``, the hot key, batch by batch: a blocked running sum
+    over the batch, which no single task orders, on top of the sums of the
+    batches before (a row per batch and spelling of the name)."""
+    from tributary.functions.ledger import cents, from_cents
+    from tributary.operators.legs import running_balance
+    sums = "batch long, account string, total long"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where(is_external(F.col("account"))).withColumn("_d", cents(F.col("amount")))
+        ensure = spark._jvm.org.apache.hadoop.fs.Path(f"{target}-sums")
+        ensure.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(ensure)
+        before = (spark.read.schema(sums).parquet(f"{target}-sums/*").where(F.col("batch") < batch_id)
+                  if batch_id else spark.createDataFrame([], sums))
+        before = before.groupBy("account").agg(F.sum("total").alias("_before"))
+        out = running_balance(rows, "account", "_d", "_run", as_cents=True).join(F.broadcast(before), "account", "left")
+        (out.select("account", "txId", "status", "amount",
+                    from_cents(F.col("_run") + F.coalesce("_before", F.lit(0))).alias("balance_after"))
+         .write.mode("overwrite").parquet(f"{target}/batch={batch_id}"))
+        (rows.groupBy("account").agg(F.sum("_d").alias("total"))
+         .select(F.lit(batch_id).cast("long").alias("batch"), "account", "total")
+         .write.mode("overwrite").parquet(f"{target}-sums/{batch_id}"))
+    return write
+
+
+def run_self_connect(tx: DataFrame, checkpoint: str | None = None, target: str | None = None) -> DataFrame:
+    """J2 over all available input: a stateful query for ordinary accounts, one of blocked sums for ``external``."""
+    spark = tx.sparkSession
+    checkpoint, target = checkpoint or scratch_path(spark, "connect-ckpt"), target or scratch_path(spark, "connect-out")
+    legs = self_connect_legs(tx)
+    ordinary = run_available(self_connect_stream(legs), "append", "connect", f"{checkpoint}-ordinary", f"{target}-ordinary")
+    query = (legs.writeStream.foreachBatch(external_legs_writer(spark, f"{target}-external"))
+             .option("checkpointLocation", f"{checkpoint}-external").trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    external = spark.read.schema(P.CONNECT_OUT).parquet(f"{target}-external/*")
+    return ordinary.unionByName(external)
+
+
+def two_stage_stream(tx: DataFrame) -> DataFrame:
+    """A5 as one query of two stateful operators: debit keyed by the payer, then,
+    keyed anew, credit by the payee.  Each stage has its own balances; a key's
+    rows of one micro-batch are in one task, so the trigger bounds them."""
+    use_rocksdb(tx.sparkSession)
+    first, second = P.stage_schema("debit_balance_after"), P.stage_schema("debit_balance_after", "credit_balance_after")
+    created = tx.where(F.col("status") == S.CREATED).select(*P.STAGE_IN)
+    debited = created.groupBy("fromAccount").transformWithStateInPandas(
+        P.StageProcessor(-1, S.DEBIT_SUCCESS, "debit_balance_after", first.fieldNames()), first, "append", "None")
+    return (debited.where(F.col("status") == S.DEBIT_SUCCESS).groupBy("toAccount").transformWithStateInPandas(
+        P.StageProcessor(1, S.FULFILLED, "credit_balance_after", second.fieldNames()), second, "append", "None"))
+
+
+def map_enrich_stream(legs: DataFrame, state_events: DataFrame, ttl_ms: int | None = None, buckets: int = 256) -> DataFrame:
+    """J3/T6 as one stateful query: ``state_events`` (txId, status and order)
+    are kept in map state by buckets of transfers; ``legs`` meet it as they
+    come.  With ``ttl_ms`` entries leave the map that long after they were put."""
+    use_rocksdb(legs.sparkSession)
+    none = lambda kind: F.lit(None).cast(kind)
+    order = ["instant", "seq", "phase"]
+    tagged = (state_events.select(F.lit("state").alias("tag"), "txId", none("string").alias("account"),
+                                  none("double").alias("amount"), "status", *order)
+              .unionByName(legs.select(F.lit("leg").alias("tag"), "txId", "account", "amount",
+                                       none("string").alias("status"), *order)))
+    keyed = tagged.withColumn("bucket", F.pmod(F.xxhash64("txId"), F.lit(buckets)).cast("int"))
+    return keyed.groupBy("bucket").transformWithStateInPandas(
+        P.MapEnrichProcessor(ttl_ms), P.ENRICHED_OUT, "append", "None" if ttl_ms is None else "ProcessingTime")
 
 
 def pending_debit_stream(tx: DataFrame, max_wait_ms: int = S.PENDING_MAX_WAIT_MS,
@@ -132,9 +240,10 @@ def pending_debit_stream(tx: DataFrame, max_wait_ms: int = S.PENDING_MAX_WAIT_MS
     """T3 on a stream in event time: timers fire as the watermark passes deadlines."""
     use_rocksdb(tx.sparkSession)
     keyed = _keyed(tx).withWatermark("instant", watermark)
-    return (keyed.groupBy("account")
-            .transformWithStateInPandas(P.PendingDebitProcessor(max_wait_ms=max_wait_ms, event_time=True),
-                                        P.TX_OUT, "append", "EventTime"))
+    folded = (keyed.where(~is_external(F.col("account"))).groupBy("account")
+              .transformWithStateInPandas(P.PendingDebitProcessor(max_wait_ms=max_wait_ms, event_time=True),
+                                          P.TX_OUT, "append", "EventTime"))
+    return folded.unionByName(approved_external(keyed, pending_design=True))
 
 
 def wait_retry_stream(tx: DataFrame, watermark: str = "0 seconds") -> DataFrame:
@@ -178,6 +287,61 @@ def windowed_counts_stream(events: DataFrame, size: str, keys: list[str], value_
     return tumbling(events.withWatermark("ts", watermark), "ts", size, keys, value_col)
 
 
+def split_late(events: DataFrame, size: str, watermark: str, target: str, checkpoint: str) -> None:
+    """Write all available rows of ``events``, by batch, to ``late=false`` or ``late=true`` below ``target``.
+
+    A row is late if its window had ended at the watermark when its batch began:
+    the largest event time of all batches before, less ``watermark``.  Batches
+    are told from what is written of each (its largest event time), so one that
+    runs again is split alike.
+    """
+    spark = events.sparkSession
+    tops = "batch long, top timestamp"
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        mark = None
+        if batch_id:
+            before = spark.read.schema(tops).parquet(f"{target}-tops/*").where(F.col("batch") < batch_id)
+            mark = before.agg((F.max("top") - F.expr(f"INTERVAL {watermark}")).alias("mark")).first().mark
+        late = F.coalesce(F.window("ts", size)["end"] <= F.lit(mark), F.lit(False)) if mark else F.lit(False)
+        out = f"{target}-rows/batch={batch_id}"
+        batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(out)
+        rows = spark.read.schema(events.schema).parquet(out)
+        (rows.agg(F.max("ts").alias("top")).select(F.lit(batch_id).cast("long").alias("batch"), "top")
+         .write.mode("overwrite").parquet(f"{target}-tops/{batch_id}"))
+
+    query = (events.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def run_final_windows(events: DataFrame, size: str, keys: list[str], value_col: str, watermark: str,
+                      checkpoint: str | None = None, target: str | None = None,
+                      max_files: int | None = None) -> tuple[DataFrame, DataFrame, list[dict]]:
+    """(final windows, late rows, progress of the windows' query) over all available input.
+
+    Late rows are parted first and have an output of their own (``split_late``);
+    the windows read the rest in append mode, so each is given out once, when
+    the watermark has passed its end, and its state is dropped then.
+    """
+    spark = events.sparkSession
+    checkpoint, target = checkpoint or scratch_path(spark, "final-ckpt"), target or scratch_path(spark, "final-out")
+    split_late(events, size, watermark, target, f"{checkpoint}-late")
+    reader = spark.readStream.schema(events.schema)
+    reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+    final = windowed_counts_stream(reader.parquet(f"{target}-rows/*/late=false"), size, keys, value_col, watermark)
+    query = (final.writeStream.format("parquet").option("path", f"{target}-windows").outputMode("append")
+             .option("checkpointLocation", f"{checkpoint}-windows").trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    parted = T.StructType([*events.schema.fields, T.StructField("batch", T.LongType()), T.StructField("late", T.BooleanType())])
+    late = spark.read.schema(parted).parquet(f"{target}-rows").where(F.col("late")).select(*events.columns)
+    return spark.read.schema(final.schema).parquet(f"{target}-windows"), late, list(query.recentProgress)
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
                          ts_l: str, ts_r: str, within: str, watermark: str) -> DataFrame:
     """U2 on two streams: equi-join plus a time bound (right time in

@@ -434,3 +434,117 @@ class ControlBlockProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+CONNECT_OUT = T.StructType([
+    T.StructField("account", T.StringType()),
+    T.StructField("txId", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("amount", T.DoubleType()),
+    T.StructField("balance_after", T.DoubleType()),
+])
+
+
+def _in_order(rows) -> pd.DataFrame | None:
+    """All rows of a key in this micro-batch, in (instant, seq, phase) order; None without rows."""
+    frames = [f for f in rows if len(f)]
+    if not frames:
+        return None
+    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    return pdf.iloc[np.lexsort([pdf["phase"].to_numpy(), pdf["seq"].to_numpy(), pdf["instant"].to_numpy()])]
+
+
+class SelfConnectProcessor(StatefulProcessor):
+    """J2 keyed by account: two keyings of one stream of transfers, by payer and
+    by payee, meet as tagged legs and share one value state ``balance``."""
+
+    def init(self, handle) -> None:
+        self.balance = handle.getValueState("balance", "cents long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _in_order(rows)
+        if pdf is None:
+            return
+        state = self.balance.get()
+        after = (state[0] if state else 0) + np.cumsum(whole_cents(pdf["amount"].to_numpy()))
+        self.balance.update((int(after[-1]),))
+        yield pdf.assign(balance_after=after / 100.0)[CONNECT_OUT.fieldNames()]
+
+    def close(self) -> None:
+        pass
+
+
+STAGE_IN = ["txId", "fromAccount", "toAccount", "amount", "instant", "seq", "phase", "status"]
+
+
+def stage_schema(*balances: str) -> T.StructType:
+    """Transfers with the balances that the stages so far have added."""
+    kinds = {f.name: f for f in TX_OUT.fields}
+    return T.StructType([kinds[c] for c in STAGE_IN] + [T.StructField(b, T.DoubleType()) for b in balances])
+
+
+class StageProcessor(StatefulProcessor):
+    """One stage of A5, keyed by the account it moves: adds ``sign`` times the
+    amount to its own value state, sets the status, adds the balance column."""
+
+    def __init__(self, sign: int, status: str, column: str, columns: list[str]):
+        self.sign, self.status, self.column, self.columns = sign, status, column, columns
+
+    def init(self, handle) -> None:
+        self.balance = handle.getValueState("balance", "cents long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _in_order(rows)
+        if pdf is None:
+            return
+        state = self.balance.get()
+        after = (state[0] if state else 0) + np.cumsum(self.sign * whole_cents(pdf["amount"].to_numpy()))
+        self.balance.update((int(after[-1]),))
+        yield pdf.assign(**{"status": self.status, self.column: after / 100.0})[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+ENRICHED_OUT = T.StructType([
+    T.StructField("txId", T.StringType()),
+    T.StructField("account", T.StringType()),
+    T.StructField("amount", T.DoubleType()),
+    T.StructField("phase", T.IntegerType()),
+    T.StructField("tx_status", T.StringType()),
+])
+
+
+class MapEnrichProcessor(StatefulProcessor):
+    """Legs meet the map txId -> status, kept as map state.
+
+    The key is a bucket of transfers, so one call handles many of them; inside a
+    micro-batch the state events are put into the map first, the last one of a
+    transfer by (instant, seq, phase).  An entry that is not put again for
+    ``ttl_ms`` leaves the map (None: never)."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle) -> None:
+        more = {} if self.ttl_ms is None else {"ttlDurationMs": self.ttl_ms}
+        self.states = handle.getMapState("states", "txId string", "status string", **more)
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _in_order(rows)
+        if pdf is None:
+            return
+        is_state = (pdf["tag"] == "state").to_numpy()
+        now = dict(zip(pdf["txId"][is_state], pdf["status"][is_state]))
+        for tx, status in now.items():
+            self.states.updateValue((tx,), (status,))
+        legs = pdf[~is_state]
+        if not len(legs):
+            return
+        for tx in set(legs["txId"]) - set(now):
+            found = self.states.getValue((tx,)) if self.states.containsKey((tx,)) else None
+            now[tx] = found[0] if found else None
+        yield legs.assign(tx_status=[now[tx] for tx in legs["txId"]])[ENRICHED_OUT.fieldNames()]
+
+    def close(self) -> None:
+        pass

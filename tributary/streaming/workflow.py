@@ -14,8 +14,10 @@ each job writes all its routes with a computed topic column.  Both sinks are
 at least once: a replayed batch can publish its messages again (a folder's
 batch is rewritten under new file names, which the other job's file source
 takes for new).  So both jobs drop messages whose (txId, status, retriedTimes,
-phase) they have read before, and a replay moves no money twice.  What was
-read is kept in the job's state.
+phase) they have read within the last ``REPLAY_BOUND``, and a replay within that
+time moves no money twice.  What was read is kept in the job's state that long
+and no longer: the mark that drops it follows the time at which batches begin,
+not the transfers' instants, so no message ever counts as late, however old.
 
 ``run_until_quiet`` drives the loop offline: alternate ``availableNow`` runs
 of the two jobs until the balance job reads nothing new.  With
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 
 from tributary import schemas as S
 from tributary.functions.codec import decode_frame, to_messages
-from tributary.functions.ledger import retry_delay_ms
+from tributary.functions.ledger import is_external, retry_delay_ms
 from tributary.session import scratch_path
 from tributary.sources.topics import MESSAGE, ensure_folder, read_messages, topic_path
 from tributary.streaming import jobs
@@ -45,8 +47,16 @@ ORDERED_TX = T.StructType(S.BANK_TX.fields + [T.StructField("seq", T.LongType())
 _FIELDS = ORDERED_TX.fieldNames()
 
 
-# What a message is known by.
+# What a message is known by, and how long: longer than any replay may take.
 _MESSAGE_ID = ["txId", "status", "retriedTimes", "phase"]
+REPLAY_BOUND = "7 days"
+
+
+def once(messages: DataFrame, bound: str = REPLAY_BOUND) -> DataFrame:
+    """A stream without the messages that were read before, as far back as ``bound``; its state is dropped behind it."""
+    read_at = "_read_at"
+    return (messages.withColumn(read_at, F.current_timestamp()).withWatermark(read_at, bound)
+            .dropDuplicatesWithinWatermark(_MESSAGE_ID).drop(read_at))
 
 
 def _read(spark: SparkSession, base: str, topic: str, kafka_servers: str | None = None) -> DataFrame:
@@ -57,7 +67,7 @@ def _read(spark: SparkSession, base: str, topic: str, kafka_servers: str | None
         path = topic_path(base, topic)
         ensure_folder(spark, path)
         msgs = spark.readStream.schema(MESSAGE).json(f"{path}/*")
-    return decode_frame(msgs, "value", schema=ORDERED_TX).select(*_FIELDS).dropDuplicates(_MESSAGE_ID)
+    return once(decode_frame(msgs, "value", schema=ORDERED_TX).select(*_FIELDS))
 
 
 def _start(msgs: DataFrame, base: str, name: str, checkpoint: str, trigger: dict, kafka_servers: str | None):
@@ -71,12 +81,15 @@ def _start(msgs: DataFrame, base: str, name: str, checkpoint: str, trigger: dict
 
 
 def _writer(base: str, name: str):
+    """One write for all topics of a batch; a batch that runs again first takes away what it had published."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        for (topic,) in batch.select("topic").distinct().collect():
-            (batch.where(F.col("topic") == topic).select("key", "value")
-             .write.mode("overwrite").json(f"{topic_path(base, topic)}/{name}-{batch_id}"))
-        batch.unpersist()
+        path = batch.sparkSession._jvm.org.apache.hadoop.fs.Path
+        fs = path(base).getFileSystem(batch.sparkSession._jsc.hadoopConfiguration())
+        at = f"from={name}-{batch_id}"
+        for f in fs.globStatus(path(f"{base}/topic=*/{at}")) or []:
+            fs.delete(f.getPath(), True)
+        (batch.select("topic", F.lit(f"{name}-{batch_id}").alias("from"), "key", "value")
+         .write.mode("append").partitionBy("topic", "from").json(base))
     return write
 
 
@@ -94,19 +107,15 @@ def balance_job(spark: SparkSession, base: str, pending_design: bool, checkpoint
     design; run with a processing-time ``trigger``)."""
     jobs.use_rocksdb(spark)
     raw = _read(spark, base, S.TOPIC_RAW, kafka_servers)
+    keyed = jobs._keyed(raw)
+    ordinary = keyed.where(~is_external(F.col("account"))).groupBy("account")
+    live = pending_design and live_max_wait_ms is not None
     if pending_design:
-        from tributary.streaming.processors import PendingDebitProcessor
-        keyed = jobs._keyed(raw)
-        live = live_max_wait_ms is not None
-        processor = PendingDebitProcessor(max_wait_ms=live_max_wait_ms, event_time=False,
-                                          credits_first=not live)
-        out = (keyed.groupBy("account").transformWithStateInPandas(
-            processor, jobs.P.TX_OUT, "append", "ProcessingTime" if live else "None"))
+        processor = jobs.P.PendingDebitProcessor(max_wait_ms=live_max_wait_ms, event_time=False, credits_first=not live)
     else:
-        from tributary.streaming.processors import CheckedDebitProcessor
-        keyed = jobs._keyed(raw)
-        out = (keyed.groupBy("account").transformWithStateInPandas(
-            CheckedDebitProcessor(credits_first=True), jobs.P.TX_OUT, "append", "None"))
+        processor = jobs.P.CheckedDebitProcessor(credits_first=True)
+    out = ordinary.transformWithStateInPandas(processor, jobs.P.TX_OUT, "append", "ProcessingTime" if live else "None")
+    out = out.unionByName(jobs.approved_external(keyed, pending_design))
     msgs = to_messages(out, fields=_FIELDS).withColumn("topic", F.lit(S.TOPIC_RETRY))
     return _start(msgs, base, "balance", checkpoint, trigger or {"availableNow": True}, kafka_servers)
 
