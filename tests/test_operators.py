@@ -65,3 +65,23 @@ def test_quantile_blocks_bound_a_hot_key(spark):
     want = ev.withColumn("run", F.sum("event_id").over(w))
     assert (sorted((r.event_id, r.run) for r in got.collect())
             == sorted((r.event_id, r.run) for r in want.collect()))
+
+
+def test_one_instant_is_cut_by_the_second_order_column(spark):
+    """A bulk load: most rows of one key have one instant."""
+    from pyspark.sql import Window
+    from tributary.operators.running import ordered_running_sum, quantile_blocks
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("b")).otherwise(F.lit("a")).alias("k"),
+        F.when(F.col("id") < 3000, F.lit(50)).otherwise(F.col("id") % 100).cast("long").alias("t"),
+        (F.col("id") * 7919 % 4001).alias("seq"), (F.col("id") % 13).alias("v"))
+    blocked = quantile_blocks(rows, F.col("t"), 16, tie_value=F.col("seq"))
+    sizes = [r["count"] for r in blocked.groupBy("_qblk").count().collect()]
+    assert max(sizes) < 4000 / 16 * 2.5
+    order = Window.orderBy("t", "seq")
+    assert blocked.withColumn("before", F.lag("_qblk").over(order)).where("before > _qblk").count() == 0
+    got = ordered_running_sum(rows, ["k"], ["t", "seq"], "v", "s", num_blocks=16)
+    want = rows.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy("t", "seq").rowsBetween(
+        Window.unboundedPreceding, 0)))
+    assert sorted(map(tuple, got.select("k", "t", "seq", "s").collect())) == sorted(
+        map(tuple, want.select("k", "t", "seq", "s").collect()))

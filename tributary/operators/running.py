@@ -17,8 +17,11 @@ time when the offsets turn out small; otherwise it stays a shuffle join.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def blocked_running_sum(df: DataFrame, keys: list[str], order_cols: list, block_col: str,
@@ -44,7 +47,8 @@ def blocked_running_sum(df: DataFrame, keys: list[str], order_cols: list, block_
             .drop("_offset", "_local_sum"))
 
 
-def quantile_blocks(df: DataFrame, order_value: Column, num_blocks: int, out_col: str = "_qblk") -> DataFrame:
+def quantile_blocks(df: DataFrame, order_value: Column, num_blocks: int, out_col: str = "_qblk",
+                    tie_value: Column | None = None) -> DataFrame:
     """Add ``out_col``: the quantile slice of a numeric order value.
 
     Cut points come from one ``approxQuantile`` pass over the order value, so
@@ -53,30 +57,58 @@ def quantile_blocks(df: DataFrame, order_value: Column, num_blocks: int, out_col
     slice are therefore at most one slice, however skewed the key.  The cut
     points are computed once on the driver (``num_blocks - 1`` numbers) and
     are fixed values in the plan, so every branch that reads them agrees.
+
+    A value that comes out at several cut points holds more than a slice by
+    itself (a bulk load with one instant).  Its rows are cut again by
+    ``tie_value``, a number that orders them, at as many quantiles.
     """
     from pyspark.ml.feature import Bucketizer
     tmp = df.withColumn("_ord", order_value.cast("double"))
     probs = [i / num_blocks for i in range(1, num_blocks)]
-    cuts = sorted(set(tmp.approxQuantile("_ord", probs, 1.0 / (10 * num_blocks)))) if probs else []
-    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    found = tmp.approxQuantile("_ord", probs, 1.0 / (10 * num_blocks)) if probs else []
+    finite = [c for c in found if c not in (float("-inf"), float("inf"))]
+    splits = [float("-inf")] + sorted(set(finite)) + [float("inf")]
     if len(splits) < 3:
         return df.withColumn(out_col, F.lit(0).cast("long"))
     bucketed = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bkt", handleInvalid="keep").transform(tmp)
-    return bucketed.withColumn(out_col, F.col("_bkt").cast("long")).drop("_ord", "_bkt")
+    block = F.col("_bkt").cast("long")
+    tied = {v: n for v, n in Counter(finite).items() if n > 1} if tie_value is not None else {}
+    if tied:
+        cuts = _tie_cuts(tmp, tied, tie_value)
+        part = F.lit(0)
+        for v, own in cuts.items():
+            at = splits.index(v)
+            # a slice begins with its tied value; what is larger follows all parts of it
+            inside = F.size(F.filter(F.array(*[F.lit(c) for c in own]), lambda c: c <= tie_value.cast("double")))
+            part = (F.when(F.col("_ord") == v, inside).when(F.col("_bkt") == at, F.lit(len(own) + 1)).otherwise(part))
+        block = block * (num_blocks + 1) + part
+    return bucketed.withColumn(out_col, block.cast("long")).drop("_ord", "_bkt")
+
+
+def _tie_cuts(rows: DataFrame, tied: dict[float, int], tie_value: Column) -> dict[float, list[float]]:
+    """By tied value, the quantiles of its rows' second order value: no more in all than there are slices."""
+    most = max(tied.values()) + 1
+    shares = F.array(*[F.lit(i / most) for i in range(1, most)])
+    found = (rows.where(F.col("_ord").isin(list(tied))).groupBy("_ord")
+             .agg(F.percentile_approx(tie_value.cast("double"), shares, F.lit(10 * most)).alias("cuts")).collect())
+    return {r["_ord"]: sorted(set(r["cuts"])) for r in found if r["cuts"]}
 
 
 def ordered_running_sum(df: DataFrame, keys: list[str], order_cols: list, value_col: str,
                         out_col: str, order_value: Column | None = None,
-                        num_blocks: int | None = None) -> DataFrame:
+                        num_blocks: int | None = None, tie_value: Column | None = None) -> DataFrame:
     """``blocked_running_sum`` with quantile blocks of the order.
 
     ``order_value`` is a numeric expression that never decreases along
-    ``order_cols`` (default: the first order column); rows it ties on share a
-    block.  Every (key, block) group is at most about ``1/num_blocks`` of all
-    rows, and the per-key prefix level holds at most ``num_blocks`` rows per key.
+    ``order_cols`` (default: the first order column); rows it ties on are
+    ordered by ``tie_value`` (default: the second order column, if it is a number).  Every
+    (key, block) group is at most about ``1/num_blocks`` of all rows, and the
+    per-key prefix level holds at most ``num_blocks`` rows per key.
     """
     n = int(num_blocks or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = order_value if order_value is not None else F.col(order_cols[0])
-    blocked = quantile_blocks(df, value, n)
+    if tie_value is None and len(order_cols) > 1 and isinstance(df.schema[order_cols[1]].dataType, T.NumericType):
+        tie_value = F.col(order_cols[1])
+    blocked = quantile_blocks(df, value, n, tie_value=tie_value)
     out = blocked_running_sum(blocked, keys, order_cols, "_qblk", value_col, out_col)
     return out.drop("_qblk")
