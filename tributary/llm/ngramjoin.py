@@ -19,8 +19,8 @@ Texts that link share a shingle within their prefixes of
 * the positional filter: what stands behind a common shingle in both orders is
   enough for the overlap that a link needs.  It holds for a pair's first common
   shingle, so a pair that links passes it at least there;
-* the suffix filter: sets are split by hash into 64 ranges; the differences of
-  their counts bound the symmetric difference from below.
+* the suffix filter: sets are split by hash into 256 ranges; the differences of
+  their counts, up to 255 each, bound the symmetric difference from below.
 
 Pairs that remain are compared once, on the whole sets made from the texts.
 
@@ -70,7 +70,7 @@ from tributary.llm.pairs import matching
 WORDS = 3
 PERCENT = 90
 RANKED = 4               # one shingle in so many is ranked by frequency
-RANGES = 64              # of the suffix filter
+RANGES = 256             # of the suffix filter
 BLOCK = 256
 GROUP_ROWS = 20_000      # rows of short lists that are compared together
 MARKS = 1 << 26
@@ -152,8 +152,8 @@ def _sketched(percent: int):
                     size.append(len(s))
                     ranked.append(s[first])
                     more.append(s[~first][:max(0, prefix_length(len(s), percent) - len(ranked[-1]))])
-                    count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES)
-                    counts.append(np.minimum(count, 65535).astype("<u2").tobytes())
+                    count = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+                    counts.append(np.minimum(count, 255).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(size, type=pa.int32()), _long_lists(ranked), _long_lists(more),
                      pa.array(counts, type=pa.binary())], names=["key", "size", "ranked", "more", "counts"])
@@ -240,7 +240,7 @@ def _suffix_kept(percent: int):
 
 
 def _counts(rows: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(rows), dtype="<u2").reshape(len(rows), RANGES).astype(np.int32)
+    return np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), RANGES).astype(np.int16)
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
