@@ -79,3 +79,38 @@ def test_expectation_is_fair(spark):
         by[r.source_size].append((r.copies, r.target / r.source_size))
     for found in by.values():
         assert sum(c for c, _ in found) == pytest.approx(found[0][1] * len(found), abs=1.01)
+
+
+def test_helper_names_may_be_columns_and_long_texts(spark):
+    from pyspark.sql import functions as F
+    names = ["n_rows__r", "copies__r", "copy__r", "n_rows", "copies", "times", "in0", "fp", "size", "a.b", "__doc_id"]
+    rows = [(1, "w " * 200_000, "a"), (2, "x y", "a"), (2, "x y", "a"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select(
+        "*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    got = Counter(r.doc_id for r in mixed.collect())
+    want = Counter()
+    for r in mixing.taken(docs).collect():
+        want[r.doc_id] += r.copies
+    assert got == +want and all(r[c] == i for r in mixed.collect() for i, c in enumerate(names))
+
+
+def test_rounding_equals_a_plain_reduction(spark):
+    """Whatever the order of meetings: words are neither made nor lost, every document gets the whole part or one more, and
+    a document's copies are fair over many sources of the same make-up."""
+    sizes = [5, 3, 8, 1, 7, 2]
+    rows = [(s * 10 + i, "w " * n + f"t{s}", f"s{s:04d}") for s in range(300) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.taken(docs).collect()
+    by_place = defaultdict(list)
+    for r in out:
+        want = r.target / r.source_size
+        assert int(want) <= r.copies <= int(want) + 1
+        by_place[r.doc_id % 10].append(r.copies - want)
+    assert all(abs(sum(v) / len(v)) < 0.12 for v in by_place.values())
+    taken, target = defaultdict(int), {}
+    for r in out:
+        taken[r.doc_id // 10] += r.copies * r.size
+        target[r.doc_id // 10] = r.target
+    assert all(abs(taken[s] - target[s]) <= max(sizes) + 1 for s in taken)

@@ -23,10 +23,11 @@ form the target is the smaller of that limit and a common level times the
 weight; the table of sources (one row each) is the only thing ordered as a whole.
 
 Defined results: a null or empty text has size 0, counts for its source, and
-takes 0 words (it is copied as often as its source's whole part); a null
-source is a source; equal rows (same id, source and text) are rounded together
-and get counts that differ by one at most; extra columns stay (``mix``); with
-no words at all nothing is taken.
+takes 0 words (it is copied as often as its source's whole part); a text of any
+length is counted whole; a null source is a source; equal rows (same id, source
+and text) are rounded together and get counts that differ by one at most; with
+no words at all nothing is taken; an empty table gives an empty table.  Extra
+columns stay, whatever their names (``mix``).
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tributary.llm.common import fresh, quoted, write_out
+from tributary.llm.common import quoted, write_out
 from tributary.llm.rules import words_of
 
 WEIGHTS = (3, 1, 2)
@@ -167,21 +168,18 @@ def taken(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: every row of ``df`` as often as it is taken, with its columns unchanged."""
-    names = [fresh(df.columns, f"__{c}") for c in KEY]
-    keyed = df.select("*", *[c.alias(n) for c, n in zip(_key_columns(df, id_col, text_col, source_col), names,
-                                                        strict=True)])
-    made = decide(keyed.select(*[quoted(n).alias(c) for n, c in zip(names, KEY, strict=True)]))
-    made = made.select(*[F.col(c).alias(f"{c}__r") for c in KEY], F.col("n_rows").alias("n_rows__r"),
-                       F.col("copies").alias("copies__r")).where(F.col("copies") > 0)
-    on = reduce(Column.__and__, [quoted(n).eqNullSafe(quoted(f"{c}__r")) for n, c in zip(names, KEY, strict=True)])
+    # inside, input columns go by place: their names may be any
+    mine = [f"in{i}" for i in range(len(df.columns))]
+    keyed = df.select(*_key_columns(df, id_col, text_col, source_col),
+                      *[quoted(c).alias(m) for c, m in zip(df.columns, mine, strict=True)])
+    made = decide(keyed.select(*KEY)).where(F.col("copies") > 0)
+    made = made.select(*[F.col(c).alias(f"{c}__r") for c in KEY], "n_rows", "copies")
+    on = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{c}__r")) for c in KEY])
     joined = keyed.join(made, on)
-    mine = [quoted(c) for c in df.columns]
-    n, c = quoted("n_rows__r"), quoted("copies__r")
-    equal_rows = W.partitionBy(*[quoted(x) for x in names]).orderBy(quoted(names[0]))
-    place = F.when(n > 1, F.row_number().over(equal_rows) - 1).otherwise(F.lit(0))
-    single = joined.where(n == 1).select(*mine, c.cast("int").alias("times__r"))
-    several = joined.where(n > 1).select(
-        *mine, (F.floor(c / n) + (place < c % n).cast("int")).cast("int").alias("times__r"))
-    both = single.unionAll(several)
-    return (both.where(quoted("times__r") > 0)
-            .select(*mine, F.explode(F.sequence(F.lit(1), quoted("times__r"))).alias("copy__r")).select(*mine))
+    equal_rows = W.partitionBy(*KEY).orderBy(KEY[0])
+    single = joined.where("n_rows = 1").select(*mine, F.col("copies").cast("int").alias("times"))
+    several = joined.where("n_rows > 1").select(
+        *mine, _of_row(F.row_number().over(equal_rows) - 1).cast("int").alias("times"))
+    both = single.unionAll(several).where("times > 0")
+    taken_rows = both.select(*mine, F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return taken_rows.select(*mine).toDF(*df.columns)
