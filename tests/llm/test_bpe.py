@@ -46,3 +46,14 @@ def test_unknown_id_raises(spark):
     bad = spark.createDataFrame([([10 ** 6],)], "ids array<int>")
     with pytest.raises(Exception, match="not in the vocabulary"):
         bpe.decode(bad, "ids", PATH).select(F.length("decoded")).collect()
+
+
+def test_helper_names_may_be_columns(spark, library):
+    names = ["__ids", "__raw", "__uid", "__key", "uid", "a.b"]
+    texts = ["short one", "long " * 60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(
+        "*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    out = bpe.decode(bpe.encode(docs, "text", PATH, public_tokenizers.PATTERN, chunk=50, overlap=10), "ids", PATH)
+    assert out.columns == [*docs.columns, "ids", "decoded"]
+    for r in out.collect():
+        assert bytes(r.decoded).decode() == r.text and all(r[c] == i for i, c in enumerate(names))

@@ -13,10 +13,13 @@ chunks never meet (one pre-token longer than the overlap) is encoded whole.
 
 Texts of at most one chunk need no stitching and no shuffle.
 
-Defined results: a null or empty text has no ids and decodes to no bytes;
-repeated rows and extra columns are kept as they are; ids that the vocabulary
-lacks cannot be decoded and raise.  A lone byte that is no UTF-8 comes back
-as the same byte.
+Defined results: a null or empty text has no ids and decodes to no bytes; a text
+of any length is encoded whole; of pieces that could be joined in several ways
+the lowest rank is joined first, the leftmost among equals; repeated rows are
+encoded alike; an empty table gives an empty table; ids that the vocabulary
+lacks cannot be decoded and raise.  A lone byte that is no UTF-8 comes back as
+the same byte.  Extra columns stay, whatever their names (an input column of the
+output's name is replaced).
 """
 
 from __future__ import annotations
@@ -168,14 +171,14 @@ def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str
     """
     df = df.select(*[quoted(c) for c in df.columns if c.lower() != out_col.lower()])
     names = df.columns
-    uid = fresh(names, "__uid")
+    uid, key, ids = (fresh(names, c) for c in ("__uid", "__key", "__ids"))
     if text_col not in names:
         raise ValueError(f"no column {text_col!r}")
     text = quoted(text_col)
     if chunk <= overlap:
         raise ValueError("a chunk must be longer than the overlap")
     short = df.where(text.isNull() | (F.length(text) <= chunk + overlap))
-    done = map_arrow(short, _encode_batches(names.index(text_col), vocab, pattern), "__ids array<int>")
+    done = map_arrow(short, _encode_batches(names.index(text_col), vocab, pattern), f"{ids} array<int>")
     # ids by partition and row: the same whenever a lost task runs again over its split
     numbered = df.withColumn(uid, F.monotonically_increasing_id())
     long_rows = numbered.where(F.length(text) > chunk + overlap)
@@ -191,9 +194,9 @@ def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str
                          "uid long, cno int, own string, head binary, head_ids binary, tail binary, tail_ids binary,"
                          " ids binary"))
     whole = parts.groupBy("uid").applyInArrow(_stitch_group(vocab, pattern), "__uid long, __ids array<int>")
-    whole = whole.select(F.col("__uid").alias(uid + "_r"), F.col("__ids"))
-    joined = long_rows.join(whole, quoted(uid) == quoted(uid + "_r")).drop(uid, uid + "_r")
-    return done.unionByName(joined).withColumnRenamed("__ids", out_col)
+    whole = whole.select(F.col("__uid").alias(key), F.col("__ids").alias(ids))
+    joined = long_rows.join(whole, quoted(uid) == quoted(key)).select(*[quoted(c) for c in names], quoted(ids))
+    return done.unionAll(joined).toDF(*names, out_col)
 
 
 def _decode_batches(at: int, vocab: str):
@@ -220,5 +223,6 @@ def _decode_batches(at: int, vocab: str):
 def decode(df: DataFrame, ids_col: str, vocab: str, out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes of each id list added as ``out_col``: the tokens' raw bytes, one after another."""
     df = df.select(*[quoted(c) for c in df.columns if c.lower() != out_col.lower()])
-    out = map_arrow(df, _decode_batches(df.columns.index(ids_col), vocab), "__raw binary")
-    return out.withColumnRenamed("__raw", out_col)
+    raw = fresh(df.columns, "__raw")
+    out = map_arrow(df, _decode_batches(df.columns.index(ids_col), vocab), f"{raw} binary")
+    return out.toDF(*df.columns, out_col)
