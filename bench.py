@@ -24,6 +24,7 @@ HEADLINE = [
     "debit_check", "debit_pending", "latest_tx_state", "broadcast_enrich",
     "session_window", "sliding_window", "join_streams", "cogroup_counts",
     "control_block", "debit_check_stream", "workflow_retry", "workflow_pending",
+    "cogroup_user", "self_connect_stream", "two_stage_transfer_stream", "broadcast_enrich_stream",
 ]
 
 

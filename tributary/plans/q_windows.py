@@ -134,7 +134,7 @@ def q_cogroup_user(spark, sf_dir):
         F.expr(_HOT_KEY.format("o_orderkey")).alias("k"), "o_orderkey", "o_totalprice")
     li = read_table(spark, sf_dir, "lineitem").select(F.expr(_HOT_KEY.format("l_orderkey")).alias("k"), "l_extendedprice")
     return cogroup(o, li, "k", _lines_above, "o_orderkey long, n_above long",
-                   merge=lambda out: out.groupBy("o_orderkey").agg(F.sum("n_above").alias("n_above")), block_rows=4_000)
+                   merge=lambda out: out.groupBy("o_orderkey").agg(F.sum("n_above").alias("n_above")), block_rows=10_000)
 
 
 @register("delayed_echo", """
