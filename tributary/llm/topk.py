@@ -24,8 +24,9 @@ Defined results: rows with a null id, a null vector, or a null or non-finite
 component take no part; a shorter vector counts as padded with zeros, an empty
 one scores 0 with all; equal scores are ranked by id; a row never meets rows of
 its own id; rows that repeat as candidates are each listed, equal query rows
-count once; scores beyond the long range are cut to its ends.  Extra columns
-are not read.
+count once; scores beyond the long range are cut to its ends; vectors of any
+length are read whole; an empty table gives an empty table.  Extra columns are
+not read, whatever their names.
 """
 
 from __future__ import annotations

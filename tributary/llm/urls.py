@@ -15,9 +15,10 @@ rule's.  Of several the longest wins (host and path together; then the longer
 host).  A url that no rule fits is allowed.
 
 Defined results: null, empty and malformed urls (no ``://``) have an empty
-host and path, fit no rule and are allowed; repeated rows are judged alike;
-extra columns stay, but those named host, path, rule or verdict are replaced.
-Of repeated rules for one host and path, the last given holds.
+host and path, fit no rule and are allowed; a url of any length is judged whole;
+an empty table gives an empty table; repeated rows are judged alike; extra
+columns stay, but those named host, path, rule or verdict are replaced.  Of
+repeated rules for one host and path, the last given holds.
 """
 
 from __future__ import annotations
