@@ -334,6 +334,16 @@ def rooted(rows: DataFrame, column: str, roots: DataFrame, out: str = "root") ->
             .withColumn(out, F.coalesce("__r", column)).drop("__n", "__r"))
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further links: only the components that these join are worked out anew, as nodes of their own."""
+    between = rooted(rooted(links, "a", roots, "ra"), "b", roots, "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    joined = write_out(roots.sparkSession, components(between.distinct()), "join-merged")
+    every = roots.select("node", "root").unionAll(joined.select("node", F.col("node").alias("root"))).distinct()
+    now = joined.select(F.col("node").alias("__old"), F.col("root").alias("__new"))
+    return write_out(roots.sparkSession, every.join(now, F.col("root") == F.col("__old"), "left")
+                     .select("node", F.coalesce("__new", "root").alias("root")), "join-roots")
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     """(node, text) of all members, written: a bitmap drops most other texts where they are read."""
     keys = write_out(docs.sparkSession, members.select("node").distinct().join(nodes.select("node", "key"), "node"),
@@ -372,21 +382,19 @@ def connected(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataF
     star = write_out(spark, star, "join-star")
     best = star.groupBy("a").agg(F.max(F.struct("common", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     compared = write_out(spark, best, "join-first")
-    found = verified(compared, nodes, texts, percent)
-    roots = components(found)
+    roots = components(verified(compared, nodes, texts, percent))
 
     def between(pairs: DataFrame) -> DataFrame:
         both = rooted(rooted(pairs, "a", roots, "ra"), "b", roots, "rb")
         return both.where("ra <> rb").select("a", "b")
 
     def compare(pairs: DataFrame) -> None:
-        nonlocal compared, found, roots
+        nonlocal compared, roots
         left = write_out(spark, pairs.join(compared, ["a", "b"], "left_anti"), "join-pairs")
         more = verified(left, nodes, texts, percent)
         compared = compared.unionAll(left)
         if not more.isEmpty():
-            found = found.unionAll(more)
-            roots = components(found)
+            roots = _merged(roots, more)
 
     compare(between(star.select("a", "b")))
     for best_only in (True, False):
