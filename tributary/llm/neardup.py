@@ -14,11 +14,12 @@ No bucket is expanded into pairs or collected:
 3. buckets whose nodes still lie in different classes are settled in blocks of
    about ``BLOCK`` nodes: a group holds two blocks, compares the signatures of
    nodes of different classes by array arithmetic, and gives out only pairs
-   whose estimate is above the threshold less ``SIGMAS`` standard deviations,
-   each in the first bucket that its nodes share (told by the bucket numbers
-   themselves).  Those are compared exactly, too.  A first turn gives out the
-   best pair of every two classes, a second all pairs that are still between
-   classes.
+   whose estimate is above the threshold less ``SIGMAS`` standard deviations and
+   whose units, counted by 256 ranges of their hash, differ by no more than a
+   link allows (a bound that no link fails), each in the first bucket that its
+   nodes share (told by the bucket numbers themselves).  Those are compared
+   exactly, too.  A first turn gives out the best pair of every two classes, a
+   second all pairs that are still between classes.
 
 So two linked nodes that share a bucket end in one class: the estimate of a link
 lies below six standard deviations with a probability of 1e-9.  Two nodes of a
@@ -55,7 +56,7 @@ from tributary.llm.common import SPACES, fresh, quoted, write_out
 from tributary.llm.pairs import matching
 
 THRESHOLD = 0.8
-BLOCK = 2_048
+BLOCK = 512
 SIGMAS = 6
 MARKS = 1 << 26
 
@@ -69,23 +70,27 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, 256):
             part = batch.slice(k, 256)
-            size, bands, lanes = [], [], []
+            size, bands, lanes, counts = [], [], [], []
             for text in part.column(1).to_pylist():
                 found = dart.shingles(text)
                 darts = dart.signature(found)
                 size.append(len(found))
+                count = np.bincount((dart.regions(found) >> np.uint64(56)).astype(np.int64), minlength=256)
+                counts.append(np.minimum(count, 255).astype(np.uint8).tobytes())
                 bands.append(dart.bands(darts))
                 lanes.append((darts >> np.uint64(40)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(size, type=pa.int64()), pa.array(bands, type=pa.list_(pa.int64())),
-                 pa.array(lanes, type=pa.binary())], names=["node", "size", "bands", "lanes"])
+                 pa.array(lanes, type=pa.binary()), pa.array(counts, type=pa.binary())],
+                names=["node", "size", "bands", "lanes", "counts"])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(node, size, bands, lanes), one row per different text of (node, text); lanes: two bytes of each dart."""
+    """(node, size, bands, lanes, counts), one row per different text of (node, text); lanes: two bytes of each dart,
+    counts: units by range of their hash, 255 at most."""
     made = docs.where(F.col("node").isNotNull()).mapInArrow(
-        _sketch, "node binary, size long, bands array<long>, lanes binary")
-    return made.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes")])
+        _sketch, "node binary, size long, bands array<long>, lanes binary, counts binary")
+    return made.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes", "counts")])
 
 
 def _marks(nodes: DataFrame) -> bytes:
@@ -164,6 +169,8 @@ def _block_pairs(threshold: float, best_only: bool):
         node, root = (table.column(c).to_pylist() for c in ("node", "root"))
         size, band = table.column("size").to_numpy(), table.column("band")[0].as_py()
         bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype=np.uint8).reshape(len(node), -1)
+        counts = counts.astype(np.int16)
         lanes = np.frombuffer(b"".join(table.column("lanes").to_pylist()), dtype="<u2").reshape(len(node), -1)
         number = {r: i for i, r in enumerate(sorted(set(root)))}
         tree = np.array([number[r] for r in root])
@@ -174,6 +181,9 @@ def _block_pairs(threshold: float, best_only: bool):
             others = others[others > i] if low[0] == high[0] else others
             # a pair counts in the first of its common buckets only
             others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
+            both = size[others] + size[i]
+            apart = np.abs(counts[others] - counts[i]).sum(axis=1)
+            others = others[apart <= both * (1 - threshold) / (1 + threshold) + 1e-6]
             estimate = (lanes[others] == lanes[i]).mean(axis=1)
             for j, e in zip(others[estimate >= cut].tolist(), estimate[estimate >= cut].tolist(), strict=True):
                 x, y = (i, j) if node[i] > node[j] else (j, i)
@@ -193,11 +203,11 @@ def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
     open_buckets = (now.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
                                               F.count(F.lit(1)).alias("n"))
                     .where("r1 <> r2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    left = (now.join(open_buckets, "bucket").join(nodes.select("node", "lanes", "bands"), "node")
+    left = (now.join(open_buckets, "bucket").join(nodes.select("node", "lanes", "bands", "counts"), "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     paired = left.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                         "block", "band", "node", "root", "size", "lanes", "bands")
+                         "block", "band", "node", "root", "size", "lanes", "bands", "counts")
     pairs = (paired.groupBy("bucket", "low", "high")
              .applyInArrow(_block_pairs(threshold, best_only),
                            "a binary, b binary, ra binary, rb binary, estimate double"))
