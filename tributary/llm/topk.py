@@ -7,12 +7,13 @@ component, for a negative one from its largest): a term's postings hold that
 impact for each vector, its score bound is its largest impact, and a score is
 the shift's constant plus the sum of impacts.
 
-Terms are ranked by bound.  The essential ones, those without which a vector
-could not reach the k-th best score so far, are traversed for all postings;
-then the others are probed in falling order of bound, only for vectors whose
-score so far plus the bounds still open reaches the threshold.  The first
-threshold is the k-th best full score of the vectors that lead after the
-essential terms.  Ties are kept, so the result is exact.
+Terms are ranked by bound.  A first threshold is the k-th best full score of
+``FIRST`` vectors of the shard.  The essential terms are those without which no
+vector could reach it: the bounds of all others together stay below it.  They
+are traversed for all postings; then the threshold rises to the k-th best full
+score of the vectors that lead, and the others are probed in falling order of
+bound, only for vectors whose score so far plus the bounds still open reaches
+the threshold.  Ties are kept, so the result is exact.
 
 Rows are dealt to shards of at most about ``SHARD`` vectors by their place in
 the input, queries to blocks of about ``BLOCK``; every (shard, block) is one
@@ -42,6 +43,7 @@ from tributary.llm.common import quoted
 SHARD = 2_048
 BLOCK = 2_048
 STEP = 8             # terms probed between two prunings
+FIRST = 64           # vectors that give a shard's first threshold
 _LONG = np.iinfo(np.int64)
 
 
@@ -71,12 +73,15 @@ def max_score(q: np.ndarray, x: np.ndarray, allowed: np.ndarray, k: int) -> tupl
     score = np.full(len(at), float(q @ shift))                            # the shift's constant
     if len(at) <= k:
         return at, score + (x[np.ix_(at, order)] - shift) @ q
-    # essential: until the open bounds are below half of all; a smaller set could not separate any vectors
-    head = int(np.searchsorted(-rest, -rest[0] / 2)) or 1
+    some = at[:: max(1, len(at) // max(FIRST, k))]
+    sample = score[0] + (x[np.ix_(some, order)] - shift) @ q
+    first = np.partition(sample, len(sample) - k)[len(sample) - k]
+    # essential: until the bounds still open cannot make up for what the constant lacks to the threshold
+    head = int(np.flatnonzero(score[0] + rest < first)[0]) if score[0] + rest[-1] < first else len(q)
     score += (x[np.ix_(at, order[:head])] - shift[:head]) @ q[:head]
     lead = np.argpartition(-score, 4 * k)[:4 * k] if len(at) > 4 * k else np.arange(len(at))
     full = score[lead] + (x[np.ix_(at[lead], order[head:])] - shift[head:]) @ q[head:]
-    threshold = np.partition(full, len(full) - k)[len(full) - k]
+    threshold = max(first, np.partition(full, len(full) - k)[len(full) - k])
     for j in range(head, len(q), STEP):
         alive = score + rest[j] >= threshold
         at, score = at[alive], score[alive]
