@@ -3,6 +3,8 @@ connected and chained stateful operators, and users' own functions."""
 
 import json
 import os
+import subprocess
+import sys
 import time
 
 import pandas as pd
@@ -217,6 +219,23 @@ def test_cogroup_cuts_hot_keys_and_meets_every_pair_once(spark):
     assert got["hot"][0] == 3500 and got["hot"][1] < 50 and got["one"][0] == 1
 
 
+def test_keyed_process_on_a_table_in_a_new_application():
+    code = (
+        "import pandas as pd\n"
+        "from pyspark.sql import types as T\n"
+        "from tributary.functions.user import keyed_process\n"
+        "from tributary.session import build_session\n"
+        "def count(key, rows, state):\n"
+        "    yield 'all', pd.DataFrame({'k': [key[0]], 'n': [len(rows)]})\n"
+        "spark = build_session('local[2]', 2)\n"
+        "df = spark.createDataFrame([('x',), ('y',), ('x',)], 'k string')\n"
+        "schema = T.StructType([T.StructField('k', T.StringType()), T.StructField('n', T.LongType())])\n"
+        "print(sorted(map(tuple, keyed_process(df, ['k'], count, schema).collect())))\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0 and "[('x', 2, 'all'), ('y', 1, 'all')]" in done.stdout, done.stderr[-2000:]
+
+
 def test_users_functions(spark):
     def split(batch):
         words = [w for t in batch.column(0).to_pylist() for w in (t or "").split()]

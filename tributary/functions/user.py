@@ -81,6 +81,9 @@ def keyed_process(df: DataFrame, key: list[str],
     """
     from tributary.streaming.jobs import use_rocksdb
     use_rocksdb(df.sparkSession)
+    # tasks report their state stores to the coordinator, which begins with the
+    # session's stream manager; a table alone would not begin it
+    _ = df.sparkSession.streams
     home = sys.modules.get(function.__module__)
     if home is not None and function.__module__ != "__main__":
         cloudpickle.register_pickle_by_value(home)
