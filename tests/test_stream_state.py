@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tests.test_streaming import BASE_S, _dir, _tx_stream, _write_tx
 from tributary import schemas as S
-from tributary.functions.user import flat_map, keyed_process, output
+from tributary.functions.user import PART_BYTES, flat_map, keyed_process, output, parts
 from tributary.operators import legs as L
 from tributary.operators.cogroup import cogroup
 from tributary.session import scratch_path
@@ -219,6 +219,18 @@ def test_cogroup_cuts_hot_keys_and_meets_every_pair_once(spark):
     assert got["hot"][0] == 3500 and got["hot"][1] < 50 and got["one"][0] == 1
 
 
+def test_flat_map_hands_over_bounded_batches(spark):
+    long = parts(pa.record_batch({"t": ["x" * 100, None, "y" * 900, "", "z" * 90, "z" * 5], "n": [1, 2, 3, 4, 5, 6]}), 200)
+    assert [p.column("n").to_pylist() for p in long] == [[1, 2], [3], [4, 5, 6]]
+
+    def seen(batch):
+        yield pa.table({"rows": pa.array([batch.num_rows], pa.int64()), "bytes": pa.array([batch.nbytes], pa.int64())})
+
+    df = spark.range(4000, numPartitions=1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    got = flat_map(df, seen, "rows long, bytes long").collect()
+    assert sum(r.rows for r in got) == 4000 and max(r.bytes for r in got) <= 1.1 * PART_BYTES
+
+
 def test_keyed_process_on_a_table_in_a_new_application():
     code = (
         "import pandas as pd\n"

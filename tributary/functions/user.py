@@ -1,7 +1,8 @@
 """Users' own functions over streams and tables: flat maps and keyed process functions.
 
 ``flat_map`` takes a function from one Arrow batch to Arrow tables of any number
-of rows, as a table function.  ``keyed_process`` takes a function that sees the
+of rows, as a table function; no batch holds more than about ``PART_BYTES``
+(longer rows come alone), so a task's memory doesn't grow with its rows.  ``keyed_process`` takes a function that sees the
 rows of a key, may keep a value per key between micro-batches, and gives rows to
 named outputs; ``output`` picks one of them.  It runs on a stream or on a table.
 """
@@ -9,10 +10,13 @@ named outputs; ``output`` picks one of them.  It runs on a stream or on a table.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +27,33 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT = "output"
+PART_BYTES = 1 << 20
+
+
+def parts(batch: pa.RecordBatch, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about ``size`` bytes; a longer row comes alone."""
+    bytes_to = [0] * (batch.num_rows + 1)
+    if batch.nbytes > size:
+        lengths = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            wide = pa.types.is_string(column.type) or pa.types.is_binary(column.type) \
+                or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+            lengths += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False) if wide \
+                else -(-column.nbytes // max(1, batch.num_rows))
+        bytes_to = [0, *np.cumsum(lengths).tolist()]
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, bisect_right(bytes_to, bytes_to[at] + size) - 1)
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def flat_map(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Table]], schema: str) -> DataFrame:
     """All tables that ``function`` makes of the batches of ``df``."""
     class FlatMap:
         def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
-            yield from function(batch)
+            for part in parts(batch):
+                yield from function(part)
 
     return F.arrow_udtf(FlatMap, returnType=schema)(df.asTable())
 
