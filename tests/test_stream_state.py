@@ -7,6 +7,7 @@ import subprocess
 import sys
 import time
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
@@ -219,6 +220,33 @@ def test_cogroup_cuts_hot_keys_and_meets_every_pair_once(spark):
     assert got["hot"][0] == 3500 and got["hot"][1] < 50 and got["one"][0] == 1
 
 
+def test_cogroup_along_an_order_sends_each_row_once(spark):
+    left = [("hot", i, float(i % 40)) for i in range(200)] + [("hot", 900, None), ("one", 901, 1.0), ("left", 902, 1.0)]
+    right = [("hot", float(i % 50)) for i in range(300)] + [("hot", None), ("one", 2.0), ("one", 1.0), ("right", 3.0)]
+    right += [("hot", 7.0)] * 100                                   # one place with more rows than a block
+    a, b = spark.createDataFrame(left, "k string, a long, x double"), spark.createDataFrame(right, "k string, y double")
+
+    def behind(p, q):
+        y = np.sort(q.column("y").to_numpy())
+        n = len(y) - np.searchsorted(y, p.column("x").to_numpy(), side="right") + p.column("later").to_numpy()
+        return pa.table({"a": p.column("a"), "n": pa.array(n.astype(np.int64)),
+                         "seen": pa.array([p.num_rows + q.num_rows] * p.num_rows, pa.int64())})
+
+    def run(block_rows):
+        out = cogroup(a, b, "k", behind, "a long, n long, seen long", block_rows=block_rows, order=("x", "y"),
+                      beyond={"later": "1"}, merge=lambda d: d.groupBy("a").agg(
+                          F.sum("n").alias("n"), F.max("seen").alias("seen"), F.count("*").alias("calls")))
+        return {r.a: (r.n, r.seen, r.calls) for r in out.collect()}
+
+    want = {i: sum(y is None or x is not None and y > x for k, y in right if k == g) for g, i, x in left}
+    want[900] = 0                                                   # nothing lies behind a null
+    whole, cut = run(10_000), run(24)
+    assert {i: n for i, (n, _, _) in whole.items()} == want and {i: n for i, (n, _, _) in cut.items()} == want
+    assert max(seen for _, seen, _ in cut.values()) < 100
+    # an order is handed to the function once, but at the place with too many rows
+    assert all(calls == 1 for i, (_, _, calls) in cut.items() if i >= 900 or i % 40 > 20)
+
+
 def test_flat_map_hands_over_bounded_batches(spark):
     long = parts(pa.record_batch({"t": ["x" * 100, None, "y" * 900, "", "z" * 90, "z" * 5], "n": [1, 2, 3, 4, 5, 6]}), 200)
     assert [p.column("n").to_pylist() for p in long] == [[1, 2], [3], [4, 5, 6]]

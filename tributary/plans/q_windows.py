@@ -115,10 +115,11 @@ _HOT_KEY = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} END"
 
 
 def _lines_above(orders: pa.Table, lines: pa.Table) -> pa.Table:
-    """A user's function: for each order, how many lines of its group cost more than a tenth of it."""
+    """A user's function: for each order, how many lines of its group cost more than a tenth of it (``beyond``: those
+    of later ranges, which all do)."""
     price = np.sort(lines.column("l_extendedprice").to_numpy())
     tenth = orders.column("o_totalprice").to_numpy() / 10
-    above = len(price) - np.searchsorted(price, tenth, side="right")
+    above = len(price) - np.searchsorted(price, tenth, side="right") + orders.column("beyond").to_numpy()
     return orders.select(["o_orderkey"]).append_column("n_above", pa.array(above.astype(np.int64)))
 
 
@@ -134,7 +135,8 @@ def q_cogroup_user(spark, sf_dir):
         F.expr(_HOT_KEY.format("o_orderkey")).alias("k"), "o_orderkey", "o_totalprice")
     li = read_table(spark, sf_dir, "lineitem").select(F.expr(_HOT_KEY.format("l_orderkey")).alias("k"), "l_extendedprice")
     return cogroup(o, li, "k", _lines_above, "o_orderkey long, n_above long",
-                   merge=lambda out: out.groupBy("o_orderkey").agg(F.sum("n_above").alias("n_above")), block_rows=10_000)
+                   merge=lambda out: out.groupBy("o_orderkey").agg(F.sum("n_above").alias("n_above")), block_rows=10_000,
+                   order=("o_totalprice / 10", "l_extendedprice"), beyond={"beyond": "1"})
 
 
 @register("delayed_echo", """
