@@ -119,6 +119,23 @@ def test_two_stages_in_one_stream_equal_batch(spark):
     assert _rows(out.select(*cols)) == _rows(L.two_stage_transfer(batch).select(*cols))
 
 
+def test_buckets_of_accounts_equal_single_ones(spark):
+    names = ["external", None, *[f"a{i}" for i in range(40)]]
+    rows = [(f"t{i}", names[i * 7 % 42], names[(i * 11 + 1) % 42], 1 + i % 9, i, S.DEBIT_SUCCESS if i % 3 else S.CREATED, 0)
+            for i in range(300)]
+    src = _write_tx(rows[:150], rows[150:])
+    cols = ["txId", "account", "status", "balance_after"]
+    one = jobs.run_available(jobs.checked_debit_stream(_tx_stream(spark, src)), "append", "one")
+    many = jobs.run_available(jobs.checked_debit_stream(_tx_stream(spark, src), 3), "append", "many")
+    assert _rows(many.select(*cols)) == _rows(one.select(*cols)) and many.count() == 300
+    # the bounded form has no rows of null accounts
+    new = _write_tx(*[[(*r[:5], S.CREATED, 0) for r in part if None not in r[1:3]] for part in (rows[:150], rows[150:])])
+    ckpt, cols = scratch_path(spark, "stages"), ["txId", "status", "debit_balance_after", "credit_balance_after"]
+    out = jobs.run_available(jobs.two_stage_stream(_tx_stream(spark, new)), "append", "stages", checkpoint=ckpt)
+    assert _rows(out.select(*cols)) == _rows(L.two_stage_transfer(spark.read.parquet(new)).select(*cols))
+    assert "slot" in str(jobs.read_state(spark, ckpt, "balances", 0).schema)
+
+
 def _tagged(spark, src):
     rows = spark.readStream.schema("tag string, txId string, account string, amount double, status string, instant timestamp, "
                                    "seq long, phase int").option("maxFilesPerTrigger", 1).json(src)
@@ -138,6 +155,18 @@ def test_map_state_is_joined_on_arrival(spark):
     assert sorted((r.txId, str(r.tx_status)) for r in out.collect()) == [("x", "CREATED"), ("x", "None"), ("y", "FULFILLED")]
 
 
+def test_map_state_holds_many_transfers_in_few_entries(spark):
+    src, ckpt = _dir(), scratch_path(spark, "slots")
+    _lines(src, "a.json", [_event("state", f"t{i}", "CREATED", i) for i in range(600)])
+    _lines(src, "b.json", [_event("state", f"t{i}", "FULFILLED", i) for i in range(0, 600, 3)]
+           + [_event("leg", f"t{i}", seq=i) for i in range(700)])
+    out = jobs.run_available(jobs.map_enrich_stream(*_tagged(spark, src), buckets=2), "append", "slots", checkpoint=ckpt)
+    want = {f"t{i}": ("CREATED" if i % 3 else "FULFILLED") if i < 600 else None for i in range(700)}
+    assert {r.txId: r.tx_status for r in out.collect()} == want
+    entries = jobs.read_state(spark, ckpt, "states")
+    assert 0 < entries.count() <= 128
+
+
 def test_map_state_forgets_after_its_time(spark):
     key = "spark.sql.streaming.noDataMicroBatches.enabled"
     before = spark.conf.get(key)

@@ -122,7 +122,7 @@ def q_two_stage_transfer_stream(spark, sf_dir):
 def q_broadcast_enrich_stream(spark, sf_dir):
     """J3/T6 as a stream: the checked debit's states are kept in map state, the legs meet it as they come."""
     tx = ledger_from_events(jobs.events_stream(spark, sf_dir))
-    states = jobs.checked_debit_stream(first_round_feed(tx)).select("txId", "status", "instant", "seq", "phase")
+    states = jobs.checked_debit_stream(first_round_feed(tx), jobs.BUCKETS).select("txId", "status", "instant", "seq", "phase")
     legs = split_legs(tx).select("txId", "account", "amount", "instant", "seq", "phase")
     return jobs.run_available(jobs.map_enrich_stream(legs, states), "append", "map-enrich")
 

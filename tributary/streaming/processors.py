@@ -483,29 +483,101 @@ def stage_schema(*balances: str) -> T.StructType:
     return T.StructType([kinds[c] for c in STAGE_IN] + [T.StructField(b, T.DoubleType()) for b in balances])
 
 
+# Slots of a bucket: one entry of the map state holds all accounts (or transfers) of a slot.
+SLOTS = 64
+_BALANCES = "account array<string>, cents array<long>"
+
+
+class _Balances:
+    """Balances of a bucket's accounts: an entry of the map state for each slot of accounts, read and written once
+    in a micro-batch that touches it (every access is a call out of Python, and so is every key)."""
+
+    def __init__(self, handle):
+        self.state = handle.getMapState("balances", "slot int", _BALANCES)
+
+    def read(self, accounts: list, slots: list) -> dict[int, dict]:
+        self.slot_of = dict(zip(accounts, slots))
+        found = {slot: self.state.getValue((slot,)) for slot in sorted(set(slots))}
+        self.held = {slot: dict(zip(*row)) if row else {} for slot, row in found.items()}
+        return {a: self.held[slot].get(a, 0) for a, slot in self.slot_of.items()}
+
+    def write(self, balances: dict) -> None:
+        for account, cents in balances.items():
+            self.held[self.slot_of[account]][account] = cents
+        for slot, held in self.held.items():
+            self.state.updateValue((slot,), (list(held), list(held.values())))
+
+
+def _names(column) -> list:
+    return [None if pd.isna(v) else v for v in column]
+
+
 class StageProcessor(StatefulProcessor):
-    """One stage of A5, keyed by the account it moves: adds ``sign`` times the
-    amount to its own value state, sets the status, adds the balance column."""
+    """One stage of A5, keyed by a bucket of the accounts it moves: adds ``sign``
+    times the amount to the account's balance, sets the status, adds the balance column."""
 
-    def __init__(self, sign: int, status: str, column: str, columns: list[str]):
-        self.sign, self.status, self.column, self.columns = sign, status, column, columns
+    def __init__(self, sign: int, status: str, account: str, column: str, columns: list[str]):
+        self.sign, self.status, self.account, self.column, self.columns = sign, status, account, column, columns
 
     def init(self, handle) -> None:
-        self.balance = handle.getValueState("balance", "cents long")
+        self.balances = _Balances(handle)
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _in_order(rows)
         if pdf is None:
             return
-        state = self.balance.get()
-        after = (state[0] if state else 0) + np.cumsum(self.sign * whole_cents(pdf["amount"].to_numpy()))
-        self.balance.update((int(after[-1]),))
+        codes, names = pd.factorize(pdf[self.account], use_na_sentinel=False)
+        names = _names(names)
+        first = np.unique(codes, return_index=True)[1]
+        before = self.balances.read(names, pdf["slot"].to_numpy()[first].tolist())
+        order = np.argsort(codes, kind="stable")                # by account, in the order of its rows
+        moves = (self.sign * whole_cents(pdf["amount"].to_numpy()))[order]
+        counts = np.bincount(codes)
+        total, ends = np.cumsum(moves), np.cumsum(counts)
+        start = np.array([before[a] for a in names], dtype=np.int64) - np.concatenate(([0], total[ends[:-1] - 1]))
+        after = np.empty(len(pdf), dtype=np.int64)
+        after[order] = total + np.repeat(start, counts)
+        self.balances.write(dict(zip(names, (total[ends - 1] + start).tolist())))
         yield pdf.assign(**{"status": self.status, self.column: after / 100.0})[self.columns]
 
     def close(self) -> None:
         pass
 
 
+class BucketDebitProcessor(StatefulProcessor):
+    """T2 keyed by a bucket of acting accounts: the rule of ``CheckedDebitProcessor``, the rows of many accounts at once."""
+
+    def init(self, handle) -> None:
+        self.balances = _Balances(handle)
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _in_order(rows)
+        if pdf is None:
+            return
+        accounts = _names(pdf["account"])
+        now = self.balances.read(accounts, pdf["slot"].tolist())
+        new_status, balances = [], []
+        for a, st, c, frm in zip(accounts, pdf["status"].tolist(), whole_cents(pdf["amount"].to_numpy()).tolist(),
+                                 pdf["fromAccount"].tolist()):
+            if st == S.CREATED or st == S.RETRY_BALANCE_NOT_ENOUGH:
+                if _is_external(frm) or now[a] - c >= 0:
+                    now[a] -= c
+                    st = S.DEBIT_SUCCESS
+                else:
+                    st = S.RETRY_BALANCE_NOT_ENOUGH
+            elif st == S.DEBIT_SUCCESS:
+                now[a] += c
+                st = S.FULFILLED
+            new_status.append(st)
+            balances.append(now[a])
+        self.balances.write(now)
+        yield pdf.assign(status=new_status,
+                         balance_after=np.asarray(balances, dtype=np.float64) / 100.0)[_TX_FIELDS]
+
+    def close(self) -> None:
+        pass
+
+
 ENRICHED_OUT = T.StructType([
     T.StructField("txId", T.StringType()),
     T.StructField("account", T.StringType()),
@@ -515,36 +587,51 @@ ENRICHED_OUT = T.StructType([
 ])
 
 
+_SLOT_SCHEMA = "txId array<string>, status array<string>, put_ms array<long>"
+
+
 class MapEnrichProcessor(StatefulProcessor):
     """Legs meet the map txId -> status, kept as map state.
 
-    The key is a bucket of transfers, so one call handles many of them; inside a
-    micro-batch the state events are put into the map first, the last one of a
-    transfer by (instant, seq, phase).  An entry that is not put again for
-    ``ttl_ms`` leaves the map (None: never)."""
+    The key is a bucket of transfers, so one call handles many of them, and an
+    entry of the state is a slot of the bucket, since every access to the state
+    is a call out of Python: a micro-batch reads and writes each slot once that
+    its transfers lie in.  Inside a micro-batch the state events are put into the
+    map first, the last one of a transfer by (instant, seq, phase).  A transfer
+    that is not put again for ``ttl_ms`` leaves the map (None: never)."""
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
         more = {} if self.ttl_ms is None else {"ttlDurationMs": self.ttl_ms}
-        self.states = handle.getMapState("states", "txId string", "status string", **more)
+        self.states = handle.getMapState("states", "slot int", _SLOT_SCHEMA, **more)
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _in_order(rows)
         if pdf is None:
             return
+        at = 0 if self.ttl_ms is None else int(timerValues.getCurrentProcessingTimeInMs())
         is_state = (pdf["tag"] == "state").to_numpy()
         now = dict(zip(pdf["txId"][is_state], pdf["status"][is_state]))
-        for tx, status in now.items():
-            self.states.updateValue((tx,), (status,))
         legs = pdf[~is_state]
-        if not len(legs):
-            return
+        slot_of = dict(zip(pdf["txId"], pdf["slot"].tolist()))
+        put, asked = {}, {}
+        for tx in now:
+            put.setdefault(slot_of[tx], []).append(tx)
         for tx in set(legs["txId"]) - set(now):
-            found = self.states.getValue((tx,)) if self.states.containsKey((tx,)) else None
-            now[tx] = found[0] if found else None
-        yield legs.assign(tx_status=[now[tx] for tx in legs["txId"]])[ENRICHED_OUT.fieldNames()]
+            asked.setdefault(slot_of[tx], []).append(tx)
+        for slot in sorted(set(put) | set(asked)):
+            found = self.states.getValue((slot,))
+            held = {tx: (status, ms) for tx, status, ms in zip(*found)
+                    if self.ttl_ms is None or ms + self.ttl_ms > at} if found else {}
+            for tx in asked.get(slot, ()):
+                now[tx] = held[tx][0] if tx in held else None
+            if slot in put:
+                held.update((tx, (now[tx], at)) for tx in put[slot])
+                self.states.updateValue((slot,), (list(held), [s for s, _ in held.values()], [ms for _, ms in held.values()]))
+        if len(legs):
+            yield legs.assign(tx_status=[now[tx] for tx in legs["txId"]])[ENRICHED_OUT.fieldNames()]
 
     def close(self) -> None:
         pass
