@@ -3,6 +3,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,29 @@ def test_small_blocks_and_groups_lose_nothing(spark, monkeypatch):
     assert run(spark, rows, 80) == brute(rows, 80)
 
 
+@pytest.mark.parametrize("high", [0, 1])
+def test_a_dense_group_gives_out_fewer_pairs_than_components(high):
+    n = 60
+    rng = np.random.default_rng(1)
+    counts = rng.integers(3, 5, (n, ngramjoin.RANGES)).astype(np.uint8)
+    size = int(counts.sum(axis=1).max())
+    rows = pa.table({"part": [7] * n, "low": [0] * n, "high": [high] * n, "block": [k % (high + 1) for k in range(n)],
+                     "token": [k // 30 for k in range(n)], "node": list(range(n)), "root": list(range(n)),
+                     "size": pa.array([4 * size] * n, type=pa.int32()), "pos": pa.array([0] * n, type=pa.int32()),
+                     "counts": [c.tobytes() for c in counts]})
+    every, some = (ngramjoin._open_pairs(90, forest)(rows).to_pylist() for forest in (False, True))
+    assert len(every) == (450 if high else 870)
+    assert len(some) == 58                       # two lists of 30 texts: a tree of each
+    left = {frozenset((p["a"], p["b"])): p["apart"] for p in every}
+    tree = list(range(n))
+    for pair, _ in sorted(left.items(), key=lambda x: x[1]):
+        a, b = (tree[k] for k in pair)
+        tree = [a if t == b else t for t in tree]
+    assert {frozenset((p["a"], p["b"])) for p in some} <= set(left) and len(set(tree)) == 2
+    least = lambda pairs, k: min(p["apart"] for p in pairs if k in (p["a"], p["b"]))
+    assert all(least(some, k) == least(every, k) for k in range(n))
+
+
 def test_texts_with_few_shared_shingles_are_out_before_any_join(spark):
     rng = random.Random(7)
     passage = " ".join(words(rng, 30))

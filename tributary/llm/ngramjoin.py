@@ -32,8 +32,10 @@ A shingle that n texts have in their prefixes isn't expanded into n * n pairs:
    of many short lists, or of two blocks of ``BLOCK`` texts of a long one (blocks
    are by size class, and only blocks of equal or neighbouring classes meet).
    Such a group gives out only pairs of different components that pass all
-   filters: in a first turn the closest pair of every two components, in a second
-   all that are left.  No pair that could link two components is left out.
+   filters.  In a first turn, of short lists and of each block with itself, and in
+   a second, of a block with others, it gives out a least spanning forest of its
+   components by distance, fewer pairs than rows; in a third all pairs that are
+   left.  No pair that could link two components is left out.
 
 Exact copies of a text are one node from the start.  Texts travel only for nodes
 of lists of two or more, and once per cell of a grid of pairs (``pairs``), not
@@ -254,8 +256,40 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int)
     return write_out(spark, matching(left, texts, shingle_set, lambda x, y: links(x, y, percent)), "join-links")
 
 
-def _open_pairs(percent: int, best_only: bool):
-    """A group of lists, or two blocks of one -> pairs of different components that pass all filters."""
+def _forest(r1: np.ndarray, r2: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Places of the pairs of components that make a least spanning forest by ``apart``."""
+    names, ends = np.unique(np.concatenate((r1, r2)), return_inverse=True)
+    order = np.argsort(apart, kind="stable")
+    a, b = ends[:len(r1)][order], ends[len(r1):][order]
+    tree, left, taken = np.arange(len(names)), np.arange(len(order)), [np.zeros(0, dtype=np.int64)]
+    while True:
+        left = left[tree[a[left]] != tree[b[left]]]
+        if not len(left):
+            return order[np.concatenate(taken)]
+        # each tree takes its closest pair; of equally close ones the first, so that no circle comes about
+        closest = np.full(len(names), len(order))
+        np.minimum.at(closest, tree[a[left]], left)
+        np.minimum.at(closest, tree[b[left]], left)
+        picked = np.unique(closest[closest < len(order)])
+        taken.append(picked)
+        into = list(range(len(names)))
+
+        def root(i: int, into: list[int] = into) -> int:
+            while into[i] != i:
+                into[i] = into[into[i]]
+                i = into[i]
+            return i
+
+        for i, j in zip(tree[a[picked]].tolist(), tree[b[picked]].tolist(), strict=True):
+            into[root(i)] = root(j)
+        tree = np.array([root(i) for i in range(len(into))])[tree]
+
+
+def _open_pairs(percent: int, forest: bool):
+    """A group of lists, or two blocks of one -> pairs of different components that pass all filters.
+
+    ``forest``: only those of a least spanning forest of the components.
+    """
     def run(table: pa.Table) -> pa.Table:
         column = lambda c: table.column(c).to_numpy()
         order = np.argsort(column("token"), kind="stable")
@@ -286,19 +320,24 @@ def _open_pairs(percent: int, best_only: bool):
         swap = node[x] < node[y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
         r1, r2 = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
-        first = np.lexsort((node[y], node[x], apart, r2, r1) if best_only else (node[y], node[x]))
+        first = np.lexsort((node[y], node[x], apart, r2, r1) if forest else (node[y], node[x]))
         x, y, apart, r1, r2 = (v[first] for v in (x, y, apart, r1, r2))
         same = (r1[1:] == r1[:-1]) & (r2[1:] == r2[:-1])
-        if not best_only:
+        if not forest:
             same = (node[x][1:] == node[x][:-1]) & (node[y][1:] == node[y][:-1])
-        one = np.concatenate(([True], ~same))[:len(x)]
+        one = np.flatnonzero(np.concatenate(([True], ~same))[:len(x)])
+        if forest:
+            one = one[_forest(r1[one], r2[one], apart[one])]
         return pa.table({c: pa.array(v[one].astype(np.int64)) for c, v in (
             ("a", node[x]), ("b", node[y]), ("r1", r1), ("r2", r2), ("apart", apart))})
     return run
 
 
-def _open_candidates(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """(a, b) of different components in lists whose texts lie in several components."""
+def _open_candidates(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, turn: str) -> DataFrame:
+    """(a, b) of different components in lists whose texts lie in several components.
+
+    ``turn``: "within" short lists and single blocks, "across" different blocks, or "all" pairs that are left.
+    """
     now = rooted(members.select("token", "node", "size", "pos"), "node", roots)
     lists = (now.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n"))
              .where("r1 <> r2").select("token", "n"))
@@ -319,10 +358,11 @@ def _open_candidates(members: DataFrame, nodes: DataFrame, roots: DataFrame, per
              .join(partner, ["token", "of"])
              .select(F.col("token").alias("part"), F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high"), "block", "token", "node", "root", "size", "pos"))
-    full = short.unionAll(dealt).join(nodes.select("node", "counts"), "node")
-    pairs = full.groupBy("part", "low", "high").applyInArrow(
-        _open_pairs(percent, best_only), "a long, b long, r1 long, r2 long, apart long")
-    if not best_only:
+    met = {"within": short.unionAll(dealt.where("low = high")), "across": dealt.where("low <> high"),
+           "all": short.unionAll(dealt)}[turn]
+    pairs = met.join(nodes.select("node", "counts"), "node").groupBy("part", "low", "high").applyInArrow(
+        _open_pairs(percent, turn != "all"), "a long, b long, r1 long, r2 long, apart long")
+    if turn == "all":
         return pairs.select("a", "b").distinct()
     return pairs.groupBy("r1", "r2").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b")
 
@@ -397,8 +437,8 @@ def connected(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataF
             roots = _merged(roots, more)
 
     compare(between(star.select("a", "b")))
-    for best_only in (True, False):
-        compare(_open_candidates(members, nodes, roots, percent, best_only))
+    for turn in ("within", "across", "all"):
+        compare(_open_candidates(members, nodes, roots, percent, turn))
     return nodes, roots
 
 
