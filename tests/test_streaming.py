@@ -327,3 +327,18 @@ def test_replayed_messages_change_no_balance(spark):
         spark.read.json(raw + "seed").write.mode("overwrite").json(raw + "third")
     out = spark.read.json(f"{topic_path(base, S.TOPIC_RETRY)}/*")
     assert len(_FIELDS) > 5 and out.count() == 300
+
+
+def test_interval_join_ends_without_a_scan_of_all_state(spark):
+    """One micro-batch for all rows, none that only looks through the state; the session's settings stay."""
+    import glob
+
+    from tributary.plans.registry import load_all
+    from tributary.session import ensure_checkpoint_dir
+    before = {key: spark.conf.get(key, None) for key in jobs.ROWS_ONLY}
+    found = os.path.join(ensure_checkpoint_dir(spark), "interval-join-ckpt-*")
+    known = set(glob.glob(found))
+    assert load_all()["interval_join_stream"].build(spark, SF_SMALL).count() > 0
+    checkpoint, = set(glob.glob(found)) - known
+    assert [f for f in os.listdir(os.path.join(checkpoint, "commits")) if f.isdigit()] == ["0"]
+    assert {key: spark.conf.get(key, None) for key in jobs.ROWS_ONLY} == before

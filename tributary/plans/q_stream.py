@@ -99,7 +99,7 @@ def q_interval_join_stream(spark, sf_dir):
     joined = jobs.interval_join_stream(o, li, "orderkey", "l_orderkey", "o_orderdate", "l_shipdate",
                                        f"{_WITHIN_DAYS} DAYS", "3650 days")
     out = jobs.run_available(joined.select("orderkey", "l_linenumber", "o_custkey", "o_orderdate",
-                                           "l_shipdate", "l_extendedprice"), "append", "interval-join")
+                                           "l_shipdate", "l_extendedprice"), "append", "interval-join", conf=jobs.ROWS_ONLY)
     return out
 
 
