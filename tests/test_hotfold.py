@@ -13,6 +13,7 @@ from tests.test_models import _rows
 from tributary import schemas as S
 from tributary.operators import debit, hotfold
 from tributary.operators.pending import PendingList
+from tributary.operators.workflow import workflow_retry
 from tributary.sources.ledger import transfers_from_rows
 
 HOT = "100007"
@@ -162,3 +163,19 @@ def test_many_pending_debits_equal_the_model():
              "instant": r["seq"], "seq": r["seq"], "phase": 0, "status": r["status"]} for r in batch.to_pylist()]
     got = {(r["txId"], r["phase"]): r["status"] for b in debit.make_fold(True, None)(iter([batch])) for r in b.to_pylist()}
     assert got == M.pending_debit(rows)
+
+
+def test_rounds_count_busy_accounts_without_carried_balances(spark, monkeypatch):
+    counted = []
+    count = hotfold.busy_accounts
+
+    def seen(keyed, *args):
+        counted.append(keyed.where("_kind = 'balance'").count())
+        return count(keyed, *args)
+
+    monkeypatch.setattr(hotfold, "busy_accounts", seen)
+    tx = transfers_from_rows(spark, [("t1", "external", "a", 5.0), ("t2", "a", "b", 3.0), ("t3", "b", "c", 9.0)])
+    completed, _, rounds = workflow_retry(tx)
+    assert rounds > 1 and counted == [0] * rounds
+    assert sorted((r.txId, r.status) for r in completed.select("txId", "status").collect()) == [
+        ("t1", S.FULFILLED), ("t2", S.FULFILLED), ("t3", S.CANCELLED_BALANCE_NOT_ENOUGH)]

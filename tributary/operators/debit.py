@@ -280,7 +280,8 @@ def run_fold(tx: DataFrame, pending_design: bool, max_wait_ms: int | None = None
     unconditional = _unconditional(keyed.where(hot), pending_design, emit_balance, running=external_running)
     if not pending_design:
         parts = int(num_partitions or tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        busy = hotfold.busy_accounts(ordinary, parts, busy_rows)
+        # rows only: the carried balances, one an account, are not worked out for this count
+        busy = hotfold.busy_accounts(ordinary.where(F.col("_kind") == "row"), parts, busy_rows)
         if busy:
             is_busy = F.col("account").isin(list(busy))
             unconditional = unconditional.unionByName(_in_blocks(ordinary.where(is_busy), busy, parts, emit_balance))
