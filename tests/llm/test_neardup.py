@@ -134,3 +134,38 @@ def test_recall_on_the_given_documents(spark):
     got = neardup.assign(spark.createDataFrame(rows, "doc_id long, text string"))
     of_text = {t: c for (_, t), c in zip(sorted(rows), [r.class_id for r in got.orderBy("doc_id").collect()])}
     assert links and all(of_text[a] == of_text[b] for a, b in links)
+
+
+def test_rows_that_keep_all_are_not_shuffled(spark, capsys):
+    docs = spark.createDataFrame([(i, t, 7) for i, t in corpus()], SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        neardup.keep_one(docs).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    branches = capsys.readouterr().out.split("\n   :- ")      # of the union of the kept rows
+    assert "Scan" in branches[1] and "Exchange hashpartitioning" not in branches[1]
+    assert "BroadcastHashJoin" in branches[1]
+
+
+def test_nodes_that_share_a_bit_by_chance(spark, monkeypatch):
+    """So few bits that most rows are marked: what is kept is the same, with repeated rows and null ids."""
+    rows = corpus() + [(i, f"text number {i} stands alone here") for i in range(1000, 1040)] * 2
+    docs = spark.createDataFrame([(i, t, 7) for i, t in rows], SCHEMA)
+    want = sorted(map(str, neardup.keep_one(docs).collect()))
+    monkeypatch.setattr(neardup, "MARKS", 8)
+    assert sorted(map(str, neardup.keep_one(docs).collect())) == want
+    alone = [r for r in want if "stands alone" in r]
+    assert len(alone) == 40
+    monkeypatch.setattr(neardup, "MARKS", 1)
+    assert sorted(map(str, neardup.keep_one(docs).collect())) == want
+
+
+def test_arrow_batches_of_long_texts_are_bounded(spark):
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('eight by', 400) AS t")
+    assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) <= 5 << 20

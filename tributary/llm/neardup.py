@@ -28,7 +28,9 @@ with 0.00004.
 
 Texts are fetched for exact comparison only for the nodes concerned: a bitmap
 of ``MARKS`` bits (a fixed size) is broadcast to drop most other rows where
-they are read, an exact join follows.  A text travels once per cell of a grid of
+they are read, an exact join follows.  ``keep_one`` uses it, too: rows that the
+bitmap of the nodes that lose rows lacks stay where they are read, and only the
+texts that have copies (and those that share a bit by chance) are shuffled.  A text travels once per cell of a grid of
 pairs (``pairs``), not once per pair.
 
 Classes are found by alternating large-star and small-star steps, every pair
@@ -93,36 +95,37 @@ def sketch(docs: DataFrame) -> DataFrame:
     return made.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes", "counts")])
 
 
-def _marks(nodes: DataFrame) -> bytes:
-    """A bitmap of ``MARKS`` bits with one set for each node."""
-    bit = (F.conv(F.hex(F.substring("node", 1, 4)), 16, 10).cast("long") % MARKS + 1).alias("bit")
-    found = (nodes.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("k"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m")).collect())
-    width = 4096        # bytes of one of Spark's bitmaps; they are numbered from 1 and begin with the value 1
-    out = bytearray(MARKS // 8)
-    for k, m in found:
-        out[(k - 1) * width:k * width] = m
-    return bytes(out)
-
-
-def _marked(shared):
-    """Rows (node, text) whose node may be marked."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(shared.value, dtype=np.uint8)
-        for batch in batches:
-            heads = [x.as_py() for x in batch.column(0)]
-            bit = np.frombuffer(b"".join([h[:4] for h in heads]), dtype=">u4").astype(np.int64) % MARKS
-            hit = (marks[bit // 8] >> (bit % 8).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(hit == 1))
-    return run
+def _bit(node: Column) -> Column:
+    return F.conv(F.hex(F.substring(node, 1, 4)), 16, 10).cast("long") % MARKS + 1
+
+
+def _marks(nodes: DataFrame) -> DataFrame:
+    """The bitmap of ``MARKS`` bits with one set for each node, in pieces (__k, __m), written."""
+    bit = nodes.select(_bit(F.col("node")).alias("bit"))
+    return write_out(nodes.sparkSession, bit.groupBy(F.bitmap_bucket_number("bit").alias("__k"))
+                     .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("__m")), "near-marks")
+
+
+def _marked(rows: DataFrame, node: str, marks: DataFrame, negate: bool = False) -> DataFrame:
+    """The rows whose node may be one of those that ``marks`` was made of; ``negate``: the others, with null nodes.
+
+    The pieces of the bitmap go to every task, so no row moves.
+    """
+    k, m = (fresh(rows.columns, c) for c in ("__k", "__m"))
+    pieces = F.broadcast(marks.select(F.col("__k").alias(k), F.col("__m").alias(m)))
+    bit = _bit(quoted(node))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(quoted(m), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    found = rows.join(pieces, F.bitmap_bucket_number(bit) == quoted(k), "left" if negate else "inner")
+    return found.where(~hit if negate else hit).select(*[quoted(c) for c in rows.columns])
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """The written (a, b) of ``pairs`` whose texts are similar enough, by exact comparison of their shingles."""
     spark = docs.sparkSession
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    shared = spark.sparkContext.broadcast(_marks(ends))
-    some = docs.where(F.col("node").isNotNull()).mapInArrow(_marked(shared), "node binary, text string")
+    some = _marked(docs.where(F.col("node").isNotNull()), "node", _marks(ends))
     texts = some.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     size = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"))
     weighed = write_out(spark, pairs.join(size("a"), "a").join(size("b"), "b").select(
@@ -287,15 +290,26 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
     """``df`` with one row of each class: the least id's (one of them if the row repeats)."""
+    spark = df.sparkSession
     _, groups = _grouped(df, id_col, text_col, threshold)
+    # what may lose rows: the nodes of a class but its first, and the first if its text has copies
+    loses = groups.where("node <> first_node OR n > 1").select(
+        "node", (F.col("node") == F.col("first_node")).alias("first"), "least")
     taken = list(df.columns)
-    node, key, first, least, copies = (fresh(taken, c) for c in ("__node", "__key", "__first", "__least", "__copies"))
-    rows = df.withColumn(node, node_of(quoted(text_col).cast("string")))
+    node, key, least = (fresh(taken, c) for c in ("__node", "__key", "__least"))
     mine = [quoted(c) for c in df.columns]
-    held = groups.select(F.col("node").alias(key), (F.col("node") == F.col("first_node")).alias(first),
-                         F.col("least").alias(least), (F.col("n") > 1).alias(copies))
-    joined = rows.join(held, quoted(node) == quoted(key), "left")
-    single = joined.where(quoted(key).isNull() | (quoted(first) & ~quoted(copies)))
+    only = df.select(node_of(quoted(text_col).cast("string")).alias("node"))
+    rows = df.withColumn(node, node_of(quoted(text_col).cast("string")))
+    loses = write_out(spark, loses, "near-loses")
+    marks = _marks(loses)
+    sure = _marked(rows, node, marks, negate=True)
+    # marked, but not among them: the nodes are found first, so that only their texts move
+    extra = write_out(spark, _marked(only, "node", marks).distinct().join(loses, "node", "left_anti"), "near-extra")
+    extra_rows = (_marked(rows, node, _marks(extra))
+                  .join(extra.select(F.col("node").alias(key)), quoted(node) == quoted(key), "left_semi"))
     # of a text's copies those with the least id: more than one row only if rows repeat
-    repeated = joined.where(quoted(first) & quoted(copies) & quoted(id_col).eqNullSafe(quoted(least)))
-    return single.select(*mine).unionAll(repeated.dropDuplicates([node]).select(*mine))
+    copies = loses.where("first").select(F.col("node").alias(key), F.col("least").alias(least))
+    repeated = (_marked(rows, node, _marks(copies.select(quoted(key).alias("node"))))
+                .join(copies, (quoted(node) == quoted(key)) & quoted(id_col).eqNullSafe(quoted(least))))
+    return (sure.select(*mine).unionAll(extra_rows.select(*mine))
+            .unionAll(repeated.dropDuplicates([node]).select(*mine)))
