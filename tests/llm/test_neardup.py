@@ -169,3 +169,27 @@ def test_arrow_batches_of_long_texts_are_bounded(spark):
 
     texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('eight by', 400) AS t")
     assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) <= 5 << 20
+
+
+def test_buckets_are_dealt_out_once(spark, monkeypatch):
+    """The members of all buckets pass one exchange, by short numbers; signatures of nodes in no open bucket none."""
+    plans = {}
+
+    def write_out(session, df, purpose, write=neardup.write_out):
+        plans.setdefault(purpose, df._jdf.queryExecution().executedPlan().toString())
+        return write(session, df, purpose)
+
+    monkeypatch.setattr(neardup, "write_out", write_out)
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [(i, f"one two three four five six {'same ' * 40} {i % 3}", 7) for i in range(9)]
+        neardup.assign(spark.createDataFrame(rows, SCHEMA)).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    dealt = [x for x in plans["near-members"].splitlines() if "Exchange hashpartitioning(bucket" in x]
+    assert sum("ReusedExchange" not in x for x in dealt) == 1
+    assert "BroadcastHashJoin" in plans["near-pairs"]      # the bitmap: joins of tables are not broadcast here

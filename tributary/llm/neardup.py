@@ -26,7 +26,12 @@ lies below six standard deviations with a probability of 1e-9.  Two nodes of a
 similarity of exactly 0.8 share no bucket with a probability of 0.003, of 0.85
 with 0.00004.
 
-Texts are fetched for exact comparison only for the nodes concerned: a bitmap
+A different text also has a number, given as the nodes are written, by which
+buckets, pairs and classes name it: half as long as the MD5, and minima of
+numbers are found by hashing where those of bytes need a sort.  Buckets are dealt
+out once, for their least node and for meeting it.
+
+Texts and signatures are fetched only for the nodes concerned: a bitmap
 of ``MARKS`` bits (a fixed size) is broadcast to drop most other rows where
 they are read, an exact join follows.  ``keep_one`` uses it, too: rows that the
 bitmap of the nodes that lose rows lacks stay where they are read, and only the
@@ -84,19 +89,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(size, type=pa.int64()), pa.array(bands, type=pa.list_(pa.int64())),
                  pa.array(lanes, type=pa.binary()), pa.array(counts, type=pa.binary())],
-                names=["node", "size", "bands", "lanes", "counts"])
+                names=["key", "size", "bands", "lanes", "counts"])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(node, size, bands, lanes, counts), one row per different text of (node, text); lanes: two bytes of each dart,
-    counts: units by range of their hash, 255 at most."""
-    made = docs.where(F.col("node").isNotNull()).mapInArrow(
-        _sketch, "node binary, size long, bands array<long>, lanes binary, counts binary")
-    return made.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes", "counts")])
+    """(key, node, size, bands, lanes, counts), one row per different text of (key, text); node: its number, lanes: two
+    bytes of each dart, counts: units by range of their hash, 255 at most.  To be written before it is read twice."""
+    made = docs.where(F.col("key").isNotNull()).mapInArrow(
+        _sketch, "key binary, size long, bands array<long>, lanes binary, counts binary")
+    found = made.groupBy("key").agg(*[F.first(c).alias(c) for c in ("size", "bands", "lanes", "counts")])
+    return found.withColumn("node", F.monotonically_increasing_id())
 
 
 def _bit(node: Column) -> Column:
-    return F.conv(F.hex(F.substring(node, 1, 4)), 16, 10).cast("long") % MARKS + 1
+    return F.when(node.isNotNull(), F.pmod(F.xxhash64(node), F.lit(MARKS)) + 1)
 
 
 def _marks(nodes: DataFrame) -> DataFrame:
@@ -125,8 +131,9 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: flo
     """The written (a, b) of ``pairs`` whose texts are similar enough, by exact comparison of their shingles."""
     spark = docs.sparkSession
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    some = _marked(docs.where(F.col("node").isNotNull()), "node", _marks(ends))
-    texts = some.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    keys = write_out(spark, nodes.select("node", "key").join(ends, "node"), "near-keys")
+    some = _marked(docs.where(F.col("key").isNotNull()), "key", _marks(keys.select(F.col("key").alias("node"))))
+    texts = some.join(keys, "key").groupBy("node").agg(F.first("text").alias("text"))
     size = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"))
     weighed = write_out(spark, pairs.join(size("a"), "a").join(size("b"), "b").select(
         "a", "b", (F.col("size_a") + F.col("size_b")).alias("weight")), "near-weighed")
@@ -195,7 +202,7 @@ def _block_pairs(threshold: float, best_only: bool):
                     found[key] = e, x, y
         out = {"a": [node[x] for _, x, _ in found.values()], "b": [node[y] for _, _, y in found.values()],
                "ra": [root[x] for _, x, _ in found.values()], "rb": [root[y] for _, _, y in found.values()]}
-        return pa.table({**{c: pa.array(v, type=pa.binary()) for c, v in out.items()},
+        return pa.table({**{c: pa.array(v, type=pa.int64()) for c, v in out.items()},
                          "estimate": pa.array([e for e, _, _ in found.values()], type=pa.float64())})
     return run
 
@@ -206,14 +213,18 @@ def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
     open_buckets = (now.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
                                               F.count(F.lit(1)).alias("n"))
                     .where("r1 <> r2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    left = (now.join(open_buckets, "bucket").join(nodes.select("node", "lanes", "bands", "counts"), "node")
+    spark = nodes.sparkSession
+    now = write_out(spark, now.join(open_buckets, "bucket"), "near-open")
+    # the signatures of other nodes stay where they are read
+    signed = _marked(nodes.select("node", "lanes", "bands", "counts"), "node", _marks(now.select("node")))
+    left = (now.join(signed, "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     paired = left.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                          "block", "band", "node", "root", "size", "lanes", "bands", "counts")
     pairs = (paired.groupBy("bucket", "low", "high")
              .applyInArrow(_block_pairs(threshold, best_only),
-                           "a binary, b binary, ra binary, rb binary, estimate double"))
+                           "a long, b long, ra long, rb long, estimate double"))
     if not best_only:
         return pairs.select("a", "b").distinct()
     return (pairs.groupBy(F.least("ra", "rb").alias("r1"), F.greatest("ra", "rb").alias("r2"))
@@ -221,12 +232,14 @@ def _settle(members: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, root) for the nodes of (node, text) that have a near duplicate of a different text."""
+    """(key, root) for the keys of (key, text) that have a near duplicate of a different text; root: a key, too."""
     spark = docs.sparkSession
     nodes = write_out(spark, sketch(docs), "near-nodes")
-    members = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
+    # dealt by bucket once: both sides below read this exchange, so they need the same columns of it
+    members = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket")).repartition("bucket")
     # each bucket's least node is met by the others
-    centre = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("c"))
+    centre = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
+                                            F.min(F.struct("node", "size", "band")).alias("c"))
               .where("n > 1").select("bucket", "c"))
     members = write_out(spark, members.join(centre, "bucket"), "near-members")
     star = write_out(spark, (
@@ -258,7 +271,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                           .join(compared, ["a", "b"], "left_anti"), "near-pairs")
         compare(pairs)
         compared = compared.unionAll(pairs)
-    return roots
+    names = nodes.select("node", "key")
+    return (roots.join(names, "node").select("key", F.col("root").alias("node"))
+            .join(names.withColumnRenamed("key", "root"), "node").select("key", "root"))
 
 
 def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -274,11 +289,12 @@ def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _grouped(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """All rows as (doc_id, node), and the nodes in classes of several rows with their class."""
     text = quoted(text_col).cast("string")
-    docs = df.select(node_of(text).alias("node"), text.alias("text"))
+    docs = df.select(node_of(text).alias("key"), text.alias("text"))
     rows = df.select(quoted(id_col).alias("doc_id"), node_of(text).alias("node"))
     copies = rows.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    rooted = write_out(df.sparkSession, _rooted(copies, "node", classes(docs, threshold), "root"), "near-rooted")
+    roots = classes(docs, threshold).withColumnRenamed("key", "node")
+    rooted = write_out(df.sparkSession, _rooted(copies, "node", roots, "root"), "near-rooted")
     first = F.min(F.struct(F.col("least").isNull(), "least", "node"))
     per_class = (rooted.groupBy("root").agg(first.alias("f"), F.sum("n").alias("class_rows"))
                  .where("class_rows > 1"))
