@@ -61,8 +61,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = public_tokenizers.path(VOCAB)
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", path, public_tokenizers.PATTERN)
-    back = bpe.decode(coded, "ids", path)
+    back = bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", path, public_tokenizers.PATTERN,
+                      decoded_col="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        same.alias("round_trip"))

@@ -57,3 +57,23 @@ def test_helper_names_may_be_columns(spark, library):
     assert out.columns == [*docs.columns, "ids", "decoded"]
     for r in out.collect():
         assert bytes(r.decoded).decode() == r.text and all(r[c] == i for i, c in enumerate(names))
+
+
+@pytest.mark.parametrize("chunk, overlap", [(50, 10), (16_384, 1_024)])
+def test_both_in_one_worker_equal_both_in_turn(spark, chunk, overlap):
+    names = ["__raw", "decoded", "a.b"]
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").select(
+        "*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    args = docs, "text", PATH, public_tokenizers.PATTERN, "ids", chunk, overlap
+    one, two = bpe.encode(*args, decoded_col="decoded"), bpe.decode(bpe.encode(*args), "ids", PATH)
+    assert one.columns == ["doc_id", "text", "__raw", "a.b", "ids", "decoded"] and set(one.columns) == set(two.columns)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.select(*[f"`{c}`" for c in one.columns]).collect()))
+
+
+def test_a_pipeline_task_needs_one_worker(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a text", "en", "s")], "doc_id long, text string, lang string, source string")
+    plan = corpus_pipeline.bpe_encode(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    above, _, branches = plan.partition("Union")
+    assert "InArrow" not in above and branches.count("MapInArrow") == 3

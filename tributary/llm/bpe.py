@@ -163,22 +163,27 @@ def _stitch_group(path: str, pattern: str):
 
 
 def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str = "ids",
-           chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+           chunk: int = CHUNK, overlap: int = OVERLAP, decoded_col: str | None = None) -> DataFrame:
     """``df`` with the ids of each text added as ``out_col`` (array<int>).
 
     ``vocab`` is a vocabulary file that every worker can open (installed with
     the tokenizer package).  An input column of the name ``out_col`` is replaced.
+    With ``decoded_col`` the result is that of ``decode`` over it, with that name;
+    one Python worker a task then does both, not one each.
     """
-    df = df.select(*[quoted(c) for c in df.columns if c.lower() != out_col.lower()])
+    df = df.select(*[quoted(c) for c in df.columns if c.lower() not in {out_col.lower(), (decoded_col or out_col).lower()}])
     names = df.columns
-    uid, key, ids = (fresh(names, c) for c in ("__uid", "__key", "__ids"))
+    uid, key, ids, raw = (fresh(names, c) for c in ("__uid", "__key", "__ids", "__raw"))
     if text_col not in names:
         raise ValueError(f"no column {text_col!r}")
     text = quoted(text_col)
     if chunk <= overlap:
         raise ValueError("a chunk must be longer than the overlap")
     short = df.where(text.isNull() | (F.length(text) <= chunk + overlap))
-    done = map_arrow(short, _encode_batches(names.index(text_col), vocab, pattern), f"{ids} array<int>")
+    batches, added = _encode_batches(names.index(text_col), vocab, pattern), f"{ids} array<int>"
+    if decoded_col:
+        batches, added = _in_turn(batches, _decode_batches(len(names), vocab)), f"{added}, {raw} binary"
+    done = map_arrow(short, batches, added)
     # ids by partition and row: the same whenever a lost task runs again over its split
     numbered = df.withColumn(uid, F.monotonically_increasing_id())
     long_rows = numbered.where(F.length(text) > chunk + overlap)
@@ -196,7 +201,13 @@ def encode(df: DataFrame, text_col: str, vocab: str, pattern: str, out_col: str
     whole = parts.groupBy("uid").applyInArrow(_stitch_group(vocab, pattern), "__uid long, __ids array<int>")
     whole = whole.select(F.col("__uid").alias(key), F.col("__ids").alias(ids))
     joined = long_rows.join(whole, quoted(uid) == quoted(key)).select(*[quoted(c) for c in names], quoted(ids))
-    return done.unionAll(joined).toDF(*names, out_col)
+    if not decoded_col:
+        return done.unionAll(joined).toDF(*names, out_col)
+    return done.unionAll(decode(joined, ids, vocab, raw)).toDF(*names, out_col, decoded_col)
+
+
+def _in_turn(first, then):
+    return lambda batches: then(first(batches))
 
 
 def _decode_batches(at: int, vocab: str):
